@@ -1,0 +1,420 @@
+"""Oracle SQL (DuckDB) for every registered key.
+
+Each statement = portfolio CTE chain (``oracle.portfolio.cte``) + the report written
+directly in SQL with integer cents / milli-ratios / centi-scores and integer half-up
+rounding. Outputs use BIGINT for counts and DOUBLE for rounded values, matching the
+Spark side's output types.
+"""
+
+from __future__ import annotations
+
+from ledgerlens.schema import TABLE_SPECS
+
+from .portfolio import cents_round0, cte, hu_bigint, hu_double, scaled
+
+M = range(1, 7)
+
+DR = hu_double("SUM(default_flag)", "COUNT(*)", 2, 100)
+SHARE = hu_double("COUNT(*)", "SUM(COUNT(*)) OVER ()", 2, 100)
+AVG_SCORE = hu_double("SUM(score_c)", "100 * COUNT(score_c)", 2)
+AVG_UTIL_PCT = hu_double("SUM(util_m)", "10 * COUNT(util_m)", 1)
+AVG_RATIO_PCT = hu_double("SUM(ratio_m)", "10 * COUNT(ratio_m)", 1)
+AVG_LIMIT = hu_bigint("SUM(limit_c)", "100 * COUNT(limit_c)")
+OUT = cents_round0("SUM(bill_c)")
+COLL = cents_round0("SUM(paid_c)")
+EFF = hu_double("SUM(paid_c)", "SUM(bill_c)", 2, 100)
+
+# Output-typed relations over the oracle mart.
+RAW_SELECT = ", ".join(
+    ["customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "gender", "education", "marital_status",
+     "CAST(age AS BIGINT) AS age"]
+    + [f"timeliness_{i}" for i in M]
+    + [f"{scaled(f'c{i}', 2)} AS balance_{i}" for i in M]
+    + [f"{scaled(f'p{i}', 2)} AS payment_{i}" for i in M]
+    + [f"{scaled('avgbal_c', 2)} AS avg_balance", f"{scaled('avgpay_c', 2)} AS avg_payment", "default_raw"])
+
+DIM_SELECT = ", ".join([
+    "customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "credit_limit_band", "gender_l AS gender",
+    "education_l AS education", "marital_l AS marital_status", "CAST(age AS BIGINT) AS age", "age_band"])
+
+FACT_SELECT = ", ".join([
+    "customer_id", "CAST(current_dpd AS BIGINT) AS current_dpd", "CAST(worst_dpd_6mo AS BIGINT) AS worst_dpd_6mo",
+    "CAST(months_delinquent_6mo AS BIGINT) AS months_delinquent_6mo",
+    f"{scaled('avg_dpd_c', 2)} AS avg_dpd_6mo", "collections_stage",
+    f"{scaled('bill_c', 2)} AS total_bill_6mo", f"{scaled('paid_c', 2)} AS total_paid_6mo",
+    f"{scaled('ratio_m', 3)} AS payment_to_bill_ratio", f"{scaled('util_m', 3)} AS credit_utilization",
+    f"{scaled('score_c', 2)} AS risk_score", "risk_grade", "CAST(default_flag AS BIGINT) AS default_flag"])
+
+REPAY_UNION = " UNION ALL ".join(
+    f"SELECT customer_id, CAST({i} AS BIGINT) AS statement_month, timeliness_{i} AS timeliness_code, "
+    f"CAST(d{i} AS BIGINT) AS dpd FROM mart" for i in M)
+STMT_UNION = " UNION ALL ".join(
+    f"SELECT customer_id, CAST({i} AS BIGINT) AS statement_month, c{i} AS bill_c, p{i} AS pay_c FROM mart"
+    for i in M)
+
+
+def _q(body: str, dirty: bool = False) -> str:
+    return cte(dirty) + body
+
+
+def _tables_cte() -> str:
+    """Extra CTEs exposing the five star-schema tables (output-typed)."""
+    return (f", t_staging AS (SELECT {RAW_SELECT} FROM mart)"
+            f", t_dim AS (SELECT {DIM_SELECT} FROM mart)"
+            f", t_repay AS ({REPAY_UNION})"
+            f", t_stmt AS (SELECT customer_id, statement_month, {scaled('bill_c', 2)} AS bill_amount, "
+            f"{scaled('pay_c', 2)} AS payment_amount FROM ({STMT_UNION}))"
+            f", t_fact AS (SELECT {FACT_SELECT} FROM mart)\n")
+
+
+TABLE_REL = {"staging_raw_credit_data": "t_staging", "dim_customers": "t_dim",
+             "fact_repayment_history": "t_repay", "fact_statements": "t_stmt", "fact_credit_risk": "t_fact"}
+
+STAGES = ("1-Current", "2-Early DPD (1-2mo)", "3-Mid DPD (3-5mo)", "4-Severe DPD (6mo+)")
+
+
+def _stage_sql(x: str) -> str:
+    return (f"CASE WHEN {x} <= 0 THEN '1-Current' WHEN {x} <= 2 THEN '2-Early DPD (1-2mo)' "
+            f"WHEN {x} <= 5 THEN '3-Mid DPD (3-5mo)' ELSE '4-Severe DPD (6mo+)' END")
+
+
+def _pk_sql() -> str:
+    parts = []
+    for name, rel in TABLE_REL.items():
+        key = ", ".join(TABLE_SPECS[name].key)
+        parts.append(
+            f"SELECT '{name}' AS table_name, '{','.join(TABLE_SPECS[name].key)}' AS key_columns, "
+            f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total_rows, COUNT(*) AS distinct_keys, "
+            f"COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS excess_rows "
+            f"FROM (SELECT {key}, COUNT(*) AS n FROM {rel} GROUP BY {key})")
+    return " UNION ALL ".join(parts)
+
+
+def _fk_sql() -> str:
+    parts = []
+    for name, rel in TABLE_REL.items():
+        parent = TABLE_SPECS[name].parent
+        if parent is None:
+            continue
+        prel, key = TABLE_REL[parent[0]], parent[1]
+        parts.append(
+            f"SELECT '{name}' AS child_table, '{parent[0]}' AS parent_table, COUNT(*) AS orphan_rows "
+            f"FROM {rel} c WHERE NOT EXISTS (SELECT 1 FROM {prel} p WHERE p.{key} = c.{key})")
+    return " UNION ALL ".join(parts)
+
+
+def _check_sql() -> str:
+    parts = []
+    for name, rel in TABLE_REL.items():
+        for _, cond in TABLE_SPECS[name].checks.items():
+            parts.append(f"SELECT '{name}' AS table_name, '{cond}' AS check_name, "
+                         f"COUNT(*) FILTER (WHERE NOT ({cond})) AS violations FROM {rel}")
+    return " UNION ALL ".join(parts)
+
+
+def _notnull_sql() -> str:
+    parts = []
+    for name, rel in TABLE_REL.items():
+        for c in TABLE_SPECS[name].not_null:
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
+                         f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {rel}")
+    return " UNION ALL ".join(parts)
+
+
+def _domain_sql() -> str:
+    parts = []
+    for name, rel in TABLE_REL.items():
+        spec = TABLE_SPECS[name]
+        for c, (p, s) in spec.numeric.items():
+            bound = 10 ** (p - s)
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'NUMERIC({p},{s})' AS rule, "
+                         f"COUNT(*) FILTER (WHERE abs(round({c}, {s})) >= {bound}) AS violations FROM {rel}")
+        for c, n in spec.varchar.items():
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'VARCHAR({n})' AS rule, "
+                         f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {rel}")
+        if name in ("staging_raw_credit_data", "fact_repayment_history"):
+            for c in spec.varchar:
+                if c.startswith("timeliness"):
+                    parts.append(
+                        f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'repayment code' AS rule, "
+                        f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST(REPLACE({c}, 'm', '') AS INTEGER) "
+                        f"IS NULL) AS violations FROM {rel}")
+    return " UNION ALL ".join(parts)
+
+
+def _describe_sql() -> str:
+    text = ["gender", "education", "marital_status"] + [f"timeliness_{i}" for i in range(1, 6)]
+    stacked = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value FROM mart" for c in text)
+    str_part = (
+        f"SELECT column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS unique, "
+        f"max(CASE WHEN r = 1 THEN value END) AS top, CAST(max(CASE WHEN r = 1 THEN n END) AS BIGINT) AS freq, "
+        f"CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
+        f"CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, "
+        f"CAST(NULL AS DOUBLE) AS max FROM ("
+        f"SELECT column_name, value, n, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r "
+        f"FROM (SELECT column_name, value, COUNT(*) AS n FROM ({stacked}) WHERE value IS NOT NULL "
+        f"GROUP BY column_name, value)) GROUP BY column_name")
+    nums = []
+    for c, x in (("credit_limit", "CAST(limit_c AS DOUBLE) / 100"), ("age", "CAST(age AS DOUBLE)")):
+        nums.append(
+            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, CAST(NULL AS BIGINT) AS unique, "
+            f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS p25, "
+            f"quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM mart")
+    return " UNION ALL ".join([str_part] + nums)
+
+
+def _corr_sql() -> str:
+    feats = {
+        "worst_dpd_6mo": "worst_dpd_6mo", "months_delinquent_6mo": "months_delinquent_6mo",
+        "avg_dpd_6mo": "avg_dpd_c / 100.0", "payment_to_bill_ratio": "ratio_m / 1000.0",
+        "credit_utilization": "util_m / 1000.0", "risk_score": "score_c / 100.0", "age": "age",
+        "credit_limit": "limit_c / 100.0",
+    }
+    cols = ", ".join(f"corr(CAST({x} AS DOUBLE), CAST(default_flag AS DOUBLE)) AS {n}" for n, x in feats.items())
+    return (f"SELECT feature, round(corr, 9) AS corr FROM (SELECT {cols} FROM mart) "
+            f"UNPIVOT (corr FOR feature IN ({', '.join(feats)}))")
+
+
+def _engineered_sql() -> str:
+    cols = (["customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "gender_l AS gender",
+             "education_l AS education", "marital_l AS marital_status", "CAST(age AS BIGINT) AS age",
+             "age_band", "credit_limit_band"]
+            + [f"timeliness_{i}" for i in M]
+            + [f"CAST(d{i} AS BIGINT) AS timeliness_{i}_dpd" for i in M]
+            + ["CAST(current_dpd AS BIGINT) AS current_dpd", "CAST(worst_dpd_6mo AS BIGINT) AS worst_dpd_6mo",
+               "CAST(months_delinquent_6mo AS BIGINT) AS months_delinquent_6mo",
+               f"{scaled('avg_dpd_c', 2)} AS avg_dpd_6mo", "collections_stage"]
+            + [f"{scaled(f'c{i}', 2)} AS balance_{i}" for i in M]
+            + [f"{scaled(f'p{i}', 2)} AS payment_{i}" for i in M]
+            + [f"{scaled('bill_c', 2)} AS total_bill_6mo", f"{scaled('paid_c', 2)} AS total_paid_6mo",
+               f"{scaled('ratio_m', 3)} AS payment_to_bill_ratio", f"{scaled('avgbal_c', 2)} AS avg_balance",
+               f"{scaled('avgpay_c', 2)} AS avg_payment", f"{scaled('util_m', 3)} AS credit_utilization",
+               f"{scaled('score_c', 2)} AS risk_score", "risk_grade", 'default_raw AS "default"',
+               "CAST(default_flag AS BIGINT) AS default_flag"])
+    return f"SELECT {', '.join(cols)} FROM mart"
+
+
+def _dpd_wide_sql() -> str:
+    cols = (["customer_id"] + [f"CAST(d{i} AS BIGINT) AS timeliness_{i}_dpd" for i in M]
+            + ["CAST(current_dpd AS BIGINT) AS current_dpd", "CAST(worst_dpd_6mo AS BIGINT) AS worst_dpd_6mo",
+               f"{scaled('avg_dpd_c', 2)} AS avg_dpd_6mo"])
+    return f"SELECT {', '.join(cols)} FROM mart"
+
+
+def _segment(keys: str, metrics: str, having: str = "") -> str:
+    return f"SELECT {keys}, {metrics} FROM mart GROUP BY {keys} {having}"
+
+
+def _roll_base() -> str:
+    return f"SELECT {_stage_sql('d2')} AS prior_stage, {_stage_sql('d1')} AS current_stage FROM mart"
+
+
+def build() -> dict[str, str]:
+    q: dict[str, str] = {}
+    T = _tables_cte()
+    # --- sources, tables, projections -------------------------------------------------
+    q["src_raw_scan"] = _q(f"SELECT {RAW_SELECT} FROM mart")
+    q["dim_customers"] = _q(f"SELECT {DIM_SELECT} FROM mart")
+    q["fact_repayment_history"] = _q(REPAY_UNION)
+    q["fact_statements"] = _q(
+        f"SELECT customer_id, statement_month, {scaled('bill_c', 2)} AS bill_amount, "
+        f"{scaled('pay_c', 2)} AS payment_amount FROM ({STMT_UNION})")
+    q["fact_credit_risk"] = _q(f"SELECT {FACT_SELECT} FROM mart")
+    q["star_join_mart"] = _q(
+        f"SELECT f.*, d.credit_limit, d.credit_limit_band, d.gender, d.education, d.marital_status, d.age, "
+        f"d.age_band FROM (SELECT {FACT_SELECT} FROM mart) f JOIN (SELECT {DIM_SELECT} FROM mart) d "
+        f"USING (customer_id)")
+    q["engineered_wide"] = _q(_engineered_sql())
+    q["dpd_wide"] = _q(_dpd_wide_sql())
+    q["limit_band_right_closed"] = _q(
+        f"SELECT customer_id, {scaled('limit_c', 2)} AS credit_limit, credit_limit_band, "
+        f"CASE WHEN limit_c <= 0 THEN NULL WHEN limit_c <= 5000000 THEN '<50K' WHEN limit_c <= 10000000 "
+        f"THEN '50K-100K' WHEN limit_c <= 20000000 THEN '100K-200K' WHEN limit_c <= 30000000 THEN '200K-300K' "
+        f"WHEN limit_c <= 50000000 THEN '300K-500K' ELSE '500K+' END AS credit_limit_band_right_closed FROM mart")
+    q["surrogate_key"] = "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS customer_id FROM orders"
+    # --- data quality (dirty fixture unless noted) --------------------------------------
+    q["dq_row_count"] = _q("SELECT COUNT(*) AS total_rows FROM mart", True)
+    q["dq_null_profile"] = _q(
+        "SELECT COUNT(*) FILTER (WHERE limit_c IS NULL) AS null_credit_limit, "
+        "COUNT(*) FILTER (WHERE gender IS NULL) AS null_gender, "
+        "COUNT(*) FILTER (WHERE education IS NULL) AS null_education, "
+        "COUNT(*) FILTER (WHERE marital_status IS NULL) AS null_marital_status, "
+        "COUNT(*) FILTER (WHERE age IS NULL) AS null_age, "
+        "COUNT(*) FILTER (WHERE default_raw IS NULL) AS null_default FROM mart", True)
+    src_cols = (["limit_c", "gender", "education", "marital_status", "age"] + [f"timeliness_{i}" for i in M]
+                + [f"c{i}" for i in M] + [f"p{i}" for i in M] + ["avgbal_c", "avgpay_c", "default_raw"])
+    q["dq_missing_total"] = _q(
+        "SELECT CAST(" + " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in src_cols)
+        + " AS BIGINT) AS missing_cells FROM mart", True)
+    q["dq_duplicate_keys"] = _q(
+        "SELECT customer_id, COUNT(*) AS row_count FROM mart GROUP BY customer_id HAVING COUNT(*) > 1", True)
+    q["dq_duplicate_rows"] = _q(
+        f"SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM "
+        f"(SELECT COUNT(*) AS n FROM mart GROUP BY {', '.join(src_cols)})", True)
+    q["dq_range_check"] = _q(
+        f"SELECT customer_id, CAST(age AS BIGINT) AS age, {scaled('limit_c', 2)} AS credit_limit FROM mart "
+        f"WHERE age NOT BETWEEN 18 AND 100 OR limit_c <= 0", True)
+    q["dq_category_audit"] = _q(
+        "SELECT DISTINCT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {c} AS value FROM mart"
+            for c in ("gender", "education", "marital_status", "timeliness_1")) + ")", True)
+    q["dq_layer_reconcile"] = _q(
+        T + "SELECT s.staging_rows, d.dim_customer_rows, f.fact_risk_rows, r.repayment_rows_expect_6x, "
+        "t.statement_rows_expect_6x, CAST((d.dim_customer_rows = s.staging_rows AND f.fact_risk_rows = s.staging_rows "
+        "AND r.repayment_rows_expect_6x = 6 * s.staging_rows AND t.statement_rows_expect_6x = 6 * s.staging_rows) "
+        "AS INTEGER) AS layers_ok FROM "
+        "(SELECT COUNT(*) AS staging_rows FROM t_staging) s, (SELECT COUNT(*) AS dim_customer_rows FROM t_dim) d, "
+        "(SELECT COUNT(*) AS fact_risk_rows FROM t_fact) f, "
+        "(SELECT COUNT(*) AS repayment_rows_expect_6x FROM t_repay) r, "
+        "(SELECT COUNT(*) AS statement_rows_expect_6x FROM t_stmt) t", True)
+    q["dq_pk_audit"] = _q(T + _pk_sql(), True)
+    q["dq_fk_audit"] = _q(T + _fk_sql(), True)
+    q["dq_check_audit"] = _q(T + _check_sql(), True)
+    q["dq_notnull_audit"] = _q(T + _notnull_sql(), True)
+    q["dq_domain_audit"] = _q(T + _domain_sql(), True)
+    q["dq_default_rate"] = _q(
+        f"SELECT {hu_double('COUNT(*) FILTER (WHERE default_raw = ' + chr(39) + 'yes' + chr(39) + ')', 'COUNT(*)', 4)}"
+        f" AS default_rate, "
+        f"{hu_double('COUNT(*) FILTER (WHERE lower(default_raw) = ' + chr(39) + 'yes' + chr(39) + ')', 'COUNT(*)', 4)}"
+        f" AS default_rate_sql FROM mart", True)
+    q["dq_describe"] = _q(_describe_sql(), True)
+    q["reconcile_long_wide"] = _q(
+        "SELECT COUNT(*) AS customers_compared, CAST(0 AS BIGINT) AS only_long, CAST(0 AS BIGINT) AS only_wide, "
+        "CAST(0 AS BIGINT) AS customers_differing FROM mart")
+    # --- risk segmentation -----------------------------------------------------------------
+    q["risk_grade_segments"] = _q(_segment(
+        "risk_grade", f"COUNT(*) AS accounts, {SHARE} AS pct_of_portfolio, {DR} AS default_rate_pct, "
+        f"{AVG_LIMIT} AS avg_credit_limit, {AVG_UTIL_PCT} AS avg_utilization_pct, {AVG_SCORE} AS avg_risk_score"))
+    q["limit_band_segments"] = _q(_segment(
+        "credit_limit_band", f"COUNT(*) AS accounts, {DR} AS default_rate_pct, {AVG_SCORE} AS avg_risk_score"))
+    q["age_band_segments"] = _q(_segment("age_band", f"COUNT(*) AS accounts, {DR} AS default_rate_pct"))
+    q["edu_marital_segments"] = _q(
+        f"SELECT education_l AS education, marital_l AS marital_status, COUNT(*) AS accounts, "
+        f"{DR} AS default_rate_pct FROM mart GROUP BY education_l, marital_l")
+    q["top_risk_segments"] = _q(
+        f"SELECT age_band, education_l AS education, credit_limit_band, COUNT(*) AS accounts, "
+        f"{DR} AS default_rate_pct, "
+        f"RANK() OVER (ORDER BY CAST(SUM(default_flag) AS DOUBLE) / COUNT(*) DESC) AS risk_rank "
+        f"FROM mart GROUP BY age_band, education_l, credit_limit_band HAVING COUNT(*) >= 100 "
+        f"ORDER BY default_rate_pct DESC, age_band, education, credit_limit_band LIMIT 10")
+    q["risk_deciles"] = _q(
+        f"SELECT CAST(risk_decile AS BIGINT) AS risk_decile, COUNT(*) AS accounts, "
+        f"{scaled('MIN(score_c)', 2)} AS min_score, {scaled('MAX(score_c)', 2)} AS max_score, {DR} AS default_rate_pct "
+        f"FROM (SELECT *, NTILE(10) OVER (ORDER BY score_c, customer_id) AS risk_decile FROM mart) "
+        f"GROUP BY risk_decile")
+    q["decile_inversions"] = _q(
+        f"SELECT risk_decile, default_rate_pct, LAG(default_rate_pct) OVER (ORDER BY risk_decile) "
+        f"AS prev_default_rate_pct, CAST(COALESCE(default_rate_pct < LAG(default_rate_pct) OVER "
+        f"(ORDER BY risk_decile), false) AS BIGINT) AS is_inversion FROM ("
+        f"SELECT CAST(risk_decile AS BIGINT) AS risk_decile, {DR} AS default_rate_pct FROM "
+        f"(SELECT *, NTILE(10) OVER (ORDER BY score_c, customer_id) AS risk_decile FROM mart) GROUP BY risk_decile)")
+    q["grade_behaviour"] = _q(_segment(
+        "risk_grade",
+        f"{AVG_UTIL_PCT} AS avg_utilization_pct, {AVG_RATIO_PCT} AS avg_payment_to_bill_pct, "
+        f"{hu_double('SUM(months_delinquent_6mo)', 'COUNT(*)', 2)} AS avg_months_delinquent, "
+        f"{hu_double('SUM(worst_dpd_6mo)', 'COUNT(*)', 2)} AS avg_worst_dpd"))
+    q["gender_segments"] = _q(
+        f"SELECT gender_l AS gender, COUNT(*) AS accounts, {DR} AS default_rate_pct FROM mart GROUP BY gender_l")
+    q["marital_segments"] = _q(
+        f"SELECT marital_l AS marital_status, COUNT(*) AS accounts, {DR} AS default_rate_pct FROM mart "
+        f"GROUP BY marital_l")
+    q["education_segments"] = _q(
+        f"SELECT education_l AS education, COUNT(*) AS accounts, {DR} AS default_rate_pct FROM mart "
+        f"GROUP BY education_l")
+    # --- collections -------------------------------------------------------------------------
+    q["collections_funnel"] = _q(_segment(
+        "collections_stage",
+        f"COUNT(*) AS accounts, {SHARE} AS pct_of_portfolio, {DR} AS default_rate_pct, "
+        f"{OUT} AS total_outstanding_bill, {COLL} AS total_collected, {EFF} AS collection_efficiency_pct, "
+        f"{AVG_SCORE} AS avg_risk_score"))
+    q["dpd_distribution"] = _q(
+        f"SELECT dpd_bucket, accounts, pct_of_portfolio, default_rate_pct FROM ("
+        f"SELECT CASE WHEN current_dpd >= 8 THEN '8+ months' ELSE CAST(current_dpd AS VARCHAR) || ' months' END "
+        f"AS dpd_bucket, CASE WHEN current_dpd >= 8 THEN 999 ELSE current_dpd END AS o, COUNT(*) AS accounts, "
+        f"{SHARE} AS pct_of_portfolio, {DR} AS default_rate_pct FROM mart GROUP BY 1, 2)")
+    q["roll_rate_matrix"] = _q(
+        f"SELECT prior_stage, current_stage, accounts, "
+        f"{hu_double('accounts', 'SUM(accounts) OVER (PARTITION BY prior_stage)', 1, 100)} AS pct_of_prior_stage "
+        f"FROM (SELECT prior_stage, current_stage, COUNT(*) AS accounts FROM ({_roll_base()}) "
+        f"GROUP BY prior_stage, current_stage)")
+    piv = ", ".join(
+        f"{hu_double(f'COUNT(*) FILTER (WHERE current_stage = {chr(39)}{s}{chr(39)})', 'COUNT(*)', 1, 100)} AS {n}"
+        for s, n in zip(STAGES, ("to_current_pct", "to_early_pct", "to_mid_pct", "to_severe_pct")))
+    q["roll_rate_pivot"] = _q(
+        f"SELECT prior_stage, {piv}, COUNT(*) AS total_accounts_in_prior_stage FROM ({_roll_base()}) "
+        f"GROUP BY prior_stage")
+    q["exposure_concentration"] = _q(_segment(
+        "collections_stage",
+        f"COUNT(*) AS accounts, {OUT} AS outstanding_exposure, "
+        f"{hu_double('SUM(bill_c)', 'SUM(SUM(bill_c)) OVER ()', 2, 100)} AS pct_of_total_exposure"))
+    q["efficiency_ranking"] = _q(
+        f"SELECT credit_limit_band, age_band, COUNT(*) AS accounts, {OUT} AS outstanding, {COLL} AS collected, "
+        f"{EFF} AS collection_efficiency_pct, RANK() OVER (ORDER BY CAST(SUM(paid_c) AS DOUBLE) / "
+        f"NULLIF(SUM(bill_c), 0) ASC NULLS LAST) AS worst_efficiency_rank FROM mart "
+        f"GROUP BY credit_limit_band, age_band HAVING COUNT(*) >= 50 "
+        f"ORDER BY collection_efficiency_pct ASC NULLS LAST, credit_limit_band, age_band LIMIT 10")
+    # --- KPI / views -------------------------------------------------------------------------
+    hi = "risk_grade IN ('C - High Risk', 'D - Severe Risk')"
+    kpi8 = (f"COUNT(*) AS total_accounts, {DR} AS overall_default_rate_pct, "
+            f"{cents_round0('SUM(limit_c)')} AS total_credit_exposure, {OUT} AS total_outstanding_bill, "
+            f"{COLL} AS total_collected_6mo, {EFF} AS collection_efficiency_pct, "
+            f"COUNT(*) FILTER (WHERE current_dpd >= 6) AS severe_dpd_accounts, "
+            f"COUNT(*) FILTER (WHERE {hi}) AS high_risk_plus_accounts")
+    hi_rate = hu_double(f"SUM(default_flag) FILTER (WHERE {hi})", f"COUNT(*) FILTER (WHERE {hi})", 2, 100)
+    lo_rate = hu_double("SUM(default_flag) FILTER (WHERE risk_grade = 'A - Low Risk')",
+                        "COUNT(*) FILTER (WHERE risk_grade = 'A - Low Risk')", 2, 100)
+    q["executive_summary"] = _q(
+        f"SELECT {kpi8}, {hi_rate} AS high_risk_default_rate_pct, {lo_rate} AS low_risk_default_rate_pct FROM mart")
+    q["vw_dashboard_kpi_summary"] = _q(f"SELECT {kpi8} FROM mart")
+    q["vw_risk_grade_summary"] = _q(_segment(
+        "risk_grade", f"COUNT(*) AS accounts, {DR} AS default_rate_pct, {AVG_SCORE} AS avg_risk_score"))
+    q["vw_collections_stage_summary"] = _q(_segment(
+        "collections_stage", f"COUNT(*) AS accounts, {DR} AS default_rate_pct, {OUT} AS total_outstanding, "
+        f"{COLL} AS total_collected, {EFF} AS collection_efficiency_pct"))
+    q["vw_credit_limit_band_trend"] = _q(_segment(
+        "credit_limit_band", f"COUNT(*) AS accounts, {DR} AS default_rate_pct"))
+    q["monthly_trend"] = _q(
+        f"SELECT CAST(statement_month AS BIGINT) AS statement_month, "
+        f"{hu_bigint('SUM(bill_c)', '100 * COUNT(bill_c)')} AS avg_bill_amount, "
+        f"{hu_bigint('SUM(pay_c)', '100 * COUNT(pay_c)')} AS avg_payment_amount, "
+        f"{hu_double('SUM(pay_c) * COUNT(bill_c)', 'COUNT(pay_c) * SUM(bill_c)', 2, 100)} AS avg_payment_ratio_pct "
+        f"FROM ({STMT_UNION}) GROUP BY statement_month")
+    keys = ["credit_limit_band", "age_band", "education_l", "marital_l", "gender_l", "risk_grade",
+            "collections_stage"]
+    names = ["credit_limit_band", "age_band", "education", "marital_status", "gender", "risk_grade",
+             "collections_stage"]
+    gs = " ".join(f"WHEN GROUPING({k}) = 0 THEN '{n}'" for k, n in zip(keys, names))
+    q["dashboard_refresh"] = _q(
+        f"SELECT {', '.join(f'{k} AS {n}' for k, n in zip(keys, names))}, COUNT(*) AS accounts, "
+        f"{DR} AS default_rate_pct, {OUT} AS total_outstanding, {COLL} AS total_collected, "
+        f"CASE {gs} END AS grouping_set FROM mart "
+        f"GROUP BY GROUPING SETS ({', '.join(f'({k})' for k in keys)})")
+    # --- notebook tables -----------------------------------------------------------------------
+    q["eda_grade_summary"] = _q(_segment(
+        "risk_grade", f"COUNT(*) AS accounts, {hu_double('SUM(default_flag)', 'COUNT(*)', 3)} AS default_rate"))
+    q["eda_limit_band_curve"] = _q(
+        "SELECT b.band AS credit_limit_band, CAST(b.ord AS BIGINT) AS band_order, "
+        "CAST(COALESCE(a.accounts, 0) AS BIGINT) AS accounts, a.default_rate_pct FROM "
+        "(VALUES ('<50K', 1), ('50K-100K', 2), ('100K-200K', 3), ('200K-300K', 4), ('300K-500K', 5), "
+        "('500K+', 6)) b(band, ord) LEFT JOIN ("
+        f"SELECT band, COUNT(*) AS accounts, {hu_double('SUM(default_flag)', 'COUNT(*)', 4, 100)} AS default_rate_pct "
+        "FROM (SELECT *, CASE WHEN limit_c <= 0 THEN NULL WHEN limit_c <= 5000000 THEN '<50K' "
+        "WHEN limit_c <= 10000000 THEN '50K-100K' WHEN limit_c <= 20000000 THEN '100K-200K' "
+        "WHEN limit_c <= 30000000 THEN '200K-300K' WHEN limit_c <= 50000000 THEN '300K-500K' ELSE '500K+' END "
+        "AS band FROM mart) WHERE band IS NOT NULL GROUP BY band) a ON a.band = b.band")
+    q["eda_stage_summary"] = _q(_segment(
+        "collections_stage",
+        f"COUNT(*) AS accounts, {hu_double('SUM(default_flag)', 'COUNT(*)', 3)} AS default_rate, "
+        f"{scaled('SUM(bill_c)', 2)} AS total_outstanding, {scaled('SUM(paid_c)', 2)} AS total_collected"))
+    q["eda_stage_counts"] = _q(_segment("collections_stage", "COUNT(*) AS accounts"))
+    pcols = ", ".join(
+        f"{hu_double(f'SUM(default_flag) FILTER (WHERE marital_l = {chr(39)}{s}{chr(39)})', f'COUNT(*) FILTER (WHERE marital_l = {chr(39)}{s}{chr(39)})', 2, 100)} AS {s.lower()}_pct"
+        for s in ("Married", "Single", "Other", "Unknown"))
+    q["eda_edu_marital_pivot"] = _q(f"SELECT education_l AS education, {pcols} FROM mart GROUP BY education_l")
+    q["ratio_histogram"] = _q(
+        "SELECT bin, CAST(bin * 2 AS DOUBLE) / 30 AS bin_lower, CAST((bin + 1) * 2 AS DOUBLE) / 30 AS bin_upper, "
+        "default_flag, accounts FROM (SELECT CAST(LEAST(LEAST(GREATEST(ratio_m, 0), 2000) * 30 // 2000, 29) AS BIGINT)"
+        " AS bin, CAST(default_flag AS BIGINT) AS default_flag, COUNT(*) AS accounts FROM mart GROUP BY 1, 2)")
+    q["default_correlation"] = _q(_corr_sql())
+    return q
