@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quotient
+from . import positions
 from ..schema import CSV_SCHEMA, TABLE_SPECS, TableSpec
 
 NULL_PROFILE = ("credit_limit", "gender", "education", "marital_status", "age", "default_raw")
@@ -177,7 +178,8 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataF
     """Q16: ``describe(include='all')`` of the first source columns, one row per column.
 
     Strings: count, unique, top (most frequent; ties -> smallest value), freq.
-    Numbers: count, mean, std (sample), min, exact linear quartiles, max.
+    Numbers: count, mean, std (sample), min, exact linear quartiles, max (integral or
+    DECIMAL columns; quartiles come from ``positions.quantiles_linear``).
     Mean and std are rounded to ``digits`` places so results do not depend on the
     summation order of doubles."""
     types = dict(raw.dtypes)
@@ -200,6 +202,11 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataF
                  *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]))
     for c in numeric:
         x = F.col(c).cast("double")
+        # Exact quartiles without gathering the column into one task (bounded selection).
+        dt = raw.schema[c].dataType
+        sc = getattr(dt, "scale", 0)
+        unscaled = (F.col(c) * F.lit(10 ** sc)).cast("bigint") if sc else F.col(c).cast("bigint")
+        _, (q1, q2, q3) = positions.quantiles_linear(raw, unscaled, sc, [0.25, 0.5, 0.75])
         parts.append(raw.agg(
             F.lit(c).alias("column_name"),
             F.count(x).cast("bigint").alias("count"),
@@ -209,9 +216,9 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataF
             F.round(F.avg(x), digits).alias("mean"),
             F.round(F.stddev_samp(x), digits).alias("std"),
             F.min(x).alias("min"),
-            F.percentile(x, F.lit(0.25)).alias("p25"),
-            F.percentile(x, F.lit(0.5)).alias("p50"),
-            F.percentile(x, F.lit(0.75)).alias("p75"),
+            F.lit(q1).cast("double").alias("p25"),
+            F.lit(q2).cast("double").alias("p50"),
+            F.lit(q3).cast("double").alias("p75"),
             F.max(x).alias("max"),
         ))
     return _union(parts)
