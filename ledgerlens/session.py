@@ -43,29 +43,42 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", "ledgerlens")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for durable intermediate tables (``spark.checkpoint.dir``)."""
+    """Shared folder for durable intermediate tables (``spark.checkpoint.dir``).
+
+    Read from the session; only a local session without the setting gets a fresh
+    temp folder (as in tests). On a cluster the setting is required."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
-        sc = spark.sparkContext
-        path = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-        if path is None:
-            master = sc.master or ""
-            if not master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir is not set; point it at a shared folder "
-                    "(HDFS/S3/ABFS) so intermediate tables survive executor loss"
-                )
-            path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
-            sc.setCheckpointDir(path)
-    else:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(path)
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a shared folder "
+                "(HDFS/S3/ABFS) so intermediate tables survive executor loss"
+            )
+        path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared scratch root for table ``name``."""
-    app = spark.sparkContext.applicationId
-    return os.path.join(scratch_root(spark), "ledgerlens", app, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(scratch_root(spark), "ledgerlens", app_id(spark), f"{name}-{uuid.uuid4().hex[:12]}")
