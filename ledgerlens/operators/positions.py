@@ -47,21 +47,27 @@ def tile_of_position(pos: int, n_rows: int, n_tiles: int) -> int:
     return r + (pos - r * (b + 1)) // b + 1
 
 
+MAX_BUCKETS = 1 << 16   # histogram cells collected per refinement round, over all ranges
+
+
 def _select_values(df: DataFrame, col: str, targets: dict[int, tuple[int, int, int, int]],
-                   fanout: int) -> dict[int, tuple[int, int]]:
+                   fanout: int, max_buckets: int = MAX_BUCKETS) -> dict[int, tuple[int, int]]:
     """Order statistics by histogram refinement.
 
     ``targets``: {target: (tag, rank, lo, hi)} -- find the value v of ``col`` holding
     0-based ``rank`` among the rows with ``_tag == tag`` and lo <= col <= hi, ascending.
     Returns {target: (v, residual)} where residual is the rank among rows equal to v.
     Ranges of one tag are identical or disjoint at every round, so each row feeds at
-    most one histogram; each round collects at most len(targets) * fanout counts.
+    most one histogram. Each round splits every open range into at most
+    max(fanout, max_buckets // #ranges) buckets, so it collects at most
+    max(#ranges * fanout, max_buckets) counts whatever the data size.
     """
     pending = dict(targets)
     found: dict[int, tuple[int, int]] = {}
     while pending:
         ranges = sorted({(tag, lo, hi) for tag, _, lo, hi in pending.values()})
-        width = {r: max(1, -(-(r[2] - r[1] + 1) // fanout)) for r in ranges}
+        split = max(fanout, max_buckets // len(ranges))
+        width = {r: max(1, -(-(r[2] - r[1] + 1) // split)) for r in ranges}
         rid = bucket = None
         for i, r in enumerate(ranges):
             tag, lo, hi = r
@@ -96,7 +102,7 @@ def _select_values(df: DataFrame, col: str, targets: dict[int, tuple[int, int, i
 
 
 def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
-          out_col: str = "tile", fanout: int = 4096) -> DataFrame:
+          out_col: str = "tile", fanout: int = 4096, max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Exact ``NTILE(n_tiles) OVER (ORDER BY order_key NULLS LAST, id_col)``.
 
     ``order_key`` must be an integral (BIGINT-castable) expression, e.g. the unscaled
@@ -111,7 +117,8 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
         return df.withColumn(out_col, F.lit(1))
     # 1) order value at every boundary position (all boundaries in the same passes).
     kv = _select_values(base.withColumn("_tag", F.lit(0)), "_k",
-                        {t: (0, p, stats["klo"], stats["khi"]) for t, p in enumerate(bounds)}, fanout)
+                        {t: (0, p, stats["klo"], stats["khi"]) for t, p in enumerate(bounds)},
+                        fanout, max_buckets)
     # 2) tie-break id inside the boundary's order value; boundaries on the same value share a tag.
     values = sorted({v for v, _ in kv.values()})
     tag = None
@@ -121,7 +128,7 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
     ties = base.where(F.col("_k").isin(values)).select(tag.alias("_tag"), F.col(id_col).alias("_id"))
     ids = _select_values(ties, "_id",
                          {t: (values.index(v), res, stats["ilo"], stats["ihi"]) for t, (v, res) in kv.items()},
-                         fanout)
+                         fanout, max_buckets)
     # 3) narrow labelling: 1 + number of boundary keys <= the row's key.
     tile = F.lit(1)
     for t in range(len(bounds)):
@@ -131,36 +138,62 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
     return base.withColumn(out_col, tile).drop("_k")
 
 
-def order_statistics(df: DataFrame, key: Column, ranks: list[int], fanout: int = 4096) -> dict[int, int]:
-    """Exact order statistics of an integral expression: {0-based rank: value}, NULLs
-    excluded. Same bounded histogram refinement as ``ntile`` (no row leaves its task)."""
-    base = df.select(key.cast("bigint").alias("_k")).where(F.col("_k").isNotNull())
-    stats = base.agg(F.min("_k").alias("lo"), F.max("_k").alias("hi")).collect()[0]
-    if stats["lo"] is None:
-        return {}
-    wanted = sorted(set(ranks))
-    got = _select_values(base.withColumn("_tag", F.lit(0)), "_k",
-                         {i: (0, r, stats["lo"], stats["hi"]) for i, r in enumerate(wanted)}, fanout)
-    return {r: got[i][0] for i, r in enumerate(wanted)}
-
-
-def quantiles_linear(df: DataFrame, key: Column, scale: int, probs: list[float]) -> tuple[int, list[float | None]]:
+def order_statistics(df: DataFrame, keys: dict[str, Column], ranks: dict[str, list[int]],
+                     fanout: int = 4096, max_buckets: int = MAX_BUCKETS) -> dict[str, dict[int, int]]:
+    """Exact order statistics of several integral expressions in shared passes.
+
+    ``keys``: {name: integral Column}; ``ranks``: {name: 0-based ranks among its
+    non-NULL values}. Returns {name: {rank: value}}. Same bounded histogram
+    refinement as ``ntile``: no row leaves its task, the driver sees counts only."""
+    names = list(keys)
+    stack = "stack({}, {}) AS (_tag, _k)".format(
+        len(names), ", ".join(f"{i}, _v{i}" for i in range(len(names))))
+    long = (df.select(*[keys[n].cast("bigint").alias(f"_v{i}") for i, n in enumerate(names)])
+            .select(F.expr(stack)).where(F.col("_k").isNotNull()))
+    bounds = {r["_tag"]: (r["lo"], r["hi"]) for r in
+              long.groupBy("_tag").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi")).collect()}
+    targets, index = {}, {}
+    for i, n in enumerate(names):
+        if i not in bounds:
+            continue
+        for r in sorted(set(ranks.get(n, []))):
+            index[len(targets)] = (n, r)
+            targets[len(targets)] = (i, r, bounds[i][0], bounds[i][1])
+    got = _select_values(long, "_k", targets, fanout, max_buckets) if targets else {}
+    out: dict[str, dict[int, int]] = {n: {} for n in names}
+    for t, (v, _) in got.items():
+        n, r = index[t]
+        out[n][r] = v
+    return out
+
+
+def quantiles_linear(df: DataFrame, keys: dict[str, tuple[Column, int]], probs: list[float]
+                     ) -> dict[str, tuple[int, list[float | None]]]:
     """Exact quantiles with linear interpolation between closest ranks (the default of
-    pandas ``describe`` / SQL ``percentile_cont``) for an integral ``key`` holding
-    values in units of 10^-scale. Returns (non-null count, [quantile per prob])."""
-    n = df.select(key.alias("_q")).where(F.col("_q").isNotNull()).count()
-    if n == 0:
-        return 0, [None for _ in probs]
-    pos = [(n - 1) * p for p in probs]
-    need = sorted({int(x) for x in pos} | {min(int(x) + 1, n - 1) for x in pos})
-    vals = order_statistics(df, key, need)
-    out = []
-    for x in pos:
-        lo_i = int(x)
-        hi_i = min(lo_i + 1, n - 1)
-        lo, hi = vals[lo_i] / 10 ** scale, vals[hi_i] / 10 ** scale
-        out.append(lo + (hi - lo) * (x - lo_i))
-    return n, out
+    pandas ``describe`` / SQL ``percentile_cont``) for integral expressions holding
+    values in units of 10^-scale: {name: (key Column, scale)} ->
+    {name: (non-NULL count, [quantile per prob])}."""
+    counts = df.agg(*[F.count(c).alias(n) for n, (c, _) in keys.items()]).collect()[0]
+    need, pos = {}, {}
+    for n in keys:
+        cnt = counts[n]
+        pos[n] = [(cnt - 1) * p for p in probs] if cnt else []
+        need[n] = sorted({int(x) for x in pos[n]} | {min(int(x) + 1, cnt - 1) for x in pos[n]})
+    vals = order_statistics(df, {n: c for n, (c, _) in keys.items()}, need)
+    out = {}
+    for n, (_, scale) in keys.items():
+        cnt = counts[n]
+        if not cnt:
+            out[n] = (0, [None for _ in probs])
+            continue
+        qs = []
+        for x in pos[n]:
+            lo_i = int(x)
+            hi_i = min(lo_i + 1, cnt - 1)
+            lo, hi = vals[n][lo_i] / 10 ** scale, vals[n][hi_i] / 10 ** scale
+            qs.append(lo + (hi - lo) * (x - lo_i))
+        out[n] = (cnt, qs)
+    return out
 
 
 def with_row_number(df: DataFrame, out_col: str = "row_number", order_by: list[str] | None = None) -> DataFrame:

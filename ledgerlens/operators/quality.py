@@ -200,13 +200,16 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataF
             F.max(F.when(F.col("_r") == 1, F.col("n"))).cast("bigint").alias("freq"),
         ).select("column_name", "count", "unique", "top", "freq",
                  *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]))
+    # Exact quartiles of all numeric columns in shared bounded-selection passes
+    # (no column is gathered into one task).
+    keys = {}
+    for c in numeric:
+        sc = getattr(raw.schema[c].dataType, "scale", 0)
+        keys[c] = ((F.col(c) * F.lit(10 ** sc)).cast("bigint") if sc else F.col(c).cast("bigint"), sc)
+    quart = positions.quantiles_linear(raw, keys, [0.25, 0.5, 0.75]) if keys else {}
     for c in numeric:
         x = F.col(c).cast("double")
-        # Exact quartiles without gathering the column into one task (bounded selection).
-        dt = raw.schema[c].dataType
-        sc = getattr(dt, "scale", 0)
-        unscaled = (F.col(c) * F.lit(10 ** sc)).cast("bigint") if sc else F.col(c).cast("bigint")
-        _, (q1, q2, q3) = positions.quantiles_linear(raw, unscaled, sc, [0.25, 0.5, 0.75])
+        _, (q1, q2, q3) = quart[c]
         parts.append(raw.agg(
             F.lit(c).alias("column_name"),
             F.count(x).cast("bigint").alias("count"),

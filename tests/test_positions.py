@@ -17,7 +17,7 @@ def test_ntile_matches_window_ntile(spark, n_rows, n_tiles, distinct):
     rows = [(i + 1, 0 if rnd.random() < 0.33 else rnd.randrange(distinct)) for i in range(n_rows)]
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "id long, v long").repartition(5)
-    got = positions.ntile(df, n_tiles, F.col("v"), "id", out_col="t", fanout=4)
+    got = positions.ntile(df, n_tiles, F.col("v"), "id", out_col="t", fanout=4, max_buckets=4)
     want = df.withColumn("t", F.ntile(n_tiles).over(Window.orderBy("v", "id")))
     g = {r["id"]: r["t"] for r in got.collect()}
     w = {r["id"]: r["t"] for r in want.collect()}
@@ -42,9 +42,10 @@ def test_order_statistics_and_quantiles(spark):
     vals = [5, 1, 1, 9, 3, 3, 3, 7, None]
     df = spark.createDataFrame([(v,) for v in vals], "x long")
     srt = sorted(v for v in vals if v is not None)
-    stats = positions.order_statistics(df, F.col("x"), list(range(len(srt))), fanout=2)
-    assert [stats[i] for i in range(len(srt))] == srt
-    n, qs = positions.quantiles_linear(df, F.col("x"), 0, [0.25, 0.5, 0.75])
+    stats = positions.order_statistics(df, {"x": F.col("x"), "y": -F.col("x")},
+                                       {"x": list(range(len(srt))), "y": [0]}, fanout=2, max_buckets=2)
+    assert [stats["x"][i] for i in range(len(srt))] == srt and stats["y"][0] == -9
+    n, qs = positions.quantiles_linear(df, {"x": (F.col("x"), 0)}, [0.25, 0.5, 0.75])["x"]
     import numpy as np
     assert n == len(srt) and qs == [float(q) for q in np.quantile(srt, [0.25, 0.5, 0.75])]
 
