@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quotient
@@ -190,14 +190,13 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataF
         expr = "stack({}, {}) AS (column_name, value)".format(len(text), ", ".join(f"'{c}', {c}" for c in text))
         freq = (raw.select(F.expr(expr)).where(F.col("value").isNotNull())
                 .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-        # Aggregated rows only: one per (column, distinct value).
-        w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
-        ranked = freq.withColumn("_r", F.row_number().over(w))
-        parts.append(ranked.groupBy("column_name").agg(
+        # top = most frequent value, ties -> smallest value: min_by over (-n, value) is an
+        # ordinary partial/final aggregate, so no column's distinct values meet in one task.
+        parts.append(freq.groupBy("column_name").agg(
             F.sum("n").cast("bigint").alias("count"),
             F.count(F.lit(1)).cast("bigint").alias("unique"),
-            F.max(F.when(F.col("_r") == 1, F.col("value"))).alias("top"),
-            F.max(F.when(F.col("_r") == 1, F.col("n"))).cast("bigint").alias("freq"),
+            F.min_by("value", F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))).alias("top"),
+            F.max("n").cast("bigint").alias("freq"),
         ).select("column_name", "count", "unique", "top", "freq",
                  *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]))
     # Exact quartiles of all numeric columns in shared bounded-selection passes

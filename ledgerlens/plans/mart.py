@@ -114,23 +114,29 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
 
 
 def layer_reconcile(pf: Portfolio) -> DataFrame:
-    """Row counts of the five layers side by side, with the 1x/6x checks."""
-    counts = [
-        pf.staging.agg(F.count(F.lit(1)).alias("staging_rows")),
-        pf.dim_customers.agg(F.count(F.lit(1)).alias("dim_customer_rows")),
-        pf.fact_credit_risk.agg(F.count(F.lit(1)).alias("fact_risk_rows")),
-        pf.fact_repayment_history.agg(F.count(F.lit(1)).alias("repayment_rows_expect_6x")),
-        pf.fact_statements.agg(F.count(F.lit(1)).alias("statement_rows_expect_6x")),
+    """Row counts of the five layers side by side, with the 1x/6x checks.
+
+    The five scalar counts are unioned as (layer, rows) and folded into one row with
+    conditional aggregation (no cross join)."""
+    layers = [
+        ("staging_rows", pf.staging),
+        ("dim_customer_rows", pf.dim_customers),
+        ("fact_risk_rows", pf.fact_credit_risk),
+        ("repayment_rows_expect_6x", pf.fact_repayment_history),
+        ("statement_rows_expect_6x", pf.fact_statements),
     ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.crossJoin(c)  # five single-row aggregates: 1 x 1 x 1 x 1 x 1
-    return out.select(
+    counts = None
+    for name, df in layers:
+        one = df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    row = counts.agg(*[F.max(F.when(F.col("layer") == name, F.col("n"))).cast("bigint").alias(name)
+                       for name, _ in layers])
+    return row.select(
         "*",
         ((F.col("dim_customer_rows") == F.col("staging_rows"))
          & (F.col("fact_risk_rows") == F.col("staging_rows"))
          & (F.col("repayment_rows_expect_6x") == F.col("staging_rows") * 6)
-         & (F.col("statement_rows_expect_6x") == F.col("staging_rows") * 6)).cast("int").alias("layers_ok"),
+         & (F.col("statement_rows_expect_6x") == F.col("staging_rows") * 6)).cast("bigint").alias("layers_ok"),
     )
 
 

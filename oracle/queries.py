@@ -263,7 +263,7 @@ def build() -> dict[str, str]:
         T + "SELECT s.staging_rows, d.dim_customer_rows, f.fact_risk_rows, r.repayment_rows_expect_6x, "
         "t.statement_rows_expect_6x, CAST((d.dim_customer_rows = s.staging_rows AND f.fact_risk_rows = s.staging_rows "
         "AND r.repayment_rows_expect_6x = 6 * s.staging_rows AND t.statement_rows_expect_6x = 6 * s.staging_rows) "
-        "AS INTEGER) AS layers_ok FROM "
+        "AS BIGINT) AS layers_ok FROM "
         "(SELECT COUNT(*) AS staging_rows FROM t_staging) s, (SELECT COUNT(*) AS dim_customer_rows FROM t_dim) d, "
         "(SELECT COUNT(*) AS fact_risk_rows FROM t_fact) f, "
         "(SELECT COUNT(*) AS repayment_rows_expect_6x FROM t_repay) r, "

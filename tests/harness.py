@@ -41,7 +41,24 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[str]:
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for name, dtype in spark_df.dtypes:
+        want = SPARK_TO_DUCK.get(dtype, dtype)
+        if duck_types.get(name) != want:
+            out.append(f"{name}: spark {dtype} vs duckdb {duck_types.get(name)}")
+    return out
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    bad_types = type_mismatches(spark_df, con, sql)
+    if bad_types:
+        return False, "types differ: " + "; ".join(bad_types)
     s = spark_df.toPandas()
     o = con.execute(sql).df()
     if sorted(s.columns) != sorted(o.columns):
