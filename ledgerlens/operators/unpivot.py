@@ -13,7 +13,7 @@ from ..functions import encodings as enc
 from ..schema import MONTHS
 
 
-def _stack(n_values: int, groups: list[list[str]], names: list[str]) -> str:
+def _stack(groups: list[list[str]], names: list[str]) -> str:
     args = ", ".join(", ".join(g) for g in groups)
     return f"stack({len(groups)}, {args}) AS ({', '.join(names)})"
 
@@ -22,7 +22,7 @@ def repayment_history(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """fact_repayment_history (customer_id, statement_month, timeliness_code, dpd).
 
     NULL codes are kept (one row per customer and month), their dpd is 0."""
-    expr = _stack(2, [[f"{i}", f"timeliness_{i}"] for i in MONTHS], ["statement_month", "timeliness_code"])
+    expr = _stack([[f"{i}", f"timeliness_{i}"] for i in MONTHS], ["statement_month", "timeliness_code"])
     long = raw.select("customer_id", F.expr(expr))
     return long.select(
         "customer_id",
@@ -37,7 +37,7 @@ def statements(raw: DataFrame) -> DataFrame:
 
     Paired unpivot (two value columns per month), so ``DataFrame.unpivot`` with its
     single value column does not fit; ``stack`` does."""
-    expr = _stack(3, [[f"{i}", f"balance_{i}", f"payment_{i}"] for i in MONTHS],
+    expr = _stack([[f"{i}", f"balance_{i}", f"payment_{i}"] for i in MONTHS],
                   ["statement_month", "bill_amount", "payment_amount"])
     long = raw.select("customer_id", F.expr(expr))
     return long.select(

@@ -90,6 +90,23 @@ def build(staging: DataFrame, lenient: bool = False, persist: bool = True) -> Po
     return Portfolio(staging=staging, mart=mart, lenient=lenient)
 
 
+def write_star_schema(pf: Portfolio, root: str) -> dict[str, str]:
+    """Persist the five tables under ``root`` (overwrite = idempotent rebuild),
+    written in dependency order like the DDL: staging, dimension, facts, feature fact."""
+    tables = {
+        "staging_raw_credit_data": pf.staging,
+        "dim_customers": pf.dim_customers,
+        "fact_repayment_history": pf.fact_repayment_history,
+        "fact_statements": pf.fact_statements,
+        "fact_credit_risk": pf.fact_credit_risk,
+    }
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
 _CACHE: dict[tuple, Portfolio] = {}
 
 
