@@ -2,7 +2,7 @@
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries": {key: sec}, "sf", ...}.
 ``mart_build`` is the one-off derivation + write of the landing table and mart
-(what the reference's data_cleaning.sql does); every other key is timed as a full
+(the cleaning + feature load); every other key is timed as a full
 execution into the ``noop`` sink (no result transfer to the driver).
 """
 

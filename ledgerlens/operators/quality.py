@@ -164,7 +164,7 @@ def domain_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TAB
 
 
 def default_rate(raw: DataFrame) -> DataFrame:
-    """Q15: share of rows whose default text is exactly 'yes' (the notebook's
+    """Q15: share of rows whose default text is exactly 'yes' (the exploratory analysis'
     case-sensitive test), next to the SQL rule LOWER(...) = 'yes'; 4 dp."""
     n = F.count(F.lit(1))
     return raw.agg(

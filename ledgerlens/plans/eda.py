@@ -1,4 +1,4 @@
-"""Numeric tables behind the notebook's charts (N1-N7) and the dashboard drill-downs."""
+"""Numeric tables behind the exploratory charts (N1-N7) and the dashboard drill-downs."""
 
 from __future__ import annotations
 

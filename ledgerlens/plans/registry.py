@@ -120,7 +120,7 @@ QUERIES: dict[str, Query] = {
     "vw_credit_limit_band_trend": lambda s, d: _view(s, d, "vw_credit_limit_band_trend"),
     "monthly_trend": lambda s, d: normalize(kpi.monthly_trend(_clean(s, d).fact_statements)),
     "dashboard_refresh": _on_mart(kpi.dashboard_refresh),
-    # notebook tables
+    # exploratory tables
     "eda_grade_summary": _on_mart(eda.eda_grade_summary),
     "eda_limit_band_curve": _on_mart(eda.eda_limit_band_curve),
     "eda_stage_summary": _on_mart(eda.eda_stage_summary),
