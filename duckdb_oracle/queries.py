@@ -390,7 +390,7 @@ def build() -> dict[str, str]:
         f"{DR} AS default_rate_pct, {OUT} AS total_outstanding, {COLL} AS total_collected, "
         f"CASE {gs} END AS grouping_set FROM mart "
         f"GROUP BY GROUPING SETS ({', '.join(f'({k})' for k in keys)})")
-    # --- notebook tables -----------------------------------------------------------------------
+    # --- exploratory tables -----------------------------------------------------------------------
     q["eda_grade_summary"] = _q(_segment(
         "risk_grade", f"COUNT(*) AS accounts, {hu_double('SUM(default_flag)', 'COUNT(*)', 3)} AS default_rate"))
     q["eda_limit_band_curve"] = _q(
