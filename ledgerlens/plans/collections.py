@@ -1,4 +1,7 @@
-"""Collections reports."""
+"""Collections reports.
+
+Stage reports take the mart (``agg=ROWS``) or its segment cube (``agg=CUBE``); the
+roll-rate matrix reads the landing rows (months 1 and 2 of each account)."""
 
 from __future__ import annotations
 
@@ -7,25 +10,25 @@ from pyspark.sql import functions as F
 
 from ..functions import encodings as enc
 from ..functions.numeric import pct
-from ..operators.segments import efficiency_exact, rank_by, segment_report, share_of_total
+from ..operators.segments import ROWS, Aggregator, efficiency_exact, rank_by, segment_report, share_of_total
 from ..schema import EFFICIENCY_MIN_ACCOUNTS, STAGE_LABELS, TOP_N
 
 
-def collections_funnel(mart: DataFrame) -> DataFrame:
+def collections_funnel(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """Accounts, exposure and collection efficiency by stage."""
-    seg = segment_report(mart, ["collections_stage"],
+    seg = segment_report(src, ["collections_stage"],
                          ["accounts", "default_rate_pct", "total_outstanding_bill", "total_collected",
-                          "collection_efficiency_pct", "avg_risk_score"])
+                          "collection_efficiency_pct", "avg_risk_score"], agg=agg)
     return seg.select("collections_stage", "accounts", share_of_total("accounts").alias("pct_of_portfolio"),
                       "default_rate_pct", "total_outstanding_bill", "total_collected",
                       "collection_efficiency_pct", "avg_risk_score").orderBy("collections_stage")
 
 
-def dpd_distribution(mart: DataFrame) -> DataFrame:
+def dpd_distribution(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """Current-month DPD buckets 0..7 and 8+ (grouped with the hidden sort key)."""
-    d = F.col("current_dpd")
-    seg = segment_report(mart, [enc.dpd_bucket(d).alias("dpd_bucket"), enc.dpd_bucket_order(d).alias("_o")],
-                         ["accounts", "default_rate_pct"])
+    d = F.col("dpd_capped")
+    seg = segment_report(src, [enc.dpd_bucket(d).alias("dpd_bucket"), enc.dpd_bucket_order(d).alias("_o")],
+                         ["accounts", "default_rate_pct"], agg=agg)
     return (seg.select("dpd_bucket", "accounts", share_of_total("accounts").alias("pct_of_portfolio"),
                        "default_rate_pct", "_o").orderBy("_o").drop("_o"))
 
@@ -60,20 +63,20 @@ def roll_rate_pivot(staging: DataFrame, lenient: bool = False) -> DataFrame:
             .agg(*aggs, n.cast("bigint").alias("total_accounts_in_prior_stage")).orderBy("prior_stage"))
 
 
-def exposure_concentration(mart: DataFrame) -> DataFrame:
+def exposure_concentration(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """C4: share of total outstanding bill per stage (W2 on aggregated rows)."""
-    seg = segment_report(mart, ["collections_stage"], ["accounts", "outstanding_exposure"],
-                         extra={"_bill": F.sum("total_bill_6mo")})
+    seg = segment_report(src, ["collections_stage"], ["accounts", "outstanding_exposure"],
+                         extra={"_bill": lambda a: a.s("total_bill_6mo")}, agg=agg)
     return seg.select("collections_stage", "accounts", "outstanding_exposure",
                       share_of_total("_bill", 2, frac=2).alias("pct_of_total_exposure")
                       ).orderBy("collections_stage")
 
 
-def efficiency_ranking(mart: DataFrame, min_accounts: int = EFFICIENCY_MIN_ACCOUNTS,
-                       top_n: int = TOP_N) -> DataFrame:
+def efficiency_ranking(src: DataFrame, min_accounts: int = EFFICIENCY_MIN_ACCOUNTS,
+                       top_n: int = TOP_N, agg: Aggregator = ROWS) -> DataFrame:
     """Limit band x age band with >= min_accounts, worst collection efficiency first."""
     keys = ["credit_limit_band", "age_band"]
-    seg = segment_report(mart, keys, ["accounts", "outstanding", "collected", "collection_efficiency_pct"],
-                         extra={"_eff": efficiency_exact()}, min_accounts=min_accounts)
+    seg = segment_report(src, keys, ["accounts", "outstanding", "collected", "collection_efficiency_pct"],
+                         extra={"_eff": efficiency_exact}, min_accounts=min_accounts, agg=agg)
     ranked = seg.withColumn("worst_efficiency_rank", rank_by("_eff", ascending=True)).drop("_eff")
     return ranked.orderBy(F.col("collection_efficiency_pct").asc_nulls_last(), *keys).limit(top_n)

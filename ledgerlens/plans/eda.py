@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import encodings as enc
 from ..functions.numeric import pct
-from ..operators.segments import accounts, default_rate, segment_report
+from ..operators.segments import ROWS, Aggregator, accounts, segment_report
 from ..schema import LIMIT_BAND_LABELS, MARITAL_MAP, UNKNOWN
 
 CORR_FEATURES = ("worst_dpd_6mo", "months_delinquent_6mo", "avg_dpd_6mo", "payment_to_bill_ratio",
@@ -16,9 +16,9 @@ HIST_BINS = 30
 HIST_MAX = 2          # clip(0, 2)
 
 
-def eda_grade_summary(mart: DataFrame) -> DataFrame:
+def eda_grade_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """Accounts and default rate (fraction, 3 dp) per grade."""
-    return mart.groupBy("risk_grade").agg(accounts().alias("accounts"), default_rate(3).alias("default_rate"))
+    return segment_report(src, ["risk_grade"], ["accounts", "default_rate"], agg=agg)
 
 
 def eda_limit_band_curve(mart: DataFrame) -> DataFrame:
@@ -40,26 +40,24 @@ def eda_limit_band_curve(mart: DataFrame) -> DataFrame:
             .orderBy("band_order"))
 
 
-def eda_stage_summary(mart: DataFrame) -> DataFrame:
+def eda_stage_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """Per stage accounts, default rate (3 dp), outstanding and collected totals."""
-    return mart.groupBy("collections_stage").agg(
-        accounts().alias("accounts"),
-        default_rate(3).alias("default_rate"),
-        F.sum("total_bill_6mo").cast("double").alias("total_outstanding"),
-        F.sum("total_paid_6mo").cast("double").alias("total_collected"),
-    )
+    return segment_report(src, ["collections_stage"], ["accounts", "default_rate"], extra={
+        "total_outstanding": lambda a: a.s("total_bill_6mo").cast("double"),
+        "total_collected": lambda a: a.s("total_paid_6mo").cast("double"),
+    }, agg=agg)
 
 
-def eda_stage_counts(mart: DataFrame) -> DataFrame:
+def eda_stage_counts(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """value_counts of the stage, sorted by stage."""
-    return mart.groupBy("collections_stage").agg(accounts().alias("accounts")).orderBy("collections_stage")
+    return segment_report(src, ["collections_stage"], ["accounts"], agg=agg).orderBy("collections_stage")
 
 
-def eda_edu_marital_pivot(mart: DataFrame) -> DataFrame:
+def eda_edu_marital_pivot(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """Default % by education (rows) x marital status (columns), fixed column set."""
     statuses = list(dict.fromkeys(MARITAL_MAP.values())) + [UNKNOWN]
-    piv = (mart.groupBy("education").pivot("marital_status", statuses)
-           .agg(pct(F.sum("default_flag"), F.count("default_flag"), 2)))
+    piv = (agg.prepare(src).groupBy("education").pivot("marital_status", statuses)
+           .agg(pct(agg.s("default_flag"), agg.c("default_flag"), 2)))
     return piv.select("education", *[F.col(s).alias(f"{s.lower()}_pct") for s in statuses])
 
 
@@ -84,9 +82,9 @@ def default_correlation(mart: DataFrame, digits: int = 9) -> DataFrame:
     return wide.select(F.expr(stack)).select("feature", F.round("corr", digits).alias("corr"))
 
 
-def category_drilldown(mart: DataFrame, key: str) -> DataFrame:
+def category_drilldown(src: DataFrame, key: str, agg: Aggregator = ROWS) -> DataFrame:
     """Single-key drill-down (marital-only, education-only) of the refresh extract."""
-    return segment_report(mart, [key], ["accounts", "default_rate_pct"])
+    return segment_report(src, [key], ["accounts", "default_rate_pct"], agg=agg)
 
 
 def limit_band_right_closed(mart: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
-"""Executive KPIs, BI views and the dashboard refresh extract (K1, V1-V4, K6, K7)."""
+"""Executive KPIs, BI views and the dashboard refresh extract (K1, V1-V4, K6, K7).
+
+KPI and view queries take the mart (``agg=ROWS``) or its segment cube (``agg=CUBE``)."""
 
 from __future__ import annotations
 
@@ -6,60 +8,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct, quotient, round_money
-from ..operators.segments import accounts, efficiency_pct, segment_report
+from ..operators.segments import CUBE, ROWS, Aggregator, build_cube, efficiency_pct, segment_report
 from ..schema import GRADE_LABELS
 
 HIGH_RISK = list(GRADE_LABELS[2:])   # grades C and D
 LOW_RISK = GRADE_LABELS[0]           # grade A
+SEVERE_DPD = 6
 
 
-def _kpis(mart: DataFrame, with_grade_rates: bool) -> DataFrame:
-    flag, grade = F.col("default_flag"), F.col("risk_grade")
+def _kpis(src: DataFrame, agg: Aggregator, with_grade_rates: bool) -> DataFrame:
+    src = agg.prepare(src)
+    grade = F.col("risk_grade")
     high = grade.isin(HIGH_RISK)
+    low = grade == F.lit(LOW_RISK)
     aggs = [
-        accounts().alias("total_accounts"),
-        pct(F.sum(flag), F.count(flag), 2).alias("overall_default_rate_pct"),
-        round_money(F.sum("credit_limit")).alias("total_credit_exposure"),
-        round_money(F.sum("total_bill_6mo")).alias("total_outstanding_bill"),
-        round_money(F.sum("total_paid_6mo")).alias("total_collected_6mo"),
-        efficiency_pct().alias("collection_efficiency_pct"),
-        F.count_if(F.col("current_dpd") >= 6).cast("bigint").alias("severe_dpd_accounts"),
-        F.count_if(high).cast("bigint").alias("high_risk_plus_accounts"),
+        agg.n().cast("bigint").alias("total_accounts"),
+        pct(agg.s("default_flag"), agg.c("default_flag"), 2).alias("overall_default_rate_pct"),
+        round_money(agg.s("credit_limit")).alias("total_credit_exposure"),
+        round_money(agg.s("total_bill_6mo")).alias("total_outstanding_bill"),
+        round_money(agg.s("total_paid_6mo")).alias("total_collected_6mo"),
+        efficiency_pct(agg).alias("collection_efficiency_pct"),
+        agg.n_if(F.col("dpd_capped") >= SEVERE_DPD).cast("bigint").alias("severe_dpd_accounts"),
+        agg.n_if(high).cast("bigint").alias("high_risk_plus_accounts"),
     ]
     if with_grade_rates:
         # AVG(x) FILTER (WHERE cond): NULL when no row qualifies.
         aggs += [
-            pct(F.sum(F.when(high, flag)), F.count(F.when(high, flag)), 2).alias("high_risk_default_rate_pct"),
-            pct(F.sum(F.when(grade == LOW_RISK, flag)), F.count(F.when(grade == LOW_RISK, flag)), 2)
+            pct(agg.s_if("default_flag", high), agg.c_if("default_flag", high), 2)
+            .alias("high_risk_default_rate_pct"),
+            pct(agg.s_if("default_flag", low), agg.c_if("default_flag", low), 2)
             .alias("low_risk_default_rate_pct"),
         ]
-    return mart.agg(*aggs)
+    return src.agg(*aggs)
 
 
-def executive_summary(mart: DataFrame) -> DataFrame:
+def executive_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """K1: one row, ten portfolio metrics."""
-    return _kpis(mart, with_grade_rates=True)
+    return _kpis(src, agg, with_grade_rates=True)
 
 
-def vw_dashboard_kpi_summary(mart: DataFrame) -> DataFrame:
+def vw_dashboard_kpi_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """V1: the first eight K1 metrics."""
-    return _kpis(mart, with_grade_rates=False)
+    return _kpis(src, agg, with_grade_rates=False)
 
 
-def vw_risk_grade_summary(mart: DataFrame) -> DataFrame:
+def vw_risk_grade_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """V2."""
-    return segment_report(mart, ["risk_grade"], ["accounts", "default_rate_pct", "avg_risk_score"])
+    return segment_report(src, ["risk_grade"], ["accounts", "default_rate_pct", "avg_risk_score"], agg=agg)
 
 
-def vw_collections_stage_summary(mart: DataFrame) -> DataFrame:
+def vw_collections_stage_summary(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """V3."""
-    return segment_report(mart, ["collections_stage"], ["accounts", "default_rate_pct", "total_outstanding",
-                                                        "total_collected", "collection_efficiency_pct"])
+    return segment_report(src, ["collections_stage"], ["accounts", "default_rate_pct", "total_outstanding",
+                                                       "total_collected", "collection_efficiency_pct"], agg=agg)
 
 
-def vw_credit_limit_band_trend(mart: DataFrame) -> DataFrame:
+def vw_credit_limit_band_trend(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """V4."""
-    return segment_report(mart, ["credit_limit_band"], ["accounts", "default_rate_pct"])
+    return segment_report(src, ["credit_limit_band"], ["accounts", "default_rate_pct"], agg=agg)
 
 
 VIEWS = {
@@ -70,12 +76,12 @@ VIEWS = {
 }
 
 
-def register_views(mart: DataFrame, prefix: str = "") -> list[str]:
-    """CREATE OR REPLACE VIEW for each BI view (temp views over the mart; every pull
-    re-runs the aggregate, as the reference's views do)."""
+def register_views(src: DataFrame, agg: Aggregator = ROWS, prefix: str = "") -> list[str]:
+    """CREATE OR REPLACE VIEW for each BI view (temp views; every pull re-runs the
+    aggregate, as database views do)."""
     names = []
     for name, fn in VIEWS.items():
-        fn(mart).createOrReplaceTempView(prefix + name)
+        fn(src, agg).createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
 
@@ -99,19 +105,14 @@ DASHBOARD_KEYS = ("credit_limit_band", "age_band", "education", "marital_status"
                   "risk_grade", "collections_stage")
 
 
-def dashboard_refresh(mart: DataFrame) -> DataFrame:
+def dashboard_refresh(src: DataFrame, agg: Aggregator = ROWS) -> DataFrame:
     """K7: GROUPING SETS of the seven single keys, plus ``grouping_set`` naming the key
     (a NULL gender group and a 'not grouped by gender' row are otherwise identical).
 
-    Measures are algebraic, so the mart is first aggregated once at the full 7-key
-    grain (partial + final, at most a few tens of thousands of cells), and the
-    grouping-set Expand runs on those cells instead of on every account."""
-    cells = mart.groupBy(*DASHBOARD_KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("default_flag").alias("defaults"),
-        F.sum("total_bill_6mo").alias("bill"),
-        F.sum("total_paid_6mo").alias("paid"),
-    )
+    Measures are algebraic, so the grouping-set ``Expand`` runs on segment-cube cells
+    (at most a few hundred thousand) instead of on every account: account rows are
+    first aggregated into the cube (ROWS), or the stored cube is used directly (CUBE)."""
+    cells = build_cube(src) if agg is ROWS else src
     gid = F.grouping_id(*DASHBOARD_KEYS)
     full = (1 << len(DASHBOARD_KEYS)) - 1
     name = None
@@ -119,11 +120,10 @@ def dashboard_refresh(mart: DataFrame) -> DataFrame:
         # grouping_id bit for key i is set when the key is aggregated away.
         only = full ^ (1 << (len(DASHBOARD_KEYS) - 1 - i))
         name = F.when(gid == only, F.lit(key)) if name is None else name.when(gid == only, F.lit(key))
-    out = cells.groupingSets([[k] for k in DASHBOARD_KEYS], *DASHBOARD_KEYS).agg(
-        F.sum("n").cast("bigint").alias("accounts"),
-        pct(F.sum("defaults"), F.sum("n"), 2).alias("default_rate_pct"),
-        round_money(F.sum("bill")).alias("total_outstanding"),
-        round_money(F.sum("paid")).alias("total_collected"),
+    return cells.groupingSets([[k] for k in DASHBOARD_KEYS], *DASHBOARD_KEYS).agg(
+        CUBE.n().cast("bigint").alias("accounts"),
+        pct(CUBE.s("default_flag"), CUBE.c("default_flag"), 2).alias("default_rate_pct"),
+        round_money(CUBE.s("total_bill_6mo")).alias("total_outstanding"),
+        round_money(CUBE.s("total_paid_6mo")).alias("total_collected"),
         name.alias("grouping_set"),
     )
-    return out

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, unpivot
+from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
 from ..session import app_id, scratch_path
 from ..sources import portfolio
@@ -35,6 +36,7 @@ class Portfolio:
     staging: DataFrame            # staging_raw_credit_data (landing, written)
     mart: DataFrame               # dim + fact_credit_risk columns (written)
     lenient: bool
+    cube: DataFrame | None = None  # segment cube: counts + exact sums per label combination (written)
     _star: tuple[DataFrame, DataFrame] | None = None
 
     @property
@@ -87,7 +89,10 @@ def build(staging: DataFrame, lenient: bool = False, persist: bool = True) -> Po
     mart = features.risk_mart(staging, lenient)
     if persist:
         mart = materialize(mart, "risk_mart")
-    return Portfolio(staging=staging, mart=mart, lenient=lenient)
+    cube = build_cube(mart)
+    if persist:
+        cube = materialize(cube, "segment_cube")
+    return Portfolio(staging=staging, mart=mart, lenient=lenient, cube=cube)
 
 
 def write_star_schema(pf: Portfolio, root: str) -> dict[str, str]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import features, positions, quality
+from ..operators.segments import CUBE
 from . import collections as coll
 from . import eda, kpi, mart, risk
 
@@ -53,9 +54,14 @@ def _on_mart(fn) -> Query:
     return lambda spark, sf: normalize(fn(_clean(spark, sf).mart))
 
 
+def _on_cube(fn) -> Query:
+    """Segment reports read the stored segment cube (one mart scan serves them all)."""
+    return lambda spark, sf: normalize(fn(_clean(spark, sf).cube, agg=CUBE))
+
+
 def _view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Pull a BI view by name, as a BI client would (re-runs the aggregate)."""
-    kpi.register_views(_clean(spark, sf).mart)
+    kpi.register_views(_clean(spark, sf).cube, CUBE)
     return normalize(spark.table(name))
 
 
@@ -94,38 +100,38 @@ QUERIES: dict[str, Query] = {
     "dq_describe": lambda s, d: normalize(quality.describe(_dirty(s, d).staging)),
     "reconcile_long_wide": lambda s, d: normalize(mart.reconcile_long_wide(_clean(s, d))),
     # risk segmentation
-    "risk_grade_segments": _on_mart(risk.risk_grade_segments),
-    "limit_band_segments": _on_mart(risk.limit_band_segments),
-    "age_band_segments": _on_mart(risk.age_band_segments),
-    "edu_marital_segments": _on_mart(risk.edu_marital_segments),
-    "top_risk_segments": _on_mart(risk.top_risk_segments),
+    "risk_grade_segments": _on_cube(risk.risk_grade_segments),
+    "limit_band_segments": _on_cube(risk.limit_band_segments),
+    "age_band_segments": _on_cube(risk.age_band_segments),
+    "edu_marital_segments": _on_cube(risk.edu_marital_segments),
+    "top_risk_segments": _on_cube(risk.top_risk_segments),
     "risk_deciles": _on_mart(risk.risk_deciles),
     "decile_inversions": _on_mart(lambda m: risk.decile_inversions(risk.risk_deciles(m))),
-    "grade_behaviour": _on_mart(risk.grade_behaviour),
-    "gender_segments": _on_mart(risk.gender_segments),
-    "marital_segments": _on_mart(lambda m: eda.category_drilldown(m, "marital_status")),
-    "education_segments": _on_mart(lambda m: eda.category_drilldown(m, "education")),
+    "grade_behaviour": _on_cube(risk.grade_behaviour),
+    "gender_segments": _on_cube(risk.gender_segments),
+    "marital_segments": _on_cube(lambda c, agg: eda.category_drilldown(c, "marital_status", agg)),
+    "education_segments": _on_cube(lambda c, agg: eda.category_drilldown(c, "education", agg)),
     # collections
-    "collections_funnel": _on_mart(coll.collections_funnel),
-    "dpd_distribution": _on_mart(coll.dpd_distribution),
+    "collections_funnel": _on_cube(coll.collections_funnel),
+    "dpd_distribution": _on_cube(coll.dpd_distribution),
     "roll_rate_matrix": lambda s, d: normalize(coll.roll_rate_matrix(_clean(s, d).staging)),
     "roll_rate_pivot": lambda s, d: normalize(coll.roll_rate_pivot(_clean(s, d).staging)),
-    "exposure_concentration": _on_mart(coll.exposure_concentration),
-    "efficiency_ranking": _on_mart(coll.efficiency_ranking),
+    "exposure_concentration": _on_cube(coll.exposure_concentration),
+    "efficiency_ranking": _on_cube(coll.efficiency_ranking),
     # KPI and BI views
-    "executive_summary": _on_mart(kpi.executive_summary),
+    "executive_summary": _on_cube(kpi.executive_summary),
     "vw_dashboard_kpi_summary": lambda s, d: _view(s, d, "vw_dashboard_kpi_summary"),
     "vw_risk_grade_summary": lambda s, d: _view(s, d, "vw_risk_grade_summary"),
     "vw_collections_stage_summary": lambda s, d: _view(s, d, "vw_collections_stage_summary"),
     "vw_credit_limit_band_trend": lambda s, d: _view(s, d, "vw_credit_limit_band_trend"),
     "monthly_trend": lambda s, d: normalize(kpi.monthly_trend(_clean(s, d).fact_statements)),
-    "dashboard_refresh": _on_mart(kpi.dashboard_refresh),
+    "dashboard_refresh": _on_cube(kpi.dashboard_refresh),
     # exploratory tables
-    "eda_grade_summary": _on_mart(eda.eda_grade_summary),
+    "eda_grade_summary": _on_cube(eda.eda_grade_summary),
     "eda_limit_band_curve": _on_mart(eda.eda_limit_band_curve),
-    "eda_stage_summary": _on_mart(eda.eda_stage_summary),
-    "eda_stage_counts": _on_mart(eda.eda_stage_counts),
-    "eda_edu_marital_pivot": _on_mart(eda.eda_edu_marital_pivot),
+    "eda_stage_summary": _on_cube(eda.eda_stage_summary),
+    "eda_stage_counts": _on_cube(eda.eda_stage_counts),
+    "eda_edu_marital_pivot": _on_cube(eda.eda_edu_marital_pivot),
     "ratio_histogram": _on_mart(eda.ratio_histogram),
     "default_correlation": _on_mart(eda.default_correlation),
 }
