@@ -9,6 +9,8 @@ so the same rows come out on any number of executors.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +45,9 @@ def _pick(idx: Column, values) -> Column:
     return expr
 
 
-def _div(a: Column, b: int) -> Column:
-    """Integer division of a non-negative BIGINT expression (SQL ``div``)."""
-    exact = (a - a % F.lit(b)).cast("decimal(38,0)") / F.lit(b)
-    return exact.cast("bigint")
-
-
 def _cents_to_money(c: Column) -> Column:
-    return (c.cast("decimal(18,0)") / F.lit(100)).cast(MONEY)
+    """Integer cents -> DECIMAL(14,2), exactly (multiplication, no decimal division)."""
+    return (c.cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def monthly_bills(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -90,6 +87,13 @@ def raw_from_bills(bills: DataFrame) -> DataFrame:
     lvl = lvl.otherwise(F.lit(LEVEL_TOP))
 
     df = bills.select("*", lvl.alias("lvl"), ((k * PAY_PCT[0] + PAY_PCT[1]) % PAY_PCT[2]).alias("pay_pct"))
+    # Payments in cents, then half-up means of the six months (integer ``div`` on BIGINT).
+    df = df.select("*", *[F.expr(f"(b{i} * pay_pct) div 100").alias(f"q{i}") for i in MONTHS])
+    df = df.select(
+        "*",
+        F.expr("(2 * ({}) + 6) div 12".format(" + ".join(f"b{i}" for i in MONTHS))).alias("avg_b"),
+        F.expr("(2 * ({}) + 6) div 12".format(" + ".join(f"q{i}" for i in MONTHS))).alias("avg_q"),
+    )
     lv = F.col("lvl")
 
     def n_month(i: int) -> Column:
@@ -106,9 +110,6 @@ def raw_from_bills(bills: DataFrame) -> DataFrame:
            .when(k % AGE_LOW_MOD == 0, F.lit(AGE_LOW))
            .otherwise(F.lit(21) + F.expr(f"div(((k * {AGE_MULT}) % 55) * ((k * {AGE_MULT}) % 55), 55)")))
     limit_cents = F.expr(f"1000000 * (1 + div(((k * {LIMIT_MULT}) % 90) * ((k * {LIMIT_MULT}) % 90), 100))")
-    pay = [_div(F.col(f"b{i}") * F.col("pay_pct"), 100) for i in MONTHS]
-    bill_total = sum((F.col(f"b{i}") for i in MONTHS[1:]), F.col("b1"))
-    pay_total = sum(pay[1:], pay[0])
     defaulted = (k * DEFAULT_MULT) % 100 < F.least(F.lit(10) + lv * 9, F.lit(80))
 
     return df.select(
@@ -120,9 +121,9 @@ def raw_from_bills(bills: DataFrame) -> DataFrame:
         age.cast("smallint").alias("age"),
         *[code(n_month(i)).alias(f"timeliness_{i}") for i in MONTHS],
         *[_cents_to_money(F.col(f"b{i}")).alias(f"balance_{i}") for i in MONTHS],
-        *[_cents_to_money(pay[i - 1]).alias(f"payment_{i}") for i in MONTHS],
-        _cents_to_money(_div(bill_total * 2 + 6, 12)).alias("avg_balance"),
-        _cents_to_money(_div(pay_total * 2 + 6, 12)).alias("avg_payment"),
+        *[_cents_to_money(F.col(f"q{i}")).alias(f"payment_{i}") for i in MONTHS],
+        _cents_to_money(F.col("avg_b")).alias("avg_balance"),
+        _cents_to_money(F.col("avg_q")).alias("avg_payment"),
         F.when(defaulted, F.when(k % 3 == 0, F.lit("Yes")).otherwise(F.lit("yes")))
         .otherwise(F.lit("no")).alias("default_raw"),
     )
