@@ -37,6 +37,7 @@ class Portfolio:
     mart: DataFrame               # dim + fact_credit_risk columns (written)
     lenient: bool
     cube: DataFrame | None = None  # segment cube: counts + exact sums per label combination (written)
+    _profile: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
     @property
@@ -55,6 +56,25 @@ class Portfolio:
     def fact_statements(self) -> DataFrame:
         return unpivot.statements(self.staging)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The five tables of the star schema by name."""
+        return {
+            "staging_raw_credit_data": self.staging,
+            "dim_customers": self.dim_customers,
+            "fact_repayment_history": self.fact_repayment_history,
+            "fact_statements": self.fact_statements,
+            "fact_credit_risk": self.fact_credit_risk,
+        }
+
+    def audit_profile(self) -> DataFrame:
+        """All single-pass audit numbers of the five tables (``quality.profile``), computed
+        with one scan per table and written once (a few hundred rows)."""
+        if self._profile is None:
+            from ..operators import quality
+
+            self._profile = materialize(quality.profile(self.tables()), "audit_profile")
+        return self._profile
+
     def bucketed_star(self, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
         """(fact_credit_risk, dim_customers) written once as tables bucketed and sorted by
         customer_id with the same bucket count, so J5 joins them without an Exchange."""
@@ -138,21 +158,18 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
 def layer_reconcile(pf: Portfolio) -> DataFrame:
     """Row counts of the five layers side by side, with the 1x/6x checks.
 
-    The five scalar counts are unioned as (layer, rows) and folded into one row with
-    conditional aggregation (no cross join)."""
-    layers = [
-        ("staging_rows", pf.staging),
-        ("dim_customer_rows", pf.dim_customers),
-        ("fact_risk_rows", pf.fact_credit_risk),
-        ("repayment_rows_expect_6x", pf.fact_repayment_history),
-        ("statement_rows_expect_6x", pf.fact_statements),
-    ]
-    counts = None
-    for name, df in layers:
-        one = df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n"))
-        counts = one if counts is None else counts.unionByName(one)
-    row = counts.agg(*[F.max(F.when(F.col("layer") == name, F.col("n"))).cast("bigint").alias(name)
-                       for name, _ in layers])
+    The counts come from the audit profile (one scan per table, shared with the other
+    audits) and are folded into one row with conditional aggregation (no cross join)."""
+    layers = {
+        "staging_rows": "staging_raw_credit_data",
+        "dim_customer_rows": "dim_customers",
+        "fact_risk_rows": "fact_credit_risk",
+        "repayment_rows_expect_6x": "fact_repayment_history",
+        "statement_rows_expect_6x": "fact_statements",
+    }
+    rows = pf.audit_profile().where(F.col("kind") == "rows")
+    row = rows.agg(*[F.max(F.when(F.col("table_name") == t, F.col("violations"))).cast("bigint").alias(c)
+                     for c, t in layers.items()])
     return row.select(
         "*",
         ((F.col("dim_customer_rows") == F.col("staging_rows"))

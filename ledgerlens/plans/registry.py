@@ -41,13 +41,7 @@ def _dirty(spark, sf):
 
 
 def _tables(pf: mart.Portfolio) -> dict[str, DataFrame]:
-    return {
-        "staging_raw_credit_data": pf.staging,
-        "dim_customers": pf.dim_customers,
-        "fact_repayment_history": pf.fact_repayment_history,
-        "fact_statements": pf.fact_statements,
-        "fact_credit_risk": pf.fact_credit_risk,
-    }
+    return pf.tables()
 
 
 def _on_mart(fn) -> Query:
@@ -83,9 +77,9 @@ QUERIES: dict[str, Query] = {
     "limit_band_right_closed": _on_mart(eda.limit_band_right_closed),
     "surrogate_key": _surrogate_key,
     # data quality (dirty fixture) and reconciliation
-    "dq_row_count": lambda s, d: normalize(quality.row_count(_dirty(s, d).staging)),
-    "dq_null_profile": lambda s, d: normalize(quality.null_profile(_dirty(s, d).staging)),
-    "dq_missing_total": lambda s, d: normalize(quality.missing_total(_dirty(s, d).staging)),
+    "dq_row_count": lambda s, d: normalize(quality.row_count_from_profile(_dirty(s, d).audit_profile())),
+    "dq_null_profile": lambda s, d: normalize(quality.null_profile_from_profile(_dirty(s, d).audit_profile())),
+    "dq_missing_total": lambda s, d: normalize(quality.missing_from_profile(_dirty(s, d).audit_profile())),
     "dq_duplicate_keys": lambda s, d: normalize(quality.duplicate_keys(_dirty(s, d).staging)),
     "dq_duplicate_rows": lambda s, d: normalize(quality.duplicate_rows(_dirty(s, d).staging)),
     "dq_range_check": lambda s, d: normalize(quality.range_check(_dirty(s, d).staging)),
@@ -93,9 +87,9 @@ QUERIES: dict[str, Query] = {
     "dq_layer_reconcile": lambda s, d: normalize(mart.layer_reconcile(_dirty(s, d))),
     "dq_pk_audit": lambda s, d: normalize(quality.pk_audit(_tables(_dirty(s, d)))),
     "dq_fk_audit": lambda s, d: normalize(quality.fk_audit(_tables(_dirty(s, d)))),
-    "dq_check_audit": lambda s, d: normalize(quality.check_audit(_tables(_dirty(s, d)))),
-    "dq_notnull_audit": lambda s, d: normalize(quality.notnull_audit(_tables(_dirty(s, d)))),
-    "dq_domain_audit": lambda s, d: normalize(quality.domain_audit(_tables(_dirty(s, d)))),
+    "dq_check_audit": lambda s, d: normalize(quality.check_from_profile(_dirty(s, d).audit_profile())),
+    "dq_notnull_audit": lambda s, d: normalize(quality.notnull_from_profile(_dirty(s, d).audit_profile())),
+    "dq_domain_audit": lambda s, d: normalize(quality.domain_from_profile(_dirty(s, d).audit_profile())),
     "dq_default_rate": lambda s, d: normalize(quality.default_rate(_dirty(s, d).staging)),
     "dq_describe": lambda s, d: normalize(quality.describe(_dirty(s, d).staging)),
     "reconcile_long_wide": lambda s, d: normalize(mart.reconcile_long_wide(_clean(s, d))),

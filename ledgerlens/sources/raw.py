@@ -22,8 +22,8 @@ def read_raw_csv(spark: SparkSession, path: str, header: bool = True, mode: str
           .option("enforceSchema", False).csv(path))
     ordered = df.select(
         "*",
-        F.input_file_name().alias("_file"),
-        F.input_file_block_start().alias("_block"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
     numbered = positions.with_row_number(ordered, "customer_id", order_by=["_file", "_block", "_row"])

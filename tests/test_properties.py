@@ -76,3 +76,20 @@ def test_dirty_fixture_has_findings(spark):
     assert nulls["null_education"] > 0 and nulls["null_age"] > 0
     nn = {(r["table_name"], r["column_name"]): r["null_rows"] for r in q["dq_notnull_audit"](spark, SF_SMALL).collect()}
     assert nn[("fact_credit_risk", "credit_utilization")] > 0
+
+
+def test_audit_profile_equals_direct_audits(spark):
+    from ledgerlens.operators import quality
+
+    pf = mart.load(spark, SF_SMALL, "dirty")
+    prof, tables = pf.audit_profile(), pf.tables()
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    assert rows(quality.notnull_from_profile(prof)) == rows(quality.notnull_audit(tables))
+    assert rows(quality.domain_from_profile(prof)) == rows(quality.domain_audit(tables))
+    assert rows(quality.check_from_profile(prof)) == rows(quality.check_audit(tables))
+    assert rows(quality.row_count_from_profile(prof)) == rows(quality.row_count(pf.staging))
+    assert rows(quality.null_profile_from_profile(prof)) == rows(quality.null_profile(pf.staging))
+    assert rows(quality.missing_from_profile(prof)) == rows(quality.missing_total(pf.staging))
