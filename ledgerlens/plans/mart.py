@@ -36,7 +36,7 @@ class Portfolio:
     staging: DataFrame            # staging_raw_credit_data (landing, written)
     mart: DataFrame               # dim + fact_credit_risk columns (written)
     lenient: bool
-    cube: DataFrame | None = None  # segment cube: counts + exact sums per label combination (written)
+    _cube: DataFrame | None = None
     _profile: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
@@ -56,6 +56,14 @@ class Portfolio:
     def fact_statements(self) -> DataFrame:
         return unpivot.statements(self.staging)
 
+    @property
+    def cube(self) -> DataFrame:
+        """Segment cube (``segments.build_cube``): counts and exact sums per combination of
+        report labels, written once; every segment/KPI/dashboard report re-aggregates it."""
+        if self._cube is None:
+            self._cube = materialize(build_cube(self.mart), "segment_cube")
+        return self._cube
+
     def tables(self) -> dict[str, DataFrame]:
         """The five tables of the star schema by name."""
         return {
@@ -109,10 +117,10 @@ def build(staging: DataFrame, lenient: bool = False, persist: bool = True) -> Po
     mart = features.risk_mart(staging, lenient)
     if persist:
         mart = materialize(mart, "risk_mart")
-    cube = build_cube(mart)
-    if persist:
-        cube = materialize(cube, "segment_cube")
-    return Portfolio(staging=staging, mart=mart, lenient=lenient, cube=cube)
+    pf = Portfolio(staging=staging, mart=mart, lenient=lenient)
+    if not persist:
+        pf._cube = build_cube(mart)
+    return pf
 
 
 def write_star_schema(pf: Portfolio, root: str) -> dict[str, str]:
