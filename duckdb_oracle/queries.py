@@ -202,6 +202,39 @@ def _dpd_wide_sql() -> str:
     return f"SELECT {', '.join(cols)} FROM mart"
 
 
+def _reconcile_sql() -> str:
+    """Q17 in SQL: the long path (unpivot -> aggregate per customer -> features) against
+    the wide integer features, full outer join on customer_id."""
+    months = " UNION ALL ".join(
+        f"SELECT customer_id, {i} AS m, d{i} AS d, c{i} AS b, p{i} AS p FROM mart" for i in M)
+    return f"""
+, lng AS (
+  SELECT customer_id, MAX(d) FILTER (WHERE m = 1) AS cur, MAX(d) AS worst,
+         COUNT(*) FILTER (WHERE d > 0) AS late, (2 * SUM(d) * 100 + COUNT(d)) // (2 * COUNT(d)) AS avgd,
+         SUM(b) AS bill, SUM(p) AS paid
+  FROM ({months}) GROUP BY customer_id
+), lng2 AS (
+  SELECT l.*, w.limit_c, w.avgbal_c, w.default_raw,
+    CASE WHEN bill > 0 THEN (2 * paid * 1000 + bill) // (2 * bill) ELSE 1000 END AS ratio,
+    CASE WHEN w.limit_c = 0 THEN NULL ELSE (2 * w.avgbal_c * 1000 + w.limit_c) // (2 * w.limit_c) END AS util
+  FROM lng l JOIN mart w USING (customer_id)
+), lng3 AS (
+  SELECT *, worst * 1000 + late * 500 + (CASE WHEN util > 800 THEN (util - 800) * 2 ELSE 0 END)
+            + (CASE WHEN ratio < 300 THEN (300 - ratio) * 3 ELSE 0 END) AS score
+  FROM lng2
+)
+SELECT COUNT(*) AS customers_compared,
+       COUNT(*) FILTER (WHERE w.customer_id IS NULL) AS only_long,
+       COUNT(*) FILTER (WHERE l.customer_id IS NULL) AS only_wide,
+       COUNT(*) FILTER (WHERE l.customer_id IS NOT NULL AND w.customer_id IS NOT NULL AND (
+            l.cur IS DISTINCT FROM w.current_dpd OR l.worst IS DISTINCT FROM w.worst_dpd_6mo
+         OR l.late IS DISTINCT FROM w.months_delinquent_6mo OR l.avgd IS DISTINCT FROM w.avg_dpd_c
+         OR l.bill IS DISTINCT FROM w.bill_c OR l.paid IS DISTINCT FROM w.paid_c
+         OR l.ratio IS DISTINCT FROM w.ratio_m OR l.util IS DISTINCT FROM w.util_m
+         OR l.score IS DISTINCT FROM w.score_c)) AS customers_differing
+FROM lng3 l FULL OUTER JOIN mart w ON l.customer_id = w.customer_id"""
+
+
 def _segment(keys: str, metrics: str, having: str = "") -> str:
     return f"SELECT {keys}, {metrics} FROM mart GROUP BY {keys} {having}"
 
@@ -279,9 +312,7 @@ def build() -> dict[str, str]:
         f"{hu_double('COUNT(*) FILTER (WHERE lower(default_raw) = ' + chr(39) + 'yes' + chr(39) + ')', 'COUNT(*)', 4)}"
         f" AS default_rate_sql FROM mart", True)
     q["dq_describe"] = _q(_describe_sql(), True)
-    q["reconcile_long_wide"] = _q(
-        "SELECT COUNT(*) AS customers_compared, CAST(0 AS BIGINT) AS only_long, CAST(0 AS BIGINT) AS only_wide, "
-        "CAST(0 AS BIGINT) AS customers_differing FROM mart")
+    q["reconcile_long_wide"] = _q(_reconcile_sql())
     # --- risk segmentation -----------------------------------------------------------------
     q["risk_grade_segments"] = _q(_segment(
         "risk_grade", f"COUNT(*) AS accounts, {SHARE} AS pct_of_portfolio, {DR} AS default_rate_pct, "

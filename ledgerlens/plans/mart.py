@@ -17,18 +17,10 @@ from pyspark.sql import functions as F
 from ..operators import features, unpivot
 from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
-from ..session import app_id, scratch_path
+from ..session import app_id, materialize, scratch_path
 from ..sources import portfolio
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared scratch folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 @dataclass
 class Portfolio:
     """The reference's five tables plus the denormalised mart, for one input."""

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -82,3 +82,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared scratch root for table ``name``."""
     return os.path.join(scratch_root(spark), "ledgerlens", app_id(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared scratch folder and read it back (cuts
+    lineage; survives executor loss)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

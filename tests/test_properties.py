@@ -93,3 +93,20 @@ def test_audit_profile_equals_direct_audits(spark):
     assert rows(quality.row_count_from_profile(prof)) == rows(quality.row_count(pf.staging))
     assert rows(quality.null_profile_from_profile(prof)) == rows(quality.null_profile(pf.staging))
     assert rows(quality.missing_from_profile(prof)) == rows(quality.missing_total(pf.staging))
+
+
+def test_duplicate_rows_two_phase_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators import quality
+
+    pf = mart.load(spark, SF_SMALL, "dirty")
+    cols = list(quality.SOURCE_COLUMNS)
+    brute = (pf.staging.groupBy(*cols).count().agg(F.sum(F.col("count") - 1)).collect()[0][0])
+    for limit in (0, 10 ** 6):  # shuffled semi-join and broadcast paths
+        got = quality.duplicate_rows(pf.staging, broadcast_limit=limit).collect()[0][0]
+        assert got == brute > 0
+    # a group of copies holding a third of the rows
+    base = spark.createDataFrame([(i % 3 == 0 and 7 or i, "x") for i in range(3000)], "a long, b string")
+    got = quality.duplicate_rows(base, columns=("a", "b")).collect()[0][0]
+    assert got == 1000  # 1000 rows with i % 3 == 0 plus row 7 share (7, "x")
