@@ -1,7 +1,11 @@
-"""Query catalogue: one callable (spark, sf_dir) -> DataFrame per operator key.
-
-Results are normalised for comparison with the SQL oracle: DECIMAL -> DOUBLE and
-all integral types -> BIGINT (the library functions themselves keep the DDL types).
+"""Report catalogue and the driver adapter.
+
+``REPORTS`` maps every operator key to a function of a ``Portfolio`` (built from any
+source: the order tables, a delivered CSV, a stored landing table). ``QUERIES`` is
+the driver contract on top of it: (spark, sf_dir) -> DataFrame, with the portfolio
+derived from the order tables in ``sf_dir`` (the audits use the dirty fixture so
+they have findings), and results normalised for comparison with the SQL oracle:
+DECIMAL -> DOUBLE, integral -> BIGINT. Library functions keep the DDL types.
 """
 
 from __future__ import annotations
@@ -16,8 +20,10 @@ from ..operators import features, positions, quality
 from ..operators.segments import CUBE
 from . import collections as coll
 from . import eda, kpi, mart, risk
+from .mart import Portfolio
 
 Query = Callable[[SparkSession, str], DataFrame]
+Report = Callable[[Portfolio], DataFrame]
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -32,100 +38,108 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _clean(spark, sf):
-    return mart.load(spark, sf, "clean")
-
-
-def _dirty(spark, sf):
-    return mart.load(spark, sf, "dirty")
-
-
-def _tables(pf: mart.Portfolio) -> dict[str, DataFrame]:
-    return pf.tables()
-
+def _cube(fn) -> Report:
+    """Segment reports read the stored segment cube (one mart scan serves them all)."""
+    return lambda pf: fn(pf.cube, agg=CUBE)
 
-def _on_mart(fn) -> Query:
-    return lambda spark, sf: normalize(fn(_clean(spark, sf).mart))
 
+def _mart(fn) -> Report:
+    return lambda pf: fn(pf.mart)
 
-def _on_cube(fn) -> Query:
-    """Segment reports read the stored segment cube (one mart scan serves them all)."""
-    return lambda spark, sf: normalize(fn(_clean(spark, sf).cube, agg=CUBE))
 
-
-def _view(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def _view(name: str) -> Report:
     """Pull a BI view by name, as a BI client would (re-runs the aggregate)."""
-    kpi.register_views(_clean(spark, sf).cube, CUBE)
-    return normalize(spark.table(name))
+    def run(pf: Portfolio) -> DataFrame:
+        kpi.register_views(pf.cube, CUBE)
+        return pf.mart.sparkSession.table(name)
+    return run
 
 
-def _surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
-    return positions.with_row_number(orders, "customer_id", order_by=["o_orderkey"])
+def _surrogate_key(pf: Portfolio) -> DataFrame:
+    """S7 over the landing rows: contiguous ids 1..n in customer order."""
+    return positions.with_row_number(pf.staging.select("customer_id"), "row_id", order_by=["customer_id"])
 
 
-QUERIES: dict[str, Query] = {
+REPORTS: dict[str, Report] = {
     # sources, tables, projections
-    "src_raw_scan": lambda s, d: normalize(_clean(s, d).staging),
-    "dim_customers": lambda s, d: normalize(_clean(s, d).dim_customers),
-    "fact_repayment_history": lambda s, d: normalize(_clean(s, d).fact_repayment_history),
-    "fact_statements": lambda s, d: normalize(_clean(s, d).fact_statements),
-    "fact_credit_risk": lambda s, d: normalize(_clean(s, d).fact_credit_risk),
-    "star_join_mart": lambda s, d: normalize(mart.star_join(*_clean(s, d).bucketed_star())),
-    "engineered_wide": lambda s, d: normalize(features.engineered_wide(_clean(s, d).staging)),
-    "dpd_wide": lambda s, d: normalize(features.dpd_wide(_clean(s, d).staging)),
-    "limit_band_right_closed": _on_mart(eda.limit_band_right_closed),
+    "src_raw_scan": lambda pf: pf.staging,
+    "dim_customers": lambda pf: pf.dim_customers,
+    "fact_repayment_history": lambda pf: pf.fact_repayment_history,
+    "fact_statements": lambda pf: pf.fact_statements,
+    "fact_credit_risk": lambda pf: pf.fact_credit_risk,
+    "star_join_mart": lambda pf: mart.star_join(*pf.bucketed_star()),
+    "engineered_wide": lambda pf: features.engineered_wide(pf.staging, pf.lenient),
+    "dpd_wide": lambda pf: features.dpd_wide(pf.staging, pf.lenient),
+    "limit_band_right_closed": _mart(eda.limit_band_right_closed),
     "surrogate_key": _surrogate_key,
-    # data quality (dirty fixture) and reconciliation
-    "dq_row_count": lambda s, d: normalize(quality.row_count_from_profile(_dirty(s, d).audit_profile())),
-    "dq_null_profile": lambda s, d: normalize(quality.null_profile_from_profile(_dirty(s, d).audit_profile())),
-    "dq_missing_total": lambda s, d: normalize(quality.missing_from_profile(_dirty(s, d).audit_profile())),
-    "dq_duplicate_keys": lambda s, d: normalize(quality.duplicate_keys(_dirty(s, d).staging)),
-    "dq_duplicate_rows": lambda s, d: normalize(quality.duplicate_rows(_dirty(s, d).staging)),
-    "dq_range_check": lambda s, d: normalize(quality.range_check(_dirty(s, d).staging)),
-    "dq_category_audit": lambda s, d: normalize(quality.category_audit(_dirty(s, d).staging)),
-    "dq_layer_reconcile": lambda s, d: normalize(mart.layer_reconcile(_dirty(s, d))),
-    "dq_pk_audit": lambda s, d: normalize(quality.pk_audit(_tables(_dirty(s, d)))),
-    "dq_fk_audit": lambda s, d: normalize(quality.fk_audit(_tables(_dirty(s, d)))),
-    "dq_check_audit": lambda s, d: normalize(quality.check_from_profile(_dirty(s, d).audit_profile())),
-    "dq_notnull_audit": lambda s, d: normalize(quality.notnull_from_profile(_dirty(s, d).audit_profile())),
-    "dq_domain_audit": lambda s, d: normalize(quality.domain_from_profile(_dirty(s, d).audit_profile())),
-    "dq_default_rate": lambda s, d: normalize(quality.default_rate(_dirty(s, d).staging)),
-    "dq_describe": lambda s, d: normalize(quality.describe(_dirty(s, d).staging)),
-    "reconcile_long_wide": lambda s, d: normalize(mart.reconcile_long_wide(_clean(s, d))),
+    # data quality and reconciliation
+    "dq_row_count": lambda pf: quality.row_count_from_profile(pf.audit_profile()),
+    "dq_null_profile": lambda pf: quality.null_profile_from_profile(pf.audit_profile()),
+    "dq_missing_total": lambda pf: quality.missing_from_profile(pf.audit_profile()),
+    "dq_duplicate_keys": lambda pf: quality.duplicate_keys(pf.staging),
+    "dq_duplicate_rows": lambda pf: quality.duplicate_rows(pf.staging),
+    "dq_range_check": lambda pf: quality.range_check(pf.staging),
+    "dq_category_audit": lambda pf: quality.category_audit(pf.staging),
+    "dq_layer_reconcile": mart.layer_reconcile,
+    "dq_pk_audit": lambda pf: quality.pk_audit(pf.tables()),
+    "dq_fk_audit": lambda pf: quality.fk_audit(pf.tables()),
+    "dq_check_audit": lambda pf: quality.check_from_profile(pf.audit_profile()),
+    "dq_notnull_audit": lambda pf: quality.notnull_from_profile(pf.audit_profile()),
+    "dq_domain_audit": lambda pf: quality.domain_from_profile(pf.audit_profile()),
+    "dq_default_rate": lambda pf: quality.default_rate(pf.staging),
+    "dq_describe": lambda pf: quality.describe(pf.staging),
+    "reconcile_long_wide": mart.reconcile_long_wide,
     # risk segmentation
-    "risk_grade_segments": _on_cube(risk.risk_grade_segments),
-    "limit_band_segments": _on_cube(risk.limit_band_segments),
-    "age_band_segments": _on_cube(risk.age_band_segments),
-    "edu_marital_segments": _on_cube(risk.edu_marital_segments),
-    "top_risk_segments": _on_cube(risk.top_risk_segments),
-    "risk_deciles": _on_mart(risk.risk_deciles),
-    "decile_inversions": _on_mart(lambda m: risk.decile_inversions(risk.risk_deciles(m))),
-    "grade_behaviour": _on_cube(risk.grade_behaviour),
-    "gender_segments": _on_cube(risk.gender_segments),
-    "marital_segments": _on_cube(lambda c, agg: eda.category_drilldown(c, "marital_status", agg)),
-    "education_segments": _on_cube(lambda c, agg: eda.category_drilldown(c, "education", agg)),
+    "risk_grade_segments": _cube(risk.risk_grade_segments),
+    "limit_band_segments": _cube(risk.limit_band_segments),
+    "age_band_segments": _cube(risk.age_band_segments),
+    "edu_marital_segments": _cube(risk.edu_marital_segments),
+    "top_risk_segments": _cube(risk.top_risk_segments),
+    "risk_deciles": _mart(risk.risk_deciles),
+    "decile_inversions": _mart(lambda m: risk.decile_inversions(risk.risk_deciles(m))),
+    "grade_behaviour": _cube(risk.grade_behaviour),
+    "gender_segments": _cube(risk.gender_segments),
+    "marital_segments": _cube(lambda c, agg: eda.category_drilldown(c, "marital_status", agg)),
+    "education_segments": _cube(lambda c, agg: eda.category_drilldown(c, "education", agg)),
     # collections
-    "collections_funnel": _on_cube(coll.collections_funnel),
-    "dpd_distribution": _on_cube(coll.dpd_distribution),
-    "roll_rate_matrix": lambda s, d: normalize(coll.roll_rate_matrix(_clean(s, d).staging)),
-    "roll_rate_pivot": lambda s, d: normalize(coll.roll_rate_pivot(_clean(s, d).staging)),
-    "exposure_concentration": _on_cube(coll.exposure_concentration),
-    "efficiency_ranking": _on_cube(coll.efficiency_ranking),
+    "collections_funnel": _cube(coll.collections_funnel),
+    "dpd_distribution": _cube(coll.dpd_distribution),
+    "roll_rate_matrix": lambda pf: coll.roll_rate_matrix(pf.staging, pf.lenient),
+    "roll_rate_pivot": lambda pf: coll.roll_rate_pivot(pf.staging, pf.lenient),
+    "exposure_concentration": _cube(coll.exposure_concentration),
+    "efficiency_ranking": _cube(coll.efficiency_ranking),
     # KPI and BI views
-    "executive_summary": _on_cube(kpi.executive_summary),
-    "vw_dashboard_kpi_summary": lambda s, d: _view(s, d, "vw_dashboard_kpi_summary"),
-    "vw_risk_grade_summary": lambda s, d: _view(s, d, "vw_risk_grade_summary"),
-    "vw_collections_stage_summary": lambda s, d: _view(s, d, "vw_collections_stage_summary"),
-    "vw_credit_limit_band_trend": lambda s, d: _view(s, d, "vw_credit_limit_band_trend"),
-    "monthly_trend": lambda s, d: normalize(kpi.monthly_trend(_clean(s, d).fact_statements)),
-    "dashboard_refresh": _on_cube(kpi.dashboard_refresh),
+    "executive_summary": _cube(kpi.executive_summary),
+    "vw_dashboard_kpi_summary": _view("vw_dashboard_kpi_summary"),
+    "vw_risk_grade_summary": _view("vw_risk_grade_summary"),
+    "vw_collections_stage_summary": _view("vw_collections_stage_summary"),
+    "vw_credit_limit_band_trend": _view("vw_credit_limit_band_trend"),
+    "monthly_trend": lambda pf: kpi.monthly_trend(pf.fact_statements),
+    "dashboard_refresh": _cube(kpi.dashboard_refresh),
     # exploratory tables
-    "eda_grade_summary": _on_cube(eda.eda_grade_summary),
-    "eda_limit_band_curve": _on_mart(eda.eda_limit_band_curve),
-    "eda_stage_summary": _on_cube(eda.eda_stage_summary),
-    "eda_stage_counts": _on_cube(eda.eda_stage_counts),
-    "eda_edu_marital_pivot": _on_cube(eda.eda_edu_marital_pivot),
-    "ratio_histogram": _on_mart(eda.ratio_histogram),
-    "default_correlation": _on_mart(eda.default_correlation),
+    "eda_grade_summary": _cube(eda.eda_grade_summary),
+    "eda_limit_band_curve": _mart(eda.eda_limit_band_curve),
+    "eda_stage_summary": _cube(eda.eda_stage_summary),
+    "eda_stage_counts": _cube(eda.eda_stage_counts),
+    "eda_edu_marital_pivot": _cube(eda.eda_edu_marital_pivot),
+    "ratio_histogram": _mart(eda.ratio_histogram),
+    "default_correlation": _mart(eda.default_correlation),
 }
+
+# Audits run on the dirty fixture (NULLs, zero limits, duplicated rows) so they have findings.
+DIRTY_KEYS = frozenset(k for k in REPORTS if k.startswith("dq_"))
+
+
+def _driver_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 on the source table itself: contiguous ids 1..n in order-key order."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
+    return positions.with_row_number(orders, "customer_id", order_by=["o_orderkey"])
+
+
+def _query(key: str) -> Query:
+    variant = "dirty" if key in DIRTY_KEYS else "clean"
+    return lambda spark, sf: normalize(REPORTS[key](mart.load(spark, sf, variant)))
+
+
+QUERIES: dict[str, Query] = {k: _query(k) for k in REPORTS}
+QUERIES["surrogate_key"] = _driver_surrogate_key
