@@ -110,3 +110,24 @@ def test_duplicate_rows_two_phase_is_exact(spark):
     base = spark.createDataFrame([(i % 3 == 0 and 7 or i, "x") for i in range(3000)], "a long, b string")
     got = quality.duplicate_rows(base, columns=("a", "b")).collect()[0][0]
     assert got == 1000  # 1000 rows with i % 3 == 0 plus row 7 share (7, "x")
+
+
+# Measured shape of the derived portfolio as published in FIXTURES.md section 4
+# (an independent check of the mapping, not derived from this code).
+FIXTURE_SHAPE = {
+    "/root/testdata/sf0.001": (1500, [1036, 338, 108, 18], [497, 79, 449, 475], 48, 368, 2, 3),
+    "/root/testdata/sf0.01": (15000, [10354, 3396, 1085, 165], [4844, 819, 4427, 4910], 464, 2326, 16, 30),
+}
+
+
+def test_portfolio_matches_published_fixture_shape(spark):
+    from pyspark.sql import functions as F
+
+    for sf, want in FIXTURE_SHAPE.items():
+        m = mart.load(spark, sf).mart
+        st = {r[0][0]: r[1] for r in m.groupBy("collections_stage").count().collect()}
+        gr = {r[0][0]: r[1] for r in m.groupBy("risk_grade").count().collect()}
+        got = (m.count(), [st[k] for k in "1234"], [gr[k] for k in "ABCD"],
+               m.where(F.col("total_bill_6mo") == 0).count(), m.select("risk_score").distinct().count(),
+               m.where(F.col("age").isNull()).count(), m.where(~F.col("age").between(18, 100)).count())
+        assert got == want, sf
