@@ -131,3 +131,23 @@ def test_portfolio_matches_published_fixture_shape(spark):
                m.where(F.col("total_bill_6mo") == 0).count(), m.select("risk_score").distinct().count(),
                m.where(F.col("age").isNull()).count(), m.where(~F.col("age").between(18, 100)).count())
         assert got == want, sf
+
+
+def test_monthly_bills_with_a_hot_order(spark):
+    """One order holds a third of all line rows: partial aggregation collapses it map-side and
+    the sums stay exact; orders without lines get zeros, lines without an order are dropped."""
+    import pandas as pd
+
+    from ledgerlens.sources.portfolio import monthly_bills
+
+    lines = [(7 if i % 3 == 0 else i % 50, 1 + i % 7, float(i % 997) + 0.25) for i in range(6000)]
+    orders = spark.createDataFrame([(k,) for k in range(0, 60)], "o_orderkey long")
+    li = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_extendedprice double").repartition(8)
+    got = {r["k"]: tuple(r[f"b{i}"] for i in range(1, 7)) for r in monthly_bills(orders, li).collect()}
+    pdf = pd.DataFrame(lines, columns=["k", "ln", "px"])
+    pdf = pdf[pdf.ln <= 6]
+    pdf["c"] = (pdf.px * 100).round().astype("int64")
+    want = {k: tuple(0 for _ in range(6)) for k in range(60)}
+    for k, g in pdf.groupby("k"):
+        want[k] = tuple(int(g[g.ln == i].c.sum()) for i in range(1, 7))
+    assert got == want
