@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, unpivot
+from ..operators import features, quality, unpivot
 from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
 from ..session import app_id, materialize, scratch_path
@@ -70,8 +70,6 @@ class Portfolio:
         """All single-pass audit numbers of the five tables (``quality.profile``), computed
         with one scan per table and written once (a few hundred rows)."""
         if self._profile is None:
-            from ..operators import quality
-
             self._profile = materialize(quality.profile(self.tables()), "audit_profile")
         return self._profile
 
