@@ -27,7 +27,7 @@ EFF = hu_double("SUM(paid_c)", "SUM(bill_c)", 2, 100)
 # Output-typed relations over the oracle mart.
 RAW_SELECT = ", ".join(
     ["customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "gender", "education", "marital_status",
-     "CAST(age AS BIGINT) AS age"]
+     "CAST(age AS DOUBLE) AS age"]
     + [f"timeliness_{i}" for i in M]
     + [f"{scaled(f'c{i}', 2)} AS balance_{i}" for i in M]
     + [f"{scaled(f'p{i}', 2)} AS payment_{i}" for i in M]
@@ -35,7 +35,7 @@ RAW_SELECT = ", ".join(
 
 DIM_SELECT = ", ".join([
     "customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "credit_limit_band", "gender_l AS gender",
-    "education_l AS education", "marital_l AS marital_status", "CAST(age AS BIGINT) AS age", "age_band"])
+    "education_l AS education", "marital_l AS marital_status", "CAST(age AS DOUBLE) AS age", "age_band"])
 
 FACT_SELECT = ", ".join([
     "customer_id", "CAST(current_dpd AS BIGINT) AS current_dpd", "CAST(worst_dpd_6mo AS BIGINT) AS worst_dpd_6mo",
@@ -146,8 +146,8 @@ def _describe_sql() -> str:
     text = ["gender", "education", "marital_status"] + [f"timeliness_{i}" for i in range(1, 6)]
     stacked = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value FROM mart" for c in text)
     str_part = (
-        f"SELECT column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS unique, "
-        f"max(CASE WHEN r = 1 THEN value END) AS top, CAST(max(CASE WHEN r = 1 THEN n END) AS BIGINT) AS freq, "
+        f"SELECT column_name, CAST(SUM(n) AS BIGINT) AS count, CAST(COUNT(*) AS DOUBLE) AS unique, "
+        f"max(CASE WHEN r = 1 THEN value END) AS top, CAST(max(CASE WHEN r = 1 THEN n END) AS DOUBLE) AS freq, "
         f"CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
         f"CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, "
         f"CAST(NULL AS DOUBLE) AS max FROM ("
@@ -157,8 +157,8 @@ def _describe_sql() -> str:
     nums = []
     for c, x in (("credit_limit", "CAST(limit_c AS DOUBLE) / 100"), ("age", "CAST(age AS DOUBLE)")):
         nums.append(
-            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, CAST(NULL AS BIGINT) AS unique, "
-            f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({x}), 6) AS mean, "
+            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, CAST(NULL AS DOUBLE) AS unique, "
+            f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS DOUBLE) AS freq, round(avg({x}), 6) AS mean, "
             f"round(stddev_samp({x}), 6) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS p25, "
             f"quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM mart")
     return " UNION ALL ".join([str_part] + nums)
@@ -178,7 +178,7 @@ def _corr_sql() -> str:
 
 def _engineered_sql() -> str:
     cols = (["customer_id", f"{scaled('limit_c', 2)} AS credit_limit", "gender_l AS gender",
-             "education_l AS education", "marital_l AS marital_status", "CAST(age AS BIGINT) AS age",
+             "education_l AS education", "marital_l AS marital_status", "CAST(age AS DOUBLE) AS age",
              "age_band", "credit_limit_band"]
             + [f"timeliness_{i}" for i in M]
             + [f"CAST(d{i} AS BIGINT) AS timeliness_{i}_dpd" for i in M]
@@ -286,7 +286,7 @@ def build() -> dict[str, str]:
         f"SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM "
         f"(SELECT COUNT(*) AS n FROM mart GROUP BY {', '.join(src_cols)})", True)
     q["dq_range_check"] = _q(
-        f"SELECT customer_id, CAST(age AS BIGINT) AS age, {scaled('limit_c', 2)} AS credit_limit FROM mart "
+        f"SELECT customer_id, CAST(age AS DOUBLE) AS age, {scaled('limit_c', 2)} AS credit_limit FROM mart "
         f"WHERE age NOT BETWEEN 18 AND 100 OR limit_c <= 0", True)
     q["dq_category_audit"] = _q(
         "SELECT DISTINCT * FROM (" + " UNION ALL ".join(

@@ -26,11 +26,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 Report = Callable[[Portfolio], DataFrame]
 
 
+# Integral output columns that can hold NULL are compared as DOUBLE: engines convert a
+# nullable integer column to pandas differently (float64 with NaN vs Int64 with <NA>),
+# while a nullable DOUBLE column converts the same way everywhere.
+NULLABLE_INTEGRAL = frozenset({"age", "unique", "freq"})
+
+
 def normalize(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
+        if isinstance(f.dataType, (T.DecimalType, T.FloatType)) or (
+                f.name in NULLABLE_INTEGRAL and isinstance(f.dataType, T.IntegralType)):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")

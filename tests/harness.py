@@ -63,6 +63,10 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     o = con.execute(sql).df()
     if sorted(s.columns) != sorted(o.columns):
         return False, f"columns differ: spark={sorted(s.columns)} oracle={sorted(o.columns)}"
+    # pandas dtypes too: a value hash can depend on them (e.g. float64 NaN vs Int64 <NA>)
+    dtypes = [f"{c}: {s[c].dtype} vs {o[c].dtype}" for c in s.columns if str(s[c].dtype) != str(o[c].dtype)]
+    if dtypes:
+        return False, "pandas dtypes differ: " + "; ".join(dtypes)
     if len(s) != len(o):
         return False, f"row count differs: spark={len(s)} oracle={len(o)}"
     rs, ro = rows(s), rows(o)
