@@ -19,6 +19,7 @@ from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
 from ..session import app_id, materialize, scratch_path
 from ..sources import portfolio
+from . import risk
 
 
 @dataclass
@@ -30,6 +31,7 @@ class Portfolio:
     lenient: bool
     _cube: DataFrame | None = None
     _profile: DataFrame | None = None
+    _deciles: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
     @property
@@ -56,6 +58,13 @@ class Portfolio:
             self._cube = materialize(build_cube(self.mart), "segment_cube")
         return self._cube
 
+    def deciles(self) -> DataFrame:
+        """R6 risk-score deciles, computed once (bounded selection passes) and written;
+        the monotonicity check R6b reads the stored ten rows."""
+        if self._deciles is None:
+            self._deciles = materialize(risk.risk_deciles(self.mart), "risk_deciles")
+        return self._deciles
+
     def tables(self) -> dict[str, DataFrame]:
         """The five tables of the star schema by name."""
         return {

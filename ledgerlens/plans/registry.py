@@ -102,8 +102,8 @@ REPORTS: dict[str, Report] = {
     "age_band_segments": _cube(risk.age_band_segments),
     "edu_marital_segments": _cube(risk.edu_marital_segments),
     "top_risk_segments": _cube(risk.top_risk_segments),
-    "risk_deciles": _mart(risk.risk_deciles),
-    "decile_inversions": _mart(lambda m: risk.decile_inversions(risk.risk_deciles(m))),
+    "risk_deciles": lambda pf: pf.deciles(),
+    "decile_inversions": lambda pf: risk.decile_inversions(pf.deciles()),
     "grade_behaviour": _cube(risk.grade_behaviour),
     "gender_segments": _cube(risk.gender_segments),
     "marital_segments": _cube(lambda c, agg: eda.category_drilldown(c, "marital_status", agg)),
