@@ -34,7 +34,9 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     conf = dict(extra or {})
-    if "spark.checkpoint.dir" not in conf:
+    if "spark.checkpoint.dir" not in conf and master.startswith("local"):
+        # Local runs only (tests, bench): a fresh folder per session. On a cluster the
+        # shared folder must come from the cluster's spark.checkpoint.dir.
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
     for k, v in conf.items():
         builder = builder.config(k, v)
