@@ -101,9 +101,7 @@ class Portfolio:
 
     def register_views(self, prefix: str = "") -> None:
         """Expose the tables to Spark SQL (BI-style pulls re-run on the mart)."""
-        for name in ("staging_raw_credit_data", "dim_customers", "fact_repayment_history",
-                     "fact_statements", "fact_credit_risk"):
-            df = self.staging if name == "staging_raw_credit_data" else getattr(self, name)
+        for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)
         self.mart.createOrReplaceTempView(prefix + "risk_mart")
 
@@ -125,15 +123,8 @@ def build(staging: DataFrame, lenient: bool = False, persist: bool = True) -> Po
 def write_star_schema(pf: Portfolio, root: str) -> dict[str, str]:
     """Persist the five tables under ``root`` (overwrite = idempotent rebuild),
     written in dependency order like the DDL: staging, dimension, facts, feature fact."""
-    tables = {
-        "staging_raw_credit_data": pf.staging,
-        "dim_customers": pf.dim_customers,
-        "fact_repayment_history": pf.fact_repayment_history,
-        "fact_statements": pf.fact_statements,
-        "fact_credit_risk": pf.fact_credit_risk,
-    }
     paths = {}
-    for name, df in tables.items():
+    for name, df in pf.tables().items():
         paths[name] = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
     return paths
