@@ -143,3 +143,17 @@ def test_csv_ids_follow_file_order_across_part_files(spark):
     assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == 3
     back = rawio.read_raw_csv(spark, out)
     assert back.exceptAll(pf.staging.select(*back.columns)).count() == 0
+
+
+def test_register_views_answers_sql(spark):
+    """The star-schema tables and the BI views are queryable by name."""
+    from ledgerlens.operators.segments import CUBE
+    from ledgerlens.plans import kpi
+
+    pf = mart.load(spark, SF_SMALL)
+    pf.register_views(prefix="v_")
+    kpi.register_views(pf.cube, CUBE, prefix="v_")
+    n = pf.mart.count()
+    assert spark.sql("SELECT COUNT(*) FROM v_fact_credit_risk").collect()[0][0] == n
+    assert spark.sql("SELECT SUM(accounts) FROM v_vw_risk_grade_summary").collect()[0][0] == n
+    assert spark.sql("SELECT total_accounts FROM v_vw_dashboard_kpi_summary").collect()[0][0] == n
