@@ -220,8 +220,14 @@ def _reconcile_sql() -> str:
   FROM lng l JOIN mart w USING (customer_id)
 ), lng3 AS (
   SELECT *, worst * 1000 + late * 500 + (CASE WHEN util > 800 THEN (util - 800) * 2 ELSE 0 END)
-            + (CASE WHEN ratio < 300 THEN (300 - ratio) * 3 ELSE 0 END) AS score
+            + (CASE WHEN ratio < 300 THEN (300 - ratio) * 3 ELSE 0 END) AS score,
+         {_stage_sql('cur')} AS stage,
+         CASE WHEN lower(default_raw) = 'yes' THEN 1 ELSE 0 END AS flag
   FROM lng2
+), lng4 AS (
+  SELECT *, CASE WHEN score < 500 THEN 'A - Low Risk' WHEN score < 1500 THEN 'B - Moderate Risk'
+                 WHEN score < 3000 THEN 'C - High Risk' ELSE 'D - Severe Risk' END AS grade
+  FROM lng3
 )
 SELECT COUNT(*) AS customers_compared,
        COUNT(*) FILTER (WHERE w.customer_id IS NULL) AS only_long,
@@ -231,8 +237,11 @@ SELECT COUNT(*) AS customers_compared,
          OR l.late IS DISTINCT FROM w.months_delinquent_6mo OR l.avgd IS DISTINCT FROM w.avg_dpd_c
          OR l.bill IS DISTINCT FROM w.bill_c OR l.paid IS DISTINCT FROM w.paid_c
          OR l.ratio IS DISTINCT FROM w.ratio_m OR l.util IS DISTINCT FROM w.util_m
-         OR l.score IS DISTINCT FROM w.score_c)) AS customers_differing
-FROM lng3 l FULL OUTER JOIN mart w ON l.customer_id = w.customer_id"""
+         OR l.score IS DISTINCT FROM w.score_c OR l.stage IS DISTINCT FROM w.collections_stage
+         OR l.grade IS DISTINCT FROM w.risk_grade OR l.flag IS DISTINCT FROM w.default_flag)) AS customers_differing,
+       CAST(COALESCE(SUM(CASE WHEN l.customer_id IS NOT NULL AND w.customer_id IS NOT NULL
+            THEN (CASE WHEN l.cur IS DISTINCT FROM w.current_dpd THEN 1 ELSE 0 END) + (CASE WHEN l.worst IS DISTINCT FROM w.worst_dpd_6mo THEN 1 ELSE 0 END) + (CASE WHEN l.late IS DISTINCT FROM w.months_delinquent_6mo THEN 1 ELSE 0 END) + (CASE WHEN l.avgd IS DISTINCT FROM w.avg_dpd_c THEN 1 ELSE 0 END) + (CASE WHEN l.bill IS DISTINCT FROM w.bill_c THEN 1 ELSE 0 END) + (CASE WHEN l.paid IS DISTINCT FROM w.paid_c THEN 1 ELSE 0 END) + (CASE WHEN l.ratio IS DISTINCT FROM w.ratio_m THEN 1 ELSE 0 END) + (CASE WHEN l.util IS DISTINCT FROM w.util_m THEN 1 ELSE 0 END) + (CASE WHEN l.score IS DISTINCT FROM w.score_c THEN 1 ELSE 0 END) + (CASE WHEN l.stage IS DISTINCT FROM w.collections_stage THEN 1 ELSE 0 END) + (CASE WHEN l.grade IS DISTINCT FROM w.risk_grade THEN 1 ELSE 0 END) + (CASE WHEN l.flag IS DISTINCT FROM w.default_flag THEN 1 ELSE 0 END) END), 0) AS BIGINT) AS columns_differing
+FROM lng4 l FULL OUTER JOIN mart w ON l.customer_id = w.customer_id"""
 
 
 def _segment(keys: str, metrics: str, having: str = "") -> str:

@@ -197,7 +197,8 @@ def reconcile_long_wide(pf: Portfolio) -> DataFrame:
     """Q17: the SQL-shaped long derivation vs the wide one, per customer.
 
     Null-safe full outer join on customer_id; counts customers present on one side
-    only and customers whose any feature column differs."""
+    only, customers whose any feature column differs, and differing (customer, column)
+    cells in total."""
     long = features.long_path_fact(pf.fact_repayment_history, pf.fact_statements,
                                    pf.dim_customers, pf.staging, pf.lenient)
     wide = pf.fact_credit_risk
@@ -205,14 +206,13 @@ def reconcile_long_wide(pf: Portfolio) -> DataFrame:
     l = long.select("customer_id", *[F.col(c).alias(f"l_{c}") for c in cols], F.lit(1).alias("in_long"))
     w = wide.select("customer_id", *[F.col(c).alias(f"w_{c}") for c in cols], F.lit(1).alias("in_wide"))
     j = l.join(w, "customer_id", "full_outer")
-    diff_any = None
-    for c in cols:
-        d = ~F.col(f"l_{c}").eqNullSafe(F.col(f"w_{c}"))
-        diff_any = d if diff_any is None else (diff_any | d)
+    diffs = [(~F.col(f"l_{c}").eqNullSafe(F.col(f"w_{c}"))).cast("int") for c in cols]
+    n_diff = sum(diffs[1:], diffs[0])
     both = F.col("in_long").isNotNull() & F.col("in_wide").isNotNull()
     return j.agg(
         F.count(F.lit(1)).cast("bigint").alias("customers_compared"),
         F.count_if(F.col("in_wide").isNull()).cast("bigint").alias("only_long"),
         F.count_if(F.col("in_long").isNull()).cast("bigint").alias("only_wide"),
-        F.count_if(both & diff_any).cast("bigint").alias("customers_differing"),
+        F.count_if(both & (n_diff > 0)).cast("bigint").alias("customers_differing"),
+        F.coalesce(F.sum(F.when(both, n_diff)), F.lit(0)).cast("bigint").alias("columns_differing"),
     )

@@ -151,3 +151,15 @@ def test_monthly_bills_with_a_hot_order(spark):
     for k, g in pdf.groupby("k"):
         want[k] = tuple(int(g[g.ln == i].c.sum()) for i in range(1, 7))
     assert got == want
+
+
+def test_reconciliation_detects_a_tampered_account(spark):
+    from pyspark.sql import functions as F
+
+    pf = mart.load(spark, SF_SMALL)
+    victim = pf.mart.where(F.col("risk_score") == 0).agg(F.min("customer_id")).collect()[0][0]
+    tampered = pf.mart.withColumn(
+        "risk_score", F.when(F.col("customer_id") == victim, F.col("risk_score") + F.lit(0.01).cast("decimal(8,2)"))
+        .otherwise(F.col("risk_score")).cast("decimal(8,2)"))
+    r = mart.reconcile_long_wide(mart.Portfolio(staging=pf.staging, mart=tampered, lenient=False)).collect()[0]
+    assert (r["customers_differing"], r["columns_differing"], r["only_long"], r["only_wide"]) == (1, 1, 0, 0)
