@@ -57,7 +57,7 @@ def _mart(fn) -> Report:
 def _view(name: str) -> Report:
     """Pull a BI view by name, as a BI client would (re-runs the aggregate)."""
     def run(pf: Portfolio) -> DataFrame:
-        kpi.register_views(pf.cube, CUBE)
+        pf.register_bi_views()
         return pf.mart.sparkSession.table(name)
     return run
 
