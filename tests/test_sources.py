@@ -157,3 +157,19 @@ def test_register_views_answers_sql(spark):
     assert spark.sql("SELECT COUNT(*) FROM v_fact_credit_risk").collect()[0][0] == n
     assert spark.sql("SELECT SUM(accounts) FROM v_vw_risk_grade_summary").collect()[0][0] == n
     assert spark.sql("SELECT total_accounts FROM v_vw_dashboard_kpi_summary").collect()[0][0] == n
+
+
+def test_csv_columns_matched_by_name(spark):
+    """The delivered CSV may order its columns differently; a missing column is an error."""
+    import pytest
+
+    pf = mart.load(spark, SF_SMALL)
+    src = pf.staging.orderBy("customer_id").drop("customer_id").withColumnRenamed("default_raw", "default")
+    out = os.path.join(_scratch(), "shuffled_cols")
+    rawio.write_csv(src.select(*reversed(src.columns)).coalesce(1), out)
+    back = rawio.read_raw_csv(spark, out)
+    assert back.exceptAll(pf.staging.select(*back.columns)).count() == 0
+    out2 = os.path.join(_scratch(), "missing_col")
+    rawio.write_csv(src.drop("age").coalesce(1), out2)
+    with pytest.raises(ValueError):
+        rawio.read_raw_csv(spark, out2)
