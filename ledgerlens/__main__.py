@@ -34,7 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
-    staging = rawio.read_raw_csv(spark, args.csv) if args.csv else rawio.read_raw_parquet(spark, args.landing)
+    staging = (rawio.read_raw_csv(spark, args.csv, lenient=args.lenient) if args.csv
+               else rawio.read_raw_parquet(spark, args.landing))
     pf = mart.build(staging, lenient=args.lenient)
     keys = args.report or list(REPORTS)
     unknown = sorted(set(keys) - set(REPORTS))

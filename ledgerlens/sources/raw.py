@@ -16,17 +16,20 @@ from ..operators import positions
 from ..schema import CSV_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 
 
-def read_raw_csv(spark: SparkSession, path: str, header: bool = True, mode: str = "FAILFAST") -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, header: bool = True, lenient: bool = False) -> DataFrame:
     """CSV in the delivered shape (CSV_SCHEMA columns, any order) -> landing rows (RAW_SCHEMA).
 
     Columns are matched by header name, read as text (no inference) and cast to the declared
-    types; with ANSI casts a malformed number fails the load, like the typed bulk load."""
+    types. Strict: a malformed number or a malformed line fails the load, like the typed bulk
+    load. Lenient: the value becomes NULL (``try_cast``) and the audits report it."""
+    mode = "PERMISSIVE" if lenient else "FAILFAST"
     text = spark.read.option("header", header).option("mode", mode).csv(path)
     missing = [f.name for f in CSV_SCHEMA.fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"CSV at {path} lacks column(s): {', '.join(missing)}")
     ordered = text.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in CSV_SCHEMA.fields],
+        *[(F.col(f"`{f.name}`").try_cast(f.dataType) if lenient else F.col(f"`{f.name}`").cast(f.dataType))
+          .alias(f.name) for f in CSV_SCHEMA.fields],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),

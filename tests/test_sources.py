@@ -173,3 +173,17 @@ def test_csv_columns_matched_by_name(spark):
     rawio.write_csv(src.drop("age").coalesce(1), out2)
     with pytest.raises(ValueError):
         rawio.read_raw_csv(spark, out2)
+
+
+def test_csv_lenient_mode_nulls_bad_values(spark):
+    d = _scratch()
+    from ledgerlens.schema import CSV_SCHEMA
+
+    cols = [f.name for f in CSV_SCHEMA.fields]
+    good = ["50000", "male", "uni", "single", "30"] + ["m+0"] * 6 + ["10.00"] * 14 + ["no"]
+    bad = ["abc"] + good[1:4] + ["x"] + good[5:]
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write(",".join(cols) + "\n" + ",".join(good) + "\n" + ",".join(bad) + "\n")
+    rows = rawio.read_raw_csv(spark, d, lenient=True).orderBy("customer_id").collect()
+    assert [r["customer_id"] for r in rows] == [1, 2]
+    assert rows[0]["credit_limit"] is not None and rows[1]["credit_limit"] is None and rows[1]["age"] is None
