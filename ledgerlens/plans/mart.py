@@ -153,7 +153,9 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
     if variant == "clean":
         pf = build(portfolio.portfolio_raw(spark, sf_dir), lenient=False)
     elif variant == "dirty":
-        pf = build(portfolio.portfolio_dirty(spark, sf_dir), lenient=True)
+        # The audit fixture is defined on the clean landing rows: derive it from the stored
+        # clean landing table (a scan plus a Generate, no second pass over the order tables).
+        pf = build(portfolio.make_dirty(load(spark, sf_dir, "clean").staging), lenient=True)
     else:
         raise ValueError(f"unknown variant {variant!r}")
     _CACHE[key] = pf
