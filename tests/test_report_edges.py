@@ -76,3 +76,27 @@ def test_kpis_with_empty_filters(spark, agg):
     assert r["severe_dpd_accounts"] == 0                   # COUNT FILTER over nothing is 0
     assert r["high_risk_plus_accounts"] == 1 and r["high_risk_default_rate_pct"] == 100.0
     assert r["total_accounts"] == 2 and r["overall_default_rate_pct"] == 50.0
+
+
+def test_top_risk_ties_share_rank_and_cut_is_deterministic(spark):
+    from ledgerlens.plans import risk
+
+    rows = []
+    for band, flags in (("<25", [1, 0]), ("25-34", [1, 0]), ("35-44", [1, 1]), ("45-54", [0, 0])):
+        rows += [dict(age_band=band, default_flag=f) for f in flags]
+    m = _mart(spark, rows)
+    out = _both(risk.top_risk_segments, m, min_accounts=2, top_n=3)
+    got = [(r["age_band"], r["default_rate_pct"], r["risk_rank"])
+           for r in risk.top_risk_segments(m, min_accounts=2, top_n=3).collect()]
+    assert got == [("35-44", 100.0, 1), ("25-34", 50.0, 2), ("<25", 50.0, 2)]
+    assert len(out) == 3
+
+
+def test_grouping_set_marks_null_gender_group(spark):
+    m = _mart(spark, [dict(gender=None), dict(gender="Male"), dict(gender="Female")])
+    rows = _both(kpi.dashboard_refresh, m)
+    gender_rows = [r for r in rows if r["grouping_set"] == "gender"]
+    assert sorted((r["gender"] or "", r["accounts"]) for r in gender_rows) == [("", 1), ("Female", 1), ("Male", 1)]
+    assert {r["grouping_set"] for r in rows} == {"credit_limit_band", "age_band", "education", "marital_status",
+                                                 "gender", "risk_grade", "collections_stage"}
+    assert all(sum(r["accounts"] for r in rows if r["grouping_set"] == g) == 3 for g in {r["grouping_set"] for r in rows})
