@@ -56,14 +56,16 @@ class Portfolio:
         """Segment cube (``segments.build_cube``): counts and exact sums per combination of
         report labels, written once; every segment/KPI/dashboard report re-aggregates it."""
         if self._cube is None:
-            self._cube = materialize(build_cube(self.mart), "segment_cube")
+            # Bounded size (label combinations), so it is also kept in memory; a lost
+            # executor re-reads the written copy.
+            self._cube = materialize(build_cube(self.mart), "segment_cube").cache()
         return self._cube
 
     def deciles(self) -> DataFrame:
         """R6 risk-score deciles, computed once (bounded selection passes) and written;
         the monotonicity check R6b reads the stored ten rows."""
         if self._deciles is None:
-            self._deciles = materialize(risk.risk_deciles(self.mart), "risk_deciles")
+            self._deciles = materialize(risk.risk_deciles(self.mart), "risk_deciles").cache()
         return self._deciles
 
     def tables(self) -> dict[str, DataFrame]:
@@ -80,7 +82,7 @@ class Portfolio:
         """All single-pass audit numbers of the five tables (``quality.profile``), computed
         with one scan per table and written once (a few hundred rows)."""
         if self._profile is None:
-            self._profile = materialize(quality.profile(self.tables()), "audit_profile")
+            self._profile = materialize(quality.profile(self.tables()), "audit_profile").cache()
         return self._profile
 
     def bucketed_star(self, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
