@@ -52,24 +52,30 @@ def tile_of_position(pos: int, n_rows: int, n_tiles: int) -> int:
 MAX_BUCKETS = 1 << 16   # histogram cells collected per refinement round, over all ranges
 
 
-def _select_values(df: DataFrame, col: str, targets: dict[int, tuple[int, int, int, int]],
-                   fanout: int, max_buckets: int = MAX_BUCKETS) -> dict[int, tuple[int, int]]:
+def _select_values(df: DataFrame, col: str, targets: dict[int, tuple], fanout: int,
+                   max_buckets: int = MAX_BUCKETS) -> dict[int, tuple[int, int, int]]:
     """Order statistics by histogram refinement.
 
-    ``targets``: {target: (tag, rank, lo, hi)} -- find the value v of ``col`` holding
-    0-based ``rank`` among the rows with ``_tag == tag`` and lo <= col <= hi, ascending.
-    Returns {target: (v, residual)} where residual is the rank among rows equal to v.
-    Ranges of one tag are identical or disjoint at every round, so each row feeds at
-    most one histogram. Each round splits every open range into at most
-    max(fanout, max_buckets // #ranges) buckets, so it collects at most
+    ``targets``: {target: (tag, rank, lo, hi[, rows])} -- find the value v of ``col``
+    holding 0-based ``rank`` among the rows with ``_tag == tag`` and lo <= col <= hi,
+    ascending; ``rows`` is the number of such rows when already known. Returns
+    {target: (v, residual, ties)}: residual is the rank among the ``ties`` rows equal to v.
+
+    Ranges of one tag are identical or disjoint at every round, so each row feeds at most
+    one histogram. Each round splits an open range into at most
+    split = max(fanout, max_buckets // #ranges) buckets, or straight into single values
+    when the range is known to hold at most ``split`` rows (a histogram never returns more
+    non-empty cells than rows). Either way a round collects at most
     max(#ranges * fanout, max_buckets) counts whatever the data size.
     """
-    pending = dict(targets)
-    found: dict[int, tuple[int, int]] = {}
+    pending = {t: (tuple(v) + (None,))[:5] for t, v in targets.items()}
+    found: dict[int, tuple[int, int, int]] = {}
     while pending:
-        ranges = sorted({(tag, lo, hi) for tag, _, lo, hi in pending.values()})
+        ranges = sorted({(tag, lo, hi) for tag, _, lo, hi, _ in pending.values()})
         split = max(fanout, max_buckets // len(ranges))
-        width = {r: max(1, -(-(r[2] - r[1] + 1) // split)) for r in ranges}
+        rows = {(tag, lo, hi): n for tag, _, lo, hi, n in pending.values() if n is not None}
+        width = {r: 1 if rows.get(r) is not None and rows[r] <= split
+                 else max(1, -(-(r[2] - r[1] + 1) // split)) for r in ranges}
         rid = bucket = None
         for i, r in enumerate(ranges):
             tag, lo, hi = r
@@ -83,7 +89,7 @@ def _select_values(df: DataFrame, col: str, targets: dict[int, tuple[int, int, i
         for row in hist:
             by_range.setdefault(row["_r"], []).append((row["_b"], row["count"]))
         nxt = {}
-        for target, (tag, rank, lo, hi) in pending.items():
+        for target, (tag, rank, lo, hi, _) in pending.items():
             r = (tag, lo, hi)
             w = width[r]
             seen = 0
@@ -92,9 +98,9 @@ def _select_values(df: DataFrame, col: str, targets: dict[int, tuple[int, int, i
                     b_lo = lo + b * w
                     b_hi = min(hi, b_lo + w - 1)
                     if b_lo == b_hi:
-                        found[target] = (b_lo, rank - seen)
+                        found[target] = (b_lo, rank - seen, cnt)
                     else:
-                        nxt[target] = (tag, rank - seen, b_lo, b_hi)
+                        nxt[target] = (tag, rank - seen, b_lo, b_hi, cnt)
                     break
                 seen += cnt
             else:
@@ -119,17 +125,18 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
         return df.withColumn(out_col, F.lit(1))
     # 1) order value at every boundary position (all boundaries in the same passes).
     kv = _select_values(base.withColumn("_tag", F.lit(0)), "_k",
-                        {t: (0, p, stats["klo"], stats["khi"]) for t, p in enumerate(bounds)},
+                        {t: (0, p, stats["klo"], stats["khi"], stats["n"]) for t, p in enumerate(bounds)},
                         fanout, max_buckets)
     # 2) tie-break id inside the boundary's order value; boundaries on the same value share a tag.
-    values = sorted({v for v, _ in kv.values()})
+    values = sorted({v for v, _, _ in kv.values()})
     tag = None
     for i, v in enumerate(values):
         hit = F.col("_k") == F.lit(v)
         tag = F.when(hit, F.lit(i)) if tag is None else tag.when(hit, F.lit(i))
     ties = base.where(F.col("_k").isin(values)).select(tag.alias("_tag"), F.col(id_col).alias("_id"))
     ids = _select_values(ties, "_id",
-                         {t: (values.index(v), res, stats["ilo"], stats["ihi"]) for t, (v, res) in kv.items()},
+                         {t: (values.index(v), res, stats["ilo"], stats["ihi"], n_ties)
+                          for t, (v, res, n_ties) in kv.items()},
                          fanout, max_buckets)
     # 3) narrow labelling: 1 + number of boundary keys <= the row's key.
     tile = F.lit(1)
@@ -152,18 +159,19 @@ def order_statistics(df: DataFrame, keys: dict[str, Column], ranks: dict[str, li
         len(names), ", ".join(f"{i}, _v{i}" for i in range(len(names))))
     long = (df.select(*[keys[n].cast("bigint").alias(f"_v{i}") for i, n in enumerate(names)])
             .select(F.expr(stack)).where(F.col("_k").isNotNull()))
-    bounds = {r["_tag"]: (r["lo"], r["hi"]) for r in
-              long.groupBy("_tag").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi")).collect()}
+    bounds = {r["_tag"]: (r["lo"], r["hi"], r["n"]) for r in
+              long.groupBy("_tag").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi"),
+                                       F.count(F.lit(1)).alias("n")).collect()}
     targets, index = {}, {}
     for i, n in enumerate(names):
         if i not in bounds:
             continue
         for r in sorted(set(ranks.get(n, []))):
             index[len(targets)] = (n, r)
-            targets[len(targets)] = (i, r, bounds[i][0], bounds[i][1])
+            targets[len(targets)] = (i, r, bounds[i][0], bounds[i][1], bounds[i][2])
     got = _select_values(long, "_k", targets, fanout, max_buckets) if targets else {}
     out: dict[str, dict[int, int]] = {n: {} for n in names}
-    for t, (v, _) in got.items():
+    for t, (v, _, _) in got.items():
         n, r = index[t]
         out[n][r] = v
     return out
