@@ -57,3 +57,12 @@ def test_row_number_contiguous_in_order(spark):
     out = positions.with_row_number(df, "rn", order_by=["k"]).collect()
     got = sorted((r["k"], r["rn"]) for r in out)
     assert [rn for _, rn in got] == list(range(1, 501))
+
+
+def test_ntile_with_sparse_huge_ids(spark):
+    """Tie groups with few rows but a huge id range are resolved to single values directly."""
+    rows = [(i * 10 ** 9 + 7, i % 3) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, v long")
+    got = positions.ntile(df, 10, F.col("v"), "id", out_col="t", fanout=64, max_buckets=512)
+    want = df.withColumn("t", F.ntile(10).over(Window.orderBy("v", "id")))
+    assert {r["id"]: r["t"] for r in got.collect()} == {r["id"]: r["t"] for r in want.collect()}
