@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, quality, unpivot
-from ..operators.segments import CUBE, build_cube
+from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
 from ..session import app_id, materialize, scratch_path
 from ..sources import portfolio
-from . import kpi, risk
+from . import risk
 
 
 @dataclass
@@ -33,7 +33,6 @@ class Portfolio:
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
-    _views: bool = False
 
     @property
     def dim_customers(self) -> DataFrame:
@@ -102,12 +101,6 @@ class Portfolio:
             self._star = (fact, dim)
         return self._star
 
-    def register_bi_views(self) -> None:
-        """The four BI views (temp views over the segment cube), registered once."""
-        if not self._views:
-            kpi.register_views(self.cube, CUBE)
-            self._views = True
-
     def register_views(self, prefix: str = "") -> None:
         """Expose the tables to Spark SQL (BI-style pulls re-run on the mart)."""
         for name, df in self.tables().items():

@@ -57,7 +57,9 @@ def _mart(fn) -> Report:
 def _view(name: str) -> Report:
     """Pull a BI view by name, as a BI client would (re-runs the aggregate)."""
     def run(pf: Portfolio) -> DataFrame:
-        pf.register_bi_views()
+        # Temp view names are session-global: (re)bind this view to this portfolio right
+        # before the pull, so several portfolios in one session never read each other's view.
+        kpi.VIEWS[name](pf.cube, CUBE).createOrReplaceTempView(name)
         return pf.mart.sparkSession.table(name)
     return run
 

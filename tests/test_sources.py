@@ -187,3 +187,14 @@ def test_csv_lenient_mode_nulls_bad_values(spark):
     rows = rawio.read_raw_csv(spark, d, lenient=True).orderBy("customer_id").collect()
     assert [r["customer_id"] for r in rows] == [1, 2]
     assert rows[0]["credit_limit"] is not None and rows[1]["credit_limit"] is None and rows[1]["age"] is None
+
+
+def test_views_follow_the_portfolio_they_are_pulled_for(spark):
+    """Two portfolios in one session: each pull of a BI view reads its own portfolio."""
+    from ledgerlens.plans.registry import REPORTS
+    from tests.conftest import SF_ORACLE
+
+    small, big = mart.load(spark, SF_SMALL), mart.load(spark, SF_ORACLE)
+    for pf in (small, big, small):
+        total = REPORTS["vw_dashboard_kpi_summary"](pf).collect()[0]["total_accounts"]
+        assert total == pf.mart.count()
