@@ -66,3 +66,15 @@ def test_ntile_with_sparse_huge_ids(spark):
     got = positions.ntile(df, 10, F.col("v"), "id", out_col="t", fanout=64, max_buckets=512)
     want = df.withColumn("t", F.ntile(10).over(Window.orderBy("v", "id")))
     assert {r["id"]: r["t"] for r in got.collect()} == {r["id"]: r["t"] for r in want.collect()}
+
+
+def test_catalogue_surrogate_key_over_landing_rows(spark):
+    from ledgerlens.plans import mart
+    from ledgerlens.plans.registry import REPORTS
+    from tests.conftest import SF_SMALL
+
+    clean = REPORTS["surrogate_key"](mart.load(spark, SF_SMALL)).collect()
+    assert all(r["row_id"] == r["customer_id"] for r in clean)
+    dirty_pf = mart.load(spark, SF_SMALL, "dirty")
+    ids = sorted(r["row_id"] for r in REPORTS["surrogate_key"](dirty_pf).collect())
+    assert ids == list(range(1, dirty_pf.staging.count() + 1))
