@@ -16,7 +16,8 @@ from ..operators import positions
 from ..schema import CSV_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 
 
-def read_raw_csv(spark: SparkSession, path: str, header: bool = True, lenient: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, header: bool = True, lenient: bool = False,
+                 allow_extra_columns: bool = False) -> DataFrame:
     """CSV in the delivered shape (CSV_SCHEMA columns, any order) -> landing rows (RAW_SCHEMA).
 
     Columns are matched by header name, read as text (no inference) and cast to the declared
@@ -27,6 +28,11 @@ def read_raw_csv(spark: SparkSession, path: str, header: bool = True, lenient: b
     missing = [f.name for f in CSV_SCHEMA.fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"CSV at {path} lacks column(s): {', '.join(missing)}")
+    # Raw schema only: an already engineered file (mapped labels such as 'Graduate School')
+    # would silently turn into 'Unknown' labels, so extra columns are refused by default.
+    extra = [c for c in text.columns if c not in CSV_SCHEMA.names]
+    if extra and not allow_extra_columns:
+        raise ValueError(f"CSV at {path} is not the raw delivery; unexpected column(s): {', '.join(extra)}")
     ordered = text.select(
         *[(F.col(f"`{f.name}`").try_cast(f.dataType) if lenient else F.col(f"`{f.name}`").cast(f.dataType))
           .alias(f.name) for f in CSV_SCHEMA.fields],

@@ -198,3 +198,17 @@ def test_views_follow_the_portfolio_they_are_pulled_for(spark):
     for pf in (small, big, small):
         total = REPORTS["vw_dashboard_kpi_summary"](pf).collect()[0]["total_accounts"]
         assert total == pf.mart.count()
+
+
+def test_engineered_csv_is_refused_as_raw_input(spark):
+    """Loading the engineered output as if it were the raw delivery is refused (mapped labels
+    would otherwise fall to 'Unknown')."""
+    import pytest
+
+    from ledgerlens.operators import features
+
+    pf = mart.load(spark, SF_SMALL)
+    out = os.path.join(_scratch(), "engineered")
+    rawio.write_csv(features.engineered_wide(pf.staging).coalesce(1), out)
+    with pytest.raises(ValueError, match="not the raw delivery"):
+        rawio.read_raw_csv(spark, out)
