@@ -58,9 +58,13 @@ def test_dpd_bucket(spark):
     assert _col(spark, [7, 8, 9, 0], "int", enc.dpd_bucket) == ["7 months", "8+ months", "8+ months", "0 months"]
 
 
+def _dec(x):
+    return None if x is None else Decimal(x)
+
+
 def _raw_row(limit="100000", codes=("m+0",) * 6, bills=("0",) * 6, pays=("0",) * 6, avg_balance="0"):
     row = [1, Decimal(limit), "male", "uni", "single", 30, *codes,
-           *[Decimal(b) for b in bills], *[Decimal(p) for p in pays], Decimal(avg_balance), Decimal("0"), "no"]
+           *[_dec(b) for b in bills], *[_dec(p) for p in pays], Decimal(avg_balance), Decimal("0"), "no"]
     return row
 
 
@@ -116,3 +120,13 @@ def test_avg_dpd_half_up(spark):
 def test_null_code_counts_as_current(spark):
     r = _features(spark, [_raw_row(codes=(None,) + ("m+0",) * 5)])[0]
     assert r["current_dpd"] == 0 and r["collections_stage"] == "1-Current"
+
+
+def test_null_money_sums_skip_nulls(spark):
+    """SUM skips NULL amounts; all-NULL bills give a NULL total and the ratio's ELSE branch."""
+    row = _raw_row(bills=("100.00", None, "50.00", None, None, None), pays=("30.00",) + (None,) * 5)
+    row_all_null = _raw_row(bills=(None,) * 6, pays=(None,) * 6)
+    r, z = _features(spark, [row, row_all_null], lenient=True)
+    assert r["total_bill_6mo"] == Decimal("150.00") and r["total_paid_6mo"] == Decimal("30.00")
+    assert r["payment_to_bill_ratio"] == Decimal("0.200")
+    assert z["total_bill_6mo"] is None and z["payment_to_bill_ratio"] == Decimal("1.000")
