@@ -1,10 +1,11 @@
 """Build and persist the star schema (S2-S4, S6) and the denormalised risk mart.
 
 Plan shape:  scan orders + lineitem -> union/aggregate (1 exchange) -> landing
-table (written) -> narrow feature projection -> mart (written). Reports read the
-written mart with column pruning, so every report is one partial/final aggregate
-over a handful of columns. Written tables live in the shared scratch folder
-(``spark.checkpoint.dir``): they cut lineage and survive executor loss.
+table (written) -> narrow feature projection -> mart (written) -> segment cube
+(one aggregate, written on first use). Segment/KPI/dashboard reports re-aggregate
+the small cube; row-level reports and deciles read the mart with column pruning.
+Written tables live in the shared scratch folder (``spark.checkpoint.dir``): they
+cut lineage and survive executor loss.
 """
 
 from __future__ import annotations
