@@ -10,10 +10,11 @@ Tile sizes are fixed by the row count N alone: with ``b = N div n`` and
 ``P_t = t*b + min(t, r)``. A row's tile is ``1 + #{t : key(P_t) <= its key}``,
 where ``key(P)`` is the (order value, tie-break id) of the row at position P.
 The n-1 boundary keys are found by histogram refinement: each pass groups the
-rows that can still hold a boundary into at most ``fanout`` value buckets per
-boundary and narrows every boundary to one bucket. A pass is a scan plus a
-partial aggregate, and it returns at most ``(n-1) * fanout`` counts to the driver,
-a bound set by the parameters and independent of the data. The final pass labels
+rows that can still hold a boundary into value buckets and narrows every boundary
+to one bucket (or straight to one value when its range is known to hold few rows).
+A pass is a scan plus a partial aggregate, and it returns at most
+max((n-1) * fanout, max_buckets) counts to the driver, a bound set by the
+parameters and independent of the data. The final pass labels
 every row with its tile in a narrow projection, so the report aggregate runs
 partial/final like any other group-by. Ties of the order value (one value may hold
 a third of all rows) are split by the id, never by a single task.
