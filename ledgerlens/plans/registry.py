@@ -5,7 +5,8 @@ source: the order tables, a delivered CSV, a stored landing table). ``QUERIES``
 the driver contract on top of it: (spark, sf_dir) -> DataFrame, with the portfolio
 derived from the order tables in ``sf_dir`` (the audits use the dirty fixture so
 they have findings), and results normalised for comparison with the SQL oracle:
-DECIMAL -> DOUBLE, integral -> BIGINT. Library functions keep the DDL types.
+DECIMAL -> DOUBLE, integral -> BIGINT (nullable integral columns -> DOUBLE). Library
+functions keep the DDL types.
 """
 
 from __future__ import annotations
