@@ -36,9 +36,14 @@ def main() -> None:
     mart.load(spark, sf_dir, "dirty")
     times["mart_build_dirty"] = time.perf_counter() - t0
 
+    errors: dict[str, str] = {}
     for key, fn in QUERIES.items():
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001 - report every key; one failure must not hide the rest
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         times[key] = time.perf_counter() - t0
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -51,6 +56,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "n_queries": len(QUERIES),
+        "n_failed": len(errors),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
