@@ -78,3 +78,15 @@ def test_catalogue_surrogate_key_over_landing_rows(spark):
     dirty_pf = mart.load(spark, SF_SMALL, "dirty")
     ids = sorted(r["row_id"] for r in REPORTS["surrogate_key"](dirty_pf).collect())
     assert ids == list(range(1, dirty_pf.staging.count() + 1))
+
+
+@pytest.mark.parametrize("n_tiles", [3, 10, 97])
+def test_ntile_randomized_against_window(spark, n_tiles):
+    rnd = random.Random(n_tiles)
+    ids = rnd.sample(range(1, 10 ** 7), 20000)
+    rows = [(i, 0 if rnd.random() < 1 / 3 else rnd.randrange(-500, 500)) for i in ids]
+    df = spark.createDataFrame(rows, "id long, v long").repartition(7)
+    got = positions.ntile(df, n_tiles, F.col("v"), "id", out_col="t", fanout=16, max_buckets=64)
+    want = df.withColumn("t", F.ntile(n_tiles).over(Window.orderBy("v", "id")))
+    diff = got.select("id", "t").exceptAll(want.select("id", "t")).count()
+    assert diff == 0
