@@ -113,20 +113,26 @@ def pk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_S
 def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_SPECS) -> DataFrame:
     """Q10: child rows whose key has no parent row.
 
-    The child is first reduced to (key, rows) with map-side aggregation, so the
-    anti-join shuffles distinct keys only and no key can skew a task."""
+    Each child is first reduced to (key, rows) with map-side aggregation, so only distinct
+    keys cross the shuffle and no key can skew a task. Children of the same parent are
+    unioned (tagged by name) and checked with ONE anti-join against that parent's keys,
+    so a parent shared by several children is shuffled once, not once per child."""
+    by_parent: dict[tuple[str, str], list[str]] = {}
+    for name in tables:
+        parent = specs[name].parent
+        if parent is not None and parent[0] in tables:
+            by_parent.setdefault(parent, []).append(name)
     out = []
-    for name, df in tables.items():
-        spec = specs[name]
-        if spec.parent is None or spec.parent[0] not in tables:
-            continue
-        parent, key = spec.parent
-        child_keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        parent_keys = tables[parent].select(key).distinct()
-        orphans = child_keys.join(parent_keys, key, "left_anti")
-        out.append(orphans.agg(
-            F.lit(name).alias("child_table"), F.lit(parent).alias("parent_table"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows")))
+    for (parent, key), children in by_parent.items():
+        child_keys = _union([
+            tables[c].groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("_child"), key, "n")
+            for c in children])
+        orphans = child_keys.join(tables[parent].select(key).distinct(), key, "left_anti")
+        wide = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("_child") == c, F.col("n"))), F.lit(0))
+                             .cast("bigint").alias(f"o{i}") for i, c in enumerate(children)])
+        stack = "stack({}, {}) AS (child_table, parent_table, orphan_rows)".format(
+            len(children), ", ".join(f"'{c}', '{parent}', o{i}" for i, c in enumerate(children)))
+        out.append(wide.select(F.expr(stack)))
     return _union(out)
 
 

@@ -172,3 +172,20 @@ def test_every_report_runs_on_the_dirty_portfolio(spark):
     pf = mart.load(spark, SF_SMALL, "dirty")
     for key, fn in REPORTS.items():
         assert fn(pf).count() >= 0, key
+
+
+def test_fk_audit_counts_orphans_per_child(spark):
+    from ledgerlens.operators import quality
+
+    def keys(*ks):
+        return spark.createDataFrame([(k,) for k in ks], "customer_id long")
+
+    tables = {
+        "staging_raw_credit_data": keys(1, 2, 3),
+        "dim_customers": keys(1, 2, 9),                 # 9 has no staging row
+        "fact_repayment_history": keys(1, 1, 4, 4, 4),  # 4 has no dim row (3 rows)
+        "fact_statements": keys(2),
+        "fact_credit_risk": keys(3, 3),                 # 3 has no dim row (2 rows)
+    }
+    got = {r["child_table"]: r["orphan_rows"] for r in quality.fk_audit(tables).collect()}
+    assert got == {"dim_customers": 1, "fact_repayment_history": 3, "fact_statements": 0, "fact_credit_risk": 2}
