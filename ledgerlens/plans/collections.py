@@ -42,24 +42,31 @@ def _transitions(staging: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
-def roll_rate_matrix(staging: DataFrame, lenient: bool = False) -> DataFrame:
-    """Prior -> current stage counts and the share of the prior stage (J4 as a window
-    over the <= 16 aggregated cells)."""
-    cells = _transitions(staging, lenient).groupBy("prior_stage", "current_stage").agg(
+def transition_cells(staging: DataFrame, lenient: bool = False) -> DataFrame:
+    """(prior_stage, current_stage, accounts): at most 4 x 4 cells whatever the portfolio size."""
+    return _transitions(staging, lenient).groupBy("prior_stage", "current_stage").agg(
         F.count(F.lit(1)).cast("bigint").alias("accounts"))
+
+
+def roll_rate_matrix(staging: DataFrame, lenient: bool = False, cells: DataFrame | None = None) -> DataFrame:
+    """Prior -> current stage counts and the share of the prior stage (J4 as a window
+    over the <= 16 aggregated cells). ``cells`` = stored ``transition_cells`` if at hand."""
+    cells = transition_cells(staging, lenient) if cells is None else cells
     prior_total = F.sum("accounts").over(Window.partitionBy("prior_stage"))
     return cells.select("prior_stage", "current_stage", "accounts",
                         pct(F.col("accounts"), prior_total, 1).alias("pct_of_prior_stage")
                         ).orderBy("prior_stage", "current_stage")
 
 
-def roll_rate_pivot(staging: DataFrame, lenient: bool = False) -> DataFrame:
+def roll_rate_pivot(staging: DataFrame, lenient: bool = False, cells: DataFrame | None = None) -> DataFrame:
     """One row per prior stage, conditional counts per current stage."""
-    n = F.count(F.lit(1))
+    cells = transition_cells(staging, lenient) if cells is None else cells
+    n = F.sum("accounts")
     names = ("to_current_pct", "to_early_pct", "to_mid_pct", "to_severe_pct")
-    aggs = [pct(F.count_if(F.col("current_stage") == F.lit(label)), n, 1).alias(name)
+    aggs = [pct(F.coalesce(F.sum(F.when(F.col("current_stage") == F.lit(label), F.col("accounts"))), F.lit(0)),
+                n, 1).alias(name)
             for label, name in zip(STAGE_LABELS, names)]
-    return (_transitions(staging, lenient).groupBy("prior_stage")
+    return (cells.groupBy("prior_stage")
             .agg(*aggs, n.cast("bigint").alias("total_accounts_in_prior_stage")).orderBy("prior_stage"))
 
 

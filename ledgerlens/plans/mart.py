@@ -20,6 +20,7 @@ from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
 from ..session import app_id, materialize, scratch_path
 from ..sources import portfolio
+from . import collections as coll
 from . import risk
 
 
@@ -33,6 +34,7 @@ class Portfolio:
     _cube: DataFrame | None = None
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None
+    _transitions: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
     @property
@@ -68,6 +70,14 @@ class Portfolio:
             self._deciles = materialize(risk.risk_deciles(self.mart), "risk_deciles").cache()
         return self._deciles
 
+    def transitions(self) -> DataFrame:
+        """Roll-rate cells (prior stage, current stage, accounts): at most 16 rows, written
+        once and kept in memory; both roll-rate reports read them."""
+        if self._transitions is None:
+            self._transitions = materialize(
+                coll.transition_cells(self.staging, self.lenient), "transition_cells").cache()
+        return self._transitions
+
     def tables(self) -> dict[str, DataFrame]:
         """The five tables of the star schema by name."""
         return {

@@ -114,8 +114,8 @@ REPORTS: dict[str, Report] = {
     # collections
     "collections_funnel": _cube(coll.collections_funnel),
     "dpd_distribution": _cube(coll.dpd_distribution),
-    "roll_rate_matrix": lambda pf: coll.roll_rate_matrix(pf.staging, pf.lenient),
-    "roll_rate_pivot": lambda pf: coll.roll_rate_pivot(pf.staging, pf.lenient),
+    "roll_rate_matrix": lambda pf: coll.roll_rate_matrix(pf.staging, pf.lenient, pf.transitions()),
+    "roll_rate_pivot": lambda pf: coll.roll_rate_pivot(pf.staging, pf.lenient, pf.transitions()),
     "exposure_concentration": _cube(coll.exposure_concentration),
     "efficiency_ranking": _cube(coll.efficiency_ranking),
     # KPI and BI views
