@@ -24,6 +24,9 @@ CATEGORY_COLUMNS = ("gender", "education", "marital_status", "timeliness_1")
 # Source columns as delivered in the CSV (no surrogate key; 'default' is default_raw).
 SOURCE_COLUMNS = tuple("default_raw" if f.name == "default" else f.name for f in CSV_SCHEMA.fields)
 DESCRIBE_COLUMNS = SOURCE_COLUMNS[:10]
+# Text columns whose value frequencies serve both the category audit and describe.
+FREQUENCY_COLUMNS = tuple(dict.fromkeys(CATEGORY_COLUMNS + tuple(
+    c for c in DESCRIBE_COLUMNS if c not in ("credit_limit", "age"))))
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -86,8 +89,19 @@ def range_check(raw: DataFrame) -> DataFrame:
                                   F.col("credit_limit").cast("double").alias("credit_limit"))
 
 
-def category_audit(raw: DataFrame, columns=CATEGORY_COLUMNS) -> DataFrame:
-    """Q7: distinct raw values of the categorical columns, one scan (stack + distinct)."""
+def value_frequencies(raw: DataFrame, columns) -> DataFrame:
+    """(column_name, value, n) for text columns, NULL values included: one scan (stack +
+    partial aggregate). Its size is the number of distinct category values, not of rows."""
+    expr = "stack({}, {}) AS (column_name, value)".format(
+        len(columns), ", ".join(f"'{c}', {c}" for c in columns))
+    return raw.select(F.expr(expr)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_audit(raw: DataFrame, columns=CATEGORY_COLUMNS, freq: DataFrame | None = None) -> DataFrame:
+    """Q7: distinct raw values of the categorical columns (NULL included), one scan; or read
+    from a stored ``value_frequencies`` table covering the columns."""
+    if freq is not None:
+        return freq.where(F.col("column_name").isin(list(columns))).select("column_name", "value")
     expr = "stack({}, {}) AS (column_name, value)".format(
         len(columns), ", ".join(f"'{c}', {c}" for c in columns))
     return raw.select(F.expr(expr)).distinct()
@@ -265,22 +279,23 @@ def default_rate(raw: DataFrame) -> DataFrame:
     )
 
 
-def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6) -> DataFrame:
+def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6,
+             freq: DataFrame | None = None) -> DataFrame:
     """Q16: ``describe(include='all')`` of the first source columns, one row per column.
 
     Strings: count, unique, top (most frequent; ties -> smallest value), freq.
     Numbers: count, mean, std (sample), min, exact linear quartiles, max (integral or
     DECIMAL columns; quartiles come from ``positions.quantiles_linear``).
     Mean and std are rounded to ``digits`` places so results do not depend on the
-    summation order of doubles."""
+    summation order of doubles. ``freq``: a stored ``value_frequencies`` table covering the
+    text columns, so their statistics need no further scan."""
     types = dict(raw.dtypes)
     numeric = [c for c in columns if not types[c].startswith("string")]
     text = [c for c in columns if types[c].startswith("string")]
     parts = []
     if text:
-        expr = "stack({}, {}) AS (column_name, value)".format(len(text), ", ".join(f"'{c}', {c}" for c in text))
-        freq = (raw.select(F.expr(expr)).where(F.col("value").isNotNull())
-                .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+        src = freq if freq is not None else value_frequencies(raw, text)
+        freq = src.where(F.col("column_name").isin(text) & F.col("value").isNotNull())
         # top = most frequent value, ties -> smallest value: min_by over (-n, value) is an
         # ordinary partial/final aggregate, so no column's distinct values meet in one task.
         parts.append(freq.groupBy("column_name").agg(

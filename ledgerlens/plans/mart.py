@@ -35,6 +35,7 @@ class Portfolio:
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None
     _transitions: DataFrame | None = None
+    _freq: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
     @property
@@ -78,6 +79,14 @@ class Portfolio:
                 coll.transition_cells(self.staging, self.lenient), "transition_cells").cache()
         return self._transitions
 
+    def value_frequencies(self) -> DataFrame:
+        """(column, value, n) of the landing table's text columns, written once and cached;
+        the category audit and describe both read it."""
+        if self._freq is None:
+            self._freq = materialize(
+                quality.value_frequencies(self.staging, quality.FREQUENCY_COLUMNS), "value_frequencies").cache()
+        return self._freq
+
     def tables(self) -> dict[str, DataFrame]:
         """The five tables of the star schema by name."""
         return {

@@ -89,7 +89,7 @@ REPORTS: dict[str, Report] = {
     "dq_duplicate_keys": lambda pf: quality.duplicate_keys(pf.staging),
     "dq_duplicate_rows": lambda pf: quality.duplicate_rows(pf.staging),
     "dq_range_check": lambda pf: quality.range_check(pf.staging),
-    "dq_category_audit": lambda pf: quality.category_audit(pf.staging),
+    "dq_category_audit": lambda pf: quality.category_audit(pf.staging, freq=pf.value_frequencies()),
     "dq_layer_reconcile": mart.layer_reconcile,
     "dq_pk_audit": lambda pf: quality.pk_audit(pf.tables()),
     "dq_fk_audit": lambda pf: quality.fk_audit(pf.tables()),
@@ -97,7 +97,7 @@ REPORTS: dict[str, Report] = {
     "dq_notnull_audit": lambda pf: quality.notnull_from_profile(pf.audit_profile()),
     "dq_domain_audit": lambda pf: quality.domain_from_profile(pf.audit_profile()),
     "dq_default_rate": lambda pf: quality.default_rate(pf.staging),
-    "dq_describe": lambda pf: quality.describe(pf.staging),
+    "dq_describe": lambda pf: quality.describe(pf.staging, freq=pf.value_frequencies()),
     "reconcile_long_wide": mart.reconcile_long_wide,
     # risk segmentation
     "risk_grade_segments": _cube(risk.risk_grade_segments),

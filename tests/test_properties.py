@@ -189,3 +189,16 @@ def test_fk_audit_counts_orphans_per_child(spark):
     }
     got = {r["child_table"]: r["orphan_rows"] for r in quality.fk_audit(tables).collect()}
     assert got == {"dim_customers": 1, "fact_repayment_history": 3, "fact_statements": 0, "fact_credit_risk": 2}
+
+
+def test_value_frequency_table_serves_category_audit_and_describe(spark):
+    from ledgerlens.operators import quality
+
+    pf = mart.load(spark, SF_SMALL, "dirty")
+    freq = pf.value_frequencies()
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    assert rows(quality.category_audit(pf.staging, freq=freq)) == rows(quality.category_audit(pf.staging))
+    assert rows(quality.describe(pf.staging, freq=freq)) == rows(quality.describe(pf.staging))
