@@ -10,6 +10,7 @@ cut lineage and survive executor loss.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,7 +165,10 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
     ``variant='dirty'`` is the audit fixture (NULLs, zero limits, duplicate rows),
     built in lenient mode so overflow/parse problems become NULLs the audits report.
     """
-    key = (app_id(spark), sf_dir.rstrip("/"), variant)
+    where = sf_dir.rstrip("/")
+    if "://" not in where:  # local path: one cache entry however it is spelled
+        where = os.path.abspath(where)
+    key = (app_id(spark), where, variant)
     hit = _CACHE.get(key)
     if hit is not None:
         return hit
