@@ -108,8 +108,9 @@ def test_duplicate_rows_two_phase_is_exact(spark):
         assert got == brute > 0
     # a group of copies holding a third of the rows
     base = spark.createDataFrame([(i % 3 == 0 and 7 or i, "x") for i in range(3000)], "a long, b string")
-    got = quality.duplicate_rows(base, columns=("a", "b")).collect()[0][0]
-    assert got == 1000  # 1000 rows with i % 3 == 0 plus row 7 share (7, "x")
+    for limit in (0, 10 ** 6):  # hot hash through the shuffled semi-join and the broadcast one
+        got = quality.duplicate_rows(base, columns=("a", "b"), broadcast_limit=limit).collect()[0][0]
+        assert got == 1000  # 1000 rows with i % 3 == 0 plus row 7 share (7, "x")
 
 
 # Measured shape of the derived portfolio as published in FIXTURES.md section 4
