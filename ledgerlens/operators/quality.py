@@ -127,10 +127,11 @@ def pk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_S
 def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_SPECS) -> DataFrame:
     """Q10: child rows whose key has no parent row.
 
-    Each child is first reduced to (key, rows) with map-side aggregation, so only distinct
-    keys cross the shuffle and no key can skew a task. Children of the same parent are
-    unioned (tagged by name) and checked with ONE anti-join against that parent's keys,
-    so a parent shared by several children is shuffled once, not once per child."""
+    Children of the same parent are unioned as (key, child tag) and counted with ONE
+    GROUP BY key (a conditional count per child, aggregated map-side, so a key holding
+    a third of all rows is collapsed before the shuffle). The per-key counts and the
+    parent's distinct keys are both hash-partitioned by the key, so the single anti-join
+    needs no further exchange and the parent is shuffled once, not once per child."""
     by_parent: dict[tuple[str, str], list[str]] = {}
     for name in tables:
         parent = specs[name].parent
@@ -138,12 +139,12 @@ def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_S
             by_parent.setdefault(parent, []).append(name)
     out = []
     for (parent, key), children in by_parent.items():
-        child_keys = _union([
-            tables[c].groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("_child"), key, "n")
-            for c in children])
-        orphans = child_keys.join(tables[parent].select(key).distinct(), key, "left_anti")
-        wide = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("_child") == c, F.col("n"))), F.lit(0))
-                             .cast("bigint").alias(f"o{i}") for i, c in enumerate(children)])
+        tagged = _union([tables[c].select(key, F.lit(i).alias("_child")) for i, c in enumerate(children)])
+        per_key = tagged.groupBy(key).agg(*[F.count_if(F.col("_child") == i).alias(f"n{i}")
+                                            for i in range(len(children))])
+        orphans = per_key.join(tables[parent].select(key).distinct(), key, "left_anti")
+        wide = orphans.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).cast("bigint").alias(f"o{i}")
+                             for i in range(len(children))])
         stack = "stack({}, {}) AS (child_table, parent_table, orphan_rows)".format(
             len(children), ", ".join(f"'{c}', '{parent}', o{i}" for i, c in enumerate(children)))
         out.append(wide.select(F.expr(stack)))
