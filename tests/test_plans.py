@@ -63,3 +63,25 @@ def test_star_join_on_bucketed_tables_has_no_exchange(spark):
         assert joined.count() == pf.mart.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fk_audit_shuffles_each_parent_once(spark):
+    """Three children of dim_customers: one keyed aggregate exchange + one parent exchange,
+    one anti-join (broadcast off so the plan is the large-table one)."""
+    import re
+
+    from ledgerlens.operators import quality
+
+    pf = mart.load(spark, SF_SMALL, "dirty")
+    t = pf.tables()
+    sub = {k: t[k] for k in ("dim_customers", "fact_repayment_history", "fact_statements", "fact_credit_risk")}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(quality.fk_audit(sub))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    assert plan.count("SortMergeJoin") == 1
