@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, packing, topk
+from . import ann, bpe, exact_substring, near_dup, packing, topk
 from .common import table
 
 
@@ -20,11 +20,19 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10, scale=1024)
 
 
+def op5_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_substring.repeat_digests(table(spark, sf_dir, "documents"), length=50)
+
+
 def op10_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.forest_search(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
 
@@ -32,6 +40,8 @@ def op10_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
+    "op5_setsketch_near_dup": op5_setsketch_near_dup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_hash_prefix_forest": op10_hash_prefix_forest,
 }
