@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, exact_substring, near_dup, packing, topk
+from . import ann, bpe, chat, exact_substring, near_dup, packing, topk, url_filter
 from .common import table
 
 
@@ -20,6 +20,22 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10, scale=1024)
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+#: (host, path prefix, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+#: Hosts with one of these words in a label are on the query's host list.
+LISTED_WORDS = ("adult", "ads", "bets", "casino", "pills", "track")
+
+
+def op4_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, URL_RULES, url_filter.hosts_with_words(pages, LISTED_WORDS))
+
+
 def op5_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +56,8 @@ def op10_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_quotation_linking": op3_quotation_linking,
+    "op4_bloom_cascade": op4_bloom_cascade,
     "op5_setsketch_near_dup": op5_setsketch_near_dup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
