@@ -174,10 +174,11 @@ def _least_documents(strings: list[bytes], least: np.ndarray, length: int) -> li
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), block_chars: int = C.BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
+                   carry: tuple[str, ...] = (), as_text: bool = False, block_chars: int = C.BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
     """(id_col, carried columns, n_bytes, n_removed, n_spans, kept binary) per row of ``docs``:
     its text's bytes without those covered by a ``length``-byte string that also starts in a
-    row of smaller id."""
+    row of smaller id. ``as_text``: ``kept`` is a string instead; what a cut leaves of a
+    character goes too."""
     if length < 8:
         raise ValueError("length is at least 8 bytes")
     spark = docs.sparkSession
@@ -191,7 +192,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     full = C.arrow_schema(spark.createDataFrame([], full_type).schema)
     types = [C.type_of(docs, c) for c in carry]
     out_type = ", ".join([f"`{id_col}` bigint", *[f"`{c}` {t}" for c, t in zip(carry, types)],
-                          "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"])
+                          f"n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if as_text else 'binary'}"])
     out_arrow = C.arrow_schema(spark.createDataFrame([], out_type).schema)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,6 +314,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         left = r.sizes - removed
         ends = np.cumsum(left)
         texts_ = [kept[e - k:e] for k, e in zip(left.tolist(), ends.tolist())]
+        if as_text:
+            texts_ = [t.decode("utf-8", "ignore") for t in texts_]
         columns = [[x[f] for x in one["rows"]] for f in fields] + [r.sizes, removed, spans, texts_]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_arrow)], schema=out_arrow)
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, exact_substring, near_dup, packing, topk, url_filter
+from . import ann, bpe, chat, exact_substring, html_extract, language_id, near_dup, packing, topk, url_filter
 from .common import table
 
 
@@ -40,6 +41,10 @@ def op5_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -49,6 +54,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_substring.repeat_digests(table(spark, sf_dir, "documents"), length=50)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify_documents(docs, {"doc_id": F.col("doc_id")})
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over pages, which have all four kinds of evidence."""
+    return language_id.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op10_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.forest_search(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
 
@@ -59,7 +74,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quotation_linking": op3_quotation_linking,
     "op4_bloom_cascade": op4_bloom_cascade,
     "op5_setsketch_near_dup": op5_setsketch_near_dup,
+    "op6_html_main_text": op6_html_main_text,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_language_id": op9_language_id,
+    "page_language_id": page_language_id,
     "op10_hash_prefix_forest": op10_hash_prefix_forest,
 }
