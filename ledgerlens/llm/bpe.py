@@ -18,6 +18,7 @@ columns are not read. A text is one cell, so the longest one bounds a block's me
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import common as C
 
@@ -58,20 +58,54 @@ def _matcher(pattern: str):
                          .replace(r"(?!\S)", rf"(?![^{_WS}])"))
 
 
+class _Crossing(Exception):
+    """A run of white space reaches over a split at a space."""
+
+
 class _Lexicon(dict):
-    """piece -> packed codes of its pre-tokens; ``words`` lists the pre-tokens by code."""
+    """Codes of the pre-tokens, in order of their first occurrence (``codes``).
+
+    A text splits at its spaces into parts, each keeping the space before it; as a key, a part
+    stands without that space. This cuts no pre-token unless other white space touches the
+    space: such a text, and the part before the first space, go by ``_PIECES``."""
 
     def __init__(self, pattern: str):
         super().__init__()
         self.find = _matcher(pattern).findall
         self.codes: dict[str, int] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _code(self, word: str) -> bytes:
+        return self.codes.setdefault(word, len(self.codes)).to_bytes(4, "little")
+
+    def __missing__(self, part: str) -> bytes:
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _Crossing
+        if part.isalpha():
+            got = self._code(" " + part)
+        elif part[-1] in ".,;:!?" and part[:-1].isalpha():
+            got = self._code(" " + part[:-1]) + self._code(part[-1])
+        else:
+            got = b"".join(map(self._code, self.find(" " + part)))
+        self[part] = got
+        return got
 
-    def __missing__(self, piece: str) -> bytes:
-        codes = self.codes
-        got = np.array([codes.setdefault(w, len(codes)) for w in self.find(piece)], "<u4").tobytes()
-        self[piece] = got
+    def _piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            got = self.pieces[piece] = b"".join(map(self._code, self.find(piece)))
         return got
 
+    def packed(self, text: str) -> bytes:
+        """The text's codes, 32-bit little-endian, by position."""
+        first, *parts = text.split(" ")
+        if not first[-1:].isspace():
+            try:
+                return self._piece(first) + b"".join(map(self.__getitem__, parts))
+            except _Crossing:
+                pass
+        return b"".join(map(self._piece, _PIECES.findall(text)))
+
 
 def _buckets(words: list[bytes], n: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % n
@@ -94,8 +128,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         for block, _, texts in C.blocks(batches, block_chars):
             lex = _Lexicon(pattern)
             for t in texts:
-                for piece in dict.fromkeys(_PIECES.findall(t)):
-                    lex[piece]
+                lex.packed(t)
             words = [w.encode() for w in lex.codes]
             of = _buckets(words, n)
             order = np.argsort(of, kind="stable")
@@ -127,7 +160,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, texts in C.blocks(batches, block_chars):
             lex = _Lexicon(pattern)
-            packed = [b"".join(map(lex.__getitem__, _PIECES.findall(t))) for t in texts]
+            packed = [lex.packed(t) for t in texts]
             lengths = C.pack_ints([len(p) // 4 for p in packed])
             codes = C.pack_ints(np.frombuffer(b"".join(packed), "<u4"))
             yield C.batch_of(seq_arrow, [(block, -1, ids, lengths, codes)])
@@ -167,6 +200,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return both.groupBy("block").applyInArrow(reassemble, out_schema)
 
 
+@lru_cache(maxsize=4)
+def _token_bytes(ranks_path: str) -> list[bytes]:
+    ranks = _ranks(ranks_path)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        table[i] = token
+    return table
+
+
+def _joined(lists: pa.Array, table: list[bytes], between: bytes = b"") -> Iterator[bytes | None]:
+    """Each id list through the table; None for a null list."""
+    for ids in lists:
+        ids = ids.values
+        if ids is None:
+            yield None
+            continue
+        a = ids.to_numpy(zero_copy_only=False)
+        if len(a) and (ids.null_count or a.min() < 0 or a.max() >= len(table)):
+            raise ValueError("an id is not in the token-byte table")
+        yield between.join(map(table.__getitem__, a.tolist()))
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its id arrays in ``out_col`` (null for a null array).
 
@@ -175,31 +230,32 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     at = encoded.columns.index(ids_col)
 
     def join_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _ranks(ranks_path)
-        table: list[bytes] = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
-            table[i] = token
         for batch in batches:
-            out = []
-            for ids in batch.column(at):
-                ids = ids.values
-                if ids is None:
-                    out.append(None)
-                    continue
-                a = ids.to_numpy(zero_copy_only=False)
-                if len(a) and (ids.null_count or a.min() < 0 or a.max() >= len(table)):
-                    raise ValueError("an id is not in the token-byte table")
-                out.append(b"".join(map(table.__getitem__, a.tolist())))
-            names = [*batch.schema.names, out_col]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
+            out = pa.array(_joined(batch.column(at), _token_bytes(ranks_path)), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, out_col])
 
     return encoded.mapInArrow(join_bytes, schema)
 
 
+def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
+    """For every row the count of its ids, the hash of their decimal list and the hash of the
+    bytes they decode to, without passing the ids or bytes on. The columns before the ids stay."""
+    kept = encoded.columns[:encoded.columns.index(ids_col)]
+    schema = ", ".join(f"`{c}` {C.type_of(encoded, c)}" for c in kept) + ", n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _token_bytes(ranks_path)
+        decimals = [b"%d" % i for i in range(len(table))]
+        for batch in batches:
+            lists = batch.column(len(kept))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(kept)], lists.value_lengths().cast(pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in _joined(lists, decimals, b",")], pa.string()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in _joined(lists, table)], pa.string())],
+                names=[*kept, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return encoded.select(*kept, ids_col).mapInArrow(hashed, schema)
+
+
 def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """The query's digests: token count, hash of the ids, hash of the decoded bytes."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return both.select(
-        F.col("doc_id").cast("bigint"), F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(encode(docs, ranks_path, pattern), ranks_path)
