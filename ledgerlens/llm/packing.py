@@ -24,6 +24,7 @@ import bisect
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -55,37 +56,50 @@ def _tokenizer(path: str):
     return tok
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte that has no visible Latin-1 character as the next
+    one from U+0100 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(seen)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class _Words(dict):
-    """word -> its ids as packed 32-bit integers."""
+    """word -> its ids as packed 32-bit integers. Words in normal form that the split leaves
+    whole (``whole``) go to the merges directly."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, whole: bool):
         super().__init__()
-        self.tok = _tokenizer(path)
+        self.tok, self.whole, self.letters = _tokenizer(path), whole, _byte_letters()
+        self.merges = self.tok.model
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > _KEEP:
             self.clear()
-        got = self[word] = np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.whole:
+            ids = [t.id for t in self.merges.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.tok.encode(word, add_special_tokens=False).ids
+        got = self[word] = array("I", ids).tobytes()
         return got
 
 
-@lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
-    return _Words(path)
+@lru_cache(maxsize=4)
+def _words(path: str, whole: bool) -> _Words:
+    return _Words(path, whole)
 
 
 def token_ids(text: str | None, path: str) -> bytes:
     """The ids of a text, little-endian unsigned 32-bit. White space never joins tokens, so
     each word is looked up on its own."""
-    words = _words(path)
     text = text or ""
     try:
         plain = not text.encode("latin-1").translate(None, _PLAIN.encode("latin-1"))
     except UnicodeEncodeError:
         plain = False
     if plain:
-        return b"".join(map(words.__getitem__, _SPLIT.findall(text.lower())))
-    return b"".join(map(words.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        return b"".join(map(_words(path, True).__getitem__, _SPLIT.findall(text.lower())))
+    return b"".join(map(_words(path, False).__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
