@@ -18,8 +18,10 @@ lists the pairs of a group:
 3. what is still apart offers all its likely links that no earlier round refused. A group
    that is one component by then offers none.
 
-At 0.75, 48 bands of 4 miss a pair with probability 1e-8, and an estimate over 192 registers
-has a deviation of 0.03, so a slack of 0.15 is five of them.
+A pair is looked at in one bucket only, that of its first agreeing band. At 0.75, 48 bands of
+4 miss a pair with probability 1e-8. The likelihood over 192 registers deviates by 0.03, so a
+slack of 0.15 is five deviations; in the tiles 512 more registers (their low bytes, compared
+for equality) bring that to 0.016, and five of those to 0.08.
 
 Cases: a null or wordless text has an empty set, is its own component and kept; a row without
 an id links with nothing, has no component and is kept; repeated rows share a component, and
@@ -46,6 +48,7 @@ _BASE, _RATE, _TOP = 1.001, 20.0, 65535
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 #: The bitmap that tells which documents' full sets are needed: at most 8 MB.
 _MAX_BITS = 1 << 26
+_FINE = 512
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -68,8 +71,8 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _params(registers: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20)
+def _params(registers: int, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
     return rng.integers(0, 1 << 31, registers, np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, registers, np.uint64).astype(np.uint32)
 
 
@@ -128,8 +131,10 @@ def _node(s: np.ndarray) -> int:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (75, 100), id_col: str = "doc_id",
-                    text_col: str = "text", bands: int = 48, rows: int = 4, slack: float = 0.15, tile: int = 256) -> DataFrame:
+                    text_col: str = "text", bands: int = 48, rows: int = 4, slack: float = 0.15, tile: int = 512) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
+    if bands > 64:
+        raise ValueError("at most 64 bands")
     m = bands * rows
     num, den = threshold
     least = num / den - slack
@@ -147,6 +152,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
             key = np.broadcast_to(salt, reg.shape[:2]).copy()
             for i in range(rows):
                 key = _finish(key + reg[:, :, i] * _MIX[i % 5])
+            key = key & ~np.uint64(63) | np.arange(bands, dtype=np.uint64)  # the band is the key's low bits
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], names=["key", "node"])
 
     keys = nodes.select("node", "registers").mapInArrow(band_keys, "key bigint, node bigint")
@@ -199,10 +205,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         held = labelled(members.where("members > 2").select("key", "node", "members"), "node")
         mixed = held.groupBy("key").agg(F.min("lnode").alias("x"), F.max("lnode").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y")
         part = F.expr(f"pmod(xxhash64(node), ceil(k / {tile}D))")
-        dealt = held.join(mixed.select("key", "k"), "key").join(slim, "node").withColumn("own", part)
+        dealt = held.join(mixed.select("key", "k"), "key").join(slim, "node").join(sets.select("node", "fine"), "node").withColumn("own", part)
         dealt = dealt.withColumn("other", F.explode(F.expr(f"sequence(0L, cast(ceil(k / {tile}D) as bigint) - 1)")))
-        dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "lnode", "n", "registers")
-        pairs = dealt.groupBy("key", "i", "j").applyInArrow(lambda got: _tile_links(got, m, least, num, den, best), "a bigint, b bigint, likely double")
+        dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "lnode", "n", "registers", "fine")
+        pairs = dealt.groupBy("key", "i", "j").applyInArrow(lambda got: _tile_links(got, bands, rows, slack, num, den, best), "a bigint, b bigint, likely double")
         return pairs.groupBy("a", "b").agg(F.max("likely").alias("likely"))
 
     for best in (True, False):
@@ -229,37 +235,47 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
                       (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
-def _tile_links(got: pa.Table, m: int, least: float, num: int, den: int, best: bool) -> pa.Table:
+def _tile_links(got: pa.Table, bands: int, rows: int, slack: float, num: int, den: int, best: bool) -> pa.Table:
     """Likely links across components of one pair of tiles: each node's likeliest, or all."""
+    m, least = bands * rows, num / den - slack
     node, label, n = (got.column(c).to_numpy() for c in ("node", "lnode", "n"))
     own, i, j = got.column("own").to_numpy(), got.column("i")[0].as_py(), got.column("j")[0].as_py()
+    band = got.column("key")[0].as_py() & 63
     reg = _registers(got.column("registers").combine_chunks(), m)
+    fine = np.frombuffer(b"".join(got.column("fine").to_pylist()), np.uint8).reshape(-1, _FINE)
+    close = num / den - 5 * np.sqrt(num / den * (1 - num / den) / (m + _FINE))
     a_side = np.flatnonzero(own == i)
     b_side = a_side if i == j else np.flatnonzero(own == j)
-    out_a, out_b, out_l = [], [], []
+    xs, ys = [], []
     for x in a_side.tolist():
         y = b_side[(label[b_side] != label[x]) & (n[b_side] * den >= n[x] * num) & (n[x] * den >= n[b_side] * num)]
-        if i == j:
-            y = y[node[y] > node[x]] if not best else y
+        y = y[node[y] > node[x]] if i == j else y
         if not len(y):
             continue
-        y = y[(reg[y] == reg[x]).mean(axis=1) >= least - 0.1]  # far below: no need for the likelihood
-        if not len(y):
-            continue
-        like = estimate(np.broadcast_to(reg[x], (len(y), m)), reg[y], np.full(len(y), n[x]), n[y])
-        near = np.flatnonzero(like >= least)
-        if best and len(near):
-            near = near[[np.argmax(like[near])]]
-        lo, hi = np.minimum(node[x], node[y[near]]), np.maximum(node[x], node[y[near]])
-        out_a.append(lo)
-        out_b.append(hi)
-        out_l.append(like[near])
-    join = lambda parts, t: np.concatenate(parts) if parts else np.zeros(0, t)
-    return pa.table({"a": join(out_a, np.int64), "b": join(out_b, np.int64), "likely": join(out_l, np.float64)})
+        same = reg[y] == reg[x]
+        equal = same.sum(axis=1)
+        first = same.reshape(len(y), bands, rows).all(axis=2).argmax(axis=1) == band
+        low = ((fine[y] == fine[x]).sum(axis=1) * 256 - _FINE) / 255  # less the chance hits of a byte
+        y = y[first & (equal + low >= close * (m + _FINE))]
+        xs.append(np.full(len(y), x))
+        ys.append(y)
+    x, y = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (xs, ys))
+    like = np.concatenate([estimate(reg[x[k:k + 4096]], reg[y[k:k + 4096]], n[x[k:k + 4096]], n[y[k:k + 4096]])
+                           for k in range(0, len(x), 4096)]) if len(x) else np.zeros(0)
+    keep = like >= least
+    x, y, like = x[keep], y[keep], like[keep]
+    if best and len(x):
+        first = []
+        for side in (x, y):
+            order = np.lexsort([-like, side])
+            first.append(order[np.append(True, side[order][1:] != side[order][:-1])])
+        keep = np.unique(np.concatenate(first))
+        x, y, like = x[keep], y[keep], like[keep]
+    return pa.table({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y]), "likely": like})
 
 
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, s) for the nodes that share a bucket. A bitmap over (node, document) tells the
+    """(node, s, fine) for the nodes that share a bucket: set and further registers. A bitmap over (node, document) tells the
     scan of the texts whose sets to keep; other rows that hit it fall out in the join."""
     needed = C.stored(members.select("node").distinct().join(nodes.select("node", "doc"), "node"), "needed")
     count = needed.count()
@@ -285,7 +301,7 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: Da
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        words, params = shared.value, _params(_FINE, 21)
         for batch in batches:
             out = []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -294,11 +310,11 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: Da
                     node = np.array([_node(s)])
                     at = int(places(node, np.array([d], np.int64))[0])
                     if int(words[at >> 6]) >> (at & 63) & 1:
-                        out.append((int(node[0]), d, s.tobytes()))
+                        out.append((int(node[0]), d, s.tobytes(), sketch(s, params).astype(np.uint8).tobytes()))
             for k in range(0, len(out), 512):
                 part = list(zip(*out[k:k + 512]))
-                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.binary())], names=["node", "doc", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.binary()), pa.array(part[3], pa.binary())], names=["node", "doc", "s", "fine"])
 
-    hits = C.picked(docs, id_col, text_col).mapInArrow(scan, "node bigint, doc bigint, s binary")
-    exact = hits.join(needed, ["node", "doc"]).groupBy("node").agg(F.any_value("s").alias("s"))
+    hits = C.picked(docs, id_col, text_col).mapInArrow(scan, "node bigint, doc bigint, s binary, fine binary")
+    exact = hits.join(needed, ["node", "doc"]).groupBy("node").agg(F.any_value("s").alias("s"), F.any_value("fine").alias("fine"))
     return C.stored(exact, "full-sets")
