@@ -28,13 +28,11 @@ size is the partition count, not the data), and add the in-partition row index.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
 
-LONG_MAX = (1 << 63) - 1
-
 
 def tile_boundaries(n_rows: int, n_tiles: int) -> list[int]:
     """0-based start positions of tiles 2..n (only those < n_rows)."""
@@ -115,37 +113,53 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
     """Exact ``NTILE(n_tiles) OVER (ORDER BY order_key NULLS LAST, id_col)``.
 
     ``order_key`` must be an integral (BIGINT-castable) expression, e.g. the unscaled
-    value of a DECIMAL; ``id_col`` a unique BIGINT tie-break. ``df`` should be a stored
-    table (or cached), because it is scanned once per refinement pass.
+    value of a DECIMAL; ``id_col`` a BIGINT tie-break. NULL keys are a group of their own
+    after the last value. Rows that share key and id are told apart only where a boundary
+    falls among them, by an ordinal over those rows. ``df`` should be a stored table (or
+    cached), because it is scanned once per refinement pass.
     """
-    base = df.withColumn("_k", F.coalesce(order_key.cast("bigint"), F.lit(LONG_MAX)))
-    stats = base.agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("klo"), F.max("_k").alias("khi"),
-                     F.min(id_col).alias("ilo"), F.max(id_col).alias("ihi")).collect()[0]
+    base = df.withColumn("_k", order_key.cast("bigint"))
+    stats = base.agg(F.count(F.lit(1)).alias("n"), F.count("_k").alias("keyed"), F.min("_k").alias("klo"),
+                     F.max("_k").alias("khi"), F.min(id_col).alias("ilo"), F.max(id_col).alias("ihi")).collect()[0]
     bounds = tile_boundaries(stats["n"], n_tiles)
     if not bounds:
         return df.withColumn(out_col, F.lit(1))
-    # 1) order value at every boundary position (all boundaries in the same passes).
-    kv = _select_values(base.withColumn("_tag", F.lit(0)), "_k",
-                        {t: (0, p, stats["klo"], stats["khi"], stats["n"]) for t, p in enumerate(bounds)},
-                        fanout, max_buckets)
+    # 1) order value at every boundary position (all boundaries in the same passes); positions
+    #    past the keyed rows fall among the NULL keys.
+    keyed = stats["keyed"]
+    inner = {t: (0, p, stats["klo"], stats["khi"], keyed) for t, p in enumerate(bounds) if p < keyed}
+    kv: dict[int, tuple] = dict(_select_values(base.withColumn("_tag", F.lit(0)), "_k", inner, fanout, max_buckets)) if inner else {}
+    kv |= {t: (None, p - keyed, stats["n"] - keyed) for t, p in enumerate(bounds) if p >= keyed}
     # 2) tie-break id inside the boundary's order value; boundaries on the same value share a tag.
-    values = sorted({v for v, _, _ in kv.values()})
+    values = sorted({v for v, _, _ in kv.values()}, key=lambda v: (v is None, v))
     tag = None
     for i, v in enumerate(values):
-        hit = F.col("_k") == F.lit(v)
+        hit = F.col("_k").isNull() if v is None else F.col("_k") == F.lit(v)
         tag = F.when(hit, F.lit(i)) if tag is None else tag.when(hit, F.lit(i))
-    ties = base.where(F.col("_k").isin(values)).select(tag.alias("_tag"), F.col(id_col).alias("_id"))
+    ties = base.select(tag.alias("_tag"), F.col(id_col).alias("_id")).where(F.col("_tag").isNotNull())
     ids = _select_values(ties, "_id",
                          {t: (values.index(v), res, stats["ilo"], stats["ihi"], n_ties)
                           for t, (v, res, n_ties) in kv.items()},
                          fanout, max_buckets)
-    # 3) narrow labelling: 1 + number of boundary keys <= the row's key.
+    # 3) rows equal in key and id, where a boundary falls among them, get an ordinal.
+    split = {(kv[t][0], ids[t][0]) for t in range(len(bounds)) if ids[t][1]}
+    base = base.withColumn("_o", F.lit(0).cast("bigint"))
+    if split:
+        among = F.lit(False)
+        for v, i in split:
+            among = among | (F.col("_k").eqNullSafe(F.lit(v).cast("bigint")) & (F.col(id_col) == F.lit(i)))
+        own = Window.partitionBy("_k", id_col).orderBy(F.xxhash64(*df.columns))
+        told = base.where(among).withColumn("_o", F.row_number().over(own).cast("bigint") - 1)
+        base = base.where(~F.coalesce(among, F.lit(False))).unionByName(told)
+    # 4) narrow labelling: 1 + number of boundary keys <= the row's key.
     tile = F.lit(1)
     for t in range(len(bounds)):
-        k_t, id_t = kv[t][0], ids[t][0]
-        ge = (F.col("_k") > F.lit(k_t)) | ((F.col("_k") == F.lit(k_t)) & (F.col(id_col) >= F.lit(id_t)))
-        tile = tile + ge.cast("int")
-    return base.withColumn(out_col, tile).drop("_k")
+        k_t, (id_t, o_t, _) = kv[t][0], ids[t]
+        late = (F.col(id_col) > F.lit(id_t)) | ((F.col(id_col) == F.lit(id_t)) & (F.col("_o") >= F.lit(o_t)))
+        null_key = F.col("_k").isNull()
+        ge = null_key & late if k_t is None else null_key | (F.col("_k") > F.lit(k_t)) | ((F.col("_k") == F.lit(k_t)) & late)
+        tile = tile + F.coalesce(ge, F.lit(False)).cast("int")
+    return base.withColumn(out_col, tile).drop("_k", "_o")
 
 
 def order_statistics(df: DataFrame, keys: dict[str, Column], ranks: dict[str, list[int]],

@@ -57,27 +57,21 @@ def duplicate_keys(raw: DataFrame, key: str = "customer_id") -> DataFrame:
             .where(F.col("row_count") > 1))
 
 
-DUP_BROADCAST_LIMIT = 1_000_000   # candidate hashes (8 bytes each) broadcast at most
-
-
-def duplicate_rows(raw: DataFrame, columns=SOURCE_COLUMNS, broadcast_limit: int = DUP_BROADCAST_LIMIT
-                   ) -> DataFrame:
+def duplicate_rows(raw: DataFrame, columns=SOURCE_COLUMNS) -> DataFrame:
     """Q5: surplus copies of identical source rows (``duplicated().sum()``); NULLs compare
     equal, as in GROUP BY and pandas. Exact, in two phases:
 
     1. count a 64-bit hash of every row (map-side aggregation; 16 bytes per row cross
        the shuffle instead of the whole row) and write the hashes seen more than once;
     2. verify only rows carrying a candidate hash with an exact GROUP BY over all the
-       columns (hash collisions fall apart here). The candidate list is broadcast only
-       when its counted size is under ``broadcast_limit``; otherwise it is a shuffled
-       semi-join."""
+       columns (hash collisions fall apart here). The grouping keys leave the hash out, so
+       the semi-join's partitions are not reused and a hash that a third of the rows share
+       can be split by the skew rule; its copies then meet in partial counts."""
     h = F.xxhash64(*columns)
     cand = materialize(raw.select(h.alias("_h")).groupBy("_h").count().where(F.col("count") > 1)
                        .select("_h"), "duplicate_candidates")
-    n_cand = cand.count()
-    side = F.broadcast(cand) if n_cand <= broadcast_limit else cand
-    rows = raw.select(h.alias("_h"), *columns).join(side, "_h", "left_semi")
-    groups = rows.groupBy("_h", *columns).agg(F.count(F.lit(1)).alias("n"))
+    rows = raw.select(h.alias("_h"), *columns).join(cand, "_h", "left_semi")
+    groups = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -101,10 +95,11 @@ def category_audit(raw: DataFrame, columns=CATEGORY_COLUMNS, freq: DataFrame | N
     """Q7: distinct raw values of the categorical columns (NULL included), one scan; or read
     from a stored ``value_frequencies`` table covering the columns."""
     if freq is not None:
-        return freq.where(F.col("column_name").isin(list(columns))).select("column_name", "value")
+        return (freq.where(F.col("column_name").isin(list(columns))).select("column_name", "value")
+                .orderBy("column_name", F.col("value").asc_nulls_last()))
     expr = "stack({}, {}) AS (column_name, value)".format(
         len(columns), ", ".join(f"'{c}', {c}" for c in columns))
-    return raw.select(F.expr(expr)).distinct()
+    return raw.select(F.expr(expr)).distinct().orderBy("column_name", F.col("value").asc_nulls_last())
 
 
 def pk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_SPECS) -> DataFrame:

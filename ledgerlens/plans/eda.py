@@ -74,12 +74,13 @@ def ratio_histogram(mart: DataFrame) -> DataFrame:
 
 def default_correlation(mart: DataFrame, digits: int = 9) -> DataFrame:
     """Pearson correlation of each feature with the default flag (pairwise complete),
-    one aggregate pass, then unpivoted to (feature, corr)."""
+    one aggregate pass, then unpivoted to (feature, corr), lowest first."""
     flag = F.col("default_flag").cast("double")
     wide = mart.agg(*[F.corr(F.col(f).cast("double"), flag).alias(f) for f in CORR_FEATURES])
     stack = "stack({}, {}) AS (feature, corr)".format(
         len(CORR_FEATURES), ", ".join(f"'{f}', {f}" for f in CORR_FEATURES))
-    return wide.select(F.expr(stack)).select("feature", F.round("corr", digits).alias("corr"))
+    return (wide.select(F.expr(stack)).select("feature", F.round("corr", digits).alias("corr"))
+            .orderBy(F.col("corr").asc_nulls_last(), "feature"))
 
 
 def category_drilldown(src: DataFrame, key: str, agg: Aggregator = ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct, quotient, round_money
+from ..functions.numeric import dec, pct, quotient, round_money
 from ..operators.segments import CUBE, ROWS, Aggregator, build_cube, efficiency_pct, segment_report
 from ..schema import GRADE_LABELS
 
@@ -89,10 +89,13 @@ def register_views(src: DataFrame, agg: Aggregator = ROWS, prefix: str = "") ->
 def monthly_trend(statements: DataFrame) -> DataFrame:
     """K6: average bill and payment per statement month, newest month last (DESC).
 
-    AVG(payment) / AVG(bill) is evaluated exactly as
-    SUM(payment) * COUNT(bill) / (COUNT(payment) * SUM(bill))."""
+    AVG(payment) / AVG(bill) is the product of SUM(payment) / SUM(bill) and COUNT(bill) /
+    COUNT(payment), each carried at 12 digits or more and rounded once: no intermediate
+    grows with the number of accounts as SUM * COUNT would."""
     bill, paid = F.col("bill_amount"), F.col("payment_amount")
-    ratio = quotient(F.sum(paid) * F.count(bill), F.count(paid) * F.sum(bill), 2, 100, 2, 2)
+    sums = (dec(F.sum(paid), 2) / F.nullif(dec(F.sum(bill), 2), F.lit(0))).cast("decimal(26,14)")
+    counts = (dec(F.count(bill)) / F.nullif(dec(F.count(paid)), F.lit(0))).cast("decimal(24,12)")
+    ratio = F.round(sums * counts * F.lit(100), 2)
     return (statements.groupBy("statement_month").agg(
         quotient(F.sum(bill), F.count(bill), 0, 1, 2, 0).cast("bigint").alias("avg_bill_amount"),
         quotient(F.sum(paid), F.count(paid), 0, 1, 2, 0).cast("bigint").alias("avg_payment_amount"),

@@ -1 +1 @@
-from .portfolio import portfolio_dirty, portfolio_raw  # noqa: F401
+from .portfolio import portfolio_raw  # noqa: F401

@@ -1,6 +1,7 @@
 """Portfolio landing table derived from the order tables (FIXTURES.md section 4).
 
-One account per order; the order's lines 1..6 give the six monthly bills. The
+One account per order; line n of an order belongs to month (n - 1) mod 6 + 1, so every
+line is in one of the six monthly bills. The
 derivation is one shuffle: order heads and line rows are unioned and aggregated
 by order key (partial aggregation runs map-side, so each map task ships at most
 one row per order it saw). Everything else is a narrow projection of integers,
@@ -57,10 +58,11 @@ def monthly_bills(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     instead of aggregate-exchange + order-exchange + sort-merge join.
     """
     cents = F.expr("CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * 100 AS BIGINT)")
-    lines = lineitem.where(F.col("l_linenumber").between(1, 6)).select(
+    month = F.pmod(F.col("l_linenumber") - 1, F.lit(len(MONTHS))) + 1
+    lines = lineitem.select(
         F.col("l_orderkey").alias("k"),
         F.lit(0).alias("is_order"),
-        *[F.when(F.col("l_linenumber") == i, cents).otherwise(F.lit(0).cast("bigint")).alias(f"b{i}")
+        *[F.when(month == i, cents).otherwise(F.lit(0).cast("bigint")).alias(f"b{i}")
           for i in MONTHS],
     )
     heads = orders.select(
@@ -154,7 +156,3 @@ def make_dirty(raw: DataFrame) -> DataFrame:
     copies = F.when((F.col("customer_id") - 1) % DIRTY_COPY_MOD == 0, F.lit(2)).otherwise(F.lit(1))
     return (dirty.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
             .drop("_copy"))
-
-
-def portfolio_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return make_dirty(portfolio_raw(spark, sf_dir))

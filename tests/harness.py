@@ -41,7 +41,7 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
 
 
 def type_mismatches(spark_df, con, sql: str) -> list[str]:
