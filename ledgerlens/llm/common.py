@@ -9,7 +9,6 @@ same plain scan cut it into the same blocks; ``plain_scan`` makes sure that the
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,26 +67,36 @@ def type_of(df: DataFrame, column: str) -> str:
 # ---- packed integers -------------------------------------------------------------
 
 
+def squeeze(data: bytes) -> bytes:
+    """Compressed bytes (zstandard, which pyarrow brings along)."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+
+def unsqueeze(blob: bytes) -> bytes:
+    size = int.from_bytes(blob[:8], "little")
+    return pa.Codec("zstd").decompress(blob[8:], size, asbytes=True) if size else b""
+
+
 def pack_ints(values) -> bytes:
     """Unsigned 32-bit integers as compressed byte planes (high planes are mostly zero)."""
     a = np.ascontiguousarray(values, dtype="<u4")
-    return zlib.compress(a.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return squeeze(a.view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def unpack_ints(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8)
+    planes = np.frombuffer(unsqueeze(blob), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
 def pack_words(words: list[bytes]) -> bytes:
     lengths = pack_ints([len(w) for w in words])
-    return len(lengths).to_bytes(4, "little") + lengths + zlib.compress(b"".join(words), 1)
+    return len(lengths).to_bytes(4, "little") + lengths + squeeze(b"".join(words))
 
 
 def unpack_words(blob: bytes) -> list[bytes]:
     n = int.from_bytes(blob[:4], "little")
     ends = np.cumsum(unpack_ints(blob[4:4 + n]), dtype=np.int64).tolist()
-    body = zlib.decompress(blob[4 + n:])
+    body = unsqueeze(blob[4 + n:])
     return [body[a:b] for a, b in zip([0, *ends[:-1]], ends)] if ends else []
 
 

@@ -29,7 +29,6 @@ empty result; other columns are not read unless carried.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +46,11 @@ _ANCHORS, _REPEATED, _STRINGS, _ANSWERS, _TEXT = range(5)
 
 def _pack_longs(values) -> bytes:
     a = np.ascontiguousarray(values, dtype="<u8")
-    return zlib.compress(a.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    return C.squeeze(a.view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _unpack_longs(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8)
+    planes = np.frombuffer(C.unsqueeze(blob), np.uint8)
     return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
@@ -223,13 +222,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows, got in C.blocks(batches, block_chars):
             parts = [t.encode() for t in got]
-            yield C.batch_of(full, [(block, -1, _TEXT, zlib.compress(b"".join(parts), 1), C.pack_ints([len(p) for p in parts]), rows)])
+            yield C.batch_of(full, [(block, -1, _TEXT, C.squeeze(b"".join(parts)), C.pack_ints([len(p) for p in parts]), rows)])
 
     def opened(rows: list[dict]) -> tuple[dict, _Runs, np.ndarray]:
         one = next((r for r in rows if r["kind"] == _TEXT), None)
         if one is None:
             raise RuntimeError("a block has no texts: the input changed between two passes")
-        sizes, body = C.unpack_ints(one["b"]).astype(np.int64), zlib.decompress(one["a"])
+        sizes, body = C.unpack_ints(one["b"]).astype(np.int64), C.unsqueeze(one["a"])
         ends = np.cumsum(sizes)
         parts = [body[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]
         ids = np.array([_LAST if r["c0"] is None else r["c0"] for r in one["rows"]], np.int64)
