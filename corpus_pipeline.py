@@ -17,13 +17,19 @@ from ledgerlens.llm import exact_substring, language_id, near_dup, packing
 from ledgerlens.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Rejected documents (two longs each) are broadcast up to this many, and joined beyond.
+MAX_BROADCAST = 500_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the corpus's languages; those without a letter, or in none of the
     languages, go. A null text goes."""
-    judged = language_id.identify_documents(docs, {c: F.col(c) for c in COLUMNS})
-    return judged.where("accepted").select(*COLUMNS)
+    key = {"id": F.col("doc_id"), "name": F.xxhash64("text")}  # the texts themselves stay where they are
+    judged = language_id.identify_documents(docs, key)
+    gone = stored(judged.where(~F.col("accepted")).select("id", "name").distinct(), "rejected")
+    few = gone.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    same = key["id"].eqNullSafe(F.col("id")) & (key["name"] == F.col("name"))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
