@@ -70,8 +70,13 @@ def _anchors(b: np.ndarray, length: int) -> np.ndarray:
     x = _eights(b)
     g = x * _MUL[0]
     if gram == 16:
-        g = (g[:-8] ^ (g[:-8] >> np.uint64(31))) + x[8:] * _MUL[1]
-    g = (g ^ (g >> np.uint64(29))) * _MUL[2]
+        g = g[:-8]
+        g ^= g >> np.uint64(31)
+        x *= _MUL[1]
+        g += x[8:]
+    del x
+    g ^= g >> np.uint64(29)
+    g *= _MUL[2]
     g ^= g >> np.uint64(32)
     wide, have = length - gram + 1, 1
     while have * 2 <= wide:
@@ -91,16 +96,22 @@ class _Runs:
         starts = np.cumsum(sizes) - sizes
         self.buffer = b"".join(texts)
         windows = np.maximum(0, sizes - length + 1)
-        at = C.spread(starts, windows)
-        doc = np.repeat(np.arange(len(texts)), windows)
-        least = _anchors(np.frombuffer(self.buffer, np.uint8), length)[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+        least = _anchors(np.frombuffer(self.buffer, np.uint8), length)
+        n = len(least)
+        edge = np.zeros(n + 1, np.int8)  # +1 where a document's windows begin, -1 where they end
+        some = windows > 0
+        edge[starts[some]] += 1
+        edge[(starts + windows)[some]] -= 1
+        new = np.ones(n, bool)
+        new[1:] = least[1:] != least[:-1]
+        new |= edge[:n] != 0
         first = np.flatnonzero(new)
-        self.start, self.doc = at[first], doc[first]
-        self.windows = np.diff(first, append=len(at))
+        run = np.diff(first, append=n)
+        inside = np.cumsum(edge[:n], dtype=np.int8)[first] > 0
+        self.start, self.windows = first[inside], run[inside]
+        self.doc = np.searchsorted(starts, self.start, side="right") - 1
         self.sizes, self.starts, self.length = sizes, starts, length
-        finger, self.anchor = np.unique((least[first] * _MUL[0]) >> np.uint64(16), return_inverse=True)
+        finger, self.anchor = np.unique((least[self.start] * _MUL[0]) >> np.uint64(16), return_inverse=True)
         bucket = (finger % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         self.finger, self.bucket = finger[order], bucket[order]
@@ -302,12 +313,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                         cover[p] += 1
                         cover[p + w + length - 1] -= 1
                     p += w
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         inner = r.starts[(r.sizes > 0)]
         begins[inner] = gone[inner]
-        total = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[np.append(r.starts, len(flags))])
+        total = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])[np.append(r.starts, len(flags))])
         removed, spans = total(gone), total(begins)
         kept = np.frombuffer(r.buffer, np.uint8)[~gone].tobytes()
         left = r.sizes - removed
