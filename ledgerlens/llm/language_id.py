@@ -12,7 +12,8 @@ Four kinds of evidence are combined per row, each as a probability:
   taken out of its host's sum, so it does not confirm itself.
 
 Trigrams overlap, so their log-likelihood counts by ``temper``. A row is rejected if it has
-no letter, or if "none of these" comes out likeliest.
+no letter, or if "none of these" comes out likeliest although it starts ``doubt`` nats behind:
+a short or odd text is kept, only clear evidence rejects.
 
 Cases: null and empty texts are rejected, with language ``und``; null declarations, hosts and
 suffixes say nothing; repeated rows are judged alike; very long texts are taken whole; with no
@@ -73,7 +74,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_lan
 
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str | Column, declared: str | Column | None = None,
              host: str | Column | None = None, suffix: str | Column | None = None, carry: dict[str, Column] | None = None,
-             temper: float = 0.3, weight: float = 20.0) -> DataFrame:
+             temper: float = 0.3, weight: float = 20.0, doubt: float = 20.0) -> DataFrame:
     """The carried columns (name -> expression) with language, probability, text_language and
     accepted, per row."""
     spark = rows.sparkSession
@@ -98,7 +99,9 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str | C
                 total = np.zeros(k)
                 for a in range(0, len(g), 1 << 16):
                     total += logp[g[a:a + (1 << 16)]].sum(axis=0)
-                like.append((temper * (total - total.max())).tolist() if len(g) else [0.0] * k)
+                total *= temper
+                total[-1] -= doubt
+                like.append((total - total.max()).tolist() if len(g) else [0.0] * k)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(like, pa.list_(pa.float64())), pa.array(lettered, pa.bool_())],
                                              names=["declared", "host", "suffix", "row", "like", "lettered"])
 
