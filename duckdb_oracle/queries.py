@@ -8,8 +8,6 @@ Spark side's output types.
 
 from __future__ import annotations
 
-from ledgerlens.schema import TABLE_SPECS
-
 from .portfolio import cents_round0, cte, hu_bigint, hu_double, scaled
 
 M = range(1, 7)
@@ -67,8 +65,58 @@ def _tables_cte() -> str:
             f", t_fact AS (SELECT {FACT_SELECT} FROM mart)\n")
 
 
-TABLE_REL = {"staging_raw_credit_data": "t_staging", "dim_customers": "t_dim",
-             "fact_repayment_history": "t_repay", "fact_statements": "t_stmt", "fact_credit_risk": "t_fact"}
+def _set(column: str, modulus: int, value: str, where: str = "TRUE") -> str:
+    return f"CASE WHEN (customer_id - 1) % {modulus} = 0 AND {where} THEN {value} ELSE {column} END AS {column}"
+
+
+def _broken_cte() -> str:
+    """The five tables with the audit fixture's defects."""
+    changes = {
+        "staging": [_set("gender", 601, "'not disclosed'"), _set("timeliness_2", 607, "'m+x'"),
+                    _set("credit_limit", 613, "credit_limit + 1000000000000")],
+        "dim": [_set("age_band", 617, "'age not given'"), _set("customer_id", 619, "-customer_id")],
+        "repay": [_set("timeliness_code", 631, "'m+late'", "statement_month = 2"),
+                  _set("statement_month", 641, "7", "statement_month = 6")],
+        "stmt": [_set("bill_amount", 643, "bill_amount + 1000000000000", "statement_month = 3"),
+                 _set("statement_month", 647, "0", "statement_month = 1")],
+        "fact": [_set("risk_score", 653, "risk_score + 1000000"), _set("default_flag", 659, "2"),
+                 _set("customer_id", 661, "-customer_id")],
+    }
+    return "".join(f", b_{t} AS (SELECT * REPLACE ({', '.join(c)}) FROM t_{t})" for t, c in changes.items()) + "\n"
+
+
+TABLE_REL = {"staging_raw_credit_data": "b_staging", "dim_customers": "b_dim",
+             "fact_repayment_history": "b_repay", "fact_statements": "b_stmt", "fact_credit_risk": "b_fact"}
+
+# The declared constraints, restated here from the table definitions.
+KEYS = {"staging_raw_credit_data": "customer_id", "dim_customers": "customer_id",
+        "fact_repayment_history": "customer_id,statement_month", "fact_statements": "customer_id,statement_month",
+        "fact_credit_risk": "customer_id"}
+PARENTS = {"dim_customers": "staging_raw_credit_data", "fact_repayment_history": "dim_customers",
+           "fact_statements": "dim_customers", "fact_credit_risk": "dim_customers"}
+CHECKS = {"fact_repayment_history": "statement_month BETWEEN 1 AND 6",
+          "fact_statements": "statement_month BETWEEN 1 AND 6", "fact_credit_risk": "default_flag IN (0, 1)"}
+NOT_NULL = {
+    "staging_raw_credit_data": "customer_id credit_limit",
+    "dim_customers": "customer_id credit_limit credit_limit_band",
+    "fact_repayment_history": "customer_id statement_month dpd",
+    "fact_statements": "customer_id statement_month bill_amount payment_amount",
+    "fact_credit_risk": "customer_id current_dpd worst_dpd_6mo months_delinquent_6mo avg_dpd_6mo collections_stage "
+                        "total_bill_6mo total_paid_6mo payment_to_bill_ratio credit_utilization risk_score "
+                        "risk_grade default_flag"}
+NUMERIC = {
+    "staging_raw_credit_data": {c: (14, 2) for c in ["credit_limit", "avg_balance", "avg_payment"]
+                                + [f"balance_{i}" for i in M] + [f"payment_{i}" for i in M]},
+    "dim_customers": {"credit_limit": (14, 2)},
+    "fact_statements": {"bill_amount": (14, 2), "payment_amount": (14, 2)},
+    "fact_credit_risk": {"avg_dpd_6mo": (6, 2), "total_bill_6mo": (16, 2), "total_paid_6mo": (16, 2),
+                         "payment_to_bill_ratio": (6, 3), "credit_utilization": (6, 3), "risk_score": (8, 2)}}
+VARCHAR = {
+    "staging_raw_credit_data": {"gender": 10, "education": 20, "marital_status": 20, "default_raw": 5,
+                                **{f"timeliness_{i}": 5 for i in M}},
+    "dim_customers": {"credit_limit_band": 20, "gender": 10, "education": 20, "marital_status": 20, "age_band": 10},
+    "fact_repayment_history": {"timeliness_code": 5},
+    "fact_credit_risk": {"collections_stage": 30, "risk_grade": 20}}
 
 STAGES = ("1-Current", "2-Early DPD (1-2mo)", "3-Mid DPD (3-5mo)", "4-Severe DPD (6mo+)")
 
@@ -81,9 +129,9 @@ def _stage_sql(x: str) -> str:
 def _pk_sql() -> str:
     parts = []
     for name, rel in TABLE_REL.items():
-        key = ", ".join(TABLE_SPECS[name].key)
+        key = KEYS[name]
         parts.append(
-            f"SELECT '{name}' AS table_name, '{','.join(TABLE_SPECS[name].key)}' AS key_columns, "
+            f"SELECT '{name}' AS table_name, '{key}' AS key_columns, "
             f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total_rows, COUNT(*) AS distinct_keys, "
             f"COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS excess_rows "
             f"FROM (SELECT {key}, COUNT(*) AS n FROM {rel} GROUP BY {key})")
@@ -93,29 +141,27 @@ def _pk_sql() -> str:
 def _fk_sql() -> str:
     parts = []
     for name, rel in TABLE_REL.items():
-        parent = TABLE_SPECS[name].parent
-        if parent is None:
+        if name not in PARENTS:
             continue
-        prel, key = TABLE_REL[parent[0]], parent[1]
+        parent = PARENTS[name]
         parts.append(
-            f"SELECT '{name}' AS child_table, '{parent[0]}' AS parent_table, COUNT(*) AS orphan_rows "
-            f"FROM {rel} c WHERE NOT EXISTS (SELECT 1 FROM {prel} p WHERE p.{key} = c.{key})")
+            f"SELECT '{name}' AS child_table, '{parent}' AS parent_table, COUNT(*) AS orphan_rows "
+            f"FROM {rel} c WHERE NOT EXISTS (SELECT 1 FROM {TABLE_REL[parent]} p WHERE p.customer_id = c.customer_id)")
     return " UNION ALL ".join(parts)
 
 
 def _check_sql() -> str:
     parts = []
-    for name, rel in TABLE_REL.items():
-        for _, cond in TABLE_SPECS[name].checks.items():
-            parts.append(f"SELECT '{name}' AS table_name, '{cond}' AS check_name, "
-                         f"COUNT(*) FILTER (WHERE NOT ({cond})) AS violations FROM {rel}")
+    for name, cond in CHECKS.items():
+        parts.append(f"SELECT '{name}' AS table_name, '{cond}' AS check_name, "
+                     f"COUNT(*) FILTER (WHERE NOT ({cond})) AS violations FROM {TABLE_REL[name]}")
     return " UNION ALL ".join(parts)
 
 
 def _notnull_sql() -> str:
     parts = []
     for name, rel in TABLE_REL.items():
-        for c in TABLE_SPECS[name].not_null:
+        for c in NOT_NULL[name].split():
             parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
                          f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {rel}")
     return " UNION ALL ".join(parts)
@@ -124,16 +170,15 @@ def _notnull_sql() -> str:
 def _domain_sql() -> str:
     parts = []
     for name, rel in TABLE_REL.items():
-        spec = TABLE_SPECS[name]
-        for c, (p, s) in spec.numeric.items():
+        for c, (p, s) in NUMERIC.get(name, {}).items():
             bound = 10 ** (p - s)
             parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'NUMERIC({p},{s})' AS rule, "
                          f"COUNT(*) FILTER (WHERE abs(round({c}, {s})) >= {bound}) AS violations FROM {rel}")
-        for c, n in spec.varchar.items():
+        for c, n in VARCHAR.get(name, {}).items():
             parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'VARCHAR({n})' AS rule, "
                          f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {rel}")
         if name in ("staging_raw_credit_data", "fact_repayment_history"):
-            for c in spec.varchar:
+            for c in VARCHAR[name]:
                 if c.startswith("timeliness"):
                     parts.append(
                         f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'repayment code' AS rule, "
@@ -204,7 +249,15 @@ def _dpd_wide_sql() -> str:
 
 def _reconcile_sql() -> str:
     """Q17 in SQL: the long path (unpivot -> aggregate per customer -> features) against
-    the wide integer features, full outer join on customer_id."""
+    the wide integer features (with the fact table's defects), full outer join on customer_id."""
+    pairs = [("cur", "current_dpd", "current_dpd"), ("worst", "worst_dpd_6mo", "worst_dpd_6mo"),
+             ("late", "months_delinquent_6mo", "months_delinquent_6mo"), ("avgd", "avg_dpd_c", "avg_dpd_6mo"),
+             ("stage", "collections_stage", "collections_stage"), ("bill", "bill_c", "total_bill_6mo"),
+             ("paid", "paid_c", "total_paid_6mo"), ("ratio", "ratio_m", "payment_to_bill_ratio"),
+             ("util", "util_m", "credit_utilization"), ("score", "score_c", "risk_score"),
+             ("grade", "risk_grade", "risk_grade"), ("flag", "default_flag", "default_flag")]
+    differing = [f"COUNT(*) FILTER (WHERE l.customer_id IS NOT NULL AND w.customer_id IS NOT NULL "
+                 f"AND l.{a} IS DISTINCT FROM w.{b})" for a, b, _ in pairs]
     months = " UNION ALL ".join(
         f"SELECT customer_id, {i} AS m, d{i} AS d, c{i} AS b, p{i} AS p FROM mart" for i in M)
     return f"""
@@ -228,20 +281,17 @@ def _reconcile_sql() -> str:
   SELECT *, CASE WHEN score < 500 THEN 'A - Low Risk' WHEN score < 1500 THEN 'B - Moderate Risk'
                  WHEN score < 3000 THEN 'C - High Risk' ELSE 'D - Severe Risk' END AS grade
   FROM lng3
+), wide AS (
+  SELECT * REPLACE ({_set("score_c", 653, "score_c + 100000000")}, {_set("default_flag", 659, "2")},
+                    {_set("customer_id", 661, "-customer_id")}) FROM mart
 )
-SELECT COUNT(*) AS customers_compared,
-       COUNT(*) FILTER (WHERE w.customer_id IS NULL) AS only_long,
-       COUNT(*) FILTER (WHERE l.customer_id IS NULL) AS only_wide,
-       COUNT(*) FILTER (WHERE l.customer_id IS NOT NULL AND w.customer_id IS NOT NULL AND (
-            l.cur IS DISTINCT FROM w.current_dpd OR l.worst IS DISTINCT FROM w.worst_dpd_6mo
-         OR l.late IS DISTINCT FROM w.months_delinquent_6mo OR l.avgd IS DISTINCT FROM w.avg_dpd_c
-         OR l.bill IS DISTINCT FROM w.bill_c OR l.paid IS DISTINCT FROM w.paid_c
-         OR l.ratio IS DISTINCT FROM w.ratio_m OR l.util IS DISTINCT FROM w.util_m
-         OR l.score IS DISTINCT FROM w.score_c OR l.stage IS DISTINCT FROM w.collections_stage
-         OR l.grade IS DISTINCT FROM w.risk_grade OR l.flag IS DISTINCT FROM w.default_flag)) AS customers_differing,
-       CAST(COALESCE(SUM(CASE WHEN l.customer_id IS NOT NULL AND w.customer_id IS NOT NULL
-            THEN (CASE WHEN l.cur IS DISTINCT FROM w.current_dpd THEN 1 ELSE 0 END) + (CASE WHEN l.worst IS DISTINCT FROM w.worst_dpd_6mo THEN 1 ELSE 0 END) + (CASE WHEN l.late IS DISTINCT FROM w.months_delinquent_6mo THEN 1 ELSE 0 END) + (CASE WHEN l.avgd IS DISTINCT FROM w.avg_dpd_c THEN 1 ELSE 0 END) + (CASE WHEN l.bill IS DISTINCT FROM w.bill_c THEN 1 ELSE 0 END) + (CASE WHEN l.paid IS DISTINCT FROM w.paid_c THEN 1 ELSE 0 END) + (CASE WHEN l.ratio IS DISTINCT FROM w.ratio_m THEN 1 ELSE 0 END) + (CASE WHEN l.util IS DISTINCT FROM w.util_m THEN 1 ELSE 0 END) + (CASE WHEN l.score IS DISTINCT FROM w.score_c THEN 1 ELSE 0 END) + (CASE WHEN l.stage IS DISTINCT FROM w.collections_stage THEN 1 ELSE 0 END) + (CASE WHEN l.grade IS DISTINCT FROM w.risk_grade THEN 1 ELSE 0 END) + (CASE WHEN l.flag IS DISTINCT FROM w.default_flag THEN 1 ELSE 0 END) END), 0) AS BIGINT) AS columns_differing
-FROM lng4 l FULL OUTER JOIN mart w ON l.customer_id = w.customer_id"""
+SELECT c.column_name, c.customers_differing, c.customers_compared, c.only_long, c.only_wide FROM (
+  SELECT UNNEST([{", ".join(f"'{name}'" for _, _, name in pairs)}]) AS column_name,
+         UNNEST([{", ".join(differing)}]) AS customers_differing,
+         COUNT(*) AS customers_compared,
+         COUNT(*) FILTER (WHERE w.customer_id IS NULL) AS only_long,
+         COUNT(*) FILTER (WHERE l.customer_id IS NULL) AS only_wide
+  FROM lng4 l FULL OUTER JOIN wide w ON l.customer_id = w.customer_id) c"""
 
 
 def _segment(keys: str, metrics: str, having: str = "") -> str:
@@ -310,11 +360,11 @@ def build() -> dict[str, str]:
         "(SELECT COUNT(*) AS fact_risk_rows FROM t_fact) f, "
         "(SELECT COUNT(*) AS repayment_rows_expect_6x FROM t_repay) r, "
         "(SELECT COUNT(*) AS statement_rows_expect_6x FROM t_stmt) t", True)
-    q["dq_pk_audit"] = _q(T + _pk_sql(), True)
-    q["dq_fk_audit"] = _q(T + _fk_sql(), True)
-    q["dq_check_audit"] = _q(T + _check_sql(), True)
-    q["dq_notnull_audit"] = _q(T + _notnull_sql(), True)
-    q["dq_domain_audit"] = _q(T + _domain_sql(), True)
+    q["dq_pk_audit"] = _q(T + _broken_cte() + _pk_sql(), True)
+    q["dq_fk_audit"] = _q(T + _broken_cte() + _fk_sql(), True)
+    q["dq_check_audit"] = _q(T + _broken_cte() + _check_sql(), True)
+    q["dq_notnull_audit"] = _q(T + _broken_cte() + _notnull_sql(), True)
+    q["dq_domain_audit"] = _q(T + _broken_cte() + _domain_sql(), True)
     q["dq_default_rate"] = _q(
         f"SELECT {hu_double('COUNT(*) FILTER (WHERE default_raw = ' + chr(39) + 'yes' + chr(39) + ')', 'COUNT(*)', 4)}"
         f" AS default_rate, "

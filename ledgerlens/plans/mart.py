@@ -33,6 +33,7 @@ class Portfolio:
     staging: DataFrame            # staging_raw_credit_data (landing, written)
     mart: DataFrame               # dim + fact_credit_risk columns (written)
     lenient: bool
+    defects: bool = False         # audits read the tables with injected defects
     _cube: DataFrame | None = None
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None
@@ -99,11 +100,15 @@ class Portfolio:
             "fact_credit_risk": self.fact_credit_risk,
         }
 
+    def audited_tables(self) -> dict[str, DataFrame]:
+        """What the constraint audits read: the tables, or the audit fixture's broken ones."""
+        return portfolio.break_tables(self.tables()) if self.defects else self.tables()
+
     def audit_profile(self) -> DataFrame:
         """All single-pass audit numbers of the five tables (``quality.profile``), computed
         with one scan per table and written once (a few hundred rows)."""
         if self._profile is None:
-            self._profile = materialize(quality.profile(self.tables()), "audit_profile").cache()
+            self._profile = materialize(quality.profile(self.audited_tables()), "audit_profile").cache()
         return self._profile
 
     def bucketed_star(self, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -182,6 +187,7 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
         # The audit fixture is defined on the clean landing rows: derive it from the stored
         # clean landing table (a scan plus a Generate, no second pass over the order tables).
         pf = build(portfolio.make_dirty(load(spark, sf_dir, "clean").staging), lenient=True)
+        pf.defects = True
     else:
         raise ValueError(f"unknown variant {variant!r}")
     _CACHE[key] = pf
@@ -229,26 +235,24 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, path: str) -> DataFr
     return spark.table(table)
 
 
-def reconcile_long_wide(pf: Portfolio) -> DataFrame:
-    """Q17: the SQL-shaped long derivation vs the wide one, per customer.
-
-    Null-safe full outer join on customer_id; counts customers present on one side
-    only, customers whose any feature column differs, and differing (customer, column)
-    cells in total."""
+def reconcile_long_wide(pf: Portfolio, wide: DataFrame | None = None) -> DataFrame:
+    """Q17: the SQL-shaped long derivation vs ``wide`` (the mart's features unless given), per
+    customer: null-safe full outer join on customer_id. One row per feature column with the
+    customers that differ in it; the customers compared, and those on one side only, stand on
+    every row."""
     long = features.long_path_fact(pf.fact_repayment_history, pf.fact_statements,
                                    pf.dim_customers, pf.staging, pf.lenient)
-    wide = pf.fact_credit_risk
+    wide = pf.fact_credit_risk if wide is None else wide
     cols = [c for c in FACT_RISK_COLUMNS if c != "customer_id"]
     l = long.select("customer_id", *[F.col(c).alias(f"l_{c}") for c in cols], F.lit(1).alias("in_long"))
     w = wide.select("customer_id", *[F.col(c).alias(f"w_{c}") for c in cols], F.lit(1).alias("in_wide"))
-    j = l.join(w, "customer_id", "full_outer")
-    diffs = [(~F.col(f"l_{c}").eqNullSafe(F.col(f"w_{c}"))).cast("int") for c in cols]
-    n_diff = sum(diffs[1:], diffs[0])
     both = F.col("in_long").isNotNull() & F.col("in_wide").isNotNull()
-    return j.agg(
+    counts = l.join(w, "customer_id", "full_outer").agg(
         F.count(F.lit(1)).cast("bigint").alias("customers_compared"),
         F.count_if(F.col("in_wide").isNull()).cast("bigint").alias("only_long"),
         F.count_if(F.col("in_long").isNull()).cast("bigint").alias("only_wide"),
-        F.count_if(both & (n_diff > 0)).cast("bigint").alias("customers_differing"),
-        F.coalesce(F.sum(F.when(both, n_diff)), F.lit(0)).cast("bigint").alias("columns_differing"),
-    )
+        *[F.count_if(both & ~F.col(f"l_{c}").eqNullSafe(F.col(f"w_{c}"))).cast("bigint").alias(f"n_{c}") for c in cols])
+    rows = ", ".join(f"'{c}', n_{c}" for c in cols)
+    return counts.select(
+        F.expr(f"stack({len(cols)}, {rows}) AS (column_name, customers_differing)"),
+        "customers_compared", "only_long", "only_wide")

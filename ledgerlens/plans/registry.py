@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..operators import features, positions, quality
 from ..operators.segments import CUBE
+from ..sources.portfolio import break_tables
 from . import collections as coll
 from . import eda, kpi, mart, risk
 from .mart import Portfolio
@@ -91,8 +92,8 @@ REPORTS: dict[str, Report] = {
     "dq_range_check": lambda pf: quality.range_check(pf.staging),
     "dq_category_audit": lambda pf: quality.category_audit(pf.staging, freq=pf.value_frequencies()),
     "dq_layer_reconcile": mart.layer_reconcile,
-    "dq_pk_audit": lambda pf: quality.pk_audit(pf.tables()),
-    "dq_fk_audit": lambda pf: quality.fk_audit(pf.tables()),
+    "dq_pk_audit": lambda pf: quality.pk_audit(pf.audited_tables()),
+    "dq_fk_audit": lambda pf: quality.fk_audit(pf.audited_tables()),
     "dq_check_audit": lambda pf: quality.check_from_profile(pf.audit_profile()),
     "dq_notnull_audit": lambda pf: quality.notnull_from_profile(pf.audit_profile()),
     "dq_domain_audit": lambda pf: quality.domain_from_profile(pf.audit_profile()),
@@ -146,6 +147,12 @@ def _driver_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     return positions.with_row_number(orders, "customer_id", order_by=["o_orderkey"])
 
 
+def _driver_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Q17 against a stored fact table with injected defects, so that it has findings."""
+    pf = mart.load(spark, sf)
+    return normalize(mart.reconcile_long_wide(pf, break_tables({"fact_credit_risk": pf.fact_credit_risk})["fact_credit_risk"]))
+
+
 def _query(key: str) -> Query:
     variant = "dirty" if key in DIRTY_KEYS else "clean"
     return lambda spark, sf: normalize(REPORTS[key](mart.load(spark, sf, variant)))
@@ -153,3 +160,4 @@ def _query(key: str) -> Query:
 
 QUERIES: dict[str, Query] = {k: _query(k) for k in REPORTS}
 QUERIES["surrogate_key"] = _driver_surrogate_key
+QUERIES["reconcile_long_wide"] = _driver_reconcile

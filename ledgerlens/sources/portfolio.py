@@ -36,6 +36,22 @@ DEFAULT_MULT = 7907                    # (k*7907) % 100 < least(10 + 9*lvl, 80)
 # Dirty variant: education NULL if k%211=0; timeliness_1 NULL if k%307=0;
 # credit_limit 0 if k%401=0; then a second copy of every row with k%500=0.
 DIRTY_EDU_MOD, DIRTY_T1_MOD, DIRTY_LIMIT_MOD, DIRTY_COPY_MOD = 211, 307, 401, 500
+# Defects of the audited tables: (table, column, modulus, condition, value) sets the column to
+# the SQL value where k % modulus = 0 and the condition holds.
+DEFECTS = (
+    ("staging_raw_credit_data", "gender", 601, "true", "'not disclosed'"),
+    ("staging_raw_credit_data", "timeliness_2", 607, "true", "'m+x'"),
+    ("staging_raw_credit_data", "credit_limit", 613, "true", "credit_limit + 1000000000000"),
+    ("dim_customers", "age_band", 617, "true", "'age not given'"),
+    ("dim_customers", "customer_id", 619, "true", "-customer_id"),
+    ("fact_repayment_history", "timeliness_code", 631, "statement_month = 2", "'m+late'"),
+    ("fact_repayment_history", "statement_month", 641, "statement_month = 6", "7"),
+    ("fact_statements", "bill_amount", 643, "statement_month = 3", "bill_amount + 1000000000000"),
+    ("fact_statements", "statement_month", 647, "statement_month = 1", "0"),
+    ("fact_credit_risk", "risk_score", 653, "true", "risk_score + 1000000"),
+    ("fact_credit_risk", "default_flag", 659, "true", "2"),
+    ("fact_credit_risk", "customer_id", 661, "true", "-customer_id"),
+)
 # ---------------------------------------------------------------------------
 
 
@@ -156,3 +172,15 @@ def make_dirty(raw: DataFrame) -> DataFrame:
     copies = F.when((F.col("customer_id") - 1) % DIRTY_COPY_MOD == 0, F.lit(2)).otherwise(F.lit(1))
     return (dirty.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
             .drop("_copy"))
+
+
+def break_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Audit fixture: the star schema's tables with ``DEFECTS`` injected (orphans, months out of
+    range, over-long labels, malformed codes, money beyond its type). Every row stays."""
+    k = F.col("customer_id") - 1
+    out = {}
+    for name, df in tables.items():
+        out[name] = df.withColumns({
+            c: F.when((k % modulus == 0) & F.expr(condition), F.expr(value)).otherwise(F.col(c))
+            for table, c, modulus, condition, value in DEFECTS if table == name})
+    return out

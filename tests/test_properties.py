@@ -51,8 +51,9 @@ def test_deciles_sizes_differ_by_at_most_one(spark):
 
 
 def test_long_and_wide_paths_agree(spark):
-    r = mart.reconcile_long_wide(_pf(spark)).collect()[0]
-    assert r["customers_differing"] == 0 and r["only_long"] == 0 and r["only_wide"] == 0
+    rows = mart.reconcile_long_wide(_pf(spark)).collect()
+    assert len(rows) == 12
+    assert all(r["customers_differing"] == r["only_long"] == r["only_wide"] == 0 for r in rows)
 
 
 def test_results_independent_of_shuffle_partitions(spark):
@@ -78,11 +79,27 @@ def test_dirty_fixture_has_findings(spark):
     assert nn[("fact_credit_risk", "credit_utilization")] > 0
 
 
+def test_every_audit_family_has_findings(spark):
+    q = {k: QUERIES[k](spark, SF_SMALL).collect()
+         for k in ("dq_fk_audit", "dq_check_audit", "dq_domain_audit", "dq_pk_audit", "reconcile_long_wide")}
+    assert len(q["dq_fk_audit"]) == 4 and all(r["orphan_rows"] > 0 for r in q["dq_fk_audit"])
+    assert len(q["dq_check_audit"]) == 3 and all(r["violations"] > 0 for r in q["dq_check_audit"])
+    found = {(r["table_name"], r["rule"].split("(")[0]) for r in q["dq_domain_audit"] if r["violations"]}
+    assert found == {("staging_raw_credit_data", "NUMERIC"), ("staging_raw_credit_data", "VARCHAR"),
+                     ("staging_raw_credit_data", "repayment code"), ("dim_customers", "VARCHAR"),
+                     ("fact_repayment_history", "VARCHAR"), ("fact_repayment_history", "repayment code"),
+                     ("fact_statements", "NUMERIC"), ("fact_credit_risk", "NUMERIC")}
+    assert all(r["duplicate_keys"] > 0 for r in q["dq_pk_audit"])
+    differing = {r["column_name"] for r in q["reconcile_long_wide"] if r["customers_differing"]}
+    assert differing == {"risk_score", "default_flag"}
+    assert all(r["only_long"] == r["only_wide"] > 0 for r in q["reconcile_long_wide"])
+
+
 def test_audit_profile_equals_direct_audits(spark):
     from ledgerlens.operators import quality
 
     pf = mart.load(spark, SF_SMALL, "dirty")
-    prof, tables = pf.audit_profile(), pf.tables()
+    prof, tables = pf.audit_profile(), pf.audited_tables()
 
     def rows(df):
         return sorted(map(tuple, df.collect()), key=str)
@@ -216,8 +233,9 @@ def test_reconciliation_detects_a_tampered_account(spark):
     tampered = pf.mart.withColumn(
         "risk_score", F.when(F.col("customer_id") == victim, F.col("risk_score") + F.lit(0.01).cast("decimal(8,2)"))
         .otherwise(F.col("risk_score")).cast("decimal(8,2)"))
-    r = mart.reconcile_long_wide(mart.Portfolio(staging=pf.staging, mart=tampered, lenient=False)).collect()[0]
-    assert (r["customers_differing"], r["columns_differing"], r["only_long"], r["only_wide"]) == (1, 1, 0, 0)
+    rows = mart.reconcile_long_wide(mart.Portfolio(staging=pf.staging, mart=tampered, lenient=False)).collect()
+    assert {r["column_name"]: r["customers_differing"] for r in rows if r["customers_differing"]} == {"risk_score": 1}
+    assert all(r["only_long"] == r["only_wide"] == 0 for r in rows)
 
 
 def test_every_report_runs_on_the_dirty_portfolio(spark):
