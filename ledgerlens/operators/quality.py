@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import quotient
+from ..functions.numeric import mean, quotient
 from ..schema import CSV_SCHEMA, TABLE_SPECS, TableSpec
 from ..session import materialize
 from . import positions
@@ -308,21 +308,19 @@ def describe(raw: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 6,
         sc = getattr(raw.schema[c].dataType, "scale", 0)
         keys[c] = ((F.col(c) * F.lit(10 ** sc)).cast("bigint") if sc else F.col(c).cast("bigint"), sc)
     quart = positions.quantiles_linear(raw, keys, [0.25, 0.5, 0.75]) if keys else {}
-    for c in numeric:
-        x = F.col(c).cast("double")
-        _, (q1, q2, q3) = quart[c]
-        parts.append(raw.agg(
-            F.lit(c).alias("column_name"),
-            F.count(x).cast("bigint").alias("count"),
-            F.lit(None).cast("bigint").alias("unique"),
-            F.lit(None).cast("string").alias("top"),
-            F.lit(None).cast("bigint").alias("freq"),
-            F.round(F.avg(x), digits).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("std"),
-            F.min(x).alias("min"),
-            F.lit(q1).cast("double").alias("p25"),
-            F.lit(q2).cast("double").alias("p50"),
-            F.lit(q3).cast("double").alias("p75"),
-            F.max(x).alias("max"),
-        ))
+    # One aggregate for all numeric columns; the mean is the exact sum over the count.
+    if numeric:
+        stats = {"count": lambda c: F.count(c).cast("bigint"), "mean": lambda c: mean(F.col(c), digits, frac=keys[c][1]),
+                 "std": lambda c: F.round(F.stddev_samp(F.col(c).cast("double")), digits),
+                 "min": lambda c: F.min(F.col(c).cast("double")), "max": lambda c: F.max(F.col(c).cast("double"))}
+        wide = raw.agg(*[stat(c).alias(f"{c}_{name}") for c in numeric for name, stat in stats.items()])
+        rows = ", ".join(f"'{c}', " + ", ".join(f"`{c}_{name}`" for name in stats) for c in numeric)
+        long = wide.select(F.expr(f"stack({len(numeric)}, {rows}) AS (column_name, {', '.join(stats)})"))
+        quartile = {p: F.create_map(*[x for c in numeric for x in (F.lit(c), F.lit(quart[c][1][i]).cast("double"))])
+                    for i, p in enumerate(("p25", "p50", "p75"))}
+        none = F.lit(None)
+        parts.append(long.select(
+            "column_name", "count", none.cast("bigint").alias("unique"), none.cast("string").alias("top"),
+            none.cast("bigint").alias("freq"), "mean", "std", "min",
+            *[m[F.col("column_name")].cast("double").alias(p) for p, m in quartile.items()], "max"))
     return _union(parts)

@@ -112,6 +112,17 @@ def test_audit_profile_equals_direct_audits(spark):
     assert rows(quality.missing_from_profile(prof)) == rows(quality.missing_total(pf.staging))
 
 
+def test_describe_means_keep_cents_and_survive_null_columns(spark):
+    from ledgerlens.operators import quality
+
+    raw = spark.sql("SELECT CAST(x AS DECIMAL(14,2)) AS credit_limit, CAST(NULL AS SMALLINT) AS age "
+                    "FROM VALUES (0.01), (0.02), (0.02), (NULL) AS t(x)")
+    by = {r["column_name"]: r for r in quality.describe(raw, columns=("credit_limit", "age")).collect()}
+    money, age = by["credit_limit"], by["age"]
+    assert (money["count"], money["mean"], money["min"], money["p25"], money["max"]) == (3, 0.016667, 0.01, 0.015, 0.02)
+    assert age["count"] == 0 and age["mean"] is age["p50"] is age["max"] is None
+
+
 def test_duplicate_rows_two_phase_is_exact(spark):
     from pyspark.sql import functions as F
 
