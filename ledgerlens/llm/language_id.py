@@ -3,7 +3,10 @@
 Four kinds of evidence are combined per row, each as a probability:
 
 - the text: byte trigrams under one multinomial model per language, and a uniform model for
-  "none of these". The models are fitted on at most about ``per_language`` labelled rows each;
+  "none of these". Every language that a row is labelled with has a model, however many they
+  are; a label counts as its part before ``-`` or ``_``, in lower case, like a declaration.
+  The models are fitted on at most about ``per_language`` labelled rows each and kept as the
+  trigrams that occur, so they grow with the languages' own trigrams;
 - the declared language (a page's ``lang`` attribute, a document's column): how often rows of
   each language declare what, counted over all rows;
 - the address suffix (top-level domain) and the host (a page's host, a document's source):
@@ -33,8 +36,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 _SIZE = 1 << 16
-#: Rounds up what a batch of texts may take.
-_MAX_LANGUAGES = 64
+#: Languages that a fitting task counts, and (trigram, language) pairs or (row, language)
+#: numbers that a scoring task holds, at a time.
+_AT_ONCE, _PAIRS = 64, 1 << 20
 
 
 def grams(text: str) -> np.ndarray:
@@ -43,67 +47,100 @@ def grams(text: str) -> np.ndarray:
     return (((b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)) * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
-def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_language: int = 2000) -> tuple[list[str], np.ndarray]:
-    """Languages and the (trigram, language + none) table of log-probabilities."""
-    rows = C.picked(labelled, text_col, label_col, id_col).where("c0 is not null and c1 is not null and c1 <> ''")
-    count = rows.groupBy("c1").count()
-    named = count.orderBy(F.desc("count"), "c1").limit(_MAX_LANGUAGES)
-    sizes = {r[0]: r[1] for r in named.collect()}  # at most 64 rows
-    if not sizes:
-        return [], np.zeros((_SIZE, 1))
-    names = sorted(sizes)
-    share = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, per_language / sizes[n])))])
-    chosen = rows.where(F.col("c1").isin(names) & (F.pmod(F.xxhash64("c2"), F.lit(1 << 20)) < share[F.col("c1")] * (1 << 20)))
+def language_of(label: Column) -> Column:
+    """A label or declaration without its region or script: ``en`` of ``EN``, ``en-US``, ``en_GB``."""
+    return F.lower(F.split(label, "[-_]")[0])
+
+
+class Model:
+    """Languages, and the log-probabilities of trigrams under each of them and under "none":
+    ``base`` for a trigram that a language was not seen with, ``gain`` over it (by trigram,
+    from ``start[g]`` to ``start[g + 1]``) for the languages ``lang`` that it was seen with."""
+
+    def __init__(self, names: list[str], gram: np.ndarray, lang: np.ndarray, n: np.ndarray):
+        order = np.lexsort([lang, gram])
+        gram, lang, n = gram[order], lang[order], n[order].astype(np.float64)
+        self.names, self.lang, self.gain = names, lang.astype(np.int32), np.log((n + 0.5) / 0.5)
+        self.start = np.searchsorted(gram, np.arange(_SIZE + 1))
+        seen = np.bincount(lang, weights=n, minlength=len(names))
+        self.base = np.append(np.log(0.5 / (seen + 0.5 * _SIZE)), -np.log(_SIZE))
+
+    def log_likelihood(self, g: np.ndarray) -> np.ndarray:
+        """Of the trigrams under every language and under "none"."""
+        k = len(self.base)
+        out, step = self.base * len(g), max(1, _PAIRS // k)
+        for a in range(0, len(g), step):
+            part = g[a:a + step]
+            at = C.spread(self.start[part], self.start[part + 1] - self.start[part])
+            out += np.bincount(self.lang[at], weights=self.gain[at], minlength=k)
+        return out
+
+
+def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_language: int = 2000) -> Model:
+    """One model per language among the labels."""
+    rows = C.picked(labelled, text_col, label_col, id_col)
+    rows = rows.withColumn("c1", language_of(F.col("c1").cast("string"))).where("c0 is not null and c1 is not null and c1 <> ''")
+    sizes = rows.groupBy("c1").agg(F.count(F.lit(1)).alias("size")).toArrow()  # one row per language
+    names = sorted(sizes.column("c1").to_pylist())
+    if not names:
+        nothing = np.zeros(0, np.int64)
+        return Model([], nothing, nothing, nothing)
+    size = dict(zip(sizes.column("c1").to_pylist(), sizes.column("size").to_pylist()))
+    shares = rows.sparkSession.createDataFrame([(n, i, min(1.0, per_language / size[n])) for i, n in enumerate(names)], "c1 string, lang bigint, share double")
+    chosen = rows.join(F.broadcast(shares), "c1").where(F.pmod(F.xxhash64("c2"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("c0", "lang")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros((len(names), _SIZE), np.int64)
-        at = {n: i for i, n in enumerate(names)}
+        own: dict[int, np.ndarray] = {}
+
+        def counted() -> pa.RecordBatch:
+            g = {i: np.flatnonzero(c) for i, c in own.items()}
+            parts = [np.concatenate([np.zeros(0, np.int64), *x]) for x in ([np.full(len(x), i) for i, x in g.items()], g.values(), [own[i][x] for i, x in g.items()])]
+            own.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in parts], names=["lang", "gram", "n"])
+
         for batch in batches:
-            for t, n in zip(batch.column(0), batch.column(1).to_pylist()):
-                own[at[n]] += np.bincount(grams(t.as_py()), minlength=_SIZE)
-        i, g = np.nonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(g), pa.array(own[i, g])], names=["lang", "gram", "n"])
+            for t, i in zip(batch.column(0), batch.column(1).to_pylist()):
+                if i not in own and len(own) == _AT_ONCE:
+                    yield counted()
+                own[i] = own.get(i, 0) + np.bincount(grams(t.as_py()), minlength=_SIZE)
+        yield counted()
 
     got = chosen.mapInArrow(count_grams, "lang bigint, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    n = np.full((_SIZE, len(names)), 0.5)  # at most 64 x 65,536 numbers
-    n[got.column("gram").to_numpy(), got.column("lang").to_numpy()] += got.column("n").to_numpy()
-    table = np.full((_SIZE, len(names) + 1), 1 / _SIZE)
-    table[:, :-1] = n / n.sum(axis=0)
-    return names, np.log(table)
+    return Model(names, *[got.column(c).to_numpy() for c in ("gram", "lang", "n")])
 
 
-def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str | Column, declared: str | Column | None = None,
+def identify(rows: DataFrame, model: Model, text: str | Column, declared: str | Column | None = None,
              host: str | Column | None = None, suffix: str | Column | None = None, carry: dict[str, Column] | None = None,
              temper: float = 0.3, weight: float = 20.0, doubt: float = 20.0) -> DataFrame:
     """The carried columns (name -> expression) with language, probability, text_language and
     accepted, per row."""
     spark = rows.sparkSession
     C.importable(spark)
-    names, table = model
+    names = model.names
     k = len(names) + 1
     as_col = lambda c: F.lit(None).cast("string") if c is None else (F.col(f"`{c}`") if isinstance(c, str) else c).cast("string")
     carry = carry or {}
-    src = rows.select(as_col(text).alias("text"), F.lower(F.split(as_col(declared), "[-_]")[0]).alias("declared"), as_col(host).alias("host"),
+    src = rows.select(as_col(text).alias("text"), language_of(as_col(declared)).alias("declared"), as_col(host).alias("host"),
                       as_col(suffix).alias("suffix"), F.struct(*[c.alias(n) for n, c in carry.items()], F.lit(0).alias("_")).alias("row"))
-    shared = spark.sparkContext.broadcast(table.astype(np.float64))
+    shared = spark.sparkContext.broadcast(model)
     row_type = src.schema["row"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logp = shared.value
-        for batch in batches:
-            like, lettered = [], []
-            for t in batch.column(0):
-                t = t.as_py() or ""
-                lettered.append(any(map(str.isalpha, t)))
-                g = grams(t) if t else np.zeros(0, np.int64)
-                total = np.zeros(k)
-                for a in range(0, len(g), 1 << 16):
-                    total += logp[g[a:a + (1 << 16)]].sum(axis=0)
-                total *= temper
-                total[-1] -= doubt
-                like.append((total - total.max()).tolist() if len(g) else [0.0] * k)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(like, pa.list_(pa.float64())), pa.array(lettered, pa.bool_())],
-                                             names=["declared", "host", "suffix", "row", "like", "lettered"])
+        fitted, step = shared.value, max(1, _PAIRS // k)
+        for whole in batches:
+            for a in range(0, whole.num_rows, step):
+                batch = whole.slice(a, step)
+                like, lettered = np.zeros((batch.num_rows, k)), []
+                for r, t in enumerate(batch.column(0)):
+                    t = t.as_py() or ""
+                    lettered.append(any(map(str.isalpha, t)))
+                    if t:
+                        total = fitted.log_likelihood(grams(t)) * temper
+                        total[-1] -= doubt
+                        like[r] = total - total.max()
+                lists = pa.ListArray.from_arrays(np.arange(0, like.size + 1, k, dtype=np.int32), like.ravel())
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists, pa.array(lettered, pa.bool_())],
+                                                 names=["declared", "host", "suffix", "row", "like", "lettered"])
 
     seen = src.mapInArrow(score, f"declared string, host string, suffix string, row {row_type}, like array<double>, lettered boolean")
     weights = F.transform("like", lambda x: F.exp(x))

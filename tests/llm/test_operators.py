@@ -277,6 +277,20 @@ def test_language_fusion(spark):
     assert sum(r.language == r.url.split("/")[3] for r in pages) >= 0.97 * len(pages)
 
 
+def test_every_labelled_language_has_a_model(spark):
+    rnd, rows = random.Random(4), []
+    for i in range(90):  # each in letters of its own, under three spellings of its label
+        letters = [chr(0x4E00 + 40 * i + j) for j in range(40)]
+        code = f"q{chr(97 + i // 26)}{chr(97 + i % 26)}"
+        for n in range(3 if i >= 80 else 6):  # the last ones are the rarest
+            text = " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 6))) for _ in range(80))
+            rows.append((len(rows), text, [code, f"{code.upper()}-US", f"{code}_GB"][n % 3], None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert language_id.fit(docs, "text", "lang", "doc_id").names == sorted({r[2][:3].lower() for r in rows})
+    got = language_id.identify_documents(docs, {"lang": F.col("lang")}).collect()
+    assert len(got) == len(rows) and all(r.accepted and r.language == r.lang[:3].lower() == r.text_language for r in got)
+
+
 def article(html):
     inner = re.search(r"<article>(.*?)</article>", html, re.S)[1]
     from html import unescape
