@@ -46,6 +46,9 @@ _SLOTS = {
 }
 _MAIN = (["article", "main", "div", "section"], ["", "content", "post", "article-body", "entry-content", "story", "main-content", "post-body"])
 
+#: Characters of a text that is rather a paragraph than a menu item or a heading.
+_LONG = 60
+
 
 def _attrs(rnd: random.Random, name: str) -> str:
     return f' {rnd.choice(["class", "class", "id"])}="{name}"' if name else ""
@@ -160,6 +163,18 @@ def _by_tag(html: str) -> tuple[list[str], list[str]]:
     return [t for i, t in runs if label[i] == 1], [t for i, t in runs if label[i] == 0]
 
 
+def _fill(html: str) -> tuple[list[str], list[str]]:
+    """Texts of a page to fill layouts with: (article, other). Where no tag names an article,
+    its texts outside of menus, footers and the like stand in, long ones if there are any."""
+    main, other = _by_tag(html)
+    if not main:
+        nodes, runs = dom.parse(html)
+        label = _tag_labels(nodes)
+        main = [t for i, t in runs if label[i] < 0]
+        main = [t for t in main if len(t) >= _LONG] or main
+    return main, other
+
+
 class Trees:
     """A boosted ensemble as arrays, for numpy: one row per node of a tree."""
 
@@ -198,7 +213,7 @@ class Trees:
 
 def train(pages: DataFrame, sample: int = 300, layouts: int = 3, seed: int = 11, html_col: str = "html", id_col: str = "page_id") -> Trees | None:
     """Boosted trees from at most ``sample`` pages in ``layouts`` drawn layouts each; None if
-    there is no page to learn from."""
+    no sampled page has a text outside of menus, footers and the like (then none has a main text)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
@@ -208,8 +223,7 @@ def train(pages: DataFrame, sample: int = 300, layouts: int = 3, seed: int = 11,
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for html in batch.column(0).to_pylist():
-                main, other = _by_tag(html)
-                main = main or other
+                main, other = _fill(html)
                 if not main:
                     continue
                 rnd = random.Random(f"{seed} {len(html)} {html[:64]}")

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from html import escape
 
 import numpy as np
 import public_tokenizers as P
@@ -323,6 +324,23 @@ def test_html_extraction(spark):
     assert [t for _, t in dom.parse("<div>x<p>a<p>b &amp; c<br>d<script>x</p></script>e</div>f <b>g")[1]] == ["x", "a", "b & c de", "f g"]
 
 
+def test_html_without_semantic_tags(spark):
+    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    rows, want = [], {}
+    for i, text in enumerate(docs):
+        words = text.split()[:300]
+        paragraphs = [" ".join(words[a:a + 50]) for a in range(0, len(words), 50)]
+        menu = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in words[:6])
+        body = "".join(f"<p>{escape(p)}</p>" for p in paragraphs)
+        rows.append((i, "u", f'<html><body><div class="menu"><ul>{menu}</ul></div><div class="content">{body}</div><div class="footer">&copy; {words[0]}</div></body></html>'))
+        want[i] = "\n".join(paragraphs)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+    menu_only = "<nav><a href='/a'>Home and some other words</a></nav><div><p>Words of the page</p></div>"
+    assert html_extract._fill(menu_only)[0] == ["Words of the page"] and not html_extract._fill("<nav>Home</nav>")[0]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
