@@ -2,7 +2,8 @@
 
 Only what main-text extraction needs: inline elements melt into their block's text, raw-text
 elements (scripts, styles) and comments are skipped, unclosed paragraphs and list items end
-where the next one starts, stray end tags are ignored, a cut-off page ends all open elements.
+where the next one starts, the text of a data list's option is skipped up to the next element,
+stray end tags are ignored, a cut-off page ends all open elements.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ _ATTR = re.compile(r"(class|id|role|itemprop|style|hidden|aria-label)(?:\s*=\s*(
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Fixed by the markup language: elements without text of the page, without content, and
 #: within a line of text.
-RAW = frozenset("script style template noscript textarea title iframe object svg math select option".split())
+RAW = frozenset("script style template noscript textarea title iframe object svg math select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big button cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var output".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_WHOLE = frozenset(("#page", "html", "body"))
 _SCOPE = frozenset("ul ol dl table body article section div main aside nav header footer form".split())
 
 #: Word stems of class, id and role attributes, by what they speak for.
@@ -135,6 +137,11 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, pos)
                 pos = end.end() if end else n
             continue
+        if tag == "option":  # outside a select: its text ends where another element begins or ends
+            while (m := find(html, pos)) and (m[2] is None or m[2].lower() in INLINE):
+                pos = m.end()
+            pos = m.start() if m else n
+            continue
         if tag in INLINE:
             if tag == "a":
                 anchors += 1
@@ -221,13 +228,15 @@ def features(nodes: list[Node]) -> np.ndarray:
 
 
 def decode(nodes: list[Node], p: np.ndarray, leave: float = 3.0) -> np.ndarray:
-    """Kept nodes under the likeliest consistent labelling: the page is mixed; under a mixed
-    node a child is mixed, kept or dropped; under a kept one, kept or, at the cost ``leave``,
-    dropped; under a dropped one all is dropped."""
+    """Kept nodes under the likeliest consistent labelling: the page is mixed, kept or dropped
+    if it has text of its own, else mixed; under a mixed node a child is mixed, kept or
+    dropped; under a kept one, kept or, at the cost ``leave`` (none directly under a page or body
+    with text of its own), dropped; under a dropped one all is dropped."""
     p = np.clip(p, 1e-6, 1 - 1e-6)
     yes, no = np.log(p).tolist(), np.log(1 - p).tolist()
     index = {id(x): i for i, x in enumerate(nodes)}
     mixed, kept, dropped = ([0.0] * len(nodes) for _ in range(3))
+    out = [0.0 if x.own and x.tag in _WHOLE else leave for x in nodes]
     for i in range(len(nodes) - 1, -1, -1):
         x = nodes[i]
         own = x.chars > 0
@@ -235,19 +244,22 @@ def decode(nodes: list[Node], p: np.ndarray, leave: float = 3.0) -> np.ndarray:
         for c in x.kids:
             j = index[id(c)]
             m += max(mixed[j], kept[j], dropped[j])
-            k += max(kept[j], dropped[j] - leave)
+            k += max(kept[j], dropped[j] - out[i])
             d += dropped[j]
-        if x.own and i:  # a mixed node with text of its own would leave that text undecided
+        if x.own and x.tag in _WHOLE:  # mixed, the page's own text is dropped
+            m += no[i] + 0.9
+        elif x.own:  # a mixed node with text of its own would leave that text undecided
             m -= 2.0
         mixed[i], kept[i], dropped[i] = m, k, d
     state = np.zeros(len(nodes), np.int8)  # 0 mixed, 1 kept, 2 dropped
     for i, x in enumerate(nodes):
-        if i:
-            up = state[index[id(x.parent)]]
+        if i or x.own:
+            above = index[id(x.parent)] if i else 0
+            up = state[above] if i else 0
             if up == 2:
                 state[i] = 2
             elif up == 1:
-                state[i] = 1 if kept[i] >= dropped[i] - leave else 2
+                state[i] = 1 if kept[i] >= dropped[i] - out[above] else 2
             else:
                 best = max(mixed[i], kept[i], dropped[i])
                 state[i] = 1 if kept[i] == best else 2 if dropped[i] == best else 0

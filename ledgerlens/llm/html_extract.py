@@ -10,7 +10,8 @@ The model is trained here, on a bounded sample of the pages at hand (``sample``
 of least hash): their paragraphs and their menu, advert and footer texts are taken from
 elements whose tag says what they are, set into page layouts drawn at random (other tags,
 class names, nesting, side columns, notices, forms, reader comments, links in the text,
-scripts), and every block of a layout is labelled by the slot that it was set into. So the
+scripts; or with the article, or a few words beside it, directly under the page), and every
+block of a layout is labelled by the slot that it was set into. So the
 trees learn what the parts of a page look like, not one site's layout; the pages as they are,
 labelled where a tag says it, are among the examples.
 
@@ -134,6 +135,43 @@ def layout(rnd: random.Random, paragraphs: list[str], short: list[str], long: li
     return f"<!DOCTYPE html><html><head><title>{escape(rnd.choice(short))}</title></head><body><script>var t='</p>';</script>{middle}</body></html>"
 
 
+def bare(rnd: random.Random, paragraphs: list[str], short: list[str], long: list[str]) -> str:
+    """A page with ``paragraphs`` directly under the page or its body, not all in elements of
+    their own; the body, if it has one, and every slot say whether they are kept."""
+    body = [f"<h1>{escape(rnd.choice(short))}</h1>"] if rnd.random() < 0.6 else []
+    for i, p in enumerate(paragraphs):
+        words = escape(p).split(" ")
+        if rnd.random() < 0.4:
+            k, tag = rnd.randrange(len(words)), rnd.choice(["b", "i", "em", "a"])
+            words[k:k + 3] = [f"<{tag}>{' '.join(words[k:k + 3])}</{tag}>"]
+        t = " ".join(words)
+        body.append(f"<p>{t}</p>" if i and rnd.random() < 0.4 else t + rnd.choice(["<br>", "<br><br>", "\n", "<hr>"]))
+    draw = lambda slots, odds: [_slot(rnd, s, short, long) for s in slots if rnd.random() < odds]
+    odds = rnd.choice([0.0, 0.35])
+    inner = "".join([*draw(["head", "menu", "notice", "form"], odds), *body, *draw(["comment", "side", "ad", "foot"], odds)])
+    if rnd.random() < 0.5:
+        return rnd.choice(["", f"<!DOCTYPE html><title>{escape(rnd.choice(short))}</title>"]) + inner
+    return f'<!DOCTYPE html><html><head><title>{escape(rnd.choice(short))}</title></head><body data-kept="1">{inner}</body></html>'
+
+
+def _unwrapped(rnd: random.Random, paragraphs: list[str], short: list[str], long: list[str]) -> tuple[list[dom.Node], np.ndarray]:
+    """Nodes and labels of a page with text directly under the page or its body: its article,
+    or a few words beside it."""
+    if rnd.random() < 0.6:
+        nodes, _runs = dom.parse(bare(rnd, paragraphs, short, long))
+        if nodes[0].own:
+            nodes[0].label = 1
+        return nodes, _labels(nodes)
+    html = layout(rnd, paragraphs, short, long)
+    inner = html[html.index("<body>") + 6:html.index("</body>")]
+    few = escape(" ".join(rnd.choice(short).split()[:rnd.randint(1, 5)]))
+    few = few if rnd.random() < 0.5 else f'<a href="#c">{few}</a>'
+    nodes, _runs = dom.parse(rnd.choice([few + inner, f"{inner}{few}", f"<html><body>{few}{inner}</body></html>"]))
+    labels = _labels(nodes)
+    labels[[i for i, x in enumerate(nodes) if x.own and x.tag in ("#page", "body")]] = 0
+    return nodes, labels
+
+
 def _labels(nodes: list[dom.Node]) -> np.ndarray:
     """1 kept, 0 dropped, -1 a wrapper of both; from the nearest marked slot."""
     out = np.full(len(nodes), -1)
@@ -237,6 +275,9 @@ def train(pages: DataFrame, sample: int = 300, layouts: int = 3, seed: int = 11,
                     nodes, _runs = dom.parse(layout(rnd, some, short, main[:4]))
                     rows.append(dom.features(nodes))
                     labels.append(_labels(nodes))
+                nodes, few = _unwrapped(rnd, some, short, main[:4])
+                rows.append(dom.features(nodes))
+                labels.append(few)
                 x, y = np.concatenate(rows), np.concatenate(labels)
                 good = (y >= 0) & (x[:, dom.CHARS] > 0)
                 x, y = x[good], y[good]

@@ -341,6 +341,26 @@ def test_html_without_semantic_tags(spark):
     assert html_extract._fill(menu_only)[0] == ["Words of the page"] and not html_extract._fill("<nav>Home</nav>")[0]
 
 
+def test_html_options_and_text_under_the_page(spark):
+    search = "<form><input list=x><datalist id=x><option value=a>one<option value=b><b>two</b><optgroup><option>three</datalist></form>"
+    assert [t for _, t in dom.parse(f"<body>{search}<article><p>Kept text</p></article>")[1]] == ["Kept text"]
+    assert [t for _, t in dom.parse("a <select><option>b<option>c</select>d <option>e</option>f")[1]] == ["a d f"]
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    trees = html_extract.train(pages)
+    assert html_extract.main_text("Plain <b>words</b>", trees) == "Plain words"
+    texts = [article(html).split("\n") for (html,) in pages.select("html").limit(60).collect()]
+    right = total = 0
+    for i, paragraphs in enumerate(texts):
+        long = [p for p in paragraphs if len(p) > 60][:6]
+        if long:
+            inner = "<br>".join(f"{escape(p)}" for p in long)
+            for html in (inner, f"<!DOCTYPE html><title>t</title><nav><a href='/'>Home</a> <a href='/b'>News</a></nav>{inner}<footer>&copy; 2020</footer>",
+                         f"<html><body><h1>{escape(long[0][:30])}</h1>{inner}</body></html>"):
+                got = html_extract.main_text(html, trees)
+                right, total = right + (" ".join(long) in got.replace("\n", " ") and "News" not in got), total + 1
+    assert total > 100 and right >= 0.95 * total
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
