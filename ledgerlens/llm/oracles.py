@@ -95,6 +95,135 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM d JOIN kept USING (r) LEFT JOIN cut USING (r)
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), d AS (
+  SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t
+), low AS (
+  SELECT text, min(doc_id) AS m FROM t GROUP BY text
+), good AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+                regexp_matches(text, '[#$%&*|]'), coalesce(m < d.doc_id, false)] AS fails,
+         coalesce(good, false) AS good, coalesce(bad, false) AS bad
+  FROM d JOIN low USING (text) LEFT JOIN good ON good.doc_id = d.doc_id
+), g AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM f GROUP BY ALL
+), x AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), st AS (
+  SELECT o, s, instr('ABCDE', substr(o, s, 1)) AS f, list_transform(range(1, s), lambda j: instr('ABCDE', substr(o, j, 1))) AS before
+  FROM orders, range(1, 6) AS r(s)
+), r AS (
+  SELECT part, o, s, f,
+         sum(n) FILTER (NOT fails[f] AND len(list_filter(before, lambda b: fails[b])) = 0) AS kept,
+         sum(n) FILTER (fails[f] AND len(list_filter(before, lambda b: fails[b])) = 0) AS removed,
+         sum(n) FILTER (fails[f] AND len(list_filter(before, lambda b: fails[b])) > 0) AS redundant,
+         sum(n) FILTER (fails[f] AND len(list_filter(fails, lambda b: b)) = 1) AS alone,
+         sum(good) FILTER (fails[f] AND len(list_filter(before, lambda b: fails[b])) = 0) AS good_lost,
+         sum(bad) FILTER (fails[f] AND len(list_filter(before, lambda b: fails[b])) = 0) AS toxic_lost
+  FROM g, st GROUP BY ALL
+)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(alone, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
+#: crc32 is not in DuckDB: the polynomial division, byte by byte, over the id's decimal digits.
+OP12 = r"""
+WITH RECURSIVE tab(v, c, k) AS (
+  SELECT v, v::UBIGINT, 0 FROM range(0, 256) AS r(v)
+  UNION ALL SELECT v, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM tab WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY v) AS t FROM tab WHERE k = 8
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), h AS (
+  SELECT r, doc_id, w, len(w) AS n, xor(list_reduce(
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+    lambda acc, b: xor(acc >> 8, t[CAST(1 + (xor(acc, b) & 255) AS BIGINT)]), 4294967295::UBIGINT), 4294967295::UBIGINT)::BIGINT AS h
+  FROM d, crc_table
+), p AS (
+  SELECT r, doc_id, w, n, h % 10 = 0 AND n > 0 AS planted, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p
+  FROM h
+), word AS (
+  SELECT r, n, i, CASE WHEN planted AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS w
+  FROM (SELECT r, n, w, planted, a, p, unnest(range(0, n)) AS i FROM p)
+), pair AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.r = y.r AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), island AS (
+  SELECT r, q, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g, i FROM pair
+), stretch AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length FROM island GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (
+  SELECT r, start, length, min(q) AS period FROM stretch GROUP BY r, start, length
+), most AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY r
+), best AS (
+  SELECT * FROM run x WHERE NOT EXISTS (FROM run y WHERE y.r = x.r AND (y.length * x.period > x.length * y.period
+    OR (y.length * x.period = x.length * y.period AND (y.start < x.start OR (y.start = x.start AND y.period < x.period)))))
+), kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS text FROM word
+  WHERE NOT EXISTS (FROM run WHERE run.r = word.r AND i >= start + period AND i < start + length) GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM d LEFT JOIN most USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), e AS (
+  SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS after_,
+         coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), first_value(doc_id) OVER (ORDER BY doc_id DESC)) AS next_id FROM d
+), v AS (
+  SELECT doc_id, 0 AS k, text FROM d
+  UNION ALL SELECT doc_id, 1, left(text, n - n // 3) || left(after_, n // 3) FROM e
+), w AS (
+  SELECT doc_id, k, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~',
+    'abcdefghijklmnopqrstuvwxyz' || repeat(' ', 32)), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM v
+), common AS (
+  SELECT x FROM (SELECT unnest(list_distinct(w)) AS x FROM w WHERE k = 0) GROUP BY x HAVING count(*) >= 0.02 * (SELECT count(*) FROM d)
+), word AS (
+  SELECT doc_id, k, i, u.x, common.x IS NOT NULL AS c
+  FROM (SELECT doc_id, k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM w) u LEFT JOIN common ON common.x = u.x
+), spot AS (
+  SELECT *, i - coalesce(max(CASE WHEN c THEN i END) OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS since,
+         count(*) FILTER (NOT c) OVER (PARTITION BY doc_id, k ORDER BY i) AS place FROM word
+), content AS (
+  SELECT doc_id, k, place, x FROM spot WHERE NOT c
+), sign AS (
+  SELECT DISTINCT s.doc_id, s.k, left(md5(s.x || ' ' || a.x || coalesce(' ' || b.x, '')), 8) AS g
+  FROM spot s JOIN content a ON a.doc_id = s.doc_id AND a.k = s.k AND a.place = s.place + 1
+  LEFT JOIN content b ON b.doc_id = s.doc_id AND b.k = s.k AND b.place = s.place + 2
+  WHERE s.c OR (s.since > 16 AND octet_length(encode(s.x)) % 4 = 0)
+), whole AS (
+  SELECT doc_id, k, g FROM sign
+  UNION ALL SELECT doc_id, k, left(md5(array_to_string(w, ' ')), 8) FROM w WHERE len(w) > 0 AND NOT EXISTS (FROM sign WHERE sign.doc_id = w.doc_id AND sign.k = w.k)
+), print AS (
+  SELECT w.doc_id, w.k, coalesce(string_agg(g, '' ORDER BY g), '') AS f, count(g) AS n, list(g) FILTER (g IS NOT NULL) AS s
+  FROM w LEFT JOIN whole ON whole.doc_id = w.doc_id AND whole.k = w.k GROUP BY w.doc_id, w.k
+), pair AS (
+  SELECT e.doc_id, a.f, b.f AS ef, a.n AS na, b.n AS nb, c.n AS nc, len(list_intersect(a.s, b.s)) AS ab, len(list_intersect(a.s, c.s)) AS ac, e.n, e.next_id
+  FROM e JOIN print a ON a.doc_id = e.doc_id AND a.k = 0 JOIN print b ON b.doc_id = e.doc_id AND b.k = 1 JOIN print c ON c.doc_id = e.next_id AND c.k = 0
+)
+SELECT pair.doc_id, CAST(pair.n AS BIGINT) AS n_chars, sha256(v.text) AS edited_sha256, f AS fingerprint, ef AS edited_fingerprint,
+       CASE WHEN na = 0 OR nb = 0 THEN (na = nb)::INT::DOUBLE WHEN ab >= 0.05 * (na + nb - ab) THEN ab / (na + nb - ab) ELSE 0.0 END AS near_edited,
+       CASE WHEN na = 0 OR nc = 0 THEN (na = nc)::INT::DOUBLE WHEN ac >= 0.05 * (na + nc - ac) THEN ac / (na + nc - ac) ELSE 0.0 END AS near_next
+FROM pair JOIN v ON v.doc_id = pair.doc_id AND v.k = 1
+"""
+
 #: op1, op6, op7, op9 and the pipeline need a tokenizer or a fitted model, op10 is approximate,
 #: and op3 walks reply chains: tests hold them against brute force.
 ORACLES: dict[str, str] = {
@@ -102,4 +231,7 @@ ORACLES: dict[str, str] = {
     "op4_bloom_cascade": OP4,
     "op5_setsketch_near_dup": OP5,
     "op8_substring_dedup": OP8,
+    "op11_filter_audit": OP11,
+    "op12_periodic_runs": OP12,
+    "op13_spot_signatures": OP13,
 }
