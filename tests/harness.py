@@ -24,6 +24,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _canon(v):
     if v is None:
         return None
+    if v is pd.NA:
+        return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
@@ -64,7 +66,9 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     if sorted(s.columns) != sorted(o.columns):
         return False, f"columns differ: spark={sorted(s.columns)} oracle={sorted(o.columns)}"
     # pandas dtypes too: a value hash can depend on them (e.g. float64 NaN vs Int64 <NA>)
-    dtypes = [f"{c}: {s[c].dtype} vs {o[c].dtype}" for c in s.columns if str(s[c].dtype) != str(o[c].dtype)]
+    # Nullable BIGINT on both sides (a result whose contract says so) has no common pandas dtype.
+    longs = {c for c, t in spark_df.dtypes if t == "bigint" and s[c].isna().any()}
+    dtypes = [f"{c}: {s[c].dtype} vs {o[c].dtype}" for c in s.columns if str(s[c].dtype) != str(o[c].dtype) and c not in longs]
     if dtypes:
         return False, "pandas dtypes differ: " + "; ".join(dtypes)
     if len(s) != len(o):
