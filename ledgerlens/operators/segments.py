@@ -47,6 +47,13 @@ def build_cube(mart: DataFrame) -> DataFrame:
     )
 
 
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Cubes of several disjoint sets of accounts -> the cube of all of them: counts and sums
+    add up cell by cell."""
+    parts = [c for c in cells.columns if c not in CUBE_DIMS]
+    return cells.groupBy(*CUBE_DIMS).agg(*[F.sum(c).alias(c) for c in parts])
+
+
 class RowAggregator:
     """Aggregate primitives over account rows."""
 

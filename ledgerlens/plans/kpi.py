@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import dec, pct, quotient, round_money
+from ..functions.numeric import INT_DIGITS, dec, pct, quotient, round_money
 from ..operators.segments import CUBE, ROWS, Aggregator, build_cube, efficiency_pct, segment_report
 from ..schema import GRADE_LABELS
 
@@ -76,6 +76,31 @@ VIEWS = {
 }
 
 
+def _quotient_sql(num: str, den: str, scale: int = 2, mult: int = 1, num_frac: int = 0, den_frac: int = 0) -> str:
+    """``numeric.quotient`` as SQL text."""
+    digits = lambda frac: f"DECIMAL({INT_DIGITS + frac}, {frac})"
+    return f"CAST(ROUND(CAST({num} AS {digits(num_frac)}) * {mult} / NULLIF(CAST({den} AS {digits(den_frac)}), 0), {scale}) AS DOUBLE)"
+
+
+_RATE = _quotient_sql("SUM(default_flag)", "COUNT(default_flag)", mult=100) + " AS default_rate_pct"
+_EFFICIENCY = _quotient_sql("SUM(total_paid_6mo)", "SUM(total_bill_6mo)", mult=100, num_frac=2, den_frac=2) + " AS collection_efficiency_pct"
+_STAR = "FROM {fact_credit_risk} JOIN {dim_customers} USING (customer_id)"
+#: The BI views as SQL over the stored tables (``store`` keeps them beside its manifest).
+VIEW_SQL = {
+    "vw_dashboard_kpi_summary": f"""SELECT COUNT(*) AS total_accounts, {_RATE.replace("default_rate_pct", "overall_default_rate_pct")},
+        CAST(ROUND(SUM(credit_limit), 0) AS BIGINT) AS total_credit_exposure, CAST(ROUND(SUM(total_bill_6mo), 0) AS BIGINT) AS total_outstanding_bill,
+        CAST(ROUND(SUM(total_paid_6mo), 0) AS BIGINT) AS total_collected_6mo, {_EFFICIENCY},
+        COUNT(*) FILTER (WHERE current_dpd >= {SEVERE_DPD}) AS severe_dpd_accounts,
+        COUNT(*) FILTER (WHERE risk_grade IN ({", ".join(repr(g) for g in HIGH_RISK)})) AS high_risk_plus_accounts {_STAR}""",
+    "vw_risk_grade_summary": f"""SELECT risk_grade, COUNT(*) AS accounts, {_RATE},
+        {_quotient_sql("SUM(risk_score)", "COUNT(risk_score)", num_frac=2)} AS avg_risk_score FROM {{fact_credit_risk}} GROUP BY risk_grade""",
+    "vw_collections_stage_summary": f"""SELECT collections_stage, COUNT(*) AS accounts, {_RATE},
+        CAST(ROUND(SUM(total_bill_6mo), 0) AS BIGINT) AS total_outstanding, CAST(ROUND(SUM(total_paid_6mo), 0) AS BIGINT) AS total_collected,
+        {_EFFICIENCY} FROM {{fact_credit_risk}} GROUP BY collections_stage""",
+    "vw_credit_limit_band_trend": f"""SELECT credit_limit_band, COUNT(*) AS accounts, {_RATE} {_STAR} GROUP BY credit_limit_band""",
+}
+
+
 def register_views(src: DataFrame, agg: Aggregator = ROWS, prefix: str = "") -> list[str]:
     """CREATE OR REPLACE VIEW for each BI view (temp views; every pull re-runs the
     aggregate, as database views do)."""

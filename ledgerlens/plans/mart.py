@@ -10,7 +10,6 @@ cut lineage and survive executor loss.
 
 from __future__ import annotations
 
-import hashlib
 import os
 from dataclasses import dataclass
 
@@ -34,6 +33,7 @@ class Portfolio:
     mart: DataFrame               # dim + fact_credit_risk columns (written)
     lenient: bool
     defects: bool = False         # audits read the tables with injected defects
+    stored: dict[str, DataFrame] | None = None  # the five tables as a store holds them
     _cube: DataFrame | None = None
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None
@@ -41,20 +41,35 @@ class Portfolio:
     _freq: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, version: int | None = None) -> "Portfolio":
+        """A portfolio that ``store.StarStore`` has written, without rebuilding anything."""
+        from .store import StarStore
+
+        return StarStore(spark, root).open(version)
+
     @property
     def dim_customers(self) -> DataFrame:
+        if self.stored is not None:
+            return self.stored["dim_customers"]
         return self.mart.select(*DIM_COLUMNS)
 
     @property
     def fact_credit_risk(self) -> DataFrame:
+        if self.stored is not None:
+            return self.stored["fact_credit_risk"]
         return self.mart.select(*FACT_RISK_COLUMNS)
 
     @property
     def fact_repayment_history(self) -> DataFrame:
+        if self.stored is not None:
+            return self.stored["fact_repayment_history"]
         return unpivot.repayment_history(self.staging, self.lenient)
 
     @property
     def fact_statements(self) -> DataFrame:
+        if self.stored is not None:
+            return self.stored["fact_statements"]
         return unpivot.statements(self.staging)
 
     @property
@@ -161,15 +176,23 @@ def write_star_schema(pf: Portfolio, root: str) -> dict[str, str]:
 _CACHE: dict[tuple, Portfolio] = {}
 
 
-def _listing(spark: SparkSession, sf_dir: str) -> str:
-    """A digest of the input files' names: new or removed files make a new cache entry."""
-    files = [f for t in ("orders", "lineitem") for f in sorted(spark.read.parquet(f"{sf_dir}/{t}.parquet").inputFiles())]
-    return hashlib.sha256("\n".join(files).encode()).hexdigest()
+def _stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(modification time, length) of a file or folder: one lookup, no listing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at)
+    return status.getModificationTime(), status.getLen()
+
+
+def refresh(spark: SparkSession) -> None:
+    """Forget the session's portfolios. Needed after files deep inside a folder of a table, or
+    in a store without folder times, have changed; other changes are seen by ``load``."""
+    for key in [k for k in _CACHE if k[0] == app_id(spark)]:
+        del _CACHE[key]
 
 
 def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
-    """Portfolio derived from the order tables in ``sf_dir``; built once per session and
-    set of input files.
+    """Portfolio derived from the order tables in ``sf_dir``; built once per session and state
+    of the two tables (modification time and length of their file or folder; ``refresh``).
 
     ``variant='dirty'`` is the audit fixture (NULLs, zero limits, duplicate rows),
     built in lenient mode so overflow/parse problems become NULLs the audits report.
@@ -177,7 +200,8 @@ def load(spark: SparkSession, sf_dir: str, variant: str = "clean") -> Portfolio:
     where = sf_dir.rstrip("/")
     if "://" not in where:  # local path: one cache entry however it is spelled
         where = os.path.abspath(where)
-    key = (app_id(spark), where, _listing(spark, sf_dir), variant)
+    state = tuple(_stamp(spark, f"{where}/{t}.parquet") for t in ("orders", "lineitem"))
+    key = (app_id(spark), where, state, variant)
     hit = _CACHE.get(key)
     if hit is not None:
         return hit
