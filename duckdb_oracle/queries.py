@@ -294,6 +294,28 @@ SELECT c.column_name, c.customers_differing, c.customers_compared, c.only_long,
   FROM lng4 l FULL OUTER JOIN wide w ON l.customer_id = w.customer_id) c"""
 
 
+def _place(values: tuple[str, ...], column: str) -> str:
+    return f"list_position([{', '.join(repr(v) for v in values)}], {column})"
+
+
+_BANDS = _place(("<50K", "50K-100K", "100K-200K", "200K-300K", "300K-500K", "500K+"), "credit_limit_band")
+_AGES = _place(("<25", "25-34", "35-44", "45-54", "55-64", "65+"), "age_band")
+#: (report, ORDER BY, columns that name a row)
+ORDERS = [
+    ("risk_grade_segments", "risk_grade", "risk_grade"), ("limit_band_segments", _BANDS, "credit_limit_band"), ("age_band_segments", _AGES, "age_band"),
+    ("edu_marital_segments", "education, marital_status", "education, marital_status"),
+    ("top_risk_segments", "default_rate_pct DESC NULLS FIRST, age_band, education, credit_limit_band", "age_band, education, credit_limit_band"),
+    ("risk_deciles", "risk_decile", "risk_decile"), ("grade_behaviour", "risk_grade", "risk_grade"), ("collections_funnel", "collections_stage", "collections_stage"),
+    ("dpd_distribution", "try_cast(regexp_extract(dpd_bucket, '^[0-9]+') AS INT)", "dpd_bucket"),
+    ("roll_rate_matrix", "prior_stage, current_stage", "prior_stage, current_stage"), ("roll_rate_pivot", "prior_stage", "prior_stage"),
+    ("exposure_concentration", "collections_stage", "collections_stage"),
+    ("efficiency_ranking", "collection_efficiency_pct NULLS LAST, credit_limit_band, age_band", "credit_limit_band, age_band"),
+    ("monthly_trend", "statement_month DESC", "statement_month"), ("eda_limit_band_curve", _BANDS, "credit_limit_band"),
+    ("eda_stage_counts", "collections_stage", "collections_stage"), ("stage_value_counts", "accounts DESC, collections_stage", "collections_stage"),
+    ("default_correlation", "corr NULLS LAST, feature", "feature"),
+]
+
+
 def _segment(keys: str, metrics: str, having: str = "") -> str:
     return f"SELECT {keys}, {metrics} FROM mart GROUP BY {keys} {having}"
 
@@ -507,4 +529,22 @@ def build() -> dict[str, str]:
         "default_flag, accounts FROM (SELECT CAST(LEAST(LEAST(GREATEST(ratio_m, 0), 2000) * 30 // 2000, 29) AS BIGINT)"
         " AS bin, CAST(default_flag AS BIGINT) AS default_flag, COUNT(*) AS accounts FROM mart GROUP BY 1, 2)")
     q["default_correlation"] = _q(_corr_sql())
+    q["stage_value_counts"] = q["eda_stage_counts"]
+    # --- rows in the order of the result ------------------------------------------------------
+    q["report_order"] = " UNION ALL ".join(
+        f"SELECT '{key}' AS report, row_number() OVER (ORDER BY {order}) AS ordinal, concat_ws(' | ', {entry}) AS entry FROM ({q[key]})"
+        for key, order, entry in ORDERS)
+    # --- stored star schema, CSV sink and scan ------------------------------------------------
+    q["stored_tables"] = _q(
+        "SELECT t.name AS table_name, CAST(COUNT(*) AS BIGINT) * t.per AS n_rows, MIN(customer_id) AS first_id, MAX(customer_id) AS last_id, "
+        "COUNT(DISTINCT customer_id) AS customers FROM mart, (VALUES ('staging_raw_credit_data', 1), ('dim_customers', 1), "
+        "('fact_repayment_history', 6), ('fact_statements', 6), ('fact_credit_risk', 1)) t(name, per) GROUP BY t.name, t.per")
+    q["stored_dashboard_refresh"] = q["dashboard_refresh"]
+    for view in ("vw_dashboard_kpi_summary", "vw_risk_grade_summary", "vw_collections_stage_summary", "vw_credit_limit_band_trend"):
+        q[f"stored_{view}"] = q[view]
+    q["stored_pk_audit"], q["stored_fk_audit"] = q["dq_pk_audit"], q["dq_fk_audit"]
+    q["serial_ids"] = ("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey <= (SELECT (min(o_orderkey) + max(o_orderkey)) // 2 FROM orders), "
+                       "o_orderkey) AS customer_id FROM orders")
+    q["csv_landing"] = f"SELECT * REPLACE (row_number() OVER (ORDER BY customer_id) AS customer_id) FROM ({q['src_raw_scan']})"
+    q["engineered_csv"] = q["engineered_wide"]
     return q

@@ -3,8 +3,14 @@
     spark-submit -m ledgerlens --csv s3://bucket/accounts.csv --out s3://bucket/reports
     python -m ledgerlens --landing /data/staging_parquet --out /data/reports --report risk_deciles
 
-Input is either the source CSV (no id column, flag column ``default``; ids are
-assigned in file order) or a stored landing table in RAW_SCHEMA. Each report is
+    spark-submit -m ledgerlens --csv s3://bucket/jan.csv --publish s3://bucket/star
+    spark-submit -m ledgerlens --csv s3://bucket/feb.csv --append s3://bucket/star
+    spark-submit -m ledgerlens --star s3://bucket/star --out s3://bucket/reports
+
+Input is the source CSV (no id column, flag column ``default``; ids are assigned in
+file order), a stored landing table in RAW_SCHEMA, or a stored star schema, which is
+opened without rebuilding. ``--publish`` stores the input as the only batch of a star
+schema, ``--append`` as one more (CSV accounts get the next ids). Each report is
 written as Parquet under ``--out/<key>`` by the executors; ``--show`` also prints
 reports of at most ``--show-rows`` rows. Intermediate tables go to the shared
 ``spark.checkpoint.dir`` of the session.
@@ -18,6 +24,7 @@ from pyspark.sql import SparkSession
 
 from .plans import mart
 from .plans.registry import REPORTS
+from .plans.store import StarStore
 from .sources import raw as rawio
 
 
@@ -26,7 +33,11 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="source CSV file or folder")
     src.add_argument("--landing", help="stored landing table (Parquet, RAW_SCHEMA)")
-    ap.add_argument("--out", required=True, help="output folder; one Parquet table per report")
+    src.add_argument("--star", help="stored star schema (a folder that --publish or --append wrote)")
+    sink = ap.add_mutually_exclusive_group(required=True)
+    sink.add_argument("--out", help="output folder; one Parquet table per report")
+    sink.add_argument("--publish", metavar="ROOT", help="store the input as a star schema in this folder")
+    sink.add_argument("--append", metavar="ROOT", help="add the input to the star schema in this folder")
     ap.add_argument("--report", action="append", help="report key (repeatable; default: all)")
     ap.add_argument("--lenient", action="store_true", help="NULL + audit instead of errors on bad values")
     ap.add_argument("--show", action="store_true", help="also print small reports")
@@ -38,9 +49,23 @@ def main(argv: list[str] | None = None) -> None:
     if unknown:
         raise SystemExit(f"unknown report(s): {', '.join(unknown)}; known: {', '.join(REPORTS)}")
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
-    staging = (rawio.read_raw_csv(spark, args.csv, lenient=args.lenient) if args.csv
-               else rawio.read_raw_parquet(spark, args.landing))
-    pf = mart.build(staging, lenient=args.lenient)
+    if args.star and not args.out:
+        raise SystemExit("--star is read for reports: give --out")
+    root = args.publish or args.append
+    if root:
+        star = StarStore(spark, root)
+        first = star.manifest()["next_id"] if args.append and star.versions() else 1
+        staging = (rawio.read_raw_csv(spark, args.csv, lenient=args.lenient, first_id=first) if args.csv
+                   else rawio.read_raw_parquet(spark, args.landing))
+        version = (star.append if args.append else star.rebuild)(staging, lenient=args.lenient)
+        print(f"{root}: version {version}")
+        return
+    if args.star:
+        pf = mart.Portfolio.open(spark, args.star)
+    else:
+        staging = (rawio.read_raw_csv(spark, args.csv, lenient=args.lenient) if args.csv
+                   else rawio.read_raw_parquet(spark, args.landing))
+        pf = mart.build(staging, lenient=args.lenient)
     for key in keys:
         df = REPORTS[key](pf)
         df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{key}")

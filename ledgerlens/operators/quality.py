@@ -119,14 +119,18 @@ def pk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_S
     return _union(out)
 
 
-def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_SPECS) -> DataFrame:
+def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_SPECS, co_bucketed: bool = False) -> DataFrame:
     """Q10: child rows whose key has no parent row.
 
-    Children of the same parent are unioned as (key, child tag) and counted with ONE
-    GROUP BY key (a conditional count per child, aggregated map-side, so a key holding
-    a third of all rows is collapsed before the shuffle). The per-key counts and the
-    parent's distinct keys are both hash-partitioned by the key, so the single anti-join
-    needs no further exchange and the parent is shuffled once, not once per child."""
+    A parent and its children are unioned as (key, tag) and counted with ONE GROUP BY key: a
+    conditional count per child and one for the parent, aggregated map-side, so a key that
+    holds a third of all rows is collapsed before the shuffle; a key without parent rows is
+    an orphan. A NULL key has no parent.
+
+    ``co_bucketed``: the tables lie in equal buckets of the key. Counts per key are then taken
+    in each bucket, and a child's are joined with the parent's without moving a row (outer on
+    both sides: a one-sided join puts a filter between the union of a table's batches and the
+    join, and Spark then forgets the buckets)."""
     by_parent: dict[tuple[str, str], list[str]] = {}
     for name in tables:
         parent = specs[name].parent
@@ -134,10 +138,16 @@ def fk_audit(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLE_S
             by_parent.setdefault(parent, []).append(name)
     out = []
     for (parent, key), children in by_parent.items():
-        tagged = _union([tables[c].select(key, F.lit(i).alias("_child")) for i, c in enumerate(children)])
-        per_key = tagged.groupBy(key).agg(*[F.count_if(F.col("_child") == i).alias(f"n{i}")
-                                            for i in range(len(children))])
-        orphans = per_key.join(tables[parent].select(key).distinct(), key, "left_anti")
+        if co_bucketed:
+            known = tables[parent].groupBy(key).agg(F.count(F.lit(1)).alias("_p"))
+            for c in children:
+                met = tables[c].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(known, key, "full_outer")
+                lost = F.coalesce(F.sum(F.when(F.col("_p").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
+                out.append(met.agg(F.lit(c).alias("child_table"), F.lit(parent).alias("parent_table"), lost.alias("orphan_rows")))
+            continue
+        tagged = _union([tables[c].select(key, F.lit(i).alias("_tag")) for i, c in enumerate([*children, parent])])
+        per_key = tagged.groupBy(key).agg(*[F.count_if(F.col("_tag") == i).alias(f"n{i}") for i in range(len(children) + 1)])
+        orphans = per_key.where(F.col(key).isNull() | (F.col(f"n{len(children)}") == 0))
         wide = orphans.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).cast("bigint").alias(f"o{i}")
                              for i in range(len(children))])
         stack = "stack({}, {}) AS (child_table, parent_table, orphan_rows)".format(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,13 +77,34 @@ def ratio_histogram(mart: DataFrame) -> DataFrame:
 
 def default_correlation(mart: DataFrame, digits: int = 9) -> DataFrame:
     """Pearson correlation of each feature with the default flag (pairwise complete),
-    one aggregate pass, then unpivoted to (feature, corr), lowest first."""
-    flag = F.col("default_flag").cast("double")
-    wide = mart.agg(*[F.corr(F.col(f).cast("double"), flag).alias(f) for f in CORR_FEATURES])
-    stack = "stack({}, {}) AS (feature, corr)".format(
-        len(CORR_FEATURES), ", ".join(f"'{f}', {f}" for f in CORR_FEATURES))
-    return (wide.select(F.expr(stack)).select("feature", F.round("corr", digits).alias("corr"))
-            .orderBy(F.col("corr").asc_nulls_last(), "feature"))
+    lowest first.
+
+    One aggregate pass takes the exact DECIMAL sums of x, y, x*x, x*y and y*y, so the result
+    has the same bits however the rows are partitioned. Each is finished from its five sums
+    with integers (a sum of squares beyond 38 digits raises, it does not wrap)."""
+    flag = F.col("default_flag").cast("decimal(1,0)")
+    sums = []
+    for f in CORR_FEATURES:
+        x = F.col(f).cast("decimal(16,3)")
+        y = F.when(x.isNotNull(), flag)
+        x = F.when(y.isNotNull(), x)
+        sums += [F.count(x).alias(f"n_{f}"), F.sum(x).alias(f"x_{f}"), F.sum(y).alias(f"y_{f}"), F.sum(x * x).alias(f"xx_{f}"), F.sum(x * y).alias(f"xy_{f}")]
+    row = mart.agg(*sums).first()
+    rows = []
+    for f in CORR_FEATURES:
+        n, x, y, xx, xy = (Fraction(row[f"{k}_{f}"] or 0) for k in ("n", "x", "y", "xx", "xy"))
+        dx, dy, both = n * xx - x * x, n * y - y * y, n * xy - x * y  # the flag is 0 or 1: y*y is y
+        r = None if not dx or not dy else round(float(both) / math.sqrt(float(dx) * float(dy)), digits)
+        rows.append((f, r))
+    corr = mart.sparkSession.createDataFrame(rows, "feature string, corr double")
+    return corr.orderBy(F.col("corr").asc_nulls_last(), "feature")
+
+
+def value_counts(src: DataFrame, key: str, by: str = "count", agg: Aggregator = ROWS) -> DataFrame:
+    """Accounts per value, most frequent first (ties by value) or by value."""
+    counts = segment_report(src, [key], ["accounts"], agg=agg)
+    value = F.col(key).asc_nulls_last()
+    return counts.orderBy(F.desc("accounts"), value) if by == "count" else counts.orderBy(value)
 
 
 def category_drilldown(src: DataFrame, key: str, agg: Aggregator = ROWS) -> DataFrame:

@@ -34,6 +34,7 @@ class Portfolio:
     lenient: bool
     defects: bool = False         # audits read the tables with injected defects
     stored: dict[str, DataFrame] | None = None  # the five tables as a store holds them
+    store_root: str | None = None               # a store that holds this portfolio
     _cube: DataFrame | None = None
     _profile: DataFrame | None = None
     _deciles: DataFrame | None = None

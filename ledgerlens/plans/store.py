@@ -113,7 +113,7 @@ class StarStore:
         landing = accounts.select(*RAW_COLUMNS)
         schemas = {TABLES[0]: landing.schema}
         self._bucketed(landing, batch, TABLES[0], buckets)
-        rows, first, last = self.spark.read.parquet(f"{self.root}/data/{batch}/{TABLES[0]}").agg(F.count(F.lit(1)), F.min(KEY), F.max(KEY)).first()
+        rows, first, last = self._registered(batch, TABLES[0], landing.schema, buckets).agg(F.count(F.lit(1)), F.min(KEY), F.max(KEY)).first()
         if high and first is not None and first <= high:
             self._fs().delete(self._path("data", batch), True)
             raise ValueError(f"ids up to {high} are taken; the new accounts start at {first}")
@@ -145,7 +145,8 @@ class StarStore:
     def publish(self, pf: Portfolio, tables: dict[str, DataFrame] | None = None) -> int:
         """A version with one batch, a built portfolio; ``tables`` stand in for derived ones of
         the same name. Earlier versions stay readable until ``vacuum``."""
-        return self._first(self._write(pf.staging, self.buckets, pf.lenient, tables=tables), self._views())
+        landing = (tables or {}).get(TABLES[0], pf.staging)
+        return self._first(self._write(landing, self.buckets, pf.lenient, tables=tables), self._views())
 
     def rebuild(self, accounts: DataFrame, order_by: list[str] | None = None, lenient: bool = False) -> int:
         """A version that holds these accounts only. Without a ``customer_id`` column they are
