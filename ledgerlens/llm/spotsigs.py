@@ -90,6 +90,7 @@ class Spots:
     def __init__(self, common: set[int], chain: int = 2, drought: int = 16):
         self.common, self.chain, self.drought = common, chain, drought
         self.seen: dict[bytes, bool] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def signatures(self, text: str) -> set[bytes]:
         words = words_of(text)
@@ -100,20 +101,31 @@ class Spots:
             for w in set(words).difference(self.seen):
                 self.seen[w] = xxhash.xxh3_64_intdigest(w) in self.common
             flags = list(map(self.seen.get, words))
-        spots = [i for i, common in enumerate(flags) if common]
-        content = [i for i, common in enumerate(flags) if not common]
-        last = -1  # the last common word's place
-        for e in [*spots, len(words)]:
+        stand_in = self._stand_ins(words, flags)
+        chains, tail, link = set(), (), b""
+        for i in range(len(words) - 1, -1, -1):
+            if flags[i]:
+                if link:
+                    chains.add(words[i] + link)
+            else:
+                if link and i in stand_in:
+                    chains.add(words[i] + link)
+                tail = (words[i], *tail[:self.chain - 1])
+                link = b" " + b" ".join(tail)
+        if words and not chains:
+            chains.add(b" ".join(words))
+        if len(self.known) > _FLUSH:
+            self.known.clear()
+        for c in chains.difference(self.known):  # an edited text shares most chains with its original
+            self.known[c] = md5(c).digest()[:4]
+        return set(map(self.known.__getitem__, chains))
+
+    def _stand_ins(self, words: list[bytes], flags: list[bool]) -> set[int]:
+        out, last = set(), -1
+        for e in [*(i for i, common in enumerate(flags) if common), len(words)]:
             if e - last > self.drought:
-                spots += [i for i in range(last + 1 + self.drought, e) if len(words[i]) % 4 == 0]
+                out.update(i for i in range(last + 1 + self.drought, e) if len(words[i]) % 4 == 0)
             last = e
-        out = set()
-        for i in spots:
-            k = bisect_right(content, i)
-            if k < len(content):
-                out.add(md5(b" ".join([words[i], *[words[j] for j in content[k:k + self.chain]]])).digest()[:4])
-        if words and not out:
-            out.add(md5(b" ".join(words)).digest()[:4])
         return out
 
 
