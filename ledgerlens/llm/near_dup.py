@@ -8,15 +8,24 @@ estimated from how many registers are above, below and equal, jointly with the t
 sizes, by maximum likelihood; whatever lies within ``slack`` of the threshold is confirmed on
 the full sets.
 
-Equal sets are one node from the start. Links are then found in three rounds, none of which
-lists the pairs of a group:
+Equal sets are one node from the start. Links are then found in rounds, none of which lists
+the pairs of a group:
 
 1. every member of a bucket is compared with the bucket's least member only, and its
    likeliest such link is confirmed;
-2. buckets that still hold several components are cut into tiles; within pairs of tiles every
-   node offers its likeliest link into another component;
-3. what is still apart offers all its likely links that no earlier round refused. A group
-   that is one component by then offers none.
+2. buckets of more than ``tile`` members that still hold several components are compared with
+   other members as hubs, drawn anew each round, and the likeliest link of every two
+   components is confirmed, until no link is found. A round makes one row per member; a dense
+   group is one component after a few;
+3. what is still mixed is compared in full: buckets of up to ``tile`` members each in one
+   task; of larger ones, members are packed into blocks of about ``tile`` (those of the largest
+   component apart from the others), and block meets block unless both are of that component.
+   A block is one row, so a bucket of k members makes about (k / tile)^2 rows at worst, and
+   k / tile if few members stand apart. First every two components offer their likeliest link;
+   then what is still apart offers all its likely links that no earlier round refused.
+
+Full sets are read for the pairs to confirm only, from the documents that the pairs name, and
+move in Arrow batches of bounded rows.
 
 A pair is looked at in one bucket only, that of its first agreeing band. At 0.75, 48 bands of
 4 miss a pair with probability 1e-8. The likelihood over 192 registers deviates by 0.03, so a
@@ -38,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -49,6 +58,8 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 #: The bitmap that tells which documents' full sets are needed: at most 8 MB.
 _MAX_BITS = 1 << 26
 _FINE = 512
+#: Rounds with drawn hubs at most; pairs of full sets in an Arrow batch; bytes that a scan holds back.
+_ROUNDS, _BATCH, _HELD = 8, 256, 4 << 20
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -172,10 +183,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
             near = est >= least
             yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near]), pa.array(est[near])], names=["a", "b", "likely"])
 
-    likely = star.join(left, "a").join(right, "b").where(f"na * {den} >= nb * {num} and nb * {den} >= na * {num}")
-    likely = C.stored(likely.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(judge, "a bigint, b bigint, likely double"), "likely")
+    def estimated(pairs: DataFrame) -> DataFrame:
+        """(a, b, likely) of the pairs whose sketches do not rule them out."""
+        met = pairs.join(left, "a").join(right, "b").where(f"na * {den} >= nb * {num} and nb * {den} >= na * {num}")
+        return C.stored(met.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(judge, "a bigint, b bigint, likely double"), "likely")
 
-    sets = _full_sets(docs, id_col, text_col, size, nodes, members)
+    likely = estimated(star)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,9 +201,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """(a, b, same) of the pairs, judged on the full sets."""
-        met = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-        met = met.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        return C.stored(met.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint, same boolean"), "confirmed")
+        pairs = C.stored(pairs.select("a", "b"), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = _of_nodes(docs, id_col, text_col, size, nodes.join(ends, "node").select("node", "doc"), lambda x: x.tobytes())
+        met = pairs.join(sets.select(F.col("node").alias("a"), F.col("body").alias("sa")), "a")
+        met = met.join(sets.select(F.col("node").alias("b"), F.col("body").alias("sb")), "b")
+        with C.arrow_rows(spark, _BATCH):
+            return C.stored(met.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint, same boolean"), "confirmed")
 
     first = likely.groupBy("a").agg(F.max_by("b", "likely").alias("b"))
     judged = confirmed(first)
@@ -200,30 +217,75 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         own = labels.select(F.col("node").alias(column), F.col("label").alias(f"l{column}"))
         return pairs.join(own, column, "left").withColumn(f"l{column}", F.coalesce(f"l{column}", column))
 
-    def tiles(best: bool) -> DataFrame:
+    def apart(pairs: DataFrame) -> DataFrame:
+        """(a, b, likely, la, lb) of the pairs between two components that were not judged."""
+        pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likely").alias("likely"))
+        done = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return C.stored(labelled(labelled(pairs.join(done, ["a", "b"], "left_anti"), "a"), "b").where("la <> lb"), "open-links")
+
+    def likeliest(pairs: DataFrame) -> DataFrame:
+        """One link for every two components."""
+        best = pairs.groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(F.max_by(F.struct("a", "b"), "likely").alias("p"))
+        return best.select("p.a", "p.b")
+
+    def learn(pairs: DataFrame) -> bool:
+        """Confirm the pairs; whether a link was among them."""
+        nonlocal judged, labels
+        new = confirmed(pairs)
+        judged = C.stored(judged.unionByName(new), "judged")
+        if not new.where("same").limit(1).count():
+            return False
+        labels = components(judged.where("same"))
+        return True
+
+    def mixed(of: str) -> DataFrame:
+        """(key, node, lnode, k, hub, lhub, major) of the members of buckets with several
+        components: a hub drawn at random and the component that most members are of."""
+        held = labelled(members.where(of).select("key", "node", F.col("members").alias("k")), "node")
+        draw = F.xxhash64("node", F.lit(drawn))
+        each = held.groupBy("key", "lnode").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(draw.alias("d"), "node")).alias("first"))
+        kinds = each.groupBy("key").agg(F.max(F.struct("m", "lnode")).alias("most"), F.min(F.struct("first", "lnode")).alias("hub"), F.count(F.lit(1)).alias("kinds"))
+        several = kinds.where("kinds > 1").select("key", F.col("hub.first.node").alias("hub"), F.col("hub.lnode").alias("lhub"), F.col("most.lnode").alias("major"), F.col("most.m").alias("m"))
+        return held.join(several, "key")
+
+    for drawn in range(_ROUNDS):
+        star = mixed(f"members > {tile}").where("lnode <> lhub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        star = C.stored(star, "hub-pairs")
+        if not star.limit(1).count() or not learn(likeliest(apart(estimated(star)))):
+            break
+
+    def in_full() -> DataFrame:
         """Likely links between components inside the buckets that still hold several."""
-        held = labelled(members.where("members > 2").select("key", "node", "members"), "node")
-        mixed = held.groupBy("key").agg(F.min("lnode").alias("x"), F.max("lnode").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y")
-        part = F.expr(f"pmod(xxhash64(node), ceil(k / {tile}D))")
-        dealt = held.join(mixed.select("key", "k"), "key").join(slim, "node").join(sets.select("node", "fine"), "node").withColumn("own", part)
-        dealt = dealt.withColumn("other", F.explode(F.expr(f"sequence(0L, cast(ceil(k / {tile}D) as bigint) - 1)")))
-        dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "lnode", "n", "registers", "fine")
-        pairs = dealt.groupBy("key", "i", "j").applyInArrow(lambda got: _tile_links(got, bands, rows, slack, num, den, best), "a bigint, b bigint, likely double")
-        return pairs.groupBy("a", "b").agg(F.max("likely").alias("likely"))
-
+        held = C.stored(mixed("members > 2"), "mixed-buckets")
+        wanted = held.select("node").distinct().join(nodes.select("node", "doc"), "node")
+        params = _params(_FINE, 21)
+        fine = _of_nodes(docs, id_col, text_col, size, wanted, lambda x: sketch(x, params).astype(np.uint8).tobytes())
+        full = held.join(slim, "node").join(fine.select("node", F.col("body").alias("fine")), "node")
+        found = "a bigint, b bigint, likely double"
+        small = full.where(f"k <= {tile}").select("key", "node", "lnode", "n", "registers", "fine")
+        pairs = small.groupBy("key").applyInArrow(lambda got: _links(_Block.of(got), None, bands, rows, slack, num, den), found)
+        side = F.when(F.col("lnode") == F.col("major"), 0).otherwise(1)
+        parts = F.ceil(F.when(side == 0, F.col("m")).otherwise(F.col("k") - F.col("m")) / F.lit(tile))
+        large = full.where(f"k > {tile}").select("key", side.alias("side"), F.pmod(F.xxhash64("node"), parts).alias("part"), "node", "lnode", "n", "registers", "fine",
+                                                 F.ceil(F.col("m") / tile).alias("majors"), F.ceil((F.col("k") - F.col("m")) / tile).alias("others"))
+        block = "key bigint, side int, part bigint, majors bigint, others bigint, node binary, lnode binary, n binary, registers binary, fine binary"
+        blocks = C.stored(large.groupBy("key", "side", "part").applyInArrow(_Block.pack, block), "blocks")
+        # blocks of other components meet all blocks, those of the largest one the others only
+        meets = F.expr("""concat(transform(sequence(0L, others - 1), j -> struct(1 AS side, j AS part)),
+                                 if(side = 1, transform(sequence(0L, majors - 1), j -> struct(0 AS side, j AS part)), array()))""")
+        own = F.struct("side", "part")
+        dealt = blocks.withColumn("other", F.explode(meets)).withColumn("i", F.least(own, "other")).withColumn("j", F.greatest(own, "other"))
+        dealt = dealt.select("key", "i.side", "i.part", F.col("j.side").alias("side2"), F.col("j.part").alias("part2"), "node", "lnode", "n", "registers", "fine")
+        met = dealt.groupBy("key", "side", "part", "side2", "part2").applyInArrow(
+            lambda got: _links(*_Block.unpack(got), bands, rows, slack, num, den), found)
+        return pairs.unionByName(met).unionByName(likely.where("a <> b"))
+
+    drawn = _ROUNDS
     for best in (True, False):
-        rest = tiles(best).unionByName(likely.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likely"))
-        rest = rest.groupBy("a", "b").agg(F.max("likely").alias("likely"))
-        done = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        open_ = labelled(labelled(rest.join(done, ["a", "b"], "left_anti"), "a"), "b").where("la <> lb")
-        open_ = C.stored(open_.select("a", "b", "likely"), "open-links")
+        open_ = apart(in_full())
         if not open_.limit(1).count():
-            continue
-        if best:  # one link a node and side is enough to bring a group together
-            by = lambda c: Window.partitionBy(c).orderBy(F.desc("likely"), "a", "b")
-            open_ = open_.withColumn("ra", F.row_number().over(by("a"))).withColumn("rb", F.row_number().over(by("b"))).where("ra = 1 or rb = 1")
-        judged = C.stored(judged.unionByName(confirmed(open_)), "judged")
-        labels = components(judged.where("same"))
+            break
+        learn(likeliest(open_) if best else open_)
 
     named = linked.select("node", "doc_id").groupBy("node").agg(F.min("doc_id").alias("doc"))
     named = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -235,61 +297,82 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
                       (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
-def _tile_links(got: pa.Table, bands: int, rows: int, slack: float, num: int, den: int, best: bool) -> pa.Table:
-    """Likely links across components of one pair of tiles: each node's likeliest, or all."""
-    m, least = bands * rows, num / den - slack
-    node, label, n = (got.column(c).to_numpy() for c in ("node", "lnode", "n"))
-    own, i, j = got.column("own").to_numpy(), got.column("i")[0].as_py(), got.column("j")[0].as_py()
-    band = got.column("key")[0].as_py() & 63
-    reg = _registers(got.column("registers").combine_chunks(), m)
-    fine = np.frombuffer(b"".join(got.column("fine").to_pylist()), np.uint8).reshape(-1, _FINE)
+class _Block:
+    """Members of one bucket: names, components, set sizes, registers and further registers."""
+
+    FIELDS = ("node", "lnode", "n", "registers", "fine")
+
+    def __init__(self, key: int, node, lnode, n, registers: bytes, fine: bytes):
+        self.key, self.node, self.label, self.n = key, node, lnode, n
+        self.reg = np.frombuffer(registers, "<u2").reshape(len(node), -1)
+        self.fine = np.frombuffer(fine, np.uint8).reshape(len(node), _FINE)
+
+    @classmethod
+    def of(cls, got: pa.Table) -> _Block:
+        body = [b"".join(got.column(c).to_pylist()) for c in ("registers", "fine")]
+        return cls(got.column("key")[0].as_py(), *(got.column(c).to_numpy() for c in ("node", "lnode", "n")), *body)
+
+    @staticmethod
+    def pack(got: pa.Table) -> pa.Table:
+        """The rows of one block as one row."""
+        head = got.select(["key", "side", "part", "majors", "others"]).slice(0, 1)
+        for c in ("node", "lnode", "n"):
+            head = head.append_column(c, pa.array([got.column(c).to_numpy().astype("<i8").tobytes()], pa.binary()))
+        for c in ("registers", "fine"):
+            head = head.append_column(c, pa.array([b"".join(got.column(c).to_pylist())], pa.binary()))
+        return head
+
+    @classmethod
+    def unpack(cls, got: pa.Table) -> tuple[_Block, _Block | None]:
+        """The two blocks that meet; one, if a block meets itself."""
+        out = []
+        for r in got.select(["key", *cls.FIELDS]).to_pylist():
+            out.append(cls(r["key"], *(np.frombuffer(r[c], "<i8") for c in ("node", "lnode", "n")), r["registers"], r["fine"]))
+        return out[0], out[1] if len(out) > 1 else None
+
+
+def _links(a: _Block, b: _Block | None, bands: int, rows: int, slack: float, num: int, den: int) -> pa.Table:
+    """Likely links across components between two blocks, or inside one."""
+    m, least, band = bands * rows, num / den - slack, a.key & 63
     close = num / den - 5 * np.sqrt(num / den * (1 - num / den) / (m + _FINE))
-    a_side = np.flatnonzero(own == i)
-    b_side = a_side if i == j else np.flatnonzero(own == j)
-    xs, ys = [], []
-    for x in a_side.tolist():
-        y = b_side[(label[b_side] != label[x]) & (n[b_side] * den >= n[x] * num) & (n[x] * den >= n[b_side] * num)]
-        y = y[node[y] > node[x]] if i == j else y
-        if not len(y):
-            continue
-        same = reg[y] == reg[x]
-        equal = same.sum(axis=1)
-        first = same.reshape(len(y), bands, rows).all(axis=2).argmax(axis=1) == band
-        low = ((fine[y] == fine[x]).sum(axis=1) * 256 - _FINE) / 255  # less the chance hits of a byte
-        y = y[first & (equal + low >= close * (m + _FINE))]
-        xs.append(np.full(len(y), x))
-        ys.append(y)
-    x, y = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (xs, ys))
-    like = np.concatenate([estimate(reg[x[k:k + 4096]], reg[y[k:k + 4096]], n[x[k:k + 4096]], n[y[k:k + 4096]])
-                           for k in range(0, len(x), 4096)]) if len(x) else np.zeros(0)
-    keep = like >= least
-    x, y, like = x[keep], y[keep], like[keep]
-    if best and len(x):
-        first = []
-        for side in (x, y):
-            order = np.lexsort([-like, side])
-            first.append(order[np.append(True, side[order][1:] != side[order][:-1])])
-        keep = np.unique(np.concatenate(first))
-        x, y, like = x[keep], y[keep], like[keep]
-    return pa.table({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y]), "likely": like})
-
-
-def _full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, s, fine) for the nodes that share a bucket: set and further registers. A bitmap over (node, document) tells the
-    scan of the texts whose sets to keep; other rows that hit it fall out in the join."""
-    needed = C.stored(members.select("node").distinct().join(nodes.select("node", "doc"), "node"), "needed")
+    c = a if b is None else b
+    out = []
+    for x in range(len(a.node)):
+        y = np.flatnonzero((c.label != a.label[x]) & (c.n * den >= a.n[x] * num) & (a.n[x] * den >= c.n * num))
+        if b is None:
+            y = y[c.node[y] > a.node[x]]
+        for k in range(0, len(y), 4096):
+            z = y[k:k + 4096]
+            same = c.reg[z] == a.reg[x]
+            first = same.reshape(len(z), bands, rows).all(axis=2).argmax(axis=1) == band
+            low = ((c.fine[z] == a.fine[x]).sum(axis=1) * 256 - _FINE) / 255  # less the chance hits of a byte
+            z = z[first & (same.sum(axis=1) + low >= close * (m + _FINE))]
+            if len(z):
+                like = estimate(np.broadcast_to(a.reg[x], (len(z), m)), c.reg[z], np.full(len(z), a.n[x]), c.n[z])
+                for j, v in zip(z[like >= least].tolist(), like[like >= least].tolist()):
+                    out.append((min(a.node[x], c.node[j]), max(a.node[x], c.node[j]), v))
+    cols = list(zip(*out)) if out else [(), (), ()]
+    return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64()), "likely": pa.array(cols[2], pa.float64())})
+
+
+def _of_nodes(docs: DataFrame, id_col: str, text_col: str, size: int, needed: DataFrame, make) -> DataFrame:
+    """(node, body): ``make`` of the full set of each of the nodes in ``needed`` (node, doc). A
+    bitmap over document ids tells the scan which texts to look at; rows that hit it by chance,
+    or hold another text under the id, fall out in the join."""
+    spark = docs.sparkSession
+    needed = C.stored(needed, "needed")
     count = needed.count()
     bits = 1 << 16
     while bits < 8 * count and bits < _MAX_BITS:
         bits *= 2
 
-    def places(node: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        return (_finish(node.view(np.uint64) + doc.view(np.uint64) * _MIX[0]) % np.uint64(bits)).astype(np.int64)
+    def places(doc: np.ndarray) -> np.ndarray:
+        return (_finish(doc.astype(np.int64).view(np.uint64) * _MIX[0]) % np.uint64(bits)).astype(np.int64)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.zeros(bits // 64, np.uint64)
         for batch in batches:
-            at = places(batch.column("node").to_numpy(), batch.column("doc").to_numpy())
+            at = places(batch.column("doc").to_numpy())
             np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
         some = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].view(np.int64))], names=["word", "mask"])
@@ -298,23 +381,29 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: Da
     table = np.zeros(bits // 64, np.uint64)
     got = found.toArrow()  # at most bits / 64 rows
     table[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast(table)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, params = shared.value, _params(_FINE, 21)
+        words = shared.value
         for batch in batches:
-            out = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = shingle_set(t.as_py(), size) if d is not None else ()
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            at = places(ids)
+            hit = (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool) & ~batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            out, held = [], 0
+            for k in np.flatnonzero(hit).tolist():
+                s = shingle_set(batch.column(1)[k].as_py(), size)
                 if len(s):
-                    node = np.array([_node(s)])
-                    at = int(places(node, np.array([d], np.int64))[0])
-                    if int(words[at >> 6]) >> (at & 63) & 1:
-                        out.append((int(node[0]), d, s.tobytes(), sketch(s, params).astype(np.uint8).tobytes()))
-            for k in range(0, len(out), 512):
-                part = list(zip(*out[k:k + 512]))
-                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.binary()), pa.array(part[3], pa.binary())], names=["node", "doc", "s", "fine"])
-
-    hits = C.picked(docs, id_col, text_col).mapInArrow(scan, "node bigint, doc bigint, s binary, fine binary")
-    exact = hits.join(needed, ["node", "doc"]).groupBy("node").agg(F.any_value("s").alias("s"), F.any_value("fine").alias("fine"))
-    return C.stored(exact, "full-sets")
+                    out.append((_node(s), int(ids[k]), make(s)))
+                    held += len(out[-1][2])
+                if held > _HELD:
+                    yield _hits(out)
+                    out, held = [], 0
+            yield _hits(out)
+
+    hits = C.picked(docs, id_col, text_col).mapInArrow(scan, "node bigint, doc bigint, body binary")
+    return C.stored(hits.join(needed, ["node", "doc"]).groupBy("node").agg(F.any_value("body").alias("body")), "bodies")
+
+
+def _hits(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    node, doc, body = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(doc, pa.int64()), pa.array(body, pa.binary())], names=["node", "doc", "body"])
