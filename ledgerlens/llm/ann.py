@@ -5,7 +5,8 @@ after the usual extra component that makes a largest inner product a smallest an
 block of rows keeps, per tree, its strings as a sorted array. A query starts at the longest
 prefixes that its own strings share with any row and ascends in all trees together, one tree
 and one bit at a time, until the rows under its prefixes number ``offer`` of all rows (one
-row under several trees counts each time). How many rows lie under a prefix is known from one
+row under several trees counts each time) and one tree alone offers k rows besides the query's
+own, or all rows. How many rows lie under a prefix is known from one
 grouped count over all rows, at most ``trees * 2^levels`` numbers (``levels`` <= 16), which
 is broadcast. In each block the prefixes are ranges of the sorted arrays, found by binary
 search; the rows in them are scored exactly and the best k per task go on to a final ranking.
@@ -45,18 +46,20 @@ def strings(planes: np.ndarray, m: np.ndarray, extra: np.ndarray) -> np.ndarray:
     return np.stack([(x @ p > 0) @ bits for p in planes]).astype(np.int64)
 
 
-def ascend(counts: np.ndarray, want: float) -> np.ndarray:
+def ascend(counts: np.ndarray, want: float, least: np.ndarray) -> np.ndarray:
     """Prefix lengths (queries, trees), from ``counts`` (levels + 1, queries, trees): rows
     under each prefix. All trees start at the longest length and give up a bit in turn until
-    the rows offered reach ``want``, or all are at the root."""
+    the rows offered reach ``want``, and those of one tree ``least`` (per query), or all trees
+    are at the root."""
     levels = counts.shape[0] - 1
     depth = np.full(counts.shape[1:], levels)
-    offered = counts[levels].sum(axis=1)
+    offered, widest = counts[levels].sum(axis=1), counts[levels].max(axis=1)
     for level in range(levels - 1, -1, -1):
         for t in range(counts.shape[2]):
-            up = offered < want
+            up = (offered < want) | (widest < least)
             depth[up, t] = level
             offered = offered + np.where(up, counts[level, :, t] - counts[level + 1, :, t], 0)
+            widest = np.where(up, np.maximum(widest, counts[level, :, t]), widest)
     return depth
 
 
@@ -92,13 +95,14 @@ def forest_search(rows: DataFrame, is_query: str, k: int = 20, trees: int = 20,
     shared = spark.sparkContext.broadcast(np.cumsum(below, axis=1))
 
     def ask(ids: np.ndarray, m: np.ndarray) -> tuple:
+        m, rows_of_id = np.ascontiguousarray(m[:, :dim]), m[:, dim]
         own, upto = strings(planes, m, np.zeros(len(ids))).T, shared.value
         counts = np.empty((levels + 1, len(ids), trees), np.int64)
         at = np.arange(trees)
         for d in range(levels + 1):
             low = own >> (levels - d) << (levels - d)
             counts[d] = upto[at, low + (1 << (levels - d))] - upto[at, low]
-        depth = ascend(counts, offer * n)
+        depth = ascend(counts, offer * n, np.minimum(n, k + rows_of_id))
         low = own >> (levels - depth) << (levels - depth)
         return ids.tobytes(), m.tobytes(), np.stack([low, low + (1 << (levels - depth))]).astype(np.int64).tobytes()
 
@@ -142,8 +146,9 @@ def forest_search(rows: DataFrame, is_query: str, k: int = 20, trees: int = 20,
             some = np.isfinite(top_scores.ravel())
             yield pa.RecordBatch.from_arrays([pa.array(qids[some]), pa.array(top_ids.ravel()[some]), pa.array(top_scores.ravel()[some])], names=["query_id", "vec_id", "score"])
 
-    queries = found.where(F.expr(is_query.replace("id", "c0"))).groupBy("c0").agg(F.min("c1").alias("c1"))
-    asked = V.blocked(queries, dim, query_block, ask, "qids binary, qbody binary, ranges binary")
+    queries = found.where(F.expr(is_query.replace("id", "c0"))).groupBy("c0").agg(F.min("c1").alias("c1"), F.count(F.lit(1)).alias("n"))
+    padded = F.expr(f"concat(c1, array_repeat(0.0D, {dim} - size(c1)), array(cast(n as double)))")
+    asked = V.blocked(queries.select("c0", padded.alias("c1")), dim + 1, query_block, ask, "qids binary, qbody binary, ranges binary")
     index = V.blocked(found, dim, row_block, sort, "ids binary, body binary, sorted binary, places binary")
     near = asked.crossJoin(index).mapInArrow(search, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -12,8 +12,9 @@ the driver. Scores are recomputed in each round, not stored: rows x queries of t
 dwarf the input.
 
 Cases: vectors that are null or hold null or non-finite components take no part, nor do
-vectors without an id or with a scaled component beyond 2^31; shorter vectors count as ending
-in zeros; an id that occurs on several rows asks once, with the smallest of its vectors, and
+vectors without an id; all others do, whatever the size of their components (scores are exact
+integers; one beyond 64 bits, or a scaled component beyond a double, raises as it does in SQL);
+shorter vectors count as ending in zeros; an id that occurs on several rows asks once, with the smallest of its vectors, and
 is no candidate for itself, while for others each of its rows is a candidate; fewer than k
 candidates give them all; an empty table gives no rows; other columns are not read.
 """
@@ -30,18 +31,27 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import vectors as V
 
-_LIMIT = float(1 << 31)
+_LONG = 1 << 63
 
 
-def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products, whatever their size."""
+def _products(q: np.ndarray, c: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Exact integer products, whatever their size; those not ``wanted`` may be anything."""
     bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
     if bound < 2 ** 53:
         return np.rint(q @ c.T).astype(np.int64)
-    if bound < 2 ** 63:
+    if bound < 2 ** 62:
         return q.astype(np.int64) @ c.astype(np.int64).T
-    exact = q.astype(np.int64).astype(object) @ c.astype(np.int64).T.astype(object)
-    return np.clip(exact, -(2 ** 63) + 1, 2 ** 63 - 1).astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    exact = whole(q).astype(object) @ whole(c).astype(object).T
+    exact = np.where(wanted, exact, 0)
+    if exact.size and (exact.max() >= _LONG or exact.min() < -_LONG):
+        raise OverflowError("a score does not fit 64 bits")
+    return exact.astype(np.int64)
+
+
+def _above(s: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """How far scores lie above ``low`` (modulo 2^64), unsigned: the two may span all longs."""
+    return s.view(np.uint64) - low.view(np.uint64)
 
 
 def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
@@ -50,12 +60,14 @@ def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024,
     """(query_id, rank, vec_id, score): for each row that the SQL predicate ``is_query``
     (over the id, named ``id``) names, the k other rows of highest integer inner product."""
     found = V.vectors(rows, id_col, vec_col)
-    ints = found.select("c0", F.transform("c1", lambda x: F.floor(x * scale).cast("double")).alias("c1"))
-    ints = ints.where(F.forall("c1", lambda x: (x >= -_LIMIT) & (x < _LIMIT)))
+    # floor() makes a long; doubles from 2^53 on are whole as they are
+    ints = found.select("c0", F.transform("c1", lambda x: F.when(F.abs(x * scale) < 2.0 ** 53, F.floor(x * scale).cast("double")).otherwise(x * scale)).alias("c1"))
     dim = V.width(ints)
     norm = F.aggregate("c1", F.lit(0.0), lambda a, x: a + x * x)
     top = ints.agg(F.max(norm)).first()[0] or 0.0
-    reach = int(min(top * 1.000001 + 1, 2.0 ** 62))  # |product| <= product of the two norms
+    if top == float("inf"):
+        raise OverflowError("a scaled vector does not fit a double")
+    reach = min(int(top * 1.000001) + 1, _LONG - 1)  # |product| <= product of the two norms
 
     queries = ints.where(F.expr(is_query.replace("id", "c0"))).groupBy("c0").agg(F.min("c1").alias("c1"))
     queries = C.stored(queries, "topk-queries")
@@ -71,8 +83,7 @@ def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024,
 
     def pairs(state: DataFrame) -> DataFrame:
         # lowest score and places left travel as two more components, in exact halves
-        half = F.lit(1 << 31)
-        tail = F.array(F.floor(F.col("low") / half).cast("double"), F.pmod("low", half).cast("double"), F.col("need").cast("double"))
+        tail = F.array(F.shiftright("low", 31).cast("double"), F.col("low").bitwiseAND((1 << 31) - 1).cast("double"), F.col("need").cast("double"))
         padded = F.expr(f"concat(c1, array_repeat(0.0D, {dim} - size(c1)))")
         joined = queries.join(state, "c0").select("c0", F.concat(padded, tail).alias("c1"))
         blocks = V.blocked(joined, dim + 3, query_block, query_rows, "qids binary, qbody binary, qstate binary")
@@ -81,8 +92,9 @@ def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024,
     def unpack(row: dict) -> tuple:
         qids, cids = np.frombuffer(row["qids"], np.int64), np.frombuffer(row["ids"], np.int64)
         state = np.frombuffer(row["qstate"], np.int64).reshape(-1, 3)
-        s = _products(np.frombuffer(row["qbody"]).reshape(len(qids), dim), np.frombuffer(row["body"]).reshape(len(cids), dim))
-        return qids, cids, (state[:, 0] << 31) + state[:, 1], state[:, 2], s, qids[:, None] != cids[None, :]
+        other = qids[:, None] != cids[None, :]
+        s = _products(np.frombuffer(row["qbody"]).reshape(len(qids), dim), np.frombuffer(row["body"]).reshape(len(cids), dim), other)
+        return qids, cids, (state[:, 0] << 31) + state[:, 1], state[:, 2], s, other
 
     least = np.iinfo(np.int64).min
 
@@ -91,13 +103,13 @@ def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024,
             for batch in batches:
                 for i in range(batch.num_rows):
                     qids, _, low, need, s, other = unpack(batch.slice(i, 1).to_pylist()[0])
-                    inside = other & (s >= low[:, None]) & (s - low[:, None] < span)
+                    inside = other & (s >= low[:, None]) & (_above(s, low[:, None]) < np.uint64(span))
                     s = np.where(inside, s, least)
                     best = np.take_along_axis(s, V.largest(s, k), 1)
                     q = np.repeat(np.arange(len(qids)), best.shape[1])
                     best = best.ravel()
                     q, best = q[best != least], best[best != least]
-                    at, n = np.unique(np.stack([q, (best - low[q]) // step]), axis=1, return_counts=True)
+                    at, n = np.unique(np.stack([q, (_above(best, low[q]) // np.uint64(step)).astype(np.int64)]), axis=1, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(qids[at[0]]), pa.array(at[1]), pa.array(n.astype(np.int64))], names=["c0", "bin", "n"])
 
         return count
@@ -125,7 +137,8 @@ def exact_top_k(rows: DataFrame, is_query: str, k: int = 10, scale: int = 1024,
         counts = counts.groupBy("c0", "bin").agg(F.sum("n").alias("n"))
         run = counts.select("c0", "bin", "n", F.sum("n").over(down).alias("upto"))
         hit = run.join(state, "c0").where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-        hit = hit.select("c0", (F.col("low") + F.col("bin") * step).alias("low"),
+        wide = "decimal(38,0)"  # bin * step may pass a long where the sum does not
+        hit = hit.select("c0", (F.col("low").cast(wide) + F.col("bin").cast(wide) * F.lit(step).cast(wide)).cast("bigint").alias("low"),
                          (F.col("need") - F.col("upto") + F.col("n")).alias("need"))
         # a query with fewer than k candidates keeps its lowest bound: all of them are taken
         rest = state.join(hit.select("c0"), "c0", "left_anti")
