@@ -7,18 +7,23 @@ share it and travel together: a window's *anchor*, the 16-byte gram of least has
 Equal windows have equal anchors.
 
 1. Anchor pass. Every block of documents sends the distinct anchors of its windows (48-bit
-   fingerprints, delta-packed) to the tasks that own their buckets. Anchors of one document
-   only are done; the block learns which of its anchors come back elsewhere.
+   fingerprints, delta-packed) to the tasks that own their buckets, with the number of distinct
+   strings that it has under each. Anchors of one document only are done; the block learns
+   which of its anchors come back elsewhere, and which of those are *hot*: more than
+   ``hot_strings`` strings in all blocks.
 2. Window passes. Runs of neighbouring windows with one repeated anchor travel as one byte
    string (run + length - 1 bytes), each distinct string of a block once, with its least
    document id. The bucket's task drops strings alone under their anchor, and orders the
    windows of the others by eight-byte digits, dropping groups of one after each pass. Equal
    groups give each window the least document id that it starts in.
+   Windows under a hot anchor (a common phrase with ever other neighbours) are dealt by all
+   their further digits instead: each distinct one of a block goes to the bucket of its whole
+   content, so they spread over all buckets.
 3. The answers go back to the blocks, where covered bytes are cut from the texts.
 
 A passage that a third of all documents share is one string per block, not per document.
 A block's rows are bounded by ``block_chars`` and the longest text; a bucket's by the number
-of buckets. Blocks x buckets pieces are moved, like the map x reduce pieces of any shuffle:
+of buckets, since no anchor brings more than ``hot_strings`` strings into one. Blocks x buckets pieces are moved, like the map x reduce pieces of any shuffle:
 raise ``block_chars`` along with the input.
 
 Cases: a null or empty text has no bytes and loses none; texts under ``length`` bytes lose
@@ -30,6 +35,7 @@ empty result; other columns are not read unless carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +68,19 @@ def _eights(b: np.ndarray) -> np.ndarray:
     return x
 
 
+def _several(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def _parts(blob: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at:at + 4], "little")
+        out.append(blob[at + 4:at + 4 + n])
+        at += 4 + n
+    return out
+
+
 def _anchors(b: np.ndarray, length: int) -> np.ndarray:
     """The least gram hash of every window (len - length + 1 of them)."""
     gram = 16 if length >= 32 else 8
@@ -126,22 +145,56 @@ class _Runs:
         last = np.append(first[1:], len(order)) - 1
         return self.doc[order[first]] != self.doc[order[last]]
 
-    def strings(self, repeated: list[dict]) -> tuple[dict[int, list[bytes]], np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct strings by bucket, and for each run of a repeated anchor its number, its
-        bucket and its string's place there."""
-        back = np.zeros(len(self.finger), bool)
+    def strings_per_anchor(self) -> np.ndarray:
+        """Distinct strings under each anchor (counted where it stands four times or more)."""
+        out = np.ones(len(self.finger), np.int64)
+        often = np.flatnonzero(np.bincount(self.anchor, minlength=len(out))[self.anchor] >= 4)
+        seen: dict[int, set[bytes]] = {}
+        begin = self.start[often]
+        for k, a, b in zip(self.anchor[often].tolist(), begin.tolist(), (begin + self.windows[often] + self.length - 1).tolist()):
+            seen.setdefault(k, set()).add(self.buffer[a:b])
+        for k, s in seen.items():
+            out[k] = len(s)
+        return out
+
+    def strings(self, repeated: list[dict]) -> tuple[dict[int, list[bytes]], _Sent]:
+        """Distinct strings by bucket, and the runs of repeated anchors that they come from."""
+        back, hot = np.zeros(len(self.finger), bool), np.zeros(len(self.finger), bool)
         for row in repeated:
-            back[self.cuts[row["bucket"]] + np.cumsum(C.unpack_ints(row["a"]), dtype=np.int64)] = True
-        runs = np.flatnonzero(back[self.anchor]) if len(self.anchor) else np.zeros(0, np.int64)
-        bucket = self.bucket[self.anchor[runs]]
-        begin = self.start[runs]
-        end = begin + self.windows[runs] + self.length - 1
+            mine = self.cuts[row["bucket"]] + np.cumsum(C.unpack_ints(row["a"]), dtype=np.int64)
+            back[mine] = True
+            hot[mine[C.unpack_ints(row["b"])]] = True
+        known = len(self.anchor) > 0
+        cold = np.flatnonzero((back & ~hot)[self.anchor]) if known else np.zeros(0, np.int64)
+        start, windows, doc, bucket = self.start[cold], self.windows[cold], self.doc[cold], self.bucket[self.anchor[cold]]
+        split = np.flatnonzero(hot[self.anchor]) if known else cold[:0]
+        if len(split):  # window by window, by their whole content
+            single = C.spread(self.start[split], self.windows[split])
+            words = _eights(np.frombuffer(self.buffer, np.uint8))
+            h = np.zeros(len(single), np.uint64)
+            for digit in [*range(0, self.length - 8, 8), self.length - 8]:
+                h = (h ^ words[single + digit]) * _MUL[0]
+                h ^= h >> np.uint64(29)
+            start, windows = np.concatenate([start, single]), np.concatenate([windows, np.ones(len(single), np.int64)])
+            doc = np.concatenate([doc, np.repeat(self.doc[split], self.windows[split])])
+            bucket = np.concatenate([bucket, (h % np.uint64(len(self.cuts) - 1)).astype(np.int64)])
         seen: dict[int, dict[bytes, int]] = {}
-        place = np.empty(len(runs), np.int64)
-        for i, (k, a, b) in enumerate(zip(bucket.tolist(), begin.tolist(), end.tolist())):
+        place = np.empty(len(start), np.int64)
+        for i, (k, a, b) in enumerate(zip(bucket.tolist(), start.tolist(), (start + windows + self.length - 1).tolist())):
             own = seen.setdefault(k, {})
             place[i] = own.setdefault(self.buffer[a:b], len(own))
-        return {k: list(v) for k, v in seen.items()}, runs, bucket, place
+        return {k: list(v) for k, v in seen.items()}, _Sent(start, windows, doc, bucket, place)
+
+
+class _Sent(NamedTuple):
+    """Runs of windows whose strings were sent: where they start in the block, how many windows
+    and which document they are, and the bucket and place of their string."""
+
+    start: np.ndarray
+    windows: np.ndarray
+    doc: np.ndarray
+    bucket: np.ndarray
+    place: np.ndarray
 
 
 def _least_documents(strings: list[bytes], least: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray] | None]:
@@ -184,7 +237,8 @@ def _least_documents(strings: list[bytes], least: np.ndarray, length: int) -> li
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), as_text: bool = False, block_chars: int = C.BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
+                   carry: tuple[str, ...] = (), as_text: bool = False, block_chars: int = C.BLOCK_CHARS, buckets: int | None = None,
+                   hot_strings: int = 8192) -> DataFrame:
     """(id_col, carried columns, n_bytes, n_removed, n_spans, kept binary) per row of ``docs``:
     its text's bytes without those covered by a ``length``-byte string that also starts in a
     row of smaller id. ``as_text``: ``kept`` is a string instead; what a cut leaves of a
@@ -208,26 +262,30 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, texts in C.blocks(batches, block_chars):
             r = _Runs([t.encode() for t in texts], length, n)
-            two = r.in_two_documents()
+            two, strings_ = r.in_two_documents(), r.strings_per_anchor()
             rows = []
             for k in np.flatnonzero(np.diff(r.cuts)).tolist():
                 a, b = r.cuts[k], r.cuts[k + 1]
                 rows.append((block, k, _ANCHORS, _pack_longs(np.diff(r.finger[a:b], prepend=np.uint64(0))),
-                             C.pack_ints(np.flatnonzero(two[a:b])), None))
+                             _several(C.pack_ints(np.flatnonzero(two[a:b])), C.pack_ints(strings_[a:b])), None))
             yield C.batch_of(full, rows)
 
     def repeated(got):
         rows = got.to_pylist()
         fingers = [np.cumsum(_unpack_longs(r["a"]), dtype=np.uint64) for r in rows]
         value, count = np.unique(np.concatenate(fingers), return_counts=True)
-        back = count > 1
+        back, total = count > 1, np.zeros(len(value), np.int64)
         for f, r in zip(fingers, rows):
-            back[np.searchsorted(value, f[C.unpack_ints(r["b"])])] = True
+            two, strings_ = _parts(r["b"])
+            back[np.searchsorted(value, f[C.unpack_ints(two)])] = True
+            total[np.searchsorted(value, f)] += C.unpack_ints(strings_).astype(np.int64)
         out = []
         for f, r in zip(fingers, rows):
-            mine = np.flatnonzero(back[np.searchsorted(value, f)])
+            at = np.searchsorted(value, f)
+            mine = np.flatnonzero(back[at])
             if len(mine):
-                out.append((r["block"], r["bucket"], _REPEATED, C.pack_ints(np.diff(mine, prepend=0)), None, None))
+                hot = np.flatnonzero(total[at[mine]] > hot_strings)
+                out.append((r["block"], r["bucket"], _REPEATED, C.pack_ints(np.diff(mine, prepend=0)), C.pack_ints(hot), None))
         return pa.Table.from_batches([C.batch_of(full, out)])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,14 +306,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     def strings(got):
         rows = got.to_pylist()
         one, r, ids = opened(rows)
-        found, runs, bucket, place = r.strings([x for x in rows if x["kind"] == _REPEATED])
+        found, sent = r.strings([x for x in rows if x["kind"] == _REPEATED])
         out = []
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], sorted(found))
+        order = np.argsort(sent.bucket, kind="stable")
+        cuts = np.searchsorted(sent.bucket[order], sorted(found))
         for k, a, b in zip(sorted(found), cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
             mine = order[a:b]
             least = np.full(len(found[k]), _LAST)
-            np.minimum.at(least, place[mine], ids[r.doc[runs[mine]]])
+            np.minimum.at(least, sent.place[mine], ids[sent.doc[mine]])
             out.append((one["block"], k, _STRINGS, C.pack_words(found[k]), _pack_longs(least), None))
         return pa.Table.from_batches([C.batch_of(full, out)])
 
@@ -287,11 +345,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     def cut(got):
         rows = got.to_pylist()
         one, r, ids = opened(rows)
-        _, runs, bucket, place = r.strings([x for x in rows if x["kind"] == _REPEATED])
+        _, sent = r.strings([x for x in rows if x["kind"] == _REPEATED])
         cover = np.zeros(len(r.buffer) + 1, np.int32)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(sent.bucket, kind="stable")
         by_bucket = {x["bucket"]: x for x in rows if x["kind"] == _ANSWERS}
-        keys, first = np.unique(bucket[order], return_index=True)
+        keys, first = np.unique(sent.bucket[order], return_index=True)
         for k, a, b in zip(keys.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
             mine = order[a:b]
             x = by_bucket[k]
@@ -300,13 +358,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
             lows = _unpack_longs(x["b"]).astype(np.int64)
             count = np.maximum(parts, 1)
             at, at_size = np.cumsum(count) - count, np.cumsum(parts) - parts
-            run, s = runs[mine], place[mine]
-            own = ids[r.doc[run]]
+            begin, s = sent.start[mine], sent.place[mine]
+            own = ids[sent.doc[mine]]
             whole = (parts[s] == 0) & (lows[at[s]] < own)
-            np.add.at(cover, r.start[run[whole]], 1)
-            np.add.at(cover, r.start[run[whole]] + r.windows[run[whole]] + length - 1, -1)
+            np.add.at(cover, begin[whole], 1)
+            np.add.at(cover, (begin + sent.windows[mine])[whole] + length - 1, -1)
             for i in np.flatnonzero(parts[s] > 0).tolist():
-                p = r.start[run[i]]
+                p = begin[i]
                 j, m = s[i], parts[s[i]]
                 for w, low in zip(lengths[at_size[j]:at_size[j] + m].tolist(), lows[at[j]:at[j] + m].tolist()):
                     if low < own[i]:
