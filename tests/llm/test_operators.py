@@ -13,6 +13,7 @@ import public_tokenizers as P
 import pytest
 from harness import compare, duck
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerlens.llm import (ann, bpe, chat, components, dom, exact_substring, html_extract, language_id, near_dup, oracles,
                             packing, queries, topk, url_filter)
@@ -80,25 +81,40 @@ def best_fit_decreasing(pieces, cap):
     return len(gaps)
 
 
-def test_packing_is_gapless_and_tight(spark, documents):
-    tok = packing._tokenizer(WORDS)
-    want = []
-    for i, t in texts_of(documents):
-        ids = tok.encode(t, add_special_tokens=False).ids + [1]
-        for k in range(0, len(ids), 512):
-            part = np.array(ids[k:k + 512], "<u4").tobytes()
-            want.append((i, k // 512, k, len(part) // 4, zlib.crc32(part)))
-    packed = packing.pack(documents, WORDS, capacity=512, with_ids=True).cache()
-    same(plain(packed, "doc_id", "piece", "start", "length", "ids_crc32"), want)
+def pieces(rows, cap):
+    """(doc, piece, start, length, crc32) by a freshly loaded tokenizer. Its text says that strings
+    like those of special tokens are plain text in this vocabulary (``encode_special_tokens``)."""
+    tok = Tokenizer.from_file(WORDS)
+    tok.encode_special_tokens = True
+    out = []
+    for i, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [1]
+        for k in range(0, len(ids), cap):
+            part = np.array(ids[k:k + cap], "<u4").tobytes()
+            out.append((i, k // cap, k, len(part) // 4, zlib.crc32(part)))
+    return out
+
+
+def gapless(rows, cap):
     bins = defaultdict(list)
-    for s, o, n in packed.select("sequence_id", "offset", "length").collect():
-        bins[s].append((o, n))
-    for rows in bins.values():
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for got in bins.values():
         at = 0
-        for o, n in sorted(rows):
+        for o, n in sorted(got):
             assert o == at
             at += n
-        assert at <= 512
+        assert at <= cap
+    return bins
+
+
+def test_packing_is_gapless_and_tight(spark, documents):
+    special = [(950, "end of text <|endoftext|> next"), (951, "<|startoftext|><|endoftext|>")]
+    documents = documents.select("doc_id", "text", "c0").unionByName(spark.createDataFrame(special, "doc_id long, text string"), allowMissingColumns=True)
+    want = pieces(texts_of(documents), 512)
+    packed = packing.pack(documents, WORDS, capacity=512, with_ids=True).cache()
+    same(plain(packed, "doc_id", "piece", "start", "length", "ids_crc32"), want)
+    bins = gapless(packed.collect(), 512)
     assert len(bins) == best_fit_decreasing([w[3] for w in want], 512) <= 1.02 * sum(w[3] for w in want) / 512
     assert all(len(r[0]) <= 512 for r in packing.sequences(packed).select("ids").collect())
     by_join = packing.place(packed.drop("sequence_id", "offset"), 512, ["doc_id", "piece", "ids_crc32"], max_broadcast_runs=0)
@@ -113,26 +129,50 @@ def test_sweep_is_best_fit_decreasing():
         assert packing.sweep(Counter(pieces), cap)[1] == best_fit_decreasing(pieces, cap)
 
 
-def test_substring_dedup_by_brute_force(spark, documents):
-    per = "ab" * 300
-    more = spark.createDataFrame([(None, per), (-5, per[:200]), (7, per + "x" * 200), (912, "é" * 30), (913, "zz" + "é" * 30), (913, "zz" + "é" * 30)], "doc_id long, text string")
-    docs = documents.select("doc_id", "text", "c0").unionByName(more, allowMissingColumns=True)
-    rows = [(2 ** 63 - 1 if i is None else i, t.encode()) for i, t in texts_of(docs)]
+def without_repeats(rows, length=50):
+    """(id, bytes, bytes removed, runs removed, bytes left) per (id, text), window by window."""
+    rows = [(2 ** 63 - 1 if i is None else i, t.encode()) for i, t in rows]
     low = {}
     for i, b in rows:
-        for p in range(len(b) - 49):
-            low[b[p:p + 50]] = min(low.get(b[p:p + 50], i), i)
-    want = []
+        for p in range(len(b) - length + 1):
+            low[b[p:p + length]] = min(low.get(b[p:p + length], i), i)
+    out = []
     for i, b in rows:
         gone = bytearray(len(b))
-        for p in range(len(b) - 49):
-            if low[b[p:p + 50]] < i:
-                gone[p:p + 50] = b"\1" * 50
-        spans = len(re.findall(b"\1+", bytes(gone)))
-        want.append((None if i == 2 ** 63 - 1 else i, len(b), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest()))
-    out = exact_substring.remove_repeats(docs, 50, carry=("c0",), block_chars=20_000).withColumn("h", F.sha2("kept", 256))
-    assert out.columns[:2] == ["doc_id", "c0"]
+        for p in range(len(b) - length + 1):
+            if low[b[p:p + length]] < i:
+                gone[p:p + length] = b"\1" * length
+        out.append((None if i == 2 ** 63 - 1 else i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), bytes(c for c, g in zip(b, gone) if not g)))
+    return out
+
+
+def test_substring_dedup_by_brute_force(spark, documents):
+    per = "ab" * 300
+    more = spark.createDataFrame([(None, per), (-5, per[:200]), (7, per + "x" * 200), (912, "é" * 30), (913, "zz" + "é" * 30), (913, "zz" + "é" * 30)], "doc_id long, text string")
+    docs = documents.select("doc_id", "text", "c0").unionByName(more, allowMissingColumns=True)
+    want = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in without_repeats(texts_of(docs))]
+    for hot in (8192, 0):  # 0: every repeated window is dealt by its whole content
+        out = exact_substring.remove_repeats(docs, 50, carry=("c0",), block_chars=20_000, hot_strings=hot).withColumn("h", F.sha2("kept", 256))
+        assert out.columns[:2] == ["doc_id", "c0"]
+        same(plain(out, "doc_id", "n_bytes", "n_removed", "n_spans", "h"), want)
+
+
+def test_a_phrase_among_ever_other_words_is_dealt_over_the_buckets(spark):
+    rnd = random.Random(8)
+    rows = [(i, f"{rnd.random()} {rnd.random()} {rnd.random()} as a matter of course and fact {rnd.random()} {rnd.random()} {rnd.random()}") for i in range(900)]
+    rows += [(1000 + i, rows[i][1][10:90]) for i in range(0, 900, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in without_repeats(rows)]
+    out = exact_substring.remove_repeats(docs, 50, block_chars=30_000, hot_strings=50).withColumn("h", F.sha2("kept", 256))
     same(plain(out, "doc_id", "n_bytes", "n_removed", "n_spans", "h"), want)
+    r = exact_substring._Runs([t.encode() for _, t in rows], 50, 64)
+    often = r.strings_per_anchor()
+    assert often.max() > 100  # a gram of the phrase is the anchor of ever other strings
+    hot = np.flatnonzero(often > 50)
+    asked = [{"bucket": int(r.bucket[k]), "a": exact_substring.C.pack_ints([k - r.cuts[r.bucket[k]]]), "b": exact_substring.C.pack_ints([0])} for k in hot]
+    _, sent = r.strings(asked)
+    share = np.bincount(sent.bucket, minlength=64)
+    assert share.min() > 0 and share.max() < 2 * share.mean()
 
 
 def shingles(t):
@@ -196,7 +236,10 @@ VECTORS = [(0, [1.0, 0.0]), (100, [0.5, 0.5]), (3, [0.5, 0.5]), (2, [0.5, 0.5]),
 
 def test_exact_top_k_by_brute_force(spark):
     real = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
-    for rows, k in ((VECTORS, 3), (VECTORS, 50), (real, 10)):
+    rnd = random.Random(6)
+    huge = [(0, [3e6, 0.0]), (1, [1.0, 0.0]), (100, [1.0, 2.0]), (2, [-2.0 ** 21, 1.5]), (200, [1e-9, 2.0 ** 40]), (3, [0.0, 2.0])]
+    wide = [(i, [rnd.choice([-1, 1]) * 2.0 ** rnd.randint(0, 20) + rnd.random() for _ in range(3)]) for i in range(250)]
+    for rows, k in ((VECTORS, 3), (VECTORS, 50), (real, 10), (huge, 4), (wide, 7)):
         ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
         want = []
         for q in sorted({i for i, _ in ok if i % 100 == 0}):
@@ -207,6 +250,16 @@ def test_exact_top_k_by_brute_force(spark):
         same(plain(topk.exact_top_k(df, "id % 100 = 0", k=k, bins=64, row_block=64, query_block=2), "query_id", "rank", "vec_id", "score"), want)
 
 
+def test_top_k_scores_fit_64_bits_or_raise(spark):
+    edge = [(0, [2.0 ** 21.0]), (1, [2.0 ** 20.999]), (2, [-(2.0 ** 21.4)])]  # up to 2^62.4
+    df = spark.createDataFrame(edge, "vec_id long, embedding array<double>")
+    want = sorted(((math.floor(1024 * edge[0][1][0]) * math.floor(1024 * v[0]), i) for i, v in edge[1:]), reverse=True)
+    assert [(r.score, r.vec_id) for r in topk.exact_top_k(df, "id % 100 = 0").orderBy("rank").collect()] == want
+    for far in (2.0 ** 22, 1e30, 1e308):
+        with pytest.raises(Exception, match="does not fit"):
+            topk.exact_top_k(df.union(spark.createDataFrame([(3, [far])], df.schema)), "id % 100 = 0").collect()
+
+
 def test_forest_recall_and_exact_scores(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = {r[0]: np.asarray(r[1], float) for r in df.select("vec_id", "embedding").collect()}
@@ -220,9 +273,20 @@ def test_forest_recall_and_exact_scores(spark):
         best = sorted((-(rows[q] @ v), i) for i, v in rows.items() if i != q)[:20]
         hit += len({i for _, i in best} & {i for _, i in found})
     assert hit / (20 * len(got)) >= 0.9
-    few = ann.forest_search(spark.createDataFrame(VECTORS, "vec_id long, embedding array<double>"), "id % 100 = 0", k=20)
-    assert {(r.query_id, r.vec_id) for r in few.collect()} >= {(0, 100), (0, 2), (100, 0), (100, 9)}
-    assert not few.where("vec_id in (5, 400) or query_id in (200, 300, 400)").count()
+    small = [VECTORS, [(0, [1.0, 0.0]), (1, [-1.0, 0.0])], [(i, [math.cos(i), math.sin(i)]) for i in range(5)], [(0, [1.0])],
+             [(i % 7 * 20, [math.cos(i), math.sin(3 * i), 0.1]) for i in range(40)]]
+    for rows, k in [(r, k) for r in small for k in (1, 3, 20)]:  # a full offer: all candidates, if fewer than k; k of them at least
+        ok = [(i, list(v) + [0.0] * (3 - len(v))) for i, v in rows if i is not None and v and any(v) and all(x is not None and math.isfinite(x) for x in v)]
+        got = defaultdict(list)
+        for q, _, i, s in sorted(map(tuple, ann.forest_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id % 20 = 0", k=k).collect())):
+            got[q].append((i, round(s, 9)))
+        for q in {i for i, _ in ok if i % 20 == 0}:
+            own = min((v for i, v in rows if i == q and v and any(v)))
+            own = own + [0.0] * (3 - len(own))
+            others = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in ok if i != q)
+            assert len(got[q]) == min(k, len(others))
+            if k >= len(others):
+                assert Counter(got[q]) == Counter((i, round(-s, 9)) for s, i in others)
 
 
 def test_url_rules_and_cascade(spark):
@@ -398,6 +462,9 @@ def test_pipeline_stages(spark, documents):
     keep = {(r[0], t) for r, (_, t) in zip(brute_components([(r.doc_id, r.text) for r in before]), [(r.doc_id, r.text) for r in before]) if r[3]}
     assert {(r.doc_id, r.text) for r in got} == keep and len(got) == len(keep)
     before, got = kept[2]
-    assert {r.doc_id for r in got} <= {r.doc_id for r in before} and all(len(r.text) == r.n_chars for r in got)
-    tok = packing._tokenizer(WORDS)
-    assert sum(r.length for r in kept[3][1]) == sum(len(tok.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in kept[3][0])
+    left = [(i, b.decode("utf-8", "ignore")) for i, n, _, _, b in without_repeats([(r.doc_id, r.text or "") for r in before]) if b or not n]
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(left) and all(len(r.text) == r.n_chars for r in got)
+    before, got = kept[3]
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == Counter(pieces([(r.doc_id, r.text) for r in before], 4096))
+    gapless(got, 4096)
+    assert len({r.sequence_id for r in got}) == best_fit_decreasing([r.length for r in got], 4096)
