@@ -1,9 +1,13 @@
 """A small tree of a page's block elements, and the features of its nodes.
 
-Only what main-text extraction needs: inline elements melt into their block's text, raw-text
-elements (scripts, styles) and comments are skipped, unclosed paragraphs and list items end
+Only what main-text extraction needs. Block elements become nodes; all others, known or not,
+melt into their block's text, unless an unknown one begins with a block (then it is a block, too).
+Scripts, styles, titles, templates, form choices and comments are skipped; of these, one without
+its end tag ends where an open element does, or else with the page (scripts, styles) or at the
+next tag (others). Fallback text and formulas are text. Unclosed paragraphs and list items end
 where the next one starts, the text of a data list's option is skipped up to the next element,
-stray end tags are ignored, a cut-off page ends all open elements.
+a "<" that begins no tag is text, stray end tags are ignored, a cut-off page ends all open
+elements.
 """
 
 from __future__ import annotations
@@ -13,14 +17,19 @@ from html import unescape
 
 import numpy as np
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[a-zA-Z/!?][^<]*\Z", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[a-zA-Z/!?][^<]*\Z", re.S)
 _ATTR = re.compile(r"(class|id|role|itemprop|style|hidden|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Fixed by the markup language: elements without text of the page, without content, and
-#: within a line of text.
-RAW = frozenset("script style template noscript textarea title iframe object svg math select".split())
+#: blocks, and elements within a line of text.
+RAW = frozenset("script style template textarea title select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big button cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var output".split())
+BLOCK = frozenset("""address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption figure
+    footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav noframes ol optgroup p pre search section summary
+    table tbody td tfoot th thead tr ul""".split())
+INLINE = frozenset("""a abbr acronym audio b bdi bdo big button canvas cite code data datalist del dfn em font i iframe ins kbd label map mark math
+    meter nobr noscript object output picture progress q rb rp rt rtc ruby s samp slot small span strike strong sub sup svg time tt u var
+    video""".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _WHOLE = frozenset(("#page", "html", "body"))
 _SCOPE = frozenset("ul ol dl table body article section div main aside nav header footer form".split())
@@ -65,6 +74,11 @@ class Node:
                 self.label = int('data-kept="1"' in attrs)
 
 
+def _end_of(tags: list[str], html: str, pos: int) -> re.Match | None:
+    """The next end tag of one of the elements."""
+    return re.compile(rf"</(?:{'|'.join(map(re.escape, tags))})\b[^>]*>", re.I).search(html, pos) if tags else None
+
+
 def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in page order (the first is the page), and runs of text: (node, text),
     one for each stretch of text that no block boundary interrupts."""
@@ -97,6 +111,13 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if anchors:
                 open_[-1].linked += n
 
+    def inline(tag: str) -> bool:
+        """Whether an element that begins at ``pos`` is part of a line of text."""
+        if tag in BLOCK or tag in INLINE:
+            return tag in INLINE
+        m = find(html, pos)
+        return m is None or bool(m[1]) or (m[2] or "").lower() not in BLOCK or bool(html[pos:m.start()].strip())
+
     n, find = len(html), _TOKEN.search
     while pos < n:
         m = find(html, pos)
@@ -112,8 +133,6 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if m[1]:  # an end tag
             if tag == "a":
                 anchors = max(0, anchors - 1)
-            elif tag in INLINE:
-                pass
             elif tag == "p" and not any(x.tag == "p" for x in open_):
                 flush()
             elif any(x.tag == tag for x in open_[1:]):
@@ -134,15 +153,20 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if tag in ("textarea", "select"):
                 open_[-1].inputs += 1
             if not attrs.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, pos)
-                pos = end.end() if end else n
+                end = _end_of([tag], html, pos)
+                if end:
+                    pos = end.end()
+                else:
+                    end = _end_of([x.tag for x in open_[1:]], html, pos)
+                    m = None if end or tag in ("script", "style") else find(html, pos)
+                    pos = end.start() if end else m.start() if m else n
             continue
         if tag == "option":  # outside a select: its text ends where another element begins or ends
-            while (m := find(html, pos)) and (m[2] is None or m[2].lower() in INLINE):
+            while (m := find(html, pos)) and (m[2] is None or m[2].lower() in INLINE - {"datalist"}):
                 pos = m.end()
             pos = m.start() if m else n
             continue
-        if tag in INLINE:
+        if inline(tag):
             if tag == "a":
                 anchors += 1
                 open_[-1].links += 1

@@ -6,8 +6,9 @@ itself and of those above it, depth, place and sibling statistics. The nodes of
 then labelled together, by the likeliest labelling in which nothing below a dropped node is
 kept (``dom.decode``).
 
-The model is trained here, on a bounded sample of the pages at hand (``sample`` pages, those
-of least hash): their paragraphs and their menu, advert and footer texts are taken from
+The model is trained here, on a bounded sample of the pages at hand (``sample`` different pages,
+those of least hash; of a text, the first 2,000 characters fill a paragraph of a layout, and
+the first four texts stand for long comments): their paragraphs and their menu, advert and footer texts are taken from
 elements whose tag says what they are, set into page layouts drawn at random (other tags,
 class names, nesting, side columns, notices, forms, reader comments, links in the text,
 scripts; or with the article, or a few words beside it, directly under the page), and every
@@ -255,8 +256,16 @@ def train(pages: DataFrame, sample: int = 300, layouts: int = 3, seed: int = 11,
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    few = C.picked(pages, id_col, html_col).where("c1 is not null and c1 <> ''")
-    few = few.orderBy(F.xxhash64("c0", "c1"), "c0").limit(sample).select("c1")
+    full = C.picked(pages, id_col, html_col).where("c1 is not null and c1 <> ''").withColumn("h", F.xxhash64("c0", "c1"))
+    named = full.select("h", "c0")  # pages are chosen by name; only the chosen ones are moved
+    n = named.count()
+    share = 4 * sample / max(n, 1)
+    if share < 0.5:  # a hash bound that about 4 * sample rows pass: no task sees the others
+        some = named.where(F.col("h") < F.lit(int((share - 0.5) * 2 ** 64)))
+        named = some if some.count() >= sample else named
+    chosen = F.broadcast(named.distinct().orderBy("h", "c0").limit(sample).toDF("chosen", "id"))
+    few = full.join(chosen, (F.col("h") == F.col("chosen")) & F.col("c0").eqNullSafe(F.col("id")), "left_semi").dropDuplicates(["h", "c0"])
+    few = few.repartition(4, "h").sortWithinPartitions("h", "c0").select("c1")
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +292,7 @@ def train(pages: DataFrame, sample: int = 300, layouts: int = 3, seed: int = 11,
                 x, y = x[good], y[good]
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), pa.array(y.astype(np.float64))], names=["x", "label"])
 
-    data = C.stored(few.repartition(4).mapInArrow(examples, "x array<double>, label double"), "page-examples")
+    data = C.stored(few.mapInArrow(examples, "x array<double>, label double"), "page-examples")
     if data.select("label").distinct().count() < 2:
         return None
     fitted = GBTClassifier(maxIter=24, maxDepth=5, stepSize=0.3, seed=seed, featuresCol="features", labelCol="label", maxBins=64,

@@ -425,6 +425,30 @@ def test_html_options_and_text_under_the_page(spark):
     assert total > 100 and right >= 0.95 * total
 
 
+def test_html_keeps_fallback_formulas_and_unknown_elements():
+    def blocks(html):
+        return [t for _, t in dom.parse(html)[1]]
+
+    assert blocks("<article><p>a</p><iframe src=x><p>b text</p></article>c") == ["a", "b text", "c"]
+    for tag in ("noscript", "svg", "math", "object", "video"):
+        assert blocks(f"<article><p>a</p><{tag}><p>b text</p></article>c") == ["a", "b text", "c"]
+    assert blocks("<div><p>a</p><textarea>typed</div><p>b</p>") == ["a", "b"] == blocks("<div><p>a</p><textarea>typed</textarea></div><p>b</p>")
+    assert blocks("<title>head<p>b</p>") == ["b"] and blocks("<div>a<script>x = 1</div>b") == ["a", "b"] and blocks("a<style>p {}") == ["a"]
+    assert blocks("<p>area <math><mi>x</mi></math> is big</p>") == ["area x is big"]
+    assert blocks("<p>one <nobr>two</nobr> <picture><img></picture>three <x-note>four</x-note> five</p>") == ["one two three four five"]
+    assert blocks("<x-card><h2>a</h2><p>b</p></x-card>c") == ["a", "b", "c"]
+    nodes, _ = dom.parse('<x-card class="sidebar"><p>b</p></x-card><p>c</p>')
+    assert [x.tag for x in nodes] == ["#page", "x-card", "p", "p"] and nodes[3].parent is nodes[0]
+    assert blocks("<p>if a<b then c</p><p>1 < 2 <3</p>") == ["if a<b then c", "1 < 2 <3"]
+
+
+def test_pages_to_learn_from_do_not_depend_on_the_table_around_them(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html")
+    many = pages.unionByName(pages).unionByName(spark.createDataFrame([(1, None), (2, "")], pages.schema))
+    one, two = (html_extract.train(p, sample=20) for p in (pages, many))  # repeated pages count once; a bound or none chooses the same
+    assert all((a == b).all() for a, b in zip(one.trees, two.trees))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
