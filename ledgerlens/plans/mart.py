@@ -13,8 +13,9 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..operators import features, quality, unpivot
 from ..operators.segments import build_cube
@@ -260,24 +261,61 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, path: str) -> DataFr
     return spark.table(table)
 
 
+#: Fingerprint cells of the Q17 comparison, whatever the number of customers.
+RECONCILE_CELLS = 1 << 16
+
+
+def _cell() -> Column:
+    return F.pmod(F.xxhash64("customer_id"), F.lit(RECONCILE_CELLS))
+
+
+def _fingerprints(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(cell, n, a, b): per cell of customers the number of rows and two checksums that do not
+    depend on their order: an exact sum and an xor of differently seeded 64-bit row hashes.
+    Values are compared as text, decimals of any type at six places; a NULL differs from every
+    value."""
+    def text_of(c: str) -> Column:
+        decimal = isinstance(rows.schema[c].dataType, DecimalType)
+        return F.coalesce((F.col(c).cast("decimal(30,6)") if decimal else F.col(c)).cast("string"), F.lit("\x00"))
+
+    text = [text_of(c) for c in ["customer_id", *columns]]
+    return rows.select(_cell().alias("cell"), F.xxhash64(F.lit(1), *text).alias("h"), F.xxhash64(F.lit(2), *text).alias("g")).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("a"), F.bit_xor("g").alias("b"))
+
+
 def reconcile_long_wide(pf: Portfolio, wide: DataFrame | None = None) -> DataFrame:
     """Q17: the SQL-shaped long derivation vs ``wide`` (the mart's features unless given), per
-    customer: null-safe full outer join on customer_id. One row per feature column with the
-    customers that differ in it; the customers compared, and those on one side only, stand on
-    every row."""
-    long = features.long_path_fact(pf.fact_repayment_history, pf.fact_statements,
-                                   pf.dim_customers, pf.staging, pf.lenient)
-    wide = pf.fact_credit_risk if wide is None else wide
+    customer: null-safe on customer_id. One row per feature column with the customers that
+    differ in it; the customers compared, and those on one side only, stand on every row.
+
+    Both sides are first compared by checksums of ``RECONCILE_CELLS`` cells of customers. Only
+    the cells that differ (their numbers are broadcast, at most as many as there are cells) are
+    drilled into with a full outer join of rows; equal sides never meet row by row. The long
+    side is stored once, as the drill-down reads it again."""
     cols = [c for c in FACT_RISK_COLUMNS if c != "customer_id"]
-    l = long.select("customer_id", *[F.col(c).alias(f"l_{c}") for c in cols], F.lit(1).alias("in_long"))
-    w = wide.select("customer_id", *[F.col(c).alias(f"w_{c}") for c in cols], F.lit(1).alias("in_wide"))
-    both = F.col("in_long").isNotNull() & F.col("in_wide").isNotNull()
-    counts = l.join(w, "customer_id", "full_outer").agg(
-        F.count(F.lit(1)).cast("bigint").alias("customers_compared"),
-        F.count_if(F.col("in_wide").isNull()).cast("bigint").alias("only_long"),
-        F.count_if(F.col("in_long").isNull()).cast("bigint").alias("only_wide"),
+    long = features.long_path_fact(pf.fact_repayment_history, pf.fact_statements, pf.dim_customers, pf.staging, pf.lenient)
+    long = materialize(long.select("customer_id", *cols), "long_path_fact")
+    wide = (pf.fact_credit_risk if wide is None else wide).select("customer_id", *cols)
+    mine, other = (_fingerprints(df, cols).select("cell", *[F.col(x).alias(f"{side}_{x}") for x in ("n", "a", "b")])
+                   for side, df in (("l", long), ("w", wide)))
+    cells = materialize(mine.join(other, "cell", "full_outer"), "reconcile_cells")
+    same = F.col("l_n").eqNullSafe(F.col("w_n")) & F.col("l_a").eqNullSafe(F.col("w_a")) & F.col("l_b").eqNullSafe(F.col("w_b"))
+    agreed = cells.where(same).agg(F.coalesce(F.sum("l_n"), F.lit(0)).alias("agreed"))
+    differ = F.broadcast(cells.where(~same).select("cell"))
+
+    def drilled(df: DataFrame, side: str) -> DataFrame:
+        some = df.withColumn("cell", _cell()).join(differ, "cell", "left_semi")
+        return some.select("customer_id", *[F.col(c).alias(f"{side}_{c}") for c in cols], F.lit(1).alias(f"in_{side}"))
+
+    met = drilled(long, "l").join(drilled(wide, "w"), "customer_id", "full_outer")
+    both = F.col("in_l").isNotNull() & F.col("in_w").isNotNull()
+    counts = met.agg(
+        F.count(F.lit(1)).alias("drilled"),
+        F.count_if(F.col("in_w").isNull()).cast("bigint").alias("only_long"),
+        F.count_if(F.col("in_l").isNull()).cast("bigint").alias("only_wide"),
         *[F.count_if(both & ~F.col(f"l_{c}").eqNullSafe(F.col(f"w_{c}"))).cast("bigint").alias(f"n_{c}") for c in cols])
     rows = ", ".join(f"'{c}', n_{c}" for c in cols)
-    return counts.select(
+    # two rows of one aggregate each
+    return counts.crossJoin(agreed).select(
         F.expr(f"stack({len(cols)}, {rows}) AS (column_name, customers_differing)"),
-        "customers_compared", "only_long", "only_wide")
+        (F.col("drilled") + F.col("agreed")).cast("bigint").alias("customers_compared"), "only_long", "only_wide")

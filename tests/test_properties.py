@@ -249,6 +249,25 @@ def test_reconciliation_detects_a_tampered_account(spark):
     assert all(r["only_long"] == r["only_wide"] == 0 for r in rows)
 
 
+def test_equal_sides_are_not_joined_row_by_row(spark):
+    from pyspark.sql import functions as F
+
+    pf = mart.load(spark, SF_SMALL)
+    assert mart._fingerprints(pf.fact_credit_risk, ["risk_score"]).count() <= mart.RECONCILE_CELLS
+    seen, write = [], mart.materialize
+    try:
+        mart.materialize = lambda df, name: seen.append((name, write(df, name))) or seen[-1][1]
+        equal = mart.reconcile_long_wide(pf)
+    finally:
+        mart.materialize = write
+    cells = dict(seen)["reconcile_cells"]
+    assert cells.where("not (l_n <=> w_n and l_a <=> w_a and l_b <=> w_b)").count() == 0  # nothing to drill into
+    assert equal.first().customers_compared == pf.mart.count()
+    one_less = pf.mart.where(F.col("customer_id") > pf.mart.agg(F.min("customer_id")).first()[0])
+    rows = mart.reconcile_long_wide(pf, one_less).collect()
+    assert all((r.only_long, r.only_wide, r.customers_differing, r.customers_compared) == (1, 0, 0, pf.mart.count()) for r in rows)
+
+
 def test_every_report_runs_on_the_dirty_portfolio(spark):
     """NULL labels, NULL utilization, zero limits and duplicated ids must not break any report."""
     from ledgerlens.plans.registry import REPORTS
