@@ -12,8 +12,8 @@ file order), a stored landing table in RAW_SCHEMA, or a stored star schema, whic
 opened without rebuilding. ``--publish`` stores the input as the only batch of a star
 schema, ``--append`` as one more (CSV accounts get the next ids). Each report is
 written as Parquet under ``--out/<key>`` by the executors; ``--show`` also prints
-reports of at most ``--show-rows`` rows. Intermediate tables go to the shared
-``spark.checkpoint.dir`` of the session.
+reports of at most ``--show-rows`` rows. Intermediate tables go to a folder below the
+shared ``spark.checkpoint.dir`` of the session, which is removed at the end.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 from .plans import mart
 from .plans.registry import REPORTS
 from .plans.store import StarStore
+from .session import scratch_run
 from .sources import raw as rawio
 
 
@@ -51,6 +52,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
     if args.star and not args.out:
         raise SystemExit("--star is read for reports: give --out")
+    with scratch_run(spark):
+        run(spark, args, keys)
+
+
+def run(spark: SparkSession, args: argparse.Namespace, keys: list[str]) -> None:
     root = args.publish or args.append
     if root:
         star = StarStore(spark, root)

@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,9 +84,44 @@ def scratch_root(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_RUN: ContextVar[str] = ContextVar("ledgerlens_run", default="")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(scratch_root(spark), "ledgerlens", app_id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared scratch root for table ``name``."""
-    return os.path.join(scratch_root(spark), "ledgerlens", app_id(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique location under the shared scratch root for table ``name``: in the folder
+    of the present ``scratch_run``, or of the application."""
+    return os.path.join(_own_folder(spark), _RUN.get(), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, keep: bool = False) -> Iterator[str]:
+    """A folder for the intermediate tables of what runs inside; deleted at the end, also after
+    an error, unless ``keep``. Results must be written or collected inside: a DataFrame that
+    reads an intermediate table cannot be read any more."""
+    run = f"run-{uuid.uuid4().hex[:12]}"
+    token = _RUN.set(run)
+    folder = os.path.join(_own_folder(spark), run)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        if not keep:
+            _delete(spark, folder)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete all intermediate tables of this application (portfolios that a session holds in
+    memory go with them: ``plans.mart.refresh``). Whether there were any."""
+    return _delete(spark, _own_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -15,20 +15,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import features
 from ..schema import RAW_SCHEMA
-from ..session import scratch_root
 
 
 def start_mart_stream(spark: SparkSession, landing_dir: str, mart_dir: str,
-                      checkpoint: str | None = None, lenient: bool = False,
+                      checkpoint: str, lenient: bool = False,
                       available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stream landing Parquet files -> risk mart Parquet files (append)."""
+    """Stream landing Parquet files -> risk mart Parquet files (append). ``checkpoint`` is the
+    stream's own folder: two streams must not share one."""
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landing = reader.parquet(landing_dir)
     mart = features.risk_mart(landing, lenient)
-    ckpt = checkpoint or f"{scratch_root(spark)}/ledgerlens/streams/mart"
     writer = (mart.writeStream.format("parquet").option("path", mart_dir)
-              .option("checkpointLocation", ckpt).outputMode("append"))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
