@@ -11,8 +11,8 @@ the full sets.
 Equal sets are one node from the start. Links are then found in rounds, none of which lists
 the pairs of a group:
 
-1. every member of a bucket is compared with the bucket's least member only, and its
-   likeliest such link is confirmed;
+1. every member of a bucket is compared with the bucket's least member only; its likeliest
+   such link is confirmed, and all whose estimate reaches the threshold;
 2. buckets of more than ``tile`` members that still hold several components are compared with
    other members as hubs, drawn anew each round, and the likeliest link of every two
    components is confirmed, until no link is found. A round makes one row per member; a dense
@@ -55,11 +55,11 @@ from .components import components
 
 _BASE, _RATE, _TOP = 1.001, 20.0, 65535
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
-#: The bitmap that tells which documents' full sets are needed: at most 8 MB.
-_MAX_BITS = 1 << 26
+#: The bitmap over ids that tells which documents' full sets are needed: 4 MB.
+_BITS = 1 << 25
 _FINE = 512
 #: Rounds with drawn hubs at most; pairs of full sets in an Arrow batch; bytes that a scan holds back.
-_ROUNDS, _BATCH, _HELD = 8, 256, 4 << 20
+_ROUNDS, _BATCH, _HELD = 3, 256, 4 << 20
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """(a, b, same) of the pairs, judged on the full sets."""
-        pairs = C.stored(pairs.select("a", "b"), "pairs")
+        pairs = pairs.select("a", "b")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = _of_nodes(docs, id_col, text_col, size, nodes.join(ends, "node").select("node", "doc"), lambda x: x.tobytes())
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("body").alias("sa")), "a")
@@ -209,8 +209,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         with C.arrow_rows(spark, _BATCH):
             return C.stored(met.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint, same boolean"), "confirmed")
 
-    first = likely.groupBy("a").agg(F.max_by("b", "likely").alias("b"))
-    judged = confirmed(first)
+    best = likely.groupBy("a").agg(F.max_by("b", "likely").alias("b"))
+    judged = confirmed(C.stored(best.unionByName(likely.where(f"likely >= {num / den}").select("a", "b")).distinct(), "first-pairs"))
     labels = components(judged.where("same"))
 
     def labelled(pairs: DataFrame, column: str) -> DataFrame:
@@ -225,17 +225,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
     def likeliest(pairs: DataFrame) -> DataFrame:
         """One link for every two components."""
-        best = pairs.groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(F.max_by(F.struct("a", "b"), "likely").alias("p"))
-        return best.select("p.a", "p.b")
+        best = pairs.groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(F.max_by(F.struct("a", "b", "la", "lb"), "likely").alias("p"))
+        return C.stored(best.select("p.*"), "likeliest")
 
     def learn(pairs: DataFrame) -> bool:
-        """Confirm the pairs; whether a link was among them."""
+        """Confirm pairs (a, b, la, lb) and join the components that they link; whether any do."""
         nonlocal judged, labels
         new = confirmed(pairs)
-        judged = C.stored(judged.unionByName(new), "judged")
-        if not new.where("same").limit(1).count():
+        judged = judged.unionByName(new)  # stored tables, a few of them
+        linked = C.stored(new.where("same").join(pairs, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "linked")
+        if not linked.limit(1).count():
             return False
-        labels = components(judged.where("same"))
+        to = components(linked)
+        moved = labels.join(to.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left")
+        moved = moved.select("node", F.coalesce("now", "label").alias("label"))
+        labels = C.stored(moved.unionByName(to.join(labels, "node", "left_anti")), "labels")  # the rest were alone so far
         return True
 
     def mixed(of: str) -> DataFrame:
@@ -359,35 +363,19 @@ def _of_nodes(docs: DataFrame, id_col: str, text_col: str, size: int, needed: Da
     """(node, body): ``make`` of the full set of each of the nodes in ``needed`` (node, doc). A
     bitmap over document ids tells the scan which texts to look at; rows that hit it by chance,
     or hold another text under the id, fall out in the join."""
-    spark = docs.sparkSession
     needed = C.stored(needed, "needed")
-    count = needed.count()
-    bits = 1 << 16
-    while bits < 8 * count and bits < _MAX_BITS:
-        bits *= 2
-
-    def places(doc: np.ndarray) -> np.ndarray:
-        return (_finish(doc.astype(np.int64).view(np.uint64) * _MIX[0]) % np.uint64(bits)).astype(np.int64)
-
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = np.zeros(bits // 64, np.uint64)
-        for batch in batches:
-            at = places(batch.column("doc").to_numpy())
-            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        some = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].view(np.int64))], names=["word", "mask"])
-
-    found = needed.mapInArrow(marks, "word bigint, mask bigint").groupBy("word").agg(F.expr("bit_or(mask)").alias("mask"))
-    table = np.zeros(bits // 64, np.uint64)
-    got = found.toArrow()  # at most bits / 64 rows
+    place = F.col("doc").bitwiseAND(_BITS - 1)
+    mask = F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))")
+    got = needed.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(mask.alias("mask")).toArrow()  # at most _BITS / 64 rows
+    table = np.zeros(_BITS // 64, np.uint64)
     table[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            at = places(ids)
+            at = ids.astype(np.int64) & (_BITS - 1)
             hit = (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool) & ~batch.column(0).is_null().to_numpy(zero_copy_only=False)
             out, held = [], 0
             for k in np.flatnonzero(hit).tolist():
