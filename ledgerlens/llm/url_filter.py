@@ -5,8 +5,11 @@ that the corpus's URLs can match: its complete key universe. Level 1 encodes the
 level 2 the universe's keys that level 1 lets through wrongly, level 3 the listed keys that
 level 2 lets through, and so on until nothing is let through wrongly. A key's first level that
 refuses it tells: exact membership for every key of the universe, from a few bits a listed
-key, with no join over the pages. A filter's size follows the list, not the corpus; cascades
-of up to ``max_filter_bytes`` are broadcast, larger lists are joined by distinct key.
+key, with no join over the pages. Level 1 is sized so that it lets through about as many keys
+as are listed, whatever the universe: 1.44 * log2(universe / list) bits a listed key; each
+further level lets one in ``_ODDS`` through. So a cascade follows the list, and grows with the
+corpus by its logarithm only. Cascades of up to ``max_filter_bytes``, checked level by level
+before a level is fetched, are broadcast; larger lists are joined by distinct key.
 
 The longest rule that fits decides; where none fits, a URL is blocked if its host or a domain
 above it is on the host list.
@@ -19,6 +22,7 @@ empty table or list is fine; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +33,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-_BITS_PER_KEY, _HASHES = 12, 8
+#: Of the keys tested against a further level, one in so many is let through.
+_ODDS = 8.0
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -46,19 +51,25 @@ def key_of(host: str, path: str) -> str:
 
 
 class Bloom:
-    def __init__(self, words: np.ndarray):
-        self.words = words
+    def __init__(self, words: np.ndarray, hashes: int):
+        self.words, self.hashes = words, hashes
 
     @staticmethod
-    def places(keys: list[str], bits: int, level: int) -> np.ndarray:
+    def shape(keys: int, odds: float) -> tuple[int, int]:
+        """64-bit words and hashes for a filter that lets one in ``odds`` other keys through."""
+        hashes = max(1, round(math.log2(odds)))
+        return -(-math.ceil(keys * hashes / math.log(2)) // 64), hashes
+
+    @staticmethod
+    def places(keys: list[str], bits: int, level: int, hashes: int) -> np.ndarray:
         h = np.array([xxhash.xxh3_64_intdigest(k, level) for k in keys], np.uint64)
         step = (h >> np.uint64(32)) | np.uint64(1)
-        return (((h & np.uint64(0xFFFFFFFF))[:, None] + np.arange(_HASHES, dtype=np.uint64) * step[:, None]) % np.uint64(bits)).astype(np.int64)
+        return (((h & np.uint64(0xFFFFFFFF))[:, None] + np.arange(hashes, dtype=np.uint64) * step[:, None]) % np.uint64(bits)).astype(np.int64)
 
     def holds(self, keys: list[str], level: int) -> np.ndarray:
         if not keys or not len(self.words):
             return np.zeros(len(keys), bool)
-        at = self.places(keys, 64 * len(self.words), level)
+        at = self.places(keys, 64 * len(self.words), level, self.hashes)
         return (self.words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).all(axis=1)
 
 
@@ -83,24 +94,23 @@ class Cascade:
         return sum(x.words.nbytes for x in self.levels)
 
 
-def _filter_of(keys: DataFrame, level: int) -> Bloom:
-    count = keys.count()
+def _filter_of(keys: DataFrame, count: int, level: int, odds: float) -> Bloom:
+    words, hashes = Bloom.shape(count, odds)
     if not count:
-        return Bloom(np.zeros(0, np.uint64))
-    words = -(-count * _BITS_PER_KEY // 64)
+        return Bloom(np.zeros(0, np.uint64), hashes)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(words, np.uint64)
         for batch in batches:
-            at = Bloom.places(batch.column(0).to_pylist(), 64 * words, level).ravel()
+            at = Bloom.places(batch.column(0).to_pylist(), 64 * words, level, hashes).ravel()
             np.bitwise_or.at(own, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
         some = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some].view(np.int64))], names=["word", "mask"])
 
     got = keys.mapInArrow(marks, "word bigint, mask bigint").groupBy("word").agg(F.expr("bit_or(mask)").alias("mask")).toArrow()
-    table = np.zeros(words, np.uint64)  # as large as the filter, which the list's size bounds
+    table = np.zeros(words, np.uint64)  # as large as the filter, which was checked
     table[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
-    return Bloom(table)
+    return Bloom(table, hashes)
 
 
 def _let_through(keys: DataFrame, bloom: Bloom, level: int) -> DataFrame:
@@ -111,19 +121,24 @@ def _let_through(keys: DataFrame, bloom: Bloom, level: int) -> DataFrame:
     return keys.mapInArrow(test, "key string")
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
-    """Over distinct keys (column ``key``): the listed ones against all of the universe."""
+def build_cascade(universe: DataFrame, listed: DataFrame, max_bytes: int = 64 << 20) -> Cascade | None:
+    """Over distinct keys (column ``key``): the listed ones against all of the universe. None if
+    the levels would take more than ``max_bytes``."""
     C.importable(universe.sparkSession)
     inside = C.stored(listed.select("key").distinct(), "cascade-listed")
     outside = universe.select("key").join(inside, "key", "left_anti")
     levels: list[Bloom] = []
-    encoded, tested = inside, outside
+    encoded, tested, count, others = inside, outside, inside.count(), outside.count()
+    odds = max(_ODDS, others / max(1, count))
     while True:
-        levels.append(_filter_of(encoded, len(levels)))
+        if sum(x.words.nbytes for x in levels) + 8 * Bloom.shape(count, odds)[0] > max_bytes:
+            return None
+        levels.append(_filter_of(encoded, count, len(levels), odds))
         wrong = C.stored(_let_through(tested, levels[-1], len(levels) - 1), "cascade-wrong")
-        if not wrong.limit(1).count():
+        through = wrong.count()
+        if not through:
             return Cascade(levels)
-        encoded, tested = wrong, encoded
+        encoded, tested, count, odds = wrong, encoded, through, _ODDS
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], listed_hosts: DataFrame, id_col: str = "page_id",
@@ -170,9 +185,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], listed_hosts
         mine = [(key_of(h, p),) for h, p, v in rules if v == verdict]
         cascades[verdict] = build_cascade(by_rule, spark.createDataFrame(mine, "key string"))
     listed = hosts.select(F.concat("host", F.lit("\0")).alias("key"))
-    joined = hosts.count() * _BITS_PER_KEY // 8 > max_filter_bytes
-    if not joined:
-        cascades["listed"] = build_cascade(by_host, listed)
+    cascades["listed"] = build_cascade(by_host, listed, max_filter_bytes)
+    joined = cascades["listed"] is None
     shared = spark.sparkContext.broadcast(cascades)
     out_type = f"c0 {id_type}, host string, path string, rule string, verdict string"
 
