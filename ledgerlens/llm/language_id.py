@@ -87,7 +87,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_lan
         return Model([], nothing, nothing, nothing)
     size = dict(zip(sizes.column("c1").to_pylist(), sizes.column("size").to_pylist()))
     shares = rows.sparkSession.createDataFrame([(n, i, min(1.0, per_language / size[n])) for i, n in enumerate(names)], "c1 string, lang bigint, share double")
-    chosen = rows.join(F.broadcast(shares), "c1").where(F.pmod(F.xxhash64("c2"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("c0", "lang")
+    chosen = rows.join(F.broadcast(shares), "c1").where(F.pmod(F.xxhash64("c2", "c0"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("c0", "lang")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, np.ndarray] = {}

@@ -307,6 +307,14 @@ def test_url_rules_and_cascade(spark):
     keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
     cascade = url_filter.build_cascade(keys, keys.where("substr(key, 2) % 3 = 0"))
     assert cascade.holds([f"k{i}" for i in range(4000)]).tolist() == [i % 3 == 0 for i in range(4000)]
+    few = keys.where("substr(key, 2) < 40")
+    sizes = {}
+    for n in (400, 40_000):  # a hundred times the universe: the filter grows by its logarithm, not by the keys let through
+        every = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
+        cascade = build = url_filter.build_cascade(every, few)
+        sizes[n] = build.bytes
+        assert cascade.holds([f"k{i}" for i in range(n)]).tolist() == [i < 40 for i in range(n)]
+    assert sizes[40_000] <= 4 * sizes[400] and url_filter.build_cascade(every, few, max_bytes=16) is None
 
 
 def test_quotation_linking(spark):
