@@ -267,7 +267,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         full = held.join(slim, "node").join(fine.select("node", F.col("body").alias("fine")), "node")
         found = "a bigint, b bigint, likely double"
         small = full.where(f"k <= {tile}").select("key", "node", "lnode", "n", "registers", "fine")
-        pairs = small.groupBy("key").applyInArrow(lambda got: _links(_Block.of(got), None, bands, rows, slack, num, den), found)
+
+        def each_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for got in _buckets(batches):
+                yield from _links(_Block.of(got), None, bands, rows, slack, num, den).to_batches()
+
+        pairs = small.repartition("key").sortWithinPartitions("key").mapInArrow(each_bucket, found)
         side = F.when(F.col("lnode") == F.col("major"), 0).otherwise(1)
         parts = F.ceil(F.when(side == 0, F.col("m")).otherwise(F.col("k") - F.col("m")) / F.lit(tile))
         large = full.where(f"k > {tile}").select("key", side.alias("side"), F.pmod(F.xxhash64("node"), parts).alias("part"), "node", "lnode", "n", "registers", "fine",
@@ -285,8 +290,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         return pairs.unionByName(met).unionByName(likely.where("a <> b"))
 
     drawn = _ROUNDS
+    left_over = C.stored(in_full(), "links-in-full")
     for best in (True, False):
-        open_ = apart(in_full())
+        open_ = apart(left_over)
         if not open_.limit(1).count():
             break
         learn(likeliest(open_) if best else open_)
@@ -335,6 +341,24 @@ class _Block:
         return out[0], out[1] if len(out) > 1 else None
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The buckets of rows that come sorted by key, each at most as large as it is."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        cuts = np.flatnonzero(np.diff(key)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+            part = batch.slice(a, b - a)
+            if held and held[0].column("key")[0] != part.column("key")[0]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _links(a: _Block, b: _Block | None, bands: int, rows: int, slack: float, num: int, den: int) -> pa.Table:
     """Likely links across components between two blocks, or inside one."""
     m, least, band = bands * rows, num / den - slack, a.key & 63
