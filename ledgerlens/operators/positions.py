@@ -19,6 +19,14 @@ every row with its tile in a narrow projection, so the report aggregate runs
 partial/final like any other group-by. Ties of the order value (one value may hold
 a third of all rows) are split by the id, never by a single task.
 
+Tiles of a large table in two scans
+-----------------------------------
+``tile_aggregate`` needs aggregates per tile, not a label per row. Its first scan takes the row
+count and a mergeable quantile sketch, whose error bound brackets every boundary between two
+order values. Its second scan aggregates the rows between brackets as they are (each such
+stretch lies in one tile) and writes the rows inside brackets, narrow, to a table of their own.
+All further passes read that table only: the boundaries are selected in it exactly, as above.
+
 Contiguous keys
 ---------------
 ``with_row_number`` is the zipWithIndex pattern: fix the partition contents
@@ -28,10 +36,10 @@ size is the partition count, not the data), and add the in-partition row index.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_root
+from ..session import materialize, scratch_root
 
 
 def tile_boundaries(n_rows: int, n_tiles: int) -> list[int]:
@@ -109,8 +117,10 @@ def _select_values(df: DataFrame, col: str, targets: dict[int, tuple], fanout: i
 
 
 def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
-          out_col: str = "tile", fanout: int = 4096, max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Exact ``NTILE(n_tiles) OVER (ORDER BY order_key NULLS LAST, id_col)``.
+          out_col: str = "tile", fanout: int = 4096, max_buckets: int = MAX_BUCKETS,
+          starts: list[int] | None = None) -> DataFrame:
+    """Exact ``NTILE(n_tiles) OVER (ORDER BY order_key NULLS LAST, id_col)``; ``starts`` are the
+    positions at which tiles 2, 3, ... begin, if they are not those of equal tiles.
 
     ``order_key`` must be an integral (BIGINT-castable) expression, e.g. the unscaled
     value of a DECIMAL; ``id_col`` a BIGINT tie-break. NULL keys are a group of their own
@@ -121,7 +131,9 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
     base = df.withColumn("_k", order_key.cast("bigint"))
     stats = base.agg(F.count(F.lit(1)).alias("n"), F.count("_k").alias("keyed"), F.min("_k").alias("klo"),
                      F.max("_k").alias("khi"), F.min(id_col).alias("ilo"), F.max(id_col).alias("ihi")).collect()[0]
-    bounds = tile_boundaries(stats["n"], n_tiles)
+    bounds = tile_boundaries(stats["n"], n_tiles) if starts is None else starts
+    beyond = sum(p >= stats["n"] for p in bounds)  # tiles that begin behind the last row are empty
+    bounds = bounds[:len(bounds) - beyond]
     if not bounds:
         return df.withColumn(out_col, F.lit(1))
     # 1) order value at every boundary position (all boundaries in the same passes); positions
@@ -162,13 +174,83 @@ def ntile(df: DataFrame, n_tiles: int, order_key: Column, id_col: str,
     return base.withColumn(out_col, tile).drop("_k", "_o")
 
 
-def order_statistics(df: DataFrame, keys: dict[str, Column], ranks: dict[str, list[int]],
-                     fanout: int = 4096, max_buckets: int = MAX_BUCKETS) -> dict[str, dict[int, int]]:
+_LAST = (1 << 63) - 1
+_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+_TAKE = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _brackets(quantiles: list[int]) -> list[tuple[int, int]]:
+    """Disjoint ranges of order values, ascending, around pairs of quantiles."""
+    out: list[tuple[int, int]] = []
+    for low, high in zip(quantiles[::2], quantiles[1::2]):
+        # the sketch holds doubles
+        low, high = max(low - (abs(low) >> 50), -_LAST - 1), min(high + (abs(high) >> 50), _LAST)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def tile_aggregate(df: DataFrame, n_tiles: int, order_key: Column, id_col: str, measures: dict[str, tuple[str, Column]],
+                   out_col: str = "tile", accuracy: int = 2000) -> DataFrame:
+    """(out_col, measures) per tile of the exact ``NTILE(n_tiles) OVER (ORDER BY order_key NULLS
+    LAST, id_col)``, in two scans of ``df``. ``measures``: {name: (count, sum, min or max,
+    expression)}. The sketch is off by at most 1 / ``accuracy`` of the rows; a bracket spans four
+    times that, and the value at its ends whole. A table so small that rounding the tiles' sizes
+    could leave the brackets is labelled row by row."""
+    rows = df.select(order_key.cast("bigint").alias("_k"), F.col(id_col).alias("_id"), *[c.alias(n) for n, (_, c) in measures.items()])
+    placed = F.coalesce("_k", F.lit(_LAST))  # NULL keys sort behind all others
+    cuts = [min(1.0, max(0.0, t / n_tiles + side * 2 / accuracy)) for t in range(1, n_tiles) for side in (-1, 1)]
+    n, *at = rows.agg(F.count(F.lit(1)), *([F.percentile_approx(placed, cuts, accuracy)] if cuts else [])).first()
+
+    def parts(grouped) -> DataFrame:
+        return grouped.agg(*[_TAKE[kind](name).alias(name) for name, (kind, _) in measures.items()])
+
+    if n * 2 < (n_tiles + 1) * accuracy or not cuts:
+        return parts(ntile(rows, n_tiles, F.col("_k"), "_id", out_col=out_col).groupBy(out_col))
+    ranges = _brackets(at[0])
+    region = F.lit(len(ranges))  # bracket 0, 1, ... or the stretch of rows below it; above all
+    inside = F.lit(False)
+    for i in range(len(ranges) - 1, -1, -1):
+        region = F.when(placed <= F.lit(ranges[i][1]), i).otherwise(region)
+        inside = inside | placed.between(*map(F.lit, ranges[i]))
+    seen = Observation()
+    between = ~inside
+    watched = [F.count_if(between & (region == j)).alias(f"rows_{j}") for j in range(len(ranges) + 1)]
+    watched += [_TAKE[kind](F.when(between & (region == j), F.col(name))).alias(f"{name}_{j}")
+                for j in range(len(ranges) + 1) for name, (kind, _) in measures.items()]
+    bracketed = materialize(rows.observe(seen, *watched).where(inside).withColumn("_r", region), "tile-brackets")
+    got = seen.get
+    # a boundary at position p of all rows is that many rows further up in the brackets' table
+    before = [sum(got[f"rows_{j}"] for j in range(i + 1)) for i in range(len(ranges))]
+    sizes = {r["_r"]: r["count"] for r in bracketed.groupBy("_r").count().collect()}  # one row a bracket
+    starts, tile_below, i = [], [], 0
+    ends = [before[i] + sum(sizes.get(j, 0) for j in range(i + 1)) for i in range(len(ranges))]
+    for p in tile_boundaries(n, n_tiles):
+        while i < len(ranges) - 1 and p >= ends[i]:
+            tile_below.append(len(starts) + 1)
+            i += 1
+        if not ends[i] - sizes.get(i, 0) <= p <= ends[i]:
+            raise RuntimeError("a boundary lies outside its bracket; the input changed between the scans")
+        starts.append(p - before[i])
+    # stretch j lies between the boundaries of brackets j - 1 and j, all of it in one tile
+    tile_below = [1, *tile_below]
+    tile_below += [len(starts) + 1] * (len(ranges) + 1 - len(tile_below))
+    tiled = parts(ntile(bracketed.drop("_r"), n_tiles, F.col("_k"), "_id", out_col=out_col, starts=starts).groupBy(out_col))
+    whole = [(tile_below[j], *[got[f"{name}_{j}"] for name in measures]) for j in range(len(ranges) + 1) if got[f"rows_{j}"]]
+    every = tiled.unionByName(df.sparkSession.createDataFrame(whole, tiled.schema)) if whole else tiled
+    return every.groupBy(out_col).agg(*[_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()])
+
+
+def order_statistics(df: DataFrame, keys: dict[str, Column], ranks, fanout: int = 4096,
+                     max_buckets: int = MAX_BUCKETS) -> dict[str, dict[int, int]]:
     """Exact order statistics of several integral expressions in shared passes.
 
     ``keys``: {name: integral Column}; ``ranks``: {name: 0-based ranks among its
-    non-NULL values}. Returns {name: {rank: value}}. Same bounded histogram
-    refinement as ``ntile``: no row leaves its task, the driver sees counts only."""
+    non-NULL values}, or a function of {name: number of those values} that gives them. Returns
+    {name: {rank: value}}. Same bounded histogram refinement as ``ntile``: no row leaves its
+    task, the driver sees counts only."""
     names = list(keys)
     stack = "stack({}, {}) AS (_tag, _k)".format(
         len(names), ", ".join(f"{i}, _v{i}" for i in range(len(names))))
@@ -177,6 +259,8 @@ def order_statistics(df: DataFrame, keys: dict[str, Column], ranks: dict[str, li
     bounds = {r["_tag"]: (r["lo"], r["hi"], r["n"]) for r in
               long.groupBy("_tag").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi"),
                                        F.count(F.lit(1)).alias("n")).collect()}
+    if callable(ranks):
+        ranks = ranks({n: bounds[i][2] if i in bounds else 0 for i, n in enumerate(names)})
     targets, index = {}, {}
     for i, n in enumerate(names):
         if i not in bounds:
@@ -198,13 +282,15 @@ def quantiles_linear(df: DataFrame, keys: dict[str, tuple[Column, int]], probs:
     pandas ``describe`` / SQL ``percentile_cont``) for integral expressions holding
     values in units of 10^-scale: {name: (key Column, scale)} ->
     {name: (non-NULL count, [quantile per prob])}."""
-    counts = df.agg(*[F.count(c).alias(n) for n, (c, _) in keys.items()]).collect()[0]
-    need, pos = {}, {}
-    for n in keys:
-        cnt = counts[n]
-        pos[n] = [(cnt - 1) * p for p in probs] if cnt else []
-        need[n] = sorted({int(x) for x in pos[n]} | {min(int(x) + 1, cnt - 1) for x in pos[n]})
-    vals = order_statistics(df, {n: c for n, (c, _) in keys.items()}, need)
+    counts, pos = {}, {}
+
+    def wanted(sizes: dict[str, int]) -> dict[str, list[int]]:
+        counts.update(sizes)
+        for n, cnt in sizes.items():
+            pos[n] = [(cnt - 1) * p for p in probs] if cnt else []
+        return {n: sorted({int(x) for x in pos[n]} | {min(int(x) + 1, cnt - 1) for x in pos[n]}) for n, cnt in sizes.items()}
+
+    vals = order_statistics(df, {n: c for n, (c, _) in keys.items()}, wanted)
     out = {}
     for n, (_, scale) in keys.items():
         cnt = counts[n]

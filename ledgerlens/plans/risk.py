@@ -57,15 +57,15 @@ def top_risk_segments(src: DataFrame, min_accounts: int = TOP_RISK_MIN_ACCOUNTS,
 
 def risk_deciles(mart: DataFrame, n_tiles: int = DECILES) -> DataFrame:
     """NTILE(10) over risk_score (tie-break customer_id) for the whole portfolio."""
-    slim = mart.select("customer_id", "risk_score", "default_flag")
     unscaled = F.expr("CAST(risk_score * 100 AS BIGINT)")
-    tiled = positions.ntile(slim, n_tiles, unscaled, "customer_id", out_col="risk_decile")
-    return (tiled.groupBy("risk_decile").agg(
-        F.count(F.lit(1)).cast("bigint").alias("accounts"),
-        F.min("risk_score").cast("double").alias("min_score"),
-        F.max("risk_score").cast("double").alias("max_score"),
-        pct(F.sum("default_flag"), F.count("default_flag"), 2).alias("default_rate_pct"),
-    ).withColumn("risk_decile", F.col("risk_decile").cast("bigint")).orderBy("risk_decile"))
+    tiles = positions.tile_aggregate(mart, n_tiles, unscaled, "customer_id", out_col="risk_decile", measures={
+        "accounts": ("count", F.lit(1)), "lowest": ("min", F.col("risk_score")), "highest": ("max", F.col("risk_score")),
+        "defaults": ("sum", F.col("default_flag").cast("bigint")), "flagged": ("count", F.col("default_flag"))})
+    return tiles.select(
+        F.col("risk_decile").cast("bigint").alias("risk_decile"), F.col("accounts").cast("bigint").alias("accounts"),
+        F.col("lowest").cast("double").alias("min_score"), F.col("highest").cast("double").alias("max_score"),
+        pct(F.col("defaults"), F.col("flagged"), 2).alias("default_rate_pct"),
+    ).orderBy("risk_decile")
 
 
 def decile_inversions(deciles: DataFrame) -> DataFrame:

@@ -90,3 +90,28 @@ def test_ntile_randomized_against_window(spark, n_tiles):
     want = df.withColumn("t", F.ntile(n_tiles).over(Window.orderBy("v", "id")))
     diff = got.select("id", "t").exceptAll(want.select("id", "t")).count()
     assert diff == 0
+
+
+def test_tiles_are_aggregated_in_two_scans(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    rnd = random.Random(3)
+    draws = [lambda: rnd.randint(0, 50), lambda: rnd.choice([0, 0, 0, 5, 7, None]), lambda: rnd.randint(-10 ** 15, 10 ** 15), lambda: None,
+             lambda: rnd.choice([1] * 9 + [rnd.randint(0, 10 ** 6)])]
+    measures = {"n": ("count", F.lit(1)), "lo": ("min", F.col("v")), "hi": ("max", F.col("v")), "s": ("sum", F.col("w")), "c": ("count", F.col("w"))}
+    for size, draw in [(3000, d) for d in draws] + [(0, draws[0]), (25, draws[0])]:
+        df = spark.createDataFrame([(i, draw(), rnd.choice([None, 0, 1])) for i in range(size)], "id long, v long, w long").repartition(3)
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        got = positions.tile_aggregate(df.mapInArrow(counted, df.schema), 10, F.col("v"), "id", measures, accuracy=200).collect()
+        order = Window.orderBy(F.col("v").asc_nulls_last(), "id")
+        want = df.withColumn("tile", F.ntile(10).over(order)).groupBy("tile").agg(F.count(F.lit(1)), F.min("v"), F.max("v"), F.sum("w"), F.count("w")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+        assert size < 1000 or read.value <= 2 * size
