@@ -21,7 +21,8 @@ the pairs of a group:
    task; of larger ones, members are packed into blocks of about ``tile`` (those of the largest
    component apart from the others), and block meets block unless both are of that component.
    A block is one row, so a bucket of k members makes about (k / tile)^2 rows at worst, and
-   k / tile if few members stand apart. First every two components offer their likeliest link;
+   k / tile if few members stand apart. Members carry their short sets (up to 512 shingles)
+   along, so that only pairs that reach the threshold are offered. First every two components offer their likeliest link;
    then what is still apart offers all its likely links that no earlier round refused.
 
 Full sets are read for the pairs to confirm only, from the documents that the pairs name, and
@@ -58,8 +59,8 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 #: The bitmap over ids that tells which documents' full sets are needed: 4 MB.
 _BITS = 1 << 25
 _FINE = 512
-#: Rounds with drawn hubs at most; pairs of full sets in an Arrow batch; bytes that a scan holds back.
-_ROUNDS, _BATCH, _HELD = 3, 256, 4 << 20
+#: Sets up to this size are compared in full inside blocks. Rounds with drawn hubs at most; pairs of full sets in an Arrow batch; bytes that a scan holds back.
+_EXACT, _ROUNDS, _BATCH, _HELD = 512, 2, 256, 4 << 20
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         held = C.stored(mixed("members > 2"), "mixed-buckets")
         wanted = held.select("node").distinct().join(nodes.select("node", "doc"), "node")
         params = _params(_FINE, 21)
-        fine = _of_nodes(docs, id_col, text_col, size, wanted, lambda x: sketch(x, params).astype(np.uint8).tobytes())
+        fine = _of_nodes(docs, id_col, text_col, size, wanted, lambda x: sketch(x, params).astype(np.uint8).tobytes() + _short(x))
         full = held.join(slim, "node").join(fine.select("node", F.col("body").alias("fine")), "node")
         found = "a bigint, b bigint, likely double"
         small = full.where(f"k <= {tile}").select("key", "node", "lnode", "n", "registers", "fine")
@@ -315,7 +316,11 @@ class _Block:
     def __init__(self, key: int, node, lnode, n, registers: bytes, fine: bytes):
         self.key, self.node, self.label, self.n = key, node, lnode, n
         self.reg = np.frombuffer(registers, "<u2").reshape(len(node), -1)
-        self.fine = np.frombuffer(fine, np.uint8).reshape(len(node), _FINE)
+        sizes = _FINE + 4 * np.where(n <= _EXACT, n, 0)
+        ends = np.cumsum(sizes)
+        bodies = [fine[e - k:e] for k, e in zip(sizes.tolist(), ends.tolist())]
+        self.fine = np.frombuffer(b"".join(x[:_FINE] for x in bodies), np.uint8).reshape(len(node), _FINE)
+        self.short = [np.frombuffer(x, "<u4", offset=_FINE) if len(x) > _FINE else None for x in bodies]
 
     @classmethod
     def of(cls, got: pa.Table) -> _Block:
@@ -341,6 +346,19 @@ class _Block:
         return out[0], out[1] if len(out) > 1 else None
 
 
+def _short(shingles: np.ndarray) -> bytes:
+    """Sets of up to ``_EXACT`` shingles by 32 bits each, sorted; nothing for larger ones."""
+    return np.sort((shingles >> np.uint64(32)).astype("<u4")).tobytes() if len(shingles) <= _EXACT else b""
+
+
+def _alike(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
+    """Whether two short sets can reach the threshold; shingles that agree in 32 bits by chance
+    may let a pair through, one such in a set may hide one shingle."""
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    both = int((q[at] == p).sum()) + 1
+    return both * den >= (len(p) + len(q) - both) * num
+
+
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The buckets of rows that come sorted by key, each at most as large as it is."""
     held: list[pa.RecordBatch] = []
@@ -375,6 +393,8 @@ def _links(a: _Block, b: _Block | None, bands: int, rows: int, slack: float, num
             first = same.reshape(len(z), bands, rows).all(axis=2).argmax(axis=1) == band
             low = ((c.fine[z] == a.fine[x]).sum(axis=1) * 256 - _FINE) / 255  # less the chance hits of a byte
             z = z[first & (same.sum(axis=1) + low >= close * (m + _FINE))]
+            if len(z) and a.short[x] is not None:  # short sets are compared as they are, by 32 bits a shingle
+                z = z[[c.short[j] is None or _alike(a.short[x], c.short[j], num, den) for j in z.tolist()]]
             if len(z):
                 like = estimate(np.broadcast_to(a.reg[x], (len(z), m)), c.reg[z], np.full(len(z), a.n[x]), c.n[z])
                 for j, v in zip(z[like >= least].tolist(), like[like >= least].tolist()):
