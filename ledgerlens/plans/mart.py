@@ -1,8 +1,9 @@
 """Build and persist the star schema (S2-S4, S6) and the denormalised risk mart.
 
 Plan shape:  scan orders + lineitem -> union/aggregate (1 exchange) -> landing
-table (written) -> narrow feature projection -> mart (written) -> segment cube
-(one aggregate, written on first use). Segment/KPI/dashboard reports re-aggregate
+table (written) -> narrow feature projection -> mart (written on first use) -> segment
+cube (one aggregate, written on first use). The dimension is a projection of the landing
+row alone and does not wait for the mart. Segment/KPI/dashboard reports re-aggregate
 the small cube; row-level reports and deciles read the mart with column pruning.
 Written tables live in the shared scratch folder (``spark.checkpoint.dir``): they
 cut lineage and survive executor loss.
@@ -11,7 +12,7 @@ cut lineage and survive executor loss.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import InitVar, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql.types import DecimalType
 from ..operators import features, quality, unpivot
 from ..operators.segments import build_cube
 from ..schema import DIM_COLUMNS, FACT_RISK_COLUMNS, RAW_COLUMNS
-from ..session import app_id, materialize, scratch_path
+from ..session import app_id, compiled, materialize, scratch_path
 from ..sources import portfolio
 from . import collections as coll
 from . import risk
@@ -31,7 +32,7 @@ class Portfolio:
     """The reference's five tables plus the denormalised mart, for one input."""
 
     staging: DataFrame            # staging_raw_credit_data (landing, written)
-    mart: DataFrame               # dim + fact_credit_risk columns (written)
+    mart: InitVar[DataFrame]      # dim + fact_credit_risk columns (written on first use if ``persist``)
     lenient: bool
     defects: bool = False         # audits read the tables with injected defects
     stored: dict[str, DataFrame] | None = None  # the five tables as a store holds them
@@ -42,6 +43,10 @@ class Portfolio:
     _transitions: DataFrame | None = None
     _freq: DataFrame | None = None
     _star: tuple[DataFrame, DataFrame] | None = None
+    persist: bool = False         # ``mart`` is a plan still to be written
+
+    def __post_init__(self, mart: DataFrame) -> None:
+        self._mart = mart
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, version: int | None = None) -> "Portfolio":
@@ -54,7 +59,7 @@ class Portfolio:
     def dim_customers(self) -> DataFrame:
         if self.stored is not None:
             return self.stored["dim_customers"]
-        return self.mart.select(*DIM_COLUMNS)
+        return self._mart.select(*DIM_COLUMNS)  # of an unwritten mart only these columns are computed
 
     @property
     def fact_credit_risk(self) -> DataFrame:
@@ -151,15 +156,26 @@ class Portfolio:
         self.mart.createOrReplaceTempView(prefix + "risk_mart")
 
 
+def _written_mart(pf: Portfolio) -> DataFrame:
+    if pf.persist:
+        with compiled(pf._mart.sparkSession):
+            pf._mart = materialize(pf._mart, "risk_mart")
+        pf.persist = False
+    return pf._mart
+
+
+Portfolio.mart = property(_written_mart, doc="The denormalised mart, written when it is first asked for.")
+
+
 def build(staging: DataFrame, lenient: bool = False, persist: bool = True) -> Portfolio:
-    """Landing DataFrame (RAW_SCHEMA) -> Portfolio. ``persist`` writes both tables."""
+    """Landing DataFrame (RAW_SCHEMA) -> Portfolio. ``persist`` writes both tables, the mart
+    when it is first used."""
     staging = staging.select(*RAW_COLUMNS)
     if persist:
-        staging = materialize(staging, "staging_raw_credit_data")
+        with compiled(staging.sparkSession):
+            staging = materialize(staging, "staging_raw_credit_data")
     mart = features.risk_mart(staging, lenient)
-    if persist:
-        mart = materialize(mart, "risk_mart")
-    pf = Portfolio(staging=staging, mart=mart, lenient=lenient)
+    pf = Portfolio(staging=staging, mart=mart, lenient=lenient, persist=persist)
     if not persist:
         pf._cube = build_cube(mart)
     return pf

@@ -124,6 +124,23 @@ def drop_scratch(spark: SparkSession) -> bool:
     return _delete(spark, _own_folder(spark))
 
 
+#: The JVM leaves methods above this size to its interpreter (HotSpot's huge method limit).
+JIT_BYTES = 8000
+
+
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Wide projections run inside as methods that the JVM compiles: a generated stage beyond
+    ``JIT_BYTES`` falls back to projections that Spark splits into small methods."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(JIT_BYTES, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared scratch folder and read it back (cuts
     lineage; survives executor loss)."""

@@ -236,3 +236,13 @@ def test_lazy_portfolio_equals_persisted(spark):
         a = sorted(map(tuple, REPORTS[key](pf).collect()), key=str)
         b = sorted(map(tuple, REPORTS[key](lazy).collect()), key=str)
         assert a == b, key
+
+
+def test_prices_become_cents_as_their_decimals_do(spark):
+    from ledgerlens.sources.portfolio import monthly_bills
+
+    prices = [0.0, -0.0, 1.005, 1.0049, 2.675, -2.675, 1e-9, 0.125, 12345678.905, 99999999999.99, 123456789012.345, 0.1 + 0.2, -17.1, None]
+    lines = spark.createDataFrame([(i, p, 1) for i, p in enumerate(prices)], "l_orderkey long, l_extendedprice double, l_linenumber long")
+    orders = lines.selectExpr("l_orderkey AS o_orderkey")
+    want = {r[0]: r[1] for r in lines.selectExpr("l_orderkey", "CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * 100 AS BIGINT)").collect()}
+    assert {r.k: r.b1 for r in monthly_bills(orders, lines).collect()} == {k: 0 if v is None else v for k, v in want.items()}
