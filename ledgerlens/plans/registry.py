@@ -22,7 +22,7 @@ from ..operators import features, positions, quality
 from ..operators.segments import CUBE
 from ..session import scratch_path
 from ..sources import raw as rawio
-from ..sources.portfolio import break_tables
+from ..sources.portfolio import REKEYED, break_tables
 from . import collections as coll
 from . import eda, kpi, mart, risk, store
 from .mart import Portfolio
@@ -191,7 +191,7 @@ def stored_portfolio(pf: Portfolio, spark: SparkSession) -> store.StarStore:
     """The portfolio as a store with two landing batches (lower and upper ids), written once."""
     if pf.store_root is None:
         pf.store_root = scratch_path(spark, "star")
-        halves = store.StarStore(spark, pf.store_root)
+        halves = store.StarStore(spark, pf.store_root, store.buckets_for(pf.staging))
         cut = pf.staging.agg(F.avg("customer_id")).first()[0] or 0
         halves.rebuild(pf.staging.where(F.col("customer_id") <= cut), lenient=pf.lenient)
         halves.append(pf.staging.where(F.col("customer_id") > cut), lenient=pf.lenient)
@@ -231,7 +231,7 @@ def _stored_audit(key: str) -> Query:
         pf = mart.load(spark, sf, "dirty")
         if pf.store_root is None:
             pf.store_root = scratch_path(spark, "star")
-            store.StarStore(spark, pf.store_root).publish(pf, pf.audited_tables())
+            store.StarStore(spark, pf.store_root, store.buckets_for(pf.staging)).publish_edited(pf, break_tables, REKEYED)
         return normalize(REPORTS[key](Portfolio.open(spark, pf.store_root)))
     return run
 

@@ -26,7 +26,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -37,17 +38,26 @@ from pyspark.sql import types as T
 from ..operators import features, positions
 from ..operators.segments import build_cube, merge_cells
 from ..schema import RAW_COLUMNS
+from ..session import compiled
 from . import kpi
 from .mart import Portfolio
 
 TABLES = ("staging_raw_credit_data", "dim_customers", "fact_repayment_history", "fact_statements", "fact_credit_risk")
 MART, CELLS, KEY = "risk_mart", "segment_cells", "customer_id"
+#: Accounts in a bucket, about: a bucket's rows (six an account in the long facts) are sorted by one
+#: task, in memory.
+BUCKET_ROWS = 1 << 18
 
 
 class ConcurrentLoad(RuntimeError):
     """Another load published this version first; nothing of this one is visible."""
 
 
+def buckets_for(staging: DataFrame) -> int:
+    """Buckets for a stored landing table: the shuffle partitions, more if it is large."""
+    return max(int(staging.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-staging.count() // BUCKET_ROWS))
+
+
 class StarStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
@@ -103,37 +113,50 @@ class StarStore:
         catalog entry that bucketed writing needs is dropped again; the files stay."""
         entry, path = f"ll_{batch}_{name}", f"{self.root}/data/{batch}/{name}"
         rows = df if dealt else df.repartition(buckets, KEY)
-        rows.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(entry)
+        with compiled(df.sparkSession):
+            rows.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")
 
-    def _write(self, accounts: DataFrame, buckets: int, lenient: bool, high: int = 0, tables: dict[str, DataFrame] | None = None) -> dict:
-        """Stage a batch: landing rows dealt into buckets (one shuffle), then the other tables
-        derived bucket by bucket from what was stored. Nothing refers to the batch yet."""
-        batch = uuid.uuid4().hex[:12]
+    def _write(self, accounts: DataFrame, buckets: int, lenient: bool, high: int = 0, tables: dict[str, DataFrame] | None = None,
+               batch: str | None = None, dealt: Iterable[str] = ()) -> dict:
+        """Stage a batch: landing rows dealt into buckets (one shuffle), the mart derived bucket by
+        bucket from what was stored, the other tables from both. ``tables`` stand in for derived
+        ones; those in ``dealt`` lie by bucket already. Nothing refers to the batch yet."""
+        batch = batch or uuid.uuid4().hex[:12]
         landing = accounts.select(*RAW_COLUMNS)
         schemas = {TABLES[0]: landing.schema}
-        self._bucketed(landing, batch, TABLES[0], buckets)
+        with self._by_bucket():
+            self._bucketed(landing, batch, TABLES[0], buckets, dealt=TABLES[0] in dealt)
         rows, first, last = self._registered(batch, TABLES[0], landing.schema, buckets).agg(F.count(F.lit(1)), F.min(KEY), F.max(KEY)).first()
         if high and first is not None and first <= high:
             self._fs().delete(self._path("data", batch), True)
             raise ValueError(f"ids up to {high} are taken; the new accounts start at {first}")
-        scan = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-        before = self.spark.conf.get(scan)
-        self.spark.conf.set(scan, "false")  # keep the buckets though no join asks for them
-        try:
+        with self._by_bucket():
             stored = self._registered(batch, TABLES[0], landing.schema, buckets)
-            pf = Portfolio(staging=stored, mart=features.risk_mart(stored, lenient), lenient=lenient)
-            for name, df in {**pf.tables(), MART: pf.mart}.items():
+            mart = features.risk_mart(stored, lenient)
+            schemas[MART] = mart.schema
+            self._bucketed(mart, batch, MART, buckets, dealt=True)
+            pf = Portfolio(staging=stored, mart=self._registered(batch, MART, mart.schema, buckets), lenient=lenient)
+            for name, df in pf.tables().items():
                 other = tables is not None and name in tables
                 df = tables[name] if other else df
                 schemas[name] = df.schema
                 if name != TABLES[0]:
-                    self._bucketed(df, batch, name, buckets, dealt=not other)
-        finally:
-            self.spark.conf.set(scan, before)
+                    self._bucketed(df, batch, name, buckets, dealt=not other or name in dealt)
         build_cube(self._registered(batch, MART, schemas[MART], buckets)).write.parquet(f"{self.root}/data/{batch}/{CELLS}")
         return {"id": batch, "rows": rows, "first_id": first, "last_id": last, "lenient": lenient, "schemas": {n: s.jsonValue() for n, s in schemas.items()}}
 
+    @contextmanager
+    def _by_bucket(self) -> Iterator[None]:
+        """Scans inside keep a table's buckets though no join asks for them."""
+        scan = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+        before = self.spark.conf.get(scan)
+        self.spark.conf.set(scan, "false")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(scan, before)
+
     def _first(self, staged: dict, views: dict[str, str]) -> int:
         known = self.versions()
         return self._publish({"version": (known[-1] if known else 0) + 1, "buckets": self.buckets, "next_id": (staged["last_id"] or 0) + 1,
@@ -148,6 +171,22 @@ class StarStore:
         landing = (tables or {}).get(TABLES[0], pf.staging)
         return self._first(self._write(landing, self.buckets, pf.lenient, tables=tables), self._views())
 
+    def publish_edited(self, pf: Portfolio, edit: Callable[[dict[str, DataFrame]], dict[str, DataFrame]], rekeyed: Iterable[str] = ()) -> int:
+        """``publish`` with the portfolio's tables as ``edit`` returns them. The landing rows are
+        dealt once, and the tables derived and edited bucket by bucket; only the ``rekeyed``
+        ones, whose rows may get other keys, are dealt by themselves."""
+        batch, origin, rekeyed = uuid.uuid4().hex[:12], "origin", frozenset(rekeyed)
+        landing = pf.staging.select(*RAW_COLUMNS)
+        self._bucketed(landing, batch, origin, self.buckets)
+        lying = self._registered(batch, origin, landing.schema, self.buckets)
+        in_place = edit(Portfolio(staging=lying, mart=features.risk_mart(lying, pf.lenient), lenient=pf.lenient).tables())
+        moved = edit(pf.tables())
+        tables = {name: (moved if name in rekeyed else in_place)[name] for name in TABLES}
+        staged = self._write(tables[TABLES[0]], self.buckets, pf.lenient, tables=tables, batch=batch, dealt=frozenset(TABLES) - rekeyed)
+        self.spark.sql(f"DROP TABLE ll_{batch}_{origin}")
+        self._fs().delete(self._path("data", batch, origin), True)
+        return self._first(staged, self._views())
+
     def rebuild(self, accounts: DataFrame, order_by: list[str] | None = None, lenient: bool = False) -> int:
         """A version that holds these accounts only. Without a ``customer_id`` column they are
         numbered from 1 in the order of ``order_by``."""

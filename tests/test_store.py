@@ -193,3 +193,38 @@ def test_changed_input_is_seen_and_refresh_forgets(spark, tmp_path):
     assert two is not one and two.staging.count() == 10
     mart.refresh(spark)
     assert mart.load(spark, folder) is not two
+
+
+def test_the_dimension_does_not_wait_for_the_mart(spark, pf, monkeypatch):
+    written = []
+    write = mart.materialize
+    monkeypatch.setattr(mart, "materialize", lambda df, name: (written.append(name), write(df, name))[1])
+    fresh = mart.build(pf.staging)
+    assert rows(fresh.dim_customers) == rows(pf.dim_customers) and written == ["staging_raw_credit_data"]
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    assert fresh.mart.count() == fresh.mart.count() == pf.mart.count() and written == ["staging_raw_credit_data", "risk_mart"]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+
+
+def test_edited_tables_lie_in_buckets_without_being_dealt_again(spark, monkeypatch):
+    from ledgerlens.sources.portfolio import REKEYED, break_tables
+
+    pf = mart.load(spark, SF_SMALL, "dirty")
+    dealt, deal = [], type(pf.staging).repartition
+    monkeypatch.setattr(type(pf.staging), "repartition", lambda df, *a: (dealt.append(a), deal(df, *a))[1])
+    st = store.StarStore(spark, tempfile.mkdtemp(prefix="ledgerlens-star-", dir="/tmp"), buckets=3)
+    st.publish_edited(pf, break_tables, REKEYED)
+    assert len(dealt) == 1 + len(REKEYED)  # the landing rows and the tables with other keys
+    monkeypatch.undo()
+    want, opened = break_tables(pf.tables()), st.open()
+    for name, df in opened.tables().items():
+        assert rows(df) == rows(want[name]), name
+        assert len(df.inputFiles()) <= 3, name
+    assert rows(quality.pk_audit(opened.tables())) == rows(quality.pk_audit(want))
+    assert len(os.listdir(f"{st.root}/data/{st.manifest()['batches'][0]['id']}")) == len(store.TABLES) + 2
+
+
+def test_large_landings_get_more_buckets(spark, pf, monkeypatch):
+    monkeypatch.setattr(store, "BUCKET_ROWS", 50)
+    n = pf.staging.count()
+    assert store.buckets_for(pf.staging) == max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // 50)) > n // 51
