@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_root
 
 BLOCK_CHARS = 4 << 20
+#: Rows of texts in a batch.
+TEXT_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,15 +36,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Steps stored inside exchange at most ``rows`` rows with Python at a time (wide rows)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+def _at_most(spark: SparkSession, rows: int, *names: str) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in names}
+    for name, now in before.items():
+        spark.conf.set(name, str(min(rows, int(now)) if int(now) > 0 else rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, now in before.items():
+            spark.conf.set(name, now)
+
+
+def arrow_rows(spark: SparkSession, rows: int):
+    """Steps stored inside exchange at most ``rows`` rows with Python at a time (wide rows)."""
+    return _at_most(spark, rows, "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def text_rows(spark: SparkSession, rows: int = TEXT_ROWS):
+    """Steps stored inside read, and exchange with Python, at most ``rows`` rows at a time: whole
+    texts in Spark's own 4,096 and 10,000 rows take tens of MB in the reader, on both sides of
+    the exchange and in what Python's allocator keeps for the next task."""
+    return _at_most(spark, rows, "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
 
 
 def plain_scan(df: DataFrame, name: str) -> DataFrame:

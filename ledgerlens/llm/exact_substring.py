@@ -387,7 +387,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         columns = [[x[f] for x in one["rows"]] for f in fields] + [r.sizes, removed, spans, texts_]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_arrow)], schema=out_arrow)
 
-    back = C.stored(src.mapInArrow(anchors, full_type).groupBy("bucket").applyInArrow(repeated, full_type), "dedup-repeated")
+    with C.text_rows(spark):
+        back = C.stored(src.mapInArrow(anchors, full_type).groupBy("bucket").applyInArrow(repeated, full_type), "dedup-repeated")
     text_rows = src.mapInArrow(texts, full_type)
     found = text_rows.unionByName(back).groupBy("block").applyInArrow(strings, full_type)
     lows = found.groupBy("bucket").applyInArrow(answers, full_type)

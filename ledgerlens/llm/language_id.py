@@ -86,7 +86,8 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_lan
         nothing = np.zeros(0, np.int64)
         return Model([], nothing, nothing, nothing)
     size = dict(zip(sizes.column("c1").to_pylist(), sizes.column("size").to_pylist()))
-    shares = rows.sparkSession.createDataFrame([(n, i, min(1.0, per_language / size[n])) for i, n in enumerate(names)], "c1 string, lang bigint, share double")
+    # from Arrow: rows from Python objects would start Python workers of another kind beside those of the other steps
+    shares = rows.sparkSession.createDataFrame(pa.table({"c1": names, "lang": range(len(names)), "share": [min(1.0, per_language / size[n]) for n in names]}))
     chosen = rows.join(F.broadcast(shares), "c1").where(F.pmod(F.xxhash64("c2", "c0"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("c0", "lang")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +106,8 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, id_col: str, per_lan
                 own[i] = own.get(i, 0) + np.bincount(grams(t.as_py()), minlength=_SIZE)
         yield counted()
 
-    got = chosen.mapInArrow(count_grams, "lang bigint, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    with C.text_rows(rows.sparkSession):
+        got = chosen.mapInArrow(count_grams, "lang bigint, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     return Model(names, *[got.column(c).to_numpy() for c in ("gram", "lang", "n")])
 
 
@@ -146,7 +148,8 @@ def identify(rows: DataFrame, model: Model, text: str | Column, declared: str |
     weights = F.transform("like", lambda x: F.exp(x))
     total = F.aggregate("w", F.lit(0.0), lambda a, x: a + x)
     seen = seen.withColumn("w", weights).withColumn("p", F.transform("w", lambda x: x / total)).drop("w")
-    seen = C.stored(seen, "language-evidence")
+    with C.text_rows(spark):
+        seen = C.stored(seen, "language-evidence")
     p = [F.col("p")[i] for i in range(k)]
     sums = [F.sum(F.when(F.col("lettered"), x).otherwise(0.0)).alias(f"s{i}") for i, x in enumerate(p)]
     total_row = seen.agg(*sums).first()

@@ -25,8 +25,8 @@ the pairs of a group:
    along, so that only pairs that reach the threshold are offered. First every two components offer their likeliest link;
    then what is still apart offers all its likely links that no earlier round refused.
 
-Full sets are read for the pairs to confirm only, from the documents that the pairs name, and
-move in Arrow batches of bounded rows.
+Full sets are read for the pairs to confirm only, from the documents that the pairs name. Texts,
+sketches and sets move in Arrow batches of bounded rows.
 
 A pair is looked at in one bucket only, that of its first agreeing band. At 0.75, 48 bands of
 4 miss a pair with probability 1e-8. The likelihood over 192 registers deviates by 0.03, so a
@@ -147,6 +147,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
     if bands > 64:
         raise ValueError("at most 64 bands")
+    with C.text_rows(docs.sparkSession):
+        return _near_duplicates(docs, size, threshold, id_col, text_col, bands, rows, slack, tile)
+
+
+def _near_duplicates(docs: DataFrame, size: int, threshold: tuple[int, int], id_col: str, text_col: str, bands: int, rows: int,
+                     slack: float, tile: int) -> DataFrame:
     m = bands * rows
     num, den = threshold
     least = num / den - slack

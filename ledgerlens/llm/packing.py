@@ -113,15 +113,18 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            rows = []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = token_ids(t.as_py(), tokenizer_path) + end
-                for k, a in enumerate(range(0, len(ids), step)):
-                    part = ids[a:a + step]
-                    rows.append((i, k, a // 4, len(part) // 4, zlib.crc32(part))
-                                + ((np.frombuffer(part, "<u4").astype(np.int32),) if with_ids else ()))
-            yield C.batch_of(schema, rows)
+        try:
+            for batch in batches:
+                rows = []
+                for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    ids = token_ids(t.as_py(), tokenizer_path) + end
+                    for k, a in enumerate(range(0, len(ids), step)):
+                        part = ids[a:a + step]
+                        rows.append((i, k, a // 4, len(part) // 4, zlib.crc32(part))
+                                    + ((np.frombuffer(part, "<u4").astype(np.int32),) if with_ids else ()))
+                yield C.batch_of(schema, rows)
+        finally:
+            _words.cache_clear()  # Spark keeps the worker for other steps
 
     return C.picked(docs, id_col, text_col).mapInArrow(cut, ddl)
 
@@ -234,7 +237,8 @@ def _place_by_join(spark: SparkSession, ranked: DataFrame, plan: np.ndarray, bef
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Every piece of ``docs`` with its place: sequence number and offset in it."""
-    pieces = C.stored(tokenized_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, with_ids), "pieces")
+    with C.text_rows(docs.sparkSession):
+        pieces = C.stored(tokenized_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, with_ids), "pieces")
     return place(pieces, capacity, [id_col, "piece", "ids_crc32"])
 
 

@@ -10,12 +10,13 @@ from html import escape
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from harness import compare, duck
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import (ann, bpe, chat, components, dom, exact_substring, html_extract, language_id, near_dup, oracles,
+from ledgerlens.llm import (ann, bpe, chat, common, components, dom, exact_substring, html_extract, language_id, near_dup, oracles,
                             packing, queries, topk, url_filter)
 
 SF = "/root/testdata/sf0.001"
@@ -213,6 +214,41 @@ def test_near_duplicates_by_brute_force(spark, documents):
     same(plain(out, "doc_id", "n_shingles", "component_id", "kept"), brute_components(texts_of(docs)))
 
 
+def test_texts_move_in_small_batches(spark, documents, tmp_path, monkeypatch):
+    """Near-duplicates, language ID and packing hold at most TEXT_ROWS rows of texts at a time
+    in Spark's reader and in Python; the session's own sizes are back after them."""
+    names = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before, seen, store = [spark.conf.get(n) for n in names], {}, common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, name: seen.setdefault(name, [int(spark.conf.get(n)) for n in names]) and store(df, name))
+    at = str(tmp_path / "docs")
+    documents.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source")).coalesce(1).write.parquet(at)
+    docs = spark.read.parquet(at)
+    near_dup.near_duplicates(docs)
+    packing.pack(docs, WORDS)
+    language_id.identify_documents(docs, {"id": F.col("doc_id")})
+    assert {"sketches", "nodes", "bodies", "pieces", "language-evidence"} <= set(seen)
+    assert all(max(seen[n]) <= common.TEXT_ROWS for n in seen), seen
+    assert [spark.conf.get(n) for n in names] == before
+    long = str(tmp_path / "long")
+    spark.range(3 * common.TEXT_ROWS).coalesce(1).write.parquet(long)
+    with common.text_rows(spark):
+        rows = spark.read.parquet(long).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in batches), "id bigint").collect()
+    assert sum(r.id for r in rows) == 3 * common.TEXT_ROWS and max(r.id for r in rows) <= common.TEXT_ROWS
+    with pytest.raises(ValueError), common.text_rows(spark):
+        raise ValueError
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_workers_keep_no_words_after_packing(spark, documents):
+    packing.pack(documents, WORDS)
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"id": [packing._words.cache_info().currsize]})
+
+    assert {r.id for r in spark.range(0, 64, 1, 16).mapInArrow(held, "id bigint").collect()} == {0}
+
+
 def test_sketch_estimates_are_near_and_mergeable():
     rnd, params = np.random.default_rng(2), near_dup._params(192)
     for j in (0.2, 0.5, 0.75, 0.9):
